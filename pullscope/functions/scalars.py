@@ -144,7 +144,7 @@ def parse_numstat(line) -> Column:
     parts = F.split(col_(line), "\t", 3)
 
     def num(p):
-        return F.when(p == "-", F.lit(0)).otherwise(p.cast("long"))
+        return F.when(p == "-", F.lit(0)).otherwise(p.try_cast("long"))
 
     return F.when(F.size(parts) >= 3, F.struct(num(parts[0]).alias("additions"),
                                                num(parts[1]).alias("deletions"),

@@ -92,3 +92,23 @@ def lean_details(details: DataFrame, columns: Sequence[str] | None = None) -> Da
     """Column-pruned view (S3): never carries the patch column."""
     from pullscope.schemas import LEAN_DETAIL_COLUMNS
     return details.select(*(columns or LEAN_DETAIL_COLUMNS))
+
+
+def sha_repo(commits: DataFrame, prs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Sha -> repository of the first PR (commits-table order: pr_id, commit_seq) that
+    has a known repository. Returns ``(sha_repo, unmatched_shas)``; the reference only warned
+    about the unmatched ones."""
+    known = prs.select(F.col("id").alias("pr_id"), "repo_name").where(F.col("repo_name").isNotNull())
+    j = commits.select("sha", "pr_id", "commit_seq").join(known, "pr_id", "inner")
+    m = j.groupBy("sha").agg(F.min_by("repo_name", F.struct("pr_id", "commit_seq")).alias("repo_name"))
+    unmatched = commits.select("sha").distinct().join(m, "sha", "left_anti")
+    return m, unmatched
+
+
+def batch_keys(sha_repos: DataFrame, batch_size: int = 500) -> DataFrame:
+    """Split each repository's shas into batches of about ``batch_size`` by hash, so a hot
+    repository becomes many bounded groups (no per-repository sort)."""
+    n = sha_repos.groupBy("repo_name").agg(F.count(F.lit(1)).alias("_n"))
+    nb = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(batch_size)))
+    return (sha_repos.join(n, "repo_name")
+            .withColumn("batch", F.pmod(F.xxhash64("sha"), nb)).drop("_n"))

@@ -137,25 +137,25 @@ def violin(df: DataFrame, value: str, group_col: str = "source", log: bool = Tru
         x = F.log10(F.greatest(x, F.lit(1.0)))
     vals = df.where(F.col(value).isNotNull()).select(F.col(group_col).alias("grp"), x.alias("x"))
     cnt = vals.groupBy("grp", "x").agg(F.count(F.lit(1)).alias("n"))
-    st = (vals.groupBy("grp").agg(F.count(F.lit(1)).alias("N"), F.min("x").alias("lo"),
+    st = (vals.groupBy("grp").agg(F.count(F.lit(1)).alias("n_all"), F.min("x").alias("lo"),
                                   F.max("x").alias("hi"), F.stddev_samp("x").alias("sd"),
                                   F.percentile(F.col("x"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
                                   .alias("q"))
-          .withColumn("h", F.col("sd") * F.pow(F.col("N").cast("double"), -0.2) * bw_adjust))
+          .withColumn("h", F.col("sd") * F.pow(F.col("n_all").cast("double"), -0.2) * bw_adjust))
     # one row per group: bounded by the number of groups
-    j = cnt.join(F.broadcast(st.select("grp", "N", "lo", "hi", "h")), "grp")
-    j = j.select("grp", "x", "n", "N", "lo", "hi", "h",
+    j = cnt.join(F.broadcast(st.select("grp", "n_all", "lo", "hi", "h")), "grp")
+    j = j.select("grp", "x", "n", "n_all", "lo", "hi", "h",
                  F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("i"))
     gx = F.col("lo") + F.col("i") * (F.col("hi") - F.col("lo")) / float(grid - 1)
-    contrib = F.col("n") * F.exp(-0.5 * F.pow((gx - F.col("x")) / F.col("h"), 2))
-    dens = (j.groupBy("grp", "i").agg(F.sum(contrib).alias("_s"), F.first("N").alias("N"),
+    contrib = F.col("n") * F.exp(-0.5 * F.pow(F.try_divide(gx - F.col("x"), F.col("h")), 2))
+    dens = (j.groupBy("grp", "i").agg(F.sum(contrib).alias("_s"), F.first("n_all").alias("n_all"),
                                       F.first("h").alias("h"), F.first("lo").alias("lo"),
                                       F.first("hi").alias("hi")))
     dens = dens.select("grp", "i", (F.col("lo") + F.col("i") * (F.col("hi") - F.col("lo"))
                                     / float(grid - 1)).alias("grid_x"),
-                       (F.col("_s") / (F.col("N") * F.col("h") * math.sqrt(2 * math.pi))).alias("density"))
+                       F.try_divide(F.col("_s"), F.col("n_all") * F.col("h") * math.sqrt(2 * math.pi)).alias("density"))
     w = Window.partitionBy("grp")
-    dens = dens.withColumn("density_scaled", F.col("density") / F.max("density").over(w))
+    dens = dens.withColumn("density_scaled", F.try_divide(F.col("density"), F.max("density").over(w)))
     box = st.select("grp", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
                     F.col("q")[2].alias("q3"))
     return dens.join(box, "grp").withColumnRenamed("grp", group_col)

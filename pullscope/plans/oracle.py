@@ -118,18 +118,23 @@ fl AS (
          CAST(CASE WHEN i IS NULL THEN NULL WHEN (p + i) % 23 = 0 THEN 0 ELSE (p * i + s) % 45 END AS BIGINT) AS deletions
   FROM cf
 ),
+flp AS (
+  SELECT *, CASE WHEN filename IS NOT NULL
+                 THEN concat('@@ -1,', deletions, ' +1,', additions, ' @@', chr(10), '+line', chr(10)) END AS patch
+  FROM fl
+),
 flt AS (
-  SELECT fl.*,
+  SELECT flp.*,
          CAST(coalesce(sum(additions) OVER (PARTITION BY sha), 0) AS BIGINT) AS commit_stats_additions,
          CAST(coalesce(sum(deletions) OVER (PARTITION BY sha), 0) AS BIGINT) AS commit_stats_deletions
-  FROM fl
+  FROM flp
 ),
 dt AS (
   SELECT f.sha, f.author, f.committer, f.message,
          f.commit_stats_additions + f.commit_stats_deletions AS commit_stats_total,
          f.commit_stats_additions, f.commit_stats_deletions,
          b.pr_id, f.filename, f.status, f.additions, f.deletions,
-         f.additions + f.deletions AS changes
+         f.additions + f.deletions AS changes, f.patch
   FROM flt f JOIN (SELECT sha, pr_id FROM cm) b ON f.sha = b.sha
 ),
 fixcm AS (SELECT * FROM cm WHERE pr_id IN (SELECT id FROM fixpr)),
@@ -238,7 +243,7 @@ ORACLE["fix_pr_commit_details"] = with_ctes("""
 SELECT sha, pr_id, filename, status, additions, deletions, changes,
        commit_stats_total, commit_stats_additions, commit_stats_deletions FROM fixdt
 """)
-ORACLE["commit_details"] = with_ctes("SELECT * FROM dt")
+ORACLE["commit_details"] = with_ctes("SELECT * EXCLUDE (patch) FROM dt")
 ORACLE["overview"] = with_ctes("""
 SELECT substr(min(created_at), 1, 10) AS date_from, substr(max(created_at), 1, 10) AS date_to,
        count(*) AS prs, count_if(is_agent) AS agent_prs, count_if(NOT is_agent) AS human_prs,

@@ -1,3 +1,70 @@
 """Oracle SQL for the queries of ``registry_more``."""
 
+from __future__ import annotations
+
+from pullscope.plans.oracle import ORACLE, with_ctes, _PR_STATS, _COMMIT_COUNTS
+
+_AGENTS = "('Devin', 'Copilot', 'Cursor', 'Claude_Code')"
+
 ORACLE_MORE: dict[str, str] = {}
+ORACLE_MORE["prs_from_json"] = ORACLE["pull_requests"]
+ORACLE_MORE["commits_from_json"] = with_ctes("SELECT sha, pr_id, author, committer, message, commit_seq FROM cm")
+ORACLE_MORE["details_from_json"] = with_ctes("SELECT * FROM dt")
+ORACLE_MORE["details_from_git_text"] = with_ctes("SELECT * FROM dt")
+ORACLE_MORE["details_prefer_git"] = with_ctes("SELECT * FROM dt")
+ORACLE_MORE["sha_repo"] = with_ctes("""
+SELECT c.sha, first(r.repo_name ORDER BY c.pr_id, c.commit_seq) AS repo_name
+FROM cm c JOIN raw_pr r ON c.pr_id = r.id WHERE r.repo_name IS NOT NULL GROUP BY c.sha
+""")
+ORACLE_MORE["validation_month"] = with_ctes(f"""
+SELECT (SELECT count(*) FROM m) AS total_prs, (SELECT count_if(is_agent) FROM m) AS agent_prs,
+       (SELECT count(DISTINCT repo_id) FROM m WHERE is_agent AND repo_id IS NOT NULL) AS repos_ours,
+       (SELECT count(DISTINCT repo_id) FROM base WHERE agent IN {_AGENTS} AND repo_id IS NOT NULL) AS repos_baseline,
+       (SELECT count(DISTINCT repo_id) FROM m WHERE is_agent AND repo_id IN
+          (SELECT repo_id FROM base WHERE agent IN {_AGENTS})) AS repo_overlap,
+       round((SELECT count(DISTINCT repo_id) FROM m WHERE is_agent AND repo_id IN
+          (SELECT repo_id FROM base WHERE agent IN {_AGENTS})) * 100.0
+          / greatest((SELECT count(DISTINCT repo_id) FROM base WHERE agent IN {_AGENTS} AND repo_id IS NOT NULL), 1), 6)
+         AS coverage_pct
+""", "m AS (SELECT * FROM pr WHERE created_at >= '1997-01-01' AND created_at <= '1997-01-31T23:59:59Z')")
+ORACLE_MORE["sample_prs"] = with_ctes("""
+SELECT id, number, title, login AS "user", user_id, state, created_at, closed_at, merged_at, repo_id,
+       repo_url, repo_name, html_url, is_agent, agent
+FROM pr ORDER BY sha1(concat_ws('|', '42', CAST(id AS VARCHAR))), id LIMIT 20
+""")
+
+
+def _violin(vals_sql: str, extra: str) -> str:
+    return with_ctes(f"""
+SELECT d.grp AS source, CAST(d.i AS INTEGER) AS i, round(d.gx, 6) AS grid_x, round(d.density, 6) AS density,
+       round(d.density / max(d.density) OVER (PARTITION BY d.grp), 6) AS density_scaled,
+       round(s.q[1], 6) AS q1, round(s.q[2], 6) AS median, round(s.q[3], 6) AS q3
+FROM (
+  SELECT g.grp, g.i, s.lo + g.i * (s.hi - s.lo) / 99.0 AS gx,
+         sum(c.n * exp(-0.5 * pow(((s.lo + g.i * (s.hi - s.lo) / 99.0) - c.x) / s.h, 2)))
+           / (s.nn * s.h * sqrt(2 * pi())) AS density
+  FROM (SELECT grp, unnest(range(0, 100)) AS i FROM st) g
+  JOIN st s ON g.grp = s.grp JOIN cnt c ON c.grp = g.grp
+  GROUP BY g.grp, g.i, s.lo, s.hi, s.nn, s.h
+) d JOIN st s ON d.grp = s.grp
+""", extra + f""",
+vals AS ({vals_sql}),
+cnt AS (SELECT grp, x, count(*) AS n FROM vals GROUP BY grp, x),
+st AS (SELECT grp, count(*) AS nn, min(x) AS lo, max(x) AS hi,
+              stddev_samp(x) * pow(CAST(count(*) AS DOUBLE), -0.2) * 0.5 AS h,
+              quantile_cont(x, [0.25, 0.5, 0.75]) AS q FROM vals GROUP BY grp)
+""")
+
+
+ORACLE_MORE["violin_lines_added"] = _violin(
+    "SELECT source AS grp, log10(greatest(CAST(lines_added AS DOUBLE), 1.0)) AS x FROM psrc", _PR_STATS)
+ORACLE_MORE["violin_revisions"] = _violin(
+    "SELECT source AS grp, least(CAST(num_commits AS DOUBLE), least(50.0, (SELECT max(num_commits) FROM rev))) AS x "
+    "FROM rev", _COMMIT_COUNTS)
+ORACLE_MORE["ingest_stream_prs"] = with_ctes(
+    'SELECT id, title, login AS "user", created_at, merged_at, is_agent, agent, type, source FROM cls')
+ORACLE_MORE["volume_stream_daily"] = with_ctes("""
+SELECT substr(r.created_at, 1, 10) AS day,
+       CASE WHEN ua.label IS NOT NULL THEN 'agent' ELSE 'human' END AS source, count(*) AS count
+FROM raw_pr r LEFT JOIN user_agent ua ON r.login = ua.login GROUP BY 1, 2
+""")

@@ -1 +1,136 @@
-"""Further registered queries (payload/text sources, quality, sampling, streaming)."""
+"""Further registered queries: payload and git-text sources, detail assembly, quality,
+sampling and streaming. Imported by ``registry.queries()``."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from pullscope.operators import details as det
+from pullscope.operators import labels, quality, sampling, stats
+from pullscope.operators import facts
+from pullscope.plans.collect import details_from_git, pull_requests_from_payloads
+from pullscope.plans.registry import _fix, register
+from pullscope.sources import fixtures as fx
+from pullscope.sources import landed
+from pullscope.sources.payloads import commits_from_json, details_from_json
+
+PR_OUT = ["id", "number", "title", "user", "user_id", "state", "created_at", "closed_at",
+          "merged_at", "repo_id", "repo_url", "repo_name", "html_url", "is_agent", "agent"]
+
+
+# ---- S6-S8 ---------------------------------------------------------------------------------
+@register("prs_from_json")
+def q_prs_from_json(spark, d):
+    """S6 + H14 + F2 + J2 + J3: PR payloads -> the collector's PR table."""
+    prs, _errors = pull_requests_from_payloads(
+        landed.pr_payloads(spark, d), fx.repository(spark, d),
+        labels.filter_agents(fx.baseline(spark, d)), fx.WINDOW_FROM, fx.WINDOW_TO)
+    return prs.select(*PR_OUT)
+
+
+@register("commits_from_json")
+def q_commits_from_json(spark, d):
+    """S7 + S14 + H13: commit-list pages -> commits with stored order."""
+    rows, _bad = commits_from_json(landed.commit_payloads(spark, d))
+    return rows
+
+
+@register("details_from_json")
+def q_details_from_json(spark, d):
+    """S8 + J12: commit-detail payloads -> commit_details (API form, with patch)."""
+    files = details_from_json(landed.detail_payloads(spark, d))
+    return det.assemble_details(files, fx.commits(spark, d).select("sha", "pr_id"))
+
+
+@register("details_from_git_text")
+def q_details_from_git(spark, d):
+    """S9 + S10 + S11 + J14 + J15 + A5 + J12: git text -> commit_details (with patch)."""
+    return details_from_git(landed.log_docs(spark, d), landed.status_docs(spark, d),
+                            landed.diff_docs(spark, d), fx.commits(spark, d).select("sha", "pr_id"))
+
+
+@register("details_prefer_git")
+def q_details_prefer(spark, d):
+    """Git rows where the commit is in the local clone (suppliers with a non-negative
+    balance), API rows for the rest."""
+    sup = fx.table(spark, d, "supplier").where(F.col("s_acctbal") >= 0).select(F.col("s_suppkey"))
+    local = (fx.table(spark, d, "lineitem").join(sup, F.col("l_suppkey") == F.col("s_suppkey"), "left_semi")
+             .select(F.sha1(F.concat(F.lit("c"), F.col("l_partkey").cast("string"), F.lit("-"),
+                                     F.col("l_suppkey").cast("string"))).alias("sha")).distinct())
+    bridge = fx.commits(spark, d).select("sha", "pr_id")
+    git = details_from_git(landed.log_docs(spark, d), landed.status_docs(spark, d),
+                           landed.diff_docs(spark, d), bridge).join(local, "sha", "left_semi")
+    api = det.assemble_details(details_from_json(landed.detail_payloads(spark, d)), bridge)
+    rows, _missing = det.prefer(git, api, bridge)
+    return rows
+
+
+@register("sha_repo")
+def q_sha_repo(spark, d):
+    """Repository of each sha (first PR in commits order with a known repository)."""
+    m, _unmatched = det.sha_repo(fx.commits(spark, d), fx.raw_prs(spark, d))
+    return m
+
+
+# ---- quality, sampling, shapes -------------------------------------------------------------
+@register("validation_month")
+def q_validation_month(spark, d):
+    """Q1 + A20: one-month slice against the baseline (January 1997)."""
+    prs = fx.pull_requests(spark, d)
+    return quality.validate_month(prs, labels.filter_agents(fx.baseline(spark, d)),
+                                  "1997-01-01", "1997-01-31")
+
+
+@register("sample_prs")
+def q_sample_prs(spark, d):
+    """L4: 20 PRs chosen by seeded hash order (same rows on any cluster)."""
+    return sampling.sample_n(fx.pull_requests(spark, d).drop("body"), 20, 42, ["id"])
+
+
+@register("violin_lines_added")
+def q_violin_added(spark, d):
+    """log10 density of lines added per PR, agent vs human, 100-point grid + box."""
+    r = _fix(spark, d)
+    pst = facts.attach_source(facts.change_size(r.fix_details), r.fix_prs)
+    return stats.violin(pst, "lines_added", "source", log=True)
+
+
+@register("violin_revisions")
+def q_violin_revisions(spark, d):
+    """Linear density of commit counts of revised PRs, clipped at min(max, 50)."""
+    r = _fix(spark, d, with_details=False)
+    rev = facts.revised_prs(r.fix_prs, r.fix_commits)
+    return stats.violin(rev, "num_commits", "source", log=False, clip_upper=50)
+
+
+# ---- streaming -----------------------------------------------------------------------------
+def _landing(spark, name: str) -> str:
+    import uuid
+    from pullscope.session import scratch_path
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+@register("ingest_stream_prs")
+def q_ingest_stream(spark, d):
+    """T1-T4 + T7: PR payload files streamed (availableNow) -> labelled, classified PRs."""
+    from pullscope.streaming.ingest import ingest_prs
+    base = _landing(spark, "ingest")
+    landed.pr_payloads(spark, d).write.mode("overwrite").text(f"{base}/landing")
+    dim = labels.user_agent_dim(labels.filter_agents(fx.baseline(spark, d)))
+    q = ingest_prs(spark, f"{base}/landing", dim, f"{base}/out", f"{base}/ckpt", f"{base}/dead")
+    q.awaitTermination()
+    out = spark.read.parquet(f"{base}/out")
+    return labels.filter_created(out, fx.WINDOW_FROM, fx.WINDOW_TO).select(
+        "id", "title", "user", "created_at", "merged_at", "is_agent", "agent", "type", "source")
+
+
+@register("volume_stream_daily")
+def q_volume_stream(spark, d):
+    """Daily PR volume per source from the stream, equal to the batch count."""
+    from pullscope.streaming.ingest import volume_stream, volume_table
+    base = _landing(spark, "volume")
+    landed.pr_payloads(spark, d).write.mode("overwrite").text(f"{base}/landing")
+    dim = labels.user_agent_dim(labels.filter_agents(fx.baseline(spark, d)))
+    q = volume_stream(spark, f"{base}/landing", dim, f"{base}/out", f"{base}/ckpt")
+    q.awaitTermination()
+    return volume_table(spark, f"{base}/out")

@@ -14,7 +14,6 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.ansi.enabled": "false",
     "spark.ui.enabled": "false",
 }
 

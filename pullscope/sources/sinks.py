@@ -1,10 +1,87 @@
-"""Sinks K1-K9."""
+"""Sinks K1-K9: Parquet tables, partitioned chunks, compaction, CSV, samples, report text,
+manifest."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
 
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """K1: Parquet, replaced as a whole."""
+
+def write_table(df: DataFrame, path: str, mode: str = "overwrite",
+                sort_by: str | None = None) -> None:
+    """K1: Parquet, replaced as a whole. ``sort_by`` (e.g. ``created_at``) sorts within
+    partitions so row-group statistics can skip by range (F3's early stop)."""
+    if sort_by:
+        df = df.sortWithinPartitions(sort_by)
     df.write.mode(mode).parquet(path)
+
+
+def write_chunks(df: DataFrame, path: str, key: str = "repo_name") -> None:
+    """K2: one partition directory per key; a re-run replaces only the partitions it writes
+    and replaces each of them whole (no stale higher-numbered chunks, B15)."""
+    spark = df.sparkSession
+    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        df.repartition(key).write.mode("overwrite").partitionBy(key).parquet(path)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+
+
+def compact(spark: SparkSession, in_path: str, out_path: str, schema: T.StructType,
+            files: int | None = None) -> int:
+    """K3/K4: merge chunks into one table under an explicit schema; returns the row count,
+    observed while writing (no second pass). No chunks -> an empty typed table."""
+    try:
+        df = spark.read.schema(schema).parquet(in_path)
+    except Exception:  # noqa: BLE001  (absent directory)
+        df = spark.createDataFrame([], schema)
+    if files:
+        df = df.repartition(files)
+    obs = Observation("compact")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(out_path)
+    return int(obs.get.get("rows", 0))
+
+
+def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
+    """K5: CSV with header. ``single_file`` only for outputs of bounded size (one row per
+    repository export is still data-sized: prefer several files)."""
+    if single_file:
+        df = df.coalesce(1)
+    df.write.mode("overwrite").option("header", True).csv(path)
+
+
+def write_samples(tables: Mapping[str, DataFrame], path: str, n: int = 20, seed: int = 42,
+                  keys: Mapping[str, list[str]] | None = None) -> None:
+    """K6: up to ``n`` sampled rows per table as CSV (L4)."""
+    from pullscope.operators.sampling import sample_n
+    for name, df in tables.items():
+        key = (keys or {}).get(name) or [df.columns[0]]
+        write_csv(sample_n(df, n, seed, key), f"{path}/{name}_sample", single_file=True)
+
+
+def write_report(report: DataFrame, path: str) -> None:
+    """K8: the long-format report table as Parquet plus its text lines."""
+    report.write.mode("overwrite").parquet(path + "/table")
+    report.select(F.col("text").alias("value")).write.mode("overwrite").text(path + "/text")
+
+
+def manifest(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
+    """K9: rows and columns per written table, and bytes on storage (file listing only)."""
+    frames = []
+    for name, p in paths.items():
+        df = spark.read.parquet(p)
+        cols = ",".join(df.columns)
+        size = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+                .option("recursiveFileLookup", "true").load(p)
+                .agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")))
+        frames.append(df.agg(F.count(F.lit(1)).alias("rows"))
+                      .select(F.lit(name).alias("table"), "rows", F.lit(cols).alias("columns"))
+                      .withColumn("_k", F.lit(1)).join(size.withColumn("_k", F.lit(1)), "_k").drop("_k"))
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
