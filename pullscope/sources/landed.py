@@ -17,7 +17,9 @@ from pullscope.sources import fixtures as fx
 from pullscope.sources.gittext import COMMIT_SEP, MSG_END
 from pullscope.sources.payloads import PAGE_SIZE
 
-_NL = F.lit("\n")
+
+def _nl():
+    return F.lit("\n")
 
 
 def pr_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,9 +100,9 @@ def log_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.when(F.col("filename").isNotNull(), F.concat_ws("\t", adds, dels, F.col("filename")))
     per_sha = f.groupBy("sha", "author", "committer", "message").agg(
         F.concat_ws("\n", F.collect_list(line)).alias("num"))
-    block = F.concat(F.lit(COMMIT_SEP), _NL, F.col("sha"), _NL, F.col("author"), _NL,
-                     F.col("committer"), _NL, F.col("message"), _NL, F.lit(MSG_END), _NL, _NL,
-                     F.col("num"), _NL)
+    block = F.concat(F.lit(COMMIT_SEP), _nl(), F.col("sha"), _nl(), F.col("author"), _nl(),
+                     F.col("committer"), _nl(), F.col("message"), _nl(), F.lit(MSG_END), _nl(), _nl(),
+                     F.col("num"), _nl())
     b = per_sha.select("sha", block.alias("block")).join(_batched_shas(spark, sf_dir), "sha")
     return (b.groupBy("repo_name", "batch").agg(F.concat_ws("", F.collect_list("block")).alias("text"))
             .select(F.concat_ws("#", "repo_name", F.col("batch").cast("string")).alias("doc_id"), "text"))
@@ -112,7 +114,7 @@ def status_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     rev = F.create_map(*[F.lit(x) for k, v in STATUS_LETTERS.items() for x in (v, k)])
     line = F.concat(rev[F.col("status")], F.lit("\t"), F.col("filename"))
     per_sha = f.groupBy("sha").agg(F.concat_ws("\n", F.collect_list(line)).alias("lines"))
-    block = F.concat(F.col("sha"), _NL, F.col("lines"), _NL)
+    block = F.concat(F.col("sha"), _nl(), F.col("lines"), _nl())
     b = per_sha.select("sha", block.alias("block")).join(_batched_shas(spark, sf_dir), "sha")
     return (b.groupBy("repo_name", "batch").agg(F.concat_ws("", F.collect_list("block")).alias("text"))
             .select(F.concat_ws("#", "repo_name", F.col("batch").cast("string")).alias("doc_id"), "text"))
@@ -121,6 +123,6 @@ def status_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def diff_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``git log -p`` output of one commit per document: (sha, text)."""
     f = fx.commit_files(spark, sf_dir, with_patch=True).where(F.col("filename").isNotNull())
-    blk = F.concat(F.lit("diff --git a/"), F.col("filename"), F.lit(" b/"), F.col("filename"), _NL,
+    blk = F.concat(F.lit("diff --git a/"), F.col("filename"), F.lit(" b/"), F.col("filename"), _nl(),
                    F.col("patch"))
     return f.groupBy("sha").agg(F.concat_ws("", F.collect_list(blk)).alias("text"))

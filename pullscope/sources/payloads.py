@@ -18,9 +18,13 @@ PAGE_SIZE = 100
 
 def _parse(df: DataFrame, ddl: str, col: str = "value") -> DataFrame:
     """``from_json`` of a text column; malformed lines land in ``_corrupt`` instead of failing."""
-    parsed = F.from_json(F.col(col), ddl, {"mode": "PERMISSIVE"})
-    return df.select(parsed.alias("_p"), F.col(col).alias("_raw")).select(
-        "_p.*", F.when(F.col("_p").isNull(), F.col("_raw")).alias("_corrupt"))
+    parsed = F.from_json(F.col(col), ddl + ", _corrupt_record STRING",
+                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    return (df.select(parsed.alias("_p"), F.col(col).alias("_raw"))
+            .select("_p.*", "_raw")
+            .withColumn("_corrupt", F.when(F.col("_corrupt_record").isNotNull() | F.col("_raw").isNull(),
+                                           F.coalesce(F.col("_corrupt_record"), F.col("_raw"))))
+            .drop("_corrupt_record", "_raw"))
 
 
 def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
