@@ -29,17 +29,17 @@ def commit_totals(files: DataFrame, sha: str = "sha") -> DataFrame:
                              + F.col("commit_stats_deletions")))
 
 
-def expand_to_prs(files: DataFrame, bridge: DataFrame, sha: str = "sha") -> DataFrame:
-    """Repeat each commit's rows for every PR holding the sha; no PR -> ``pr_id`` null.
+def expand_to_prs(files: DataFrame, bridge: DataFrame, sha: str = "sha",
+                  keep_orphans: bool = False) -> DataFrame:
+    """Repeat each commit's rows for every PR holding the sha.
 
-    Written as inner join + anti join instead of one left join: both forms can be split by
-    AQE when one sha is very hot (left outer joins cannot split a skewed right side).
+    In the collection flow every sha comes from the bridge, so an inner join is exact; it is
+    also the form AQE can split when one sha is very hot. ``keep_orphans`` keeps shas without
+    a PR as ``pr_id`` null (a left join: one pass, but a skewed right side cannot be split).
     Duplicate (sha, pr_id) pairs in the bridge multiply rows, as in the reference.
     """
     b = bridge.select(sha, "pr_id").where(F.col(sha).isNotNull())
-    matched = files.join(b, sha, "inner")
-    orphan = files.join(b, sha, "left_anti").withColumn("pr_id", F.lit(None).cast("long"))
-    return matched.unionByName(orphan)
+    return files.join(b, sha, "left" if keep_orphans else "inner")
 
 
 def attach_status(numstat: DataFrame, statuses: DataFrame) -> DataFrame:
@@ -72,7 +72,7 @@ def prefer(primary: DataFrame, fallback: DataFrame, keys: DataFrame,
     return rows, missing
 
 
-def assemble_details(files: DataFrame, bridge: DataFrame) -> DataFrame:
+def assemble_details(files: DataFrame, bridge: DataFrame, keep_orphans: bool = False) -> DataFrame:
     """S8/S9 rows -> ``commit_details``: totals (A5), fan-out (J12), ``changes``.
 
     ``files`` carries sha, author, committer, message, filename, status, additions,
@@ -84,7 +84,7 @@ def assemble_details(files: DataFrame, bridge: DataFrame) -> DataFrame:
     if "patch" not in f.columns:
         f = f.withColumn("patch", F.lit(None).cast("string"))
     f = f.withColumn("changes", (F.col("additions") + F.col("deletions")).cast("long"))
-    out = expand_to_prs(f, bridge)
+    out = expand_to_prs(f, bridge, keep_orphans=keep_orphans)
     return out.select([F.col(c.name).cast(c.dataType) for c in COMMIT_DETAILS.fields])
 
 

@@ -68,3 +68,39 @@ SELECT substr(r.created_at, 1, 10) AS day,
        CASE WHEN ua.label IS NOT NULL THEN 'agent' ELSE 'human' END AS source, count(*) AS count
 FROM raw_pr r LEFT JOIN user_agent ua ON r.login = ua.login GROUP BY 1, 2
 """)
+
+
+def _unpivot(section: str, sql: str, grp: str | None, metrics: list[str]) -> str:
+    g = f"CAST({grp} AS VARCHAR)" if grp else "CAST(NULL AS VARCHAR)"
+    cols = ", ".join(f"CAST({m} AS DOUBLE) AS {m}" for m in metrics)
+    inner = f"SELECT '{section}' AS section, {g} AS grp, {cols} FROM ({sql}) q"
+    return (f"SELECT section, grp, metric, round(value, 6) AS value FROM "
+            f"({inner}) UNPIVOT INCLUDE NULLS (value FOR metric IN ({', '.join(metrics)}))")
+
+
+def _report_sql() -> str:
+    O = {**ORACLE, **ORACLE_MORE}
+    parts = [
+        _unpivot("overview", O["overview"], None,
+                 ["prs", "agent_prs", "human_prs", "repositories", "commits", "unique_authors"]),
+        _unpivot("agent_breakdown", O["agent_breakdown"], "agent", ["count"]),
+        _unpivot("change_size", O["change_size_by_source"], "source", ["files_changed", "lines_added", "lines_deleted"]),
+        _unpivot("description_length", O["description_length"], "source", ["median_desc_words"]),
+        _unpivot("merge_rate", O["merge_rate_by_source"], "source", ["merged", "total", "merge_rate"]),
+        _unpivot("merge_rate_test", O["merge_rate_chi2"], None, ["chi2", "p_value"]),
+        _unpivot("merge_rate_by_agent", O["merge_rate_by_agent"], "agent", ["merged", "total", "merge_rate"]),
+        _unpivot("time_to_merge", O["time_to_merge"], "source", ["merged", "median_hours"]),
+        _unpivot("single_commit", O["single_commit_rate"], "source", ["single", "merged_with_commits", "single_pct"]),
+        _unpivot("revised", O["revised_summary"], "source", ["revised", "median_commits"]),
+        _unpivot("revisions_test", O["mann_whitney_revisions"], None, ["u_statistic", "p_value"]),
+        _unpivot("revision_size", O["revision_size_by_source"], "source",
+                 ["rev_files_changed", "rev_lines_added", "rev_lines_deleted"]),
+        _unpivot("state", f"SELECT concat_ws('/', source, state) AS g, count FROM ({O['state_breakdown']}) s",
+                 "g", ["count"]),
+        _unpivot("monthly", O["monthly_volume"], "month", ["agent", "human", "total"]),
+        _unpivot("top_repos", O["top_repos"], "repo_name", ["total", "agent"]),
+    ]
+    return "\nUNION ALL\n".join(parts)
+
+
+ORACLE_MORE["report_table"] = _report_sql()

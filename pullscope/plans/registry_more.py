@@ -45,8 +45,8 @@ def q_details_from_json(spark, d):
 @register("details_from_git_text")
 def q_details_from_git(spark, d):
     """S9 + S10 + S11 + J14 + J15 + A5 + J12: git text -> commit_details (with patch)."""
-    return details_from_git(landed.log_docs(spark, d), landed.status_docs(spark, d),
-                            landed.diff_docs(spark, d), fx.commits(spark, d).select("sha", "pr_id"))
+    log, status, diff = landed.git_docs(spark, d)
+    return details_from_git(log, status, diff, fx.commits(spark, d).select("sha", "pr_id"))
 
 
 @register("details_prefer_git")
@@ -58,8 +58,8 @@ def q_details_prefer(spark, d):
              .select(F.sha1(F.concat(F.lit("c"), F.col("l_partkey").cast("string"), F.lit("-"),
                                      F.col("l_suppkey").cast("string"))).alias("sha")).distinct())
     bridge = fx.commits(spark, d).select("sha", "pr_id")
-    git = details_from_git(landed.log_docs(spark, d), landed.status_docs(spark, d),
-                           landed.diff_docs(spark, d), bridge).join(local, "sha", "left_semi")
+    log, status, diff = landed.git_docs(spark, d)
+    git = details_from_git(log, status, diff, bridge).join(local, "sha", "left_semi")
     api = det.assemble_details(details_from_json(landed.detail_payloads(spark, d)), bridge)
     rows, _missing = det.prefer(git, api, bridge)
     return rows
@@ -134,3 +134,12 @@ def q_volume_stream(spark, d):
     q = volume_stream(spark, f"{base}/landing", dim, f"{base}/out", f"{base}/ckpt")
     q.awaitTermination()
     return volume_table(spark, f"{base}/out")
+
+
+# ---- report (K8 numbers) -------------------------------------------------------------------
+@register("report_table")
+def q_report_table(spark, d):
+    """The whole report as one long table (section, grp, metric, value)."""
+    from pullscope.plans.report import build_report
+    r = _fix(spark, d, with_body=True)
+    return build_report(r.fix_prs, r.fix_commits, r.fix_details)

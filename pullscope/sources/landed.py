@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pullscope.functions.scalars import STATUS_LETTERS
-from pullscope.operators.details import batch_keys, sha_repo
 from pullscope.sources import fixtures as fx
 from pullscope.sources.gittext import COMMIT_SEP, MSG_END
 from pullscope.sources.payloads import PAGE_SIZE
@@ -85,44 +84,70 @@ def detail_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.select(F.to_json(obj).alias("value"))
 
 
-def _batched_shas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m, _ = sha_repo(fx.commits(spark, sf_dir), fx.raw_prs(spark, sf_dir))
-    return batch_keys(m)
+def _batched_shas(files: DataFrame, batch_size: int = 500) -> DataFrame:
+    """Assign each sha to one of about ``count / batch_size`` documents by hash (T6). The
+    document count is a scalar subquery, so nothing is collected and no repository sort runs;
+    which repository a document came from does not matter to the parsers."""
+    shas = files.select("sha").distinct()
+    n_docs = shas.select(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / F.lit(batch_size)))).scalar()
+    return shas.select("sha", F.lit("all").alias("repo_name"), F.pmod(F.xxhash64("sha"), n_docs).alias("batch"))
 
 
-def log_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``git log --numstat`` output, one document per (repository, batch)."""
-    f = fx.commit_files(spark, sf_dir, with_patch=False)
-    adds = F.when((F.col("additions") == 0) & (F.col("deletions") == 0), F.lit("-")) \
-        .otherwise(F.col("additions").cast("string"))
-    dels = F.when((F.col("additions") == 0) & (F.col("deletions") == 0), F.lit("-")) \
-        .otherwise(F.col("deletions").cast("string"))
+def _group_docs(blocks: DataFrame, batched: DataFrame) -> DataFrame:
+    b = blocks.join(batched, "sha")
+    return (b.groupBy("repo_name", "batch").agg(F.concat_ws("", F.collect_list("block")).alias("text"))
+            .select(F.concat_ws("#", "repo_name", F.col("batch").cast("string")).alias("doc_id"), "text"))
+
+
+def _log_blocks(files: DataFrame) -> DataFrame:
+    binary = (F.col("additions") == 0) & (F.col("deletions") == 0)
+    adds = F.when(binary, F.lit("-")).otherwise(F.col("additions").cast("string"))
+    dels = F.when(binary, F.lit("-")).otherwise(F.col("deletions").cast("string"))
     line = F.when(F.col("filename").isNotNull(), F.concat_ws("\t", adds, dels, F.col("filename")))
-    per_sha = f.groupBy("sha", "author", "committer", "message").agg(
+    per_sha = files.groupBy("sha", "author", "committer", "message").agg(
         F.concat_ws("\n", F.collect_list(line)).alias("num"))
     block = F.concat(F.lit(COMMIT_SEP), _nl(), F.col("sha"), _nl(), F.col("author"), _nl(),
                      F.col("committer"), _nl(), F.col("message"), _nl(), F.lit(MSG_END), _nl(), _nl(),
                      F.col("num"), _nl())
-    b = per_sha.select("sha", block.alias("block")).join(_batched_shas(spark, sf_dir), "sha")
-    return (b.groupBy("repo_name", "batch").agg(F.concat_ws("", F.collect_list("block")).alias("text"))
-            .select(F.concat_ws("#", "repo_name", F.col("batch").cast("string")).alias("doc_id"), "text"))
+    return per_sha.select("sha", block.alias("block"))
 
 
-def status_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``git diff-tree --name-status`` output, one document per (repository, batch)."""
-    f = fx.commit_files(spark, sf_dir, with_patch=False).where(F.col("filename").isNotNull())
+def _status_blocks(files: DataFrame) -> DataFrame:
+    f = files.where(F.col("filename").isNotNull())
     rev = F.create_map(*[F.lit(x) for k, v in STATUS_LETTERS.items() for x in (v, k)])
     line = F.concat(rev[F.col("status")], F.lit("\t"), F.col("filename"))
     per_sha = f.groupBy("sha").agg(F.concat_ws("\n", F.collect_list(line)).alias("lines"))
-    block = F.concat(F.col("sha"), _nl(), F.col("lines"), _nl())
-    b = per_sha.select("sha", block.alias("block")).join(_batched_shas(spark, sf_dir), "sha")
-    return (b.groupBy("repo_name", "batch").agg(F.concat_ws("", F.collect_list("block")).alias("text"))
-            .select(F.concat_ws("#", "repo_name", F.col("batch").cast("string")).alias("doc_id"), "text"))
+    return per_sha.select("sha", F.concat(F.col("sha"), _nl(), F.col("lines"), _nl()).alias("block"))
 
 
-def diff_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``git log -p`` output of one commit per document: (sha, text)."""
-    f = fx.commit_files(spark, sf_dir, with_patch=True).where(F.col("filename").isNotNull())
+def _diff_docs(files: DataFrame) -> DataFrame:
+    f = files.where(F.col("filename").isNotNull())
     blk = F.concat(F.lit("diff --git a/"), F.col("filename"), F.lit(" b/"), F.col("filename"), _nl(),
                    F.col("patch"))
     return f.groupBy("sha").agg(F.concat_ws("", F.collect_list(blk)).alias("text"))
+
+
+def git_docs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(log docs, name-status docs, diff docs) built from one shared file frame and one shared
+    batch assignment, so the three outputs reuse each other's shuffles."""
+    files = fx.commit_files(spark, sf_dir, with_patch=True)
+    batched = _batched_shas(files)
+    return (_group_docs(_log_blocks(files), batched), _group_docs(_status_blocks(files), batched),
+            _diff_docs(files))
+
+
+def log_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``git log --numstat`` output, one document per (repository, batch)."""
+    files = fx.commit_files(spark, sf_dir, with_patch=False)
+    return _group_docs(_log_blocks(files), _batched_shas(files))
+
+
+def status_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``git diff-tree --name-status`` output, one document per (repository, batch)."""
+    files = fx.commit_files(spark, sf_dir, with_patch=False)
+    return _group_docs(_status_blocks(files), _batched_shas(files))
+
+
+def diff_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``git log -p`` output of one commit per document: (sha, text)."""
+    return _diff_docs(fx.commit_files(spark, sf_dir, with_patch=True))

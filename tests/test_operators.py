@@ -80,7 +80,8 @@ def test_fan_out_and_totals(spark):
     files = files.withColumn("author", F.lit("a")).withColumn("committer", F.lit("c")) \
         .withColumn("message", F.lit("m")).withColumn("status", F.lit("modified"))
     bridge = spark.createDataFrame([("s1", 10), ("s1", 11), ("s1", 11), ("s2", 12)], "sha string, pr_id long")
-    out = det.assemble_details(files, bridge).collect()
+    out = det.assemble_details(files, bridge, keep_orphans=True).collect()
+    assert det.assemble_details(files, bridge).where("pr_id is null").count() == 0
     s1 = [r for r in out if r["sha"] == "s1"]
     assert len(s1) == 6  # 2 files x 3 bridge rows (duplicate pair multiplies)
     assert {(r["commit_stats_additions"], r["commit_stats_deletions"], r["commit_stats_total"]) for r in s1} == {(4, 2, 6)}
