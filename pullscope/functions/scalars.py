@@ -16,7 +16,7 @@ __all__ = [
     "word_count", "hours_between", "month_of", "date_prefix", "log10_clip", "status_word",
     "parse_numstat", "cap_bytes", "actor", "merged_at_of", "api_repo_url", "pct",
     "repo_slug", "fmt_number", "py_strip", "is_sha_line", "diff_filename", "decode_lossy",
-    "rate_per_hour", "iso_utc", "to_utc_ts", "col_",
+    "rate_per_hour", "iso_utc", "to_utc_ts", "col_", "is_blank", "PY_WHITESPACE",
 ]
 
 # ---------------------------------------------------------------------------------------
@@ -59,6 +59,10 @@ FIX_REGEX = "(?iu)(?<!" + _WORD + ")(?:" + "|".join(FIX_TOKENS) + ")(?!" + _WORD
 
 # Python's str.split()/strip() white space = Java's Unicode White_Space plus \x1c-\x1f.
 _PY_SPACE = r"[\s\x{1c}-\x{1f}]"
+# The same set listed out (every code point ``str.isspace`` accepts): 29 code points.
+PY_WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+                 "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+                 "\u2028\u2029\u202f\u205f\u3000")
 
 
 def col_(c) -> Column:
@@ -190,8 +194,16 @@ def fmt_number(x, decimals: int) -> Column:
 
 
 def py_strip(text) -> Column:
-    """Python ``str.strip()`` of white space (Spark ``trim`` removes spaces only)."""
-    return F.regexp_replace(col_(text), "(?U)^" + _PY_SPACE + "+|" + _PY_SPACE + "+\\z", "")
+    """Python ``str.strip()`` of white space (Spark ``trim`` removes spaces only).
+
+    ``btrim`` with the listed white-space set: a native trim, no regular expression.
+    """
+    return F.btrim(col_(text), F.lit(PY_WHITESPACE))
+
+
+def is_blank(text) -> Column:
+    """True for empty or white-space-only text (Python ``not s.strip()``)."""
+    return F.length(py_strip(text)) == 0
 
 
 def is_sha_line(line) -> Column:

@@ -244,6 +244,8 @@ def build_all(spark: SparkSession, sf_dir: str) -> None:
     """Write every stored table (the collection stage)."""
     for f in (raw_prs, pull_requests, commits, commit_files, commit_details):
         f(spark, sf_dir)
+    from pullscope.sources import landed
+    landed.build_all(spark, sf_dir)
 
 
 def _with_body(spark: SparkSession, sf_dir: str, prs: DataFrame) -> DataFrame:

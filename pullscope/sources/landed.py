@@ -21,7 +21,7 @@ def _nl():
     return F.lit("\n")
 
 
-def pr_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _pr_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PR-list elements as JSON lines. ``merged_at`` travels in three forms: top level with no
     ``pull_request`` object, top level with an empty one, or inside ``pull_request``."""
     p = fx.raw_prs(spark, sf_dir)
@@ -40,7 +40,7 @@ def pr_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select(F.to_json(obj).alias("value"))
 
 
-def commit_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _commit_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Commit-list pages (at most 100 commits each) as JSON lines."""
     c = fx.commits(spark, sf_dir)
     git_name = F.regexp_replace(F.col("author"), "^dev", "Dev Name ")
@@ -63,7 +63,7 @@ def commit_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.select(F.to_json(obj).alias("value"))
 
 
-def detail_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _detail_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Commit-detail objects (one per sha) as JSON lines; 'modified' files omit ``status``."""
     f = fx.commit_files(spark, sf_dir, with_patch=True)
     file_obj = F.when(F.col("filename").isNotNull(), F.struct(
@@ -127,7 +127,7 @@ def _diff_docs(files: DataFrame) -> DataFrame:
     return f.groupBy("sha").agg(F.concat_ws("", F.collect_list(blk)).alias("text"))
 
 
-def git_docs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _git_docs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(log docs, name-status docs, diff docs) built from one shared file frame and one shared
     batch assignment, so the three outputs reuse each other's shuffles."""
     files = fx.commit_files(spark, sf_dir, with_patch=True)
@@ -151,3 +151,35 @@ def status_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def diff_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``git log -p`` output of one commit per document: (sha, text)."""
     return _diff_docs(fx.commit_files(spark, sf_dir, with_patch=True))
+
+
+# ---- landed inputs, stored once per input version (they are inputs of the parsers) ---------
+def pr_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PR-list elements as JSON lines (``value``)."""
+    return fx.stored(spark, sf_dir, "landed_pr_payloads", lambda: _pr_payloads(spark, sf_dir))
+
+
+def commit_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Commit-list pages as JSON lines (``value``)."""
+    return fx.stored(spark, sf_dir, "landed_commit_payloads", lambda: _commit_payloads(spark, sf_dir))
+
+
+def detail_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Commit-detail objects as JSON lines (``value``)."""
+    return fx.stored(spark, sf_dir, "landed_detail_payloads", lambda: _detail_payloads(spark, sf_dir))
+
+
+def git_docs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(log docs, name-status docs, diff docs) as landed documents."""
+    names = ["landed_git_log", "landed_git_status", "landed_git_diff"]
+    out = []
+    for i, n in enumerate(names):
+        out.append(fx.stored(spark, sf_dir, n, lambda i=i: _git_docs(spark, sf_dir)[i]))
+    return out[0], out[1], out[2]
+
+
+def build_all(spark: SparkSession, sf_dir: str) -> None:
+    pr_payloads(spark, sf_dir)
+    commit_payloads(spark, sf_dir)
+    detail_payloads(spark, sf_dir)
+    git_docs(spark, sf_dir)

@@ -144,3 +144,13 @@ def test_diff_filename_and_sha_line(spark):
     assert one_col(spark, hs, S.diff_filename) == ["x.py", "q b/r", None]
     ls = ["a" * 40, "A" * 40, "0123456789abcdef0123456789abcdef01234567 extra", "abc"]
     assert one_col(spark, ls, S.is_sha_line) == [True, False, True, False]
+
+
+def test_py_strip_all_code_points(spark):
+    import sys
+    # every code point next to a letter on both sides: strip must agree with Python
+    cps = [c for c in map(chr, range(0, 0x3001)) if not (0xD800 <= ord(c) <= 0xDFFF)]
+    vals = [c + "x" + c for c in cps]
+    got = one_col(spark, vals, S.py_strip)
+    bad = [hex(ord(c)) for c, g, v in zip(cps, got, vals) if g != v.strip()]
+    assert bad == []
