@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pullscope.functions.scalars import date_prefix, hours_between, month_of, pct, word_count
@@ -26,6 +26,25 @@ def _median(c, approx: bool, accuracy: int = 10000):
     return F.percentile_approx(c, 0.5, accuracy).cast("double") if approx else F.median(c)
 
 
+def median_by(df: DataFrame, keys: Sequence[str], value: str, out: str = "median") -> DataFrame:
+    """Exact (interpolated) median per group without holding a group's values in one buffer.
+
+    Counts per (group, value) -> running count over the sorted values of the group (a window
+    that spills to disk) -> the values at positions floor((N+1)/2) and floor(N/2)+1 -> their
+    mean. Use for high-cardinality values (hours); ``F.median`` keeps a value->count map per
+    group, which is small only when distinct values are few (counts).
+    """
+    v = F.col(value)
+    cnt = df.where(v.isNotNull()).groupBy(*keys, v.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    run = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    cnt = (cnt.withColumn("_cum", F.sum("_c").over(run))
+              .withColumn("_n", F.sum("_c").over(Window.partitionBy(*keys))))
+    lo, hi = F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1
+    agg = cnt.groupBy(*keys).agg(F.min(F.when(F.col("_cum") >= lo, F.col("_v"))).alias("_a"),
+                                 F.min(F.when(F.col("_cum") >= hi, F.col("_v"))).alias("_b"))
+    return agg.select(*keys, ((F.col("_a") + F.col("_b")) / 2.0).cast("double").alias(out))
+
+
 # ---- A7 ----------------------------------------------------------------------------------
 def merge_rate(df: DataFrame, by: str | Sequence[str] | None = None) -> DataFrame:
     """Merged, total, percent merged (0 for an empty group)."""
@@ -66,11 +85,17 @@ def description_length(prs: DataFrame, approx: bool = False) -> DataFrame:
 
 
 def time_to_merge(prs: DataFrame, approx: bool = False) -> DataFrame:
-    """Median hours from creation to merge per source, merged PRs only."""
-    m = prs.where(F.col("merged_at").isNotNull())
-    return (m.withColumn("hours_to_merge", hours_between("created_at", "merged_at"))
-            .groupBy("source").agg(F.count(F.lit(1)).alias("merged"),
-                                   _median(F.col("hours_to_merge"), approx).alias("median_hours")))
+    """Median hours from creation to merge per source, merged PRs only.
+
+    Hours are nearly all distinct, so the exact median is the spill-safe :func:`median_by`."""
+    m = prs.where(F.col("merged_at").isNotNull()).withColumn(
+        "hours_to_merge", hours_between("created_at", "merged_at"))
+    counts = m.groupBy("source").agg(F.count(F.lit(1)).alias("merged"))
+    if approx:
+        med = m.groupBy("source").agg(_median(F.col("hours_to_merge"), True).alias("median_hours"))
+    else:
+        med = median_by(m, ["source"], "hours_to_merge", "median_hours")
+    return counts.join(med, "source")
 
 
 # ---- A12 / A13 / A14 ---------------------------------------------------------------------

@@ -243,3 +243,14 @@ def test_quarantine_and_missing(spark):
     assert [r[0] for r in good.collect()] == [1] and [r[0] for r in bad.collect()] == [2]
     with pytest.raises(ValueError):
         quality.require_rows(df.where("false"), "prs")
+
+
+def test_median_by_equals_median(spark):
+    rng = random.Random(11)
+    rows = [(g, float(rng.randint(0, 40)) / 4) for g in ("a", "b", "c") for _ in range(rng.randint(1, 60))]
+    df = spark.createDataFrame(rows, "g string, x double")
+    got = {r["g"]: r["median"] for r in reports.median_by(df, ["g"], "x").collect()}
+    exp = {r["g"]: r["m"] for r in df.groupBy("g").agg(F.median("x").alias("m")).collect()}
+    assert got.keys() == exp.keys()
+    for k in got:
+        assert got[k] == pytest.approx(exp[k])
