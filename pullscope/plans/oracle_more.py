@@ -104,3 +104,11 @@ def _report_sql() -> str:
 
 
 ORACLE_MORE["report_table"] = _report_sql()
+
+ORACLE_MORE["events_type_volume_stream"] = f"""
+SELECT strftime(ts, '%Y-%m-%d') AS day,
+       CASE WHEN coalesce(regexp_matches(event_type, '{__import__("pullscope.plans.oracle", fromlist=["FIX_RE"]).FIX_RE}'), false)
+            THEN 'fix' ELSE 'other' END AS type,
+       count(*) AS count
+FROM events GROUP BY 1, 2
+"""

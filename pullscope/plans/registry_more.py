@@ -143,3 +143,13 @@ def q_report_table(spark, d):
     from pullscope.plans.report import build_report
     r = _fix(spark, d, with_body=True)
     return build_report(r.fix_prs, r.fix_commits, r.fix_details)
+
+
+@register("events_type_volume_stream")
+def q_events_stream(spark, d):
+    """T8 + H1: the driver's event table as a file stream; daily counts of fix-like events."""
+    from pullscope.streaming.ingest import event_volume_stream, event_volume_table
+    base = _landing(spark, "events")
+    q = event_volume_stream(spark, f"{d}/events*.parquet", f"{base}/out", f"{base}/ckpt")
+    q.awaitTermination()
+    return event_volume_table(spark, f"{base}/out")

@@ -114,3 +114,29 @@ def progress_table(spark: SparkSession, query: StreamingQuery) -> DataFrame:
     rows = [(p.get("batchId"), p.get("numInputRows"), p.get("timestamp"),
              float(p.get("processedRowsPerSecond") or 0.0)) for p in query.recentProgress]
     return spark.createDataFrame(rows, "batch_id long, input_rows long, ts string, rows_per_second double")
+
+
+def event_volume_stream(spark: SparkSession, source_glob: str, out_dir: str, checkpoint: str,
+                        delay: str = "1 day", max_files: int = 100) -> StreamingQuery:
+    """T8 over an event table read as a file stream: each event's type is classified like a
+    title (H1) and counted per UTC day and class, with a watermark of ``delay``.
+
+    Works on any landing folder of Parquet files with the ``events`` schema."""
+    schema = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+    ev = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(source_glob)
+    rows = ev.select(F.col("ts").cast("timestamp").alias("ts"), classify_title("event_type").alias("type"))
+    agg = (rows.withWatermark("ts", delay)
+           .groupBy(F.window("ts", "1 day").alias("w"), "type").count())
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        (batch.select(F.date_format(F.col("w.start"), "yyyy-MM-dd").alias("day"), "type",
+                      F.col("count"), F.lit(batch_id).alias("batch_id"))
+         .write.mode("overwrite").parquet(f"{out_dir}/batch={batch_id}"))
+
+    return (agg.writeStream.outputMode("update").foreachBatch(write)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
+def event_volume_table(spark: SparkSession, out_dir: str) -> DataFrame:
+    t = spark.read.parquet(out_dir)
+    return t.groupBy("day", "type").agg(F.max_by("count", "batch_id").alias("count"))

@@ -56,3 +56,15 @@ def test_volume_stream_equals_batch(spark):
     assert got == sorted((k[0], k[1], v) for k, v in exp.items())
     monthly = {r["month"]: r["total"] for r in ingest.monthly_from_daily(daily).collect()}
     assert sum(monthly.values()) == 60
+
+
+def test_progress_table(spark):
+    base = tempfile.mkdtemp(prefix="ps-prog-")
+    land = f"{base}/land"
+    _write(land, "a.json", [_pr(1, "x", "t", "2025-01-01T00:00:00Z")])
+    _write(land, "b.json", [_pr(2, "x", "t", "2025-01-02T00:00:00Z")])
+    dim = spark.createDataFrame([("bot", "Devin")], "user string, _label string")
+    q = ingest.ingest_prs(spark, land, dim, f"{base}/out", f"{base}/ckpt", max_files=1)
+    q.awaitTermination()
+    prog = ingest.progress_table(spark, q)
+    assert prog.agg(F.sum("input_rows")).first()[0] == 2
