@@ -117,7 +117,7 @@ def q_ingest_stream(spark, d):
     base = _landing(spark, "ingest")
     landed.pr_payloads(spark, d).write.mode("overwrite").text(f"{base}/landing")
     dim = labels.user_agent_dim(labels.filter_agents(fx.baseline(spark, d)))
-    q = ingest_prs(spark, f"{base}/landing", dim, f"{base}/out", f"{base}/ckpt", f"{base}/dead")
+    q = ingest_prs(spark, f"{base}/landing", dim, f"{base}/out", f"{base}/ckpt")
     q.awaitTermination()
     out = spark.read.parquet(f"{base}/out")
     return labels.filter_created(out, fx.WINDOW_FROM, fx.WINDOW_TO).select(

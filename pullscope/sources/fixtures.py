@@ -218,7 +218,7 @@ _KEYS: dict[tuple[str, str], str] = {}
 
 def _input_key(spark: SparkSession, sf_dir: str) -> str:
     import hashlib
-    k = (spark.sparkContext.applicationId, sf_dir)
+    k = (spark.conf.get("spark.app.id", "app"), sf_dir)
     if k not in _KEYS:
         listing = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(sf_dir)
                    .select("path", "length", "modificationTime").collect())  # one row per input file

@@ -6,7 +6,7 @@ retry pass for error keys. Here:
 * T1 resume      -- the stream's checkpoint records which landed files were processed;
                     a restart (or ``availableNow`` rerun) only reads new files.
 * T2/T6 pacing   -- ``maxFilesPerTrigger`` bounds each micro-batch.
-* T3 quarantine  -- malformed or failed rows go to a dead-letter table inside the same batch.
+* T3 quarantine  -- malformed lines and failed pages go to a dead-letter table (own stream).
 * T4 exactly-once rows -- ``dropDuplicatesWithinWatermark`` on the PR id, and each batch
                     overwrites its own ``batch=<id>`` directory, so a replayed batch replaces
                     rather than duplicates.
@@ -50,30 +50,45 @@ def dedupe_stream(df: DataFrame, key: str = "id", ts: str = "created_ts",
     return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
 
 
-def _batch_writer(out_dir: str, dead_dir: str | None):
+def _batch_writer(out_dir: str):
     def write(batch: DataFrame, batch_id: int) -> None:
         # idempotent per batch: a replay of batch N replaces batch=N
-        good = batch.where(F.col("id").isNotNull())
-        good.write.mode("overwrite").parquet(f"{out_dir}/batch={batch_id}")
-        if dead_dir is not None:
-            bad = batch.where(F.col("id").isNull())
-            bad.write.mode("overwrite").parquet(f"{dead_dir}/batch={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{out_dir}/batch={batch_id}")
     return write
 
 
 def ingest_prs(spark: SparkSession, landing_dir: str, user_dim: DataFrame, out_dir: str,
-               checkpoint: str, dead_dir: str | None = None, max_files: int = 100,
-               delay: str = "3650 days", available_now: bool = True) -> StreamingQuery:
+               checkpoint: str, max_files: int = 100, delay: str = "3650 days",
+               available_now: bool = True) -> StreamingQuery:
     """T1-T4 + T7: landed PR payloads -> labelled, classified, de-duplicated PR table."""
     raw = read_landed_text(spark, landing_dir, max_files)
     rows, _errors = label_stream(raw, user_dim)
     rows = dedupe_stream(rows, "id", "created_ts", delay)
-    w = (rows.writeStream.foreachBatch(_batch_writer(out_dir, dead_dir))
-         .option("checkpointLocation", checkpoint))
+    w = rows.writeStream.foreachBatch(_batch_writer(out_dir)).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
 
 
+def quarantine_stream(spark: SparkSession, landing_dir: str, dead_dir: str, checkpoint: str,
+                      max_files: int = 100) -> StreamingQuery:
+    """Malformed lines and failed pages of the landed payloads -> dead-letter table.
+
+    Stateless, appended through the file sink (exactly once with its checkpoint); the
+    reprocess job reads the dead-letter table (J11) instead of a list of error keys.
+    """
+    from pullscope.schemas import PR_PAYLOAD_DDL
+    raw = read_landed_text(spark, landing_dir, max_files)
+    parsed = F.from_json(F.col("value"), PR_PAYLOAD_DDL + ", _corrupt_record STRING",
+                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    p = raw.select(parsed.alias("p"), "value")
+    bad = p.where(F.col("p._corrupt_record").isNotNull() | F.coalesce(F.col("p.page_failed"), F.lit(False)))
+    out = bad.select(F.when(F.col("p._corrupt_record").isNotNull(), F.lit("malformed"))
+                     .otherwise(F.lit("page_failed")).alias("kind"),
+                     F.col("p.repo").alias("repo"), F.col("value").alias("raw"))
+    return (out.writeStream.format("parquet").option("path", dead_dir)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
 def volume_stream(spark: SparkSession, landing_dir: str, user_dim: DataFrame, out_dir: str,
                   checkpoint: str, delay: str = "3650 days", max_files: int = 100) -> StreamingQuery:
     """Daily PR counts per source, updated per micro-batch.

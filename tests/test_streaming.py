@@ -68,3 +68,16 @@ def test_progress_table(spark):
     q.awaitTermination()
     prog = ingest.progress_table(spark, q)
     assert prog.agg(F.sum("input_rows")).first()[0] == 2
+
+
+def test_quarantine_stream(spark):
+    base = tempfile.mkdtemp(prefix="ps-dead-")
+    land = f"{base}/land"
+    os.makedirs(land)
+    with open(f"{land}/a.json", "w") as fh:
+        fh.write(json.dumps(_pr(1, "x", "t", "2025-01-01T00:00:00Z")) + "\n")
+        fh.write("{not json\n")
+        fh.write(json.dumps({"repo": "o/r", "page": 3, "page_failed": True}) + "\n")
+    ingest.quarantine_stream(spark, land, f"{base}/dead", f"{base}/ckpt").awaitTermination()
+    got = sorted((r["kind"], r["repo"]) for r in spark.read.parquet(f"{base}/dead").collect())
+    assert got == [("malformed", None), ("page_failed", "o/r")]
