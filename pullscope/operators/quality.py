@@ -26,8 +26,9 @@ def validate_month(prs: DataFrame, baseline_agent: DataFrame, date_from: str, da
     sets = ours.join(theirs, "_k", "full_outer").agg(
         F.count_if(F.col("_a")).alias("repos_ours"), F.count_if(F.col("_b")).alias("repos_baseline"),
         F.count_if(F.col("_a") & F.col("_b")).alias("repo_overlap"))
-    tot = month.agg(F.count(F.lit(1)).alias("total_prs"), F.count_if(F.col("is_agent")).alias("agent_prs"))
-    out = tot.withColumn("_k", F.lit(1)).join(sets.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    tot = month.agg(F.struct(F.count(F.lit(1)).alias("n"),
+                             F.count_if(F.col("is_agent")).alias("agents")).alias("t")).scalar()
+    out = sets.select(tot["n"].alias("total_prs"), tot["agents"].alias("agent_prs"), "*")
     return out.withColumn("coverage_pct", F.col("repo_overlap") * 100.0
                           / F.greatest(F.col("repos_baseline"), F.lit(1)))
 

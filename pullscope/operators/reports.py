@@ -121,21 +121,20 @@ def monthly_volume(prs: DataFrame) -> DataFrame:
 
 # ---- A15 / A16 / A25 ---------------------------------------------------------------------
 def overview(prs: DataFrame, commits: DataFrame, details: DataFrame | None = None) -> DataFrame:
-    """A25 (+A15, A16): one row of dataset counts. Each input is aggregated once to one row;
-    the one-row frames are combined by a join on a constant key."""
+    """A25 (+A15, A16): one row of dataset counts. Each input is aggregated once; the commit
+    and detail figures enter the PR row as scalar subqueries (no join)."""
+    c = commits.agg(F.struct(F.count(F.lit(1)).alias("n"),
+                             F.count_distinct("author").alias("authors")).alias("s")).scalar()
+    cols = [c["n"].alias("commits"), c["authors"].alias("unique_authors")]
+    if details is not None:
+        cols.append(details.agg(F.count(F.lit(1))).scalar().alias("detail_rows"))
     p = prs.agg(date_prefix(F.min("created_at")).alias("date_from"),
                 date_prefix(F.max("created_at")).alias("date_to"),
                 F.count(F.lit(1)).alias("prs"),
                 F.count_if(F.col("is_agent")).alias("agent_prs"),
                 F.count_if(~F.col("is_agent")).alias("human_prs"),
-                F.count_distinct("repo_name").alias("repositories")).withColumn("_k", F.lit(1))
-    c = commits.agg(F.count(F.lit(1)).alias("commits"),
-                    F.count_distinct("author").alias("unique_authors")).withColumn("_k", F.lit(1))
-    out = p.join(c, "_k")
-    if details is not None:
-        d = details.agg(F.count(F.lit(1)).alias("detail_rows")).withColumn("_k", F.lit(1))
-        out = out.join(d, "_k")
-    return out.drop("_k")
+                F.count_distinct("repo_name").alias("repositories"))
+    return p.select("*", *cols)
 
 
 # ---- J18 / L2 ----------------------------------------------------------------------------

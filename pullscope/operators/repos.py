@@ -87,11 +87,8 @@ def coverage(a: DataFrame, b: DataFrame, key_a: str, key_b: str, base: str = "a"
 def metadata_report(baseline: DataFrame, repos: DataFrame, export: DataFrame) -> DataFrame:
     """Q3: metadata inconsistency summary of the export step (one row)."""
     cov = coverage(baseline, repos, "repo_id", "id", base="a")
-    rec = recovered_names(export).agg(F.count(F.lit(1)).alias("names_recovered"))
-    meta = repos.agg(F.count_distinct("id").alias("repos_in_metadata"))
-    return (cov.select(F.col("size_a").alias("repos_in_prs"), "overlap",
-                       F.col("only_a").alias("missing_from_metadata"),
-                       F.col("coverage_pct"))
-            .withColumn("_k", F.lit(1))
-            .join(meta.withColumn("_k", F.lit(1)), "_k")
-            .join(rec.withColumn("_k", F.lit(1)), "_k").drop("_k"))
+    rec = recovered_names(export).agg(F.count(F.lit(1))).scalar()
+    meta = repos.agg(F.count_distinct("id")).scalar()
+    return cov.select(F.col("size_a").alias("repos_in_prs"), "overlap",
+                      F.col("only_a").alias("missing_from_metadata"), F.col("coverage_pct"),
+                      meta.alias("repos_in_metadata"), rec.alias("names_recovered"))

@@ -79,8 +79,8 @@ def manifest(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
                 .option("recursiveFileLookup", "true").load(p)
                 .agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")))
         frames.append(df.agg(F.count(F.lit(1)).alias("rows"))
-                      .select(F.lit(name).alias("table"), "rows", F.lit(cols).alias("columns"))
-                      .withColumn("_k", F.lit(1)).join(size.withColumn("_k", F.lit(1)), "_k").drop("_k"))
+                      .select(F.lit(name).alias("table"), "rows", F.lit(cols).alias("columns"),
+                              size.scalar().alias("bytes")))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
