@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pullscope.operators.reports import _median, sources_frame
+from pullscope.operators.reports import _median_col, median_by, medians_by, sources_frame
 
 CHANGE_METRICS = ["files_changed", "lines_added", "lines_deleted"]
 
@@ -32,10 +32,11 @@ def attach_source(stats: DataFrame, prs: DataFrame, key: str = "pr_id") -> DataF
 
 
 def median_by_source(stats: DataFrame, metrics: Sequence[str] = CHANGE_METRICS,
-                     approx: bool = False, empty_as_zero: bool = True) -> DataFrame:
-    """A4: median of each metric per source; a source with no rows gives 0."""
+                     method: str = "map", empty_as_zero: bool = True) -> DataFrame:
+    """A4: median of each metric per source; a source with no rows gives 0.
+    ``method`` as in :func:`reports.medians_by` (counts: the exact map-based median)."""
     spark = stats.sparkSession
-    agg = stats.groupBy("source").agg(*[_median(F.col(m), approx).alias(m) for m in metrics])
+    agg = medians_by(stats, ["source"], list(metrics), method)
     out = sources_frame(spark).join(agg, "source", "left")
     if empty_as_zero:
         out = out.select("source", *[F.coalesce(F.col(m), F.lit(0.0)).alias(m) for m in metrics])
@@ -65,12 +66,16 @@ def revised_prs(prs: DataFrame, commits: DataFrame) -> DataFrame:
     return m.where(F.col("num_commits") > 1).select("pr_id", "source", "num_commits")
 
 
-def revised_summary(prs: DataFrame, commits: DataFrame, approx: bool = False) -> DataFrame:
+def revised_summary(prs: DataFrame, commits: DataFrame, method: str = "map") -> DataFrame:
     """Number of revised PRs and their median commit count per source."""
     spark = prs.sparkSession
     agg = (revised_prs(prs, commits).groupBy("source")
            .agg(F.count(F.lit(1)).alias("revised"),
-                _median(F.col("num_commits"), approx).alias("median_commits")))
+                *([_median_col(F.col("num_commits"), method == "approx").alias("median_commits")]
+                  if method != "distributed" else [])))
+    if method == "distributed":
+        agg = agg.join(median_by(revised_prs(prs, commits), ["source"], "num_commits", "median_commits"),
+                       "source")
     return (sources_frame(spark).join(agg, "source", "left")
             .select("source", F.coalesce("revised", F.lit(0)).cast("long").alias("revised"),
                     "median_commits"))

@@ -22,27 +22,70 @@ def sources_frame(spark: SparkSession, values: Sequence[str] = SOURCES, name: st
     return spark.range(1).select(F.explode(arr).alias(name))
 
 
-def _median(c, approx: bool, accuracy: int = 10000):
-    return F.percentile_approx(c, 0.5, accuracy).cast("double") if approx else F.median(c)
+def median_by(df: DataFrame, keys: Sequence[str], value: str, out: str = "median",
+              buckets: int = 128) -> DataFrame:
+    """Exact (interpolated, as pandas) median of ``value`` per group, fully distributed.
 
+    No task ever holds all values of a group, even when one group holds a third of the rows:
 
-def median_by(df: DataFrame, keys: Sequence[str], value: str, out: str = "median") -> DataFrame:
-    """Exact (interpolated) median per group without holding a group's values in one buffer.
+    1. a bounded-memory quantile sketch per group (``percentile_approx``) gives ``buckets - 1``
+       cut points; each distinct value goes to the bucket of the cut points below it
+       (order-preserving, about N/buckets rows per bucket);
+    2. counts per (group, bucket) and a running sum over the (few) buckets locate the one or two
+       buckets holding the middle positions floor((N+1)/2) and floor(N/2)+1;
+    3. only those buckets are ranked exactly; the median is the mean of the two middle values.
 
-    Counts per (group, value) -> running count over the sorted values of the group (a window
-    that spills to disk) -> the values at positions floor((N+1)/2) and floor(N/2)+1 -> their
-    mean. Use for high-cardinality values (hours); ``F.median`` keeps a value->count map per
-    group, which is small only when distinct values are few (counts).
+    The sketch only chooses the buckets, so the result is exact whatever its accuracy.
     """
-    v = F.col(value)
-    cnt = df.where(v.isNotNull()).groupBy(*keys, v.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    run = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    cnt = (cnt.withColumn("_cum", F.sum("_c").over(run))
-              .withColumn("_n", F.sum("_c").over(Window.partitionBy(*keys))))
+    keys = list(keys)
+    if not keys:
+        raise ValueError("median_by needs at least one group key")
+    base = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
+    cnt = base.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    # cut points over the distinct values: each bucket gets about the same number of distinct
+    # values, which is what the exact ranking step has to sort
+    probs = [i / buckets for i in range(1, buckets)]
+    bounds = cnt.groupBy(*keys).agg(F.percentile_approx("_v", probs, 10 * buckets).alias("_cuts"),
+                                    F.sum("_c").alias("_n"))
+    cb = cnt.join(bounds, keys).withColumn(
+        "_bk", F.size(F.filter("_cuts", lambda x: x < F.col("_v")))).drop("_cuts")
     lo, hi = F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1
-    agg = cnt.groupBy(*keys).agg(F.min(F.when(F.col("_cum") >= lo, F.col("_v"))).alias("_a"),
+    per_b = cb.groupBy(*keys, "_bk").agg(F.sum("_c").alias("_bc"), F.first("_n").alias("_n"))
+    incl = F.sum("_bc").over(Window.partitionBy(*keys).orderBy("_bk")
+                             .rowsBetween(Window.unboundedPreceding, 0))
+    per_b = per_b.withColumn("_incl", incl).withColumn("_before", F.col("_incl") - F.col("_bc"))
+    hit = lambda p: (F.col("_before") < p) & (p <= F.col("_incl"))
+    chosen = per_b.where(hit(lo) | hit(hi)).select(*keys, "_bk", "_before")
+    inb = cb.join(chosen, keys + ["_bk"])
+    run = Window.partitionBy(*keys, "_bk").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    inb = inb.withColumn("_cum", F.col("_before") + F.sum("_c").over(run))
+    agg = inb.groupBy(*keys).agg(F.min(F.when(F.col("_cum") >= lo, F.col("_v"))).alias("_a"),
                                  F.min(F.when(F.col("_cum") >= hi, F.col("_v"))).alias("_b"))
-    return agg.select(*keys, ((F.col("_a") + F.col("_b")) / 2.0).cast("double").alias(out))
+    return agg.select(*keys, ((F.col("_a") + F.col("_b")) / 2.0).alias(out))
+
+
+def medians_by(df: DataFrame, keys: Sequence[str], metrics: Sequence[str],
+               method: str = "map") -> DataFrame:
+    """Medians of several metrics per group.
+
+    ``method``:
+      * ``"map"`` -- Spark's exact ``median`` (partial value->count maps merged per group);
+        memory per group is bounded by the number of *distinct* values, so this is the choice
+        for counts (files, lines, commits, words);
+      * ``"distributed"`` -- :func:`median_by` for every metric in one pipeline (unpivot to
+        (keys, metric, value), pivot back), for high-cardinality values;
+      * ``"approx"`` -- ``percentile_approx``.
+    """
+    if method == "distributed":
+        long = df.select(*keys, *[F.col(m).cast("double").alias(m) for m in metrics]) \
+            .unpivot(list(keys), list(metrics), "_metric", "_value")
+        med = median_by(long, list(keys) + ["_metric"], "_value", "_med")
+        return med.groupBy(*keys).pivot("_metric", list(metrics)).agg(F.first("_med"))
+    return df.groupBy(*keys).agg(*[_median_col(F.col(m), method == "approx").alias(m) for m in metrics])
+
+
+def _median_col(c, approx: bool, accuracy: int = 10000):
+    return F.percentile_approx(c, 0.5, accuracy).cast("double") if approx else F.median(c)
 
 
 # ---- A7 ----------------------------------------------------------------------------------
@@ -76,25 +119,24 @@ def merge_rate_sets(prs: DataFrame) -> DataFrame:
 
 
 # ---- A8 / A9 -----------------------------------------------------------------------------
-def description_length(prs: DataFrame, approx: bool = False) -> DataFrame:
-    """Median words of the body per source (null when a source has no PRs)."""
+def description_length(prs: DataFrame, method: str = "map") -> DataFrame:
+    """Median words of the body per source (null when a source has no PRs).
+    Word counts have few distinct values, so the exact map-based median is the default."""
     spark = prs.sparkSession
-    agg = (prs.withColumn("desc_words", word_count("body"))
-           .groupBy("source").agg(_median(F.col("desc_words"), approx).alias("median_desc_words")))
+    words = prs.select("source", word_count("body").alias("desc_words"))
+    agg = medians_by(words, ["source"], ["desc_words"], method).withColumnRenamed(
+        "desc_words", "median_desc_words")
     return sources_frame(spark).join(agg, "source", "left")
 
 
-def time_to_merge(prs: DataFrame, approx: bool = False) -> DataFrame:
-    """Median hours from creation to merge per source, merged PRs only.
-
-    Hours are nearly all distinct, so the exact median is the spill-safe :func:`median_by`."""
+def time_to_merge(prs: DataFrame, method: str = "distributed") -> DataFrame:
+    """Median hours from creation to merge per source, merged PRs only. Hours are nearly
+    all distinct, so the default is the distributed exact :func:`median_by`."""
     m = prs.where(F.col("merged_at").isNotNull()).withColumn(
         "hours_to_merge", hours_between("created_at", "merged_at"))
     counts = m.groupBy("source").agg(F.count(F.lit(1)).alias("merged"))
-    if approx:
-        med = m.groupBy("source").agg(_median(F.col("hours_to_merge"), True).alias("median_hours"))
-    else:
-        med = median_by(m, ["source"], "hours_to_merge", "median_hours")
+    med = medians_by(m, ["source"], ["hours_to_merge"], method).withColumnRenamed(
+        "hours_to_merge", "median_hours")
     return counts.join(med, "source")
 
 

@@ -254,3 +254,32 @@ def test_median_by_equals_median(spark):
     assert got.keys() == exp.keys()
     for k in got:
         assert got[k] == pytest.approx(exp[k])
+
+
+@pytest.mark.parametrize("buckets", [2, 4, 128])
+def test_distributed_median_edge_cases(spark, buckets):
+    rng = random.Random(buckets)
+    rows = ([("one", 5.0)] + [("two", 1.0), ("two", 4.0)] + [("same", 3.0)] * 9
+            + [("skew", float(rng.choice([1, 1, 1, 2, 1000, 10 ** 6]))) for _ in range(301)]
+            + [("ties", float(rng.randint(0, 3))) for _ in range(100)]
+            + [("even", float(rng.random())) for _ in range(200)])
+    df = spark.createDataFrame(rows, "g string, x double")
+    got = {r["g"]: r["median"] for r in reports.median_by(df, ["g"], "x", buckets=buckets).collect()}
+    exp = {r["g"]: r["m"] for r in df.groupBy("g").agg(F.median("x").alias("m")).collect()}
+    assert got.keys() == exp.keys()
+    for k in got:
+        assert got[k] == pytest.approx(exp[k], rel=1e-12)
+
+
+def test_medians_by_pivots_metrics(spark):
+    df = spark.createDataFrame([("a", 1, 10), ("a", 3, 30), ("b", 2, 5)], "source string, m1 long, m2 long")
+    got = {r["source"]: (r["m1"], r["m2"]) for r in reports.medians_by(df, ["source"], ["m1", "m2"]).collect()}
+    assert got == {"a": (2.0, 20.0), "b": (2.0, 5.0)}
+
+
+@pytest.mark.parametrize("method", ["map", "distributed"])
+def test_median_methods_agree(spark, method):
+    st = spark.createDataFrame([("agent", 1, 5), ("agent", 2, 7), ("agent", 10, 7), ("agent", 11, 1),
+                                ("human", 3, 3)], "source string, a long, b long")
+    out = {r["source"]: (r["a"], r["b"]) for r in facts.median_by_source(st, ["a", "b"], method).collect()}
+    assert out == {"agent": (6.0, 6.0), "human": (3.0, 3.0)}
