@@ -119,3 +119,11 @@ def test_chunks_compact_and_manifest(spark):
     assert sinks.compact(spark, f"{base}/absent", f"{base}/empty", COMMIT_DETAILS) == 0
     man = {r["table"]: (r["rows"], r["bytes"] > 0) for r in sinks.manifest(spark, {"merged": f"{base}/merged"}).collect()}
     assert man == {"merged": (1, True)}
+
+
+def test_name_status_duplicates_and_headers_with_extra_text(spark):
+    sha1 = "e" * 40
+    text = f"{sha1}\nM\ta.py\n{sha1} trailing\nD\ta.py\nA\tb.py\n   {'f' * 40}\n\tM\tc.py\n"
+    docs = spark.createDataFrame([("d", text)], "doc_id string, text string")
+    got = sorted(tuple(r) for r in gittext.statuses_from_listing(docs).collect())
+    assert got == sorted([(sha1, "a.py", "removed"), (sha1, "b.py", "added"), ("f" * 40, "c.py", "modified")])
