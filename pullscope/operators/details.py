@@ -33,13 +33,18 @@ def expand_to_prs(files: DataFrame, bridge: DataFrame, sha: str = "sha",
                   keep_orphans: bool = False) -> DataFrame:
     """Repeat each commit's rows for every PR holding the sha.
 
-    In the collection flow every sha comes from the bridge, so an inner join is exact; it is
-    also the form AQE can split when one sha is very hot. ``keep_orphans`` keeps shas without
-    a PR as ``pr_id`` null (a left join: one pass, but a skewed right side cannot be split).
-    Duplicate (sha, pr_id) pairs in the bridge multiply rows, as in the reference.
+    In the collection flow every sha comes from the bridge, so one inner join is exact; it is
+    also a join AQE can split when one sha is very hot. ``keep_orphans`` adds the shas without
+    a PR (``pr_id`` null) through an anti join -- again splittable, where a left join with a
+    skewed right side would not be. Duplicate (sha, pr_id) pairs in the bridge multiply rows,
+    as in the reference.
     """
     b = bridge.select(sha, "pr_id").where(F.col(sha).isNotNull())
-    return files.join(b, sha, "left" if keep_orphans else "inner")
+    matched = files.join(b, sha, "inner")
+    if not keep_orphans:
+        return matched
+    orphans = files.join(b, sha, "left_anti").withColumn("pr_id", F.lit(None).cast("long"))
+    return matched.unionByName(orphans)
 
 
 def attach_status(numstat: DataFrame, statuses: DataFrame) -> DataFrame:

@@ -283,3 +283,17 @@ def test_median_methods_agree(spark, method):
                                 ("human", 3, 3)], "source string, a long, b long")
     out = {r["source"]: (r["a"], r["b"]) for r in facts.median_by_source(st, ["a", "b"], method).collect()}
     assert out == {"agent": (6.0, 6.0), "human": (3.0, 3.0)}
+
+
+def test_sha_repo_and_batches(spark):
+    commits = spark.createDataFrame([("s1", 2, 1), ("s1", 1, 3), ("s2", 9, 1), ("s3", 3, 1)],
+                                    "sha string, pr_id long, commit_seq int")
+    prs = spark.createDataFrame([(1, "o/a"), (2, "o/b"), (3, None)], "id long, repo_name string")
+    m, unmatched = det.sha_repo(commits, prs)
+    assert {r["sha"]: r["repo_name"] for r in m.collect()} == {"s1": "o/a"}
+    assert sorted(r[0] for r in unmatched.collect()) == ["s2", "s3"]
+    many = spark.range(0, 2000).select(F.concat(F.lit("s"), F.col("id").cast("string")).alias("sha"),
+                                       F.lit("o/hot").alias("repo_name"))
+    b = det.batch_keys(many, batch_size=500)
+    sizes = [r["count"] for r in b.groupBy("repo_name", "batch").count().collect()]
+    assert len(sizes) == 4 and sum(sizes) == 2000 and max(sizes) < 700

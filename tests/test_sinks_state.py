@@ -87,3 +87,17 @@ def test_slug_and_rate(spark):
     df = spark.createDataFrame([("o/r", 100, 0), ("a/b/c", 50, 1800)], "r string, n long, s long")
     got = df.select(S.repo_slug("r").alias("s"), S.rate_per_hour("n", "s").alias("h")).collect()
     assert [g["s"] for g in got] == ["o__r", "a__b__c"] and [g["h"] for g in got] == [360000.0, 100.0]
+
+
+def test_report_with_written_fact_table_equals_lazy(spark, small_dir):
+    from pullscope.plans.registry import _fix
+    from pullscope.plans.report import build_report
+    r = _fix(spark, small_dir, with_body=True)
+    a = build_report(r.fix_prs, r.fix_commits, r.fix_details, checkpoint=False)
+    b = build_report(r.fix_prs, r.fix_commits, r.fix_details, checkpoint=True)
+    key = lambda row: (row["section"], row["grp"] or "", row["metric"])
+    ra = sorted(a.collect(), key=key)
+    rb = sorted(b.collect(), key=key)
+    assert [key(x) for x in ra] == [key(x) for x in rb]
+    for x, y in zip(ra, rb):
+        assert (x["value"] is None and y["value"] is None) or abs(x["value"] - y["value"]) < 1e-9
