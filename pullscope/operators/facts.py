@@ -81,25 +81,20 @@ def revised_summary(prs: DataFrame, commits: DataFrame, method: str = "map") ->
                     "median_commits"))
 
 
-def fact_pr(prs: DataFrame, commits: DataFrame, details: DataFrame,
-            revision_scope: str = "global") -> DataFrame:
-    """One row per PR with everything the report aggregates: change size (null
-    when the PR has no detail rows), commit count (null without commits), revision size (null
-    unless the PR is revised and has revision rows), description words, hours to merge.
+def fact_pr(prs: DataFrame, commits: DataFrame, details: DataFrame) -> DataFrame:
+    """One row per PR with what the report aggregates per PR: change size (null
+    when the PR has no detail rows), commit count (null without commits), description words,
+    hours to merge. (Revision sizes are per group, not per PR: ``revisions.revision_size_by``.)
 
     Every per-PR aggregate is keyed by ``pr_id``, so the left joins reuse their partitioning
     and the PR side is shuffled once.
     """
     from pullscope.functions.scalars import hours_between, word_count
-    from pullscope.operators.revisions import revision_size
 
     cs = change_size(details)
     nc = count_by(commits, "pr_id", "num_commits")
-    rev = revised_prs(prs, commits)
-    rs = revision_size(rev, commits, details, scope=revision_scope).join(rev.select("pr_id"), "pr_id",
-                                                                         "left_semi")
     base = prs.select(F.col("id").alias("pr_id"), "source", "agent", "is_agent", "state", "repo_name",
                       "created_at", "merged_at", word_count("body").alias("desc_words"),
                       F.when(F.col("merged_at").isNotNull(), hours_between("created_at", "merged_at"))
                       .alias("hours_to_merge"))
-    return base.join(cs, "pr_id", "left").join(nc, "pr_id", "left").join(rs, "pr_id", "left")
+    return base.join(cs, "pr_id", "left").join(nc, "pr_id", "left")

@@ -41,3 +41,25 @@ def revision_size(revised: DataFrame, commits: DataFrame, details: DataFrame,
                   scope: str = "global") -> DataFrame:
     """Per PR ``rev_files_changed``, ``rev_lines_added``, ``rev_lines_deleted``."""
     return change_size(revision_details(revised, commits, details, scope), prefix="rev_")
+
+
+def revision_size_by(revised: DataFrame, commits: DataFrame, details: DataFrame,
+                     group_col: str = "source") -> DataFrame:
+    """A6 as the reference computes it per group (one call per source), in one pipeline.
+
+    For each group g: the first shas of g's revised PRs are removed from the shas of g's
+    revised PRs; detail rows are then chosen **by sha alone**, so any PR holding such a sha --
+    of any group, revised or not -- gets a row under g (B6). Result:
+    (group, pr_id, rev_files_changed, rev_lines_added, rev_lines_deleted).
+    A sha in the revision sets of two groups is counted in each, as two separate calls would.
+    """
+    ids = revised.select("pr_id", group_col)
+    rc = commits.join(ids, "pr_id", "inner")
+    firsts = rc.groupBy(group_col, "pr_id").agg(F.min_by("sha", "commit_seq").alias("sha"))
+    rev_shas = (rc.select(group_col, "sha").distinct()
+                .join(firsts.select(group_col, "sha"), [group_col, "sha"], "left_anti"))
+    rd = details.join(rev_shas, "sha", "inner")
+    return (rd.where(F.col("pr_id").isNotNull()).groupBy(group_col, "pr_id")
+            .agg(F.count_distinct("filename").alias("rev_files_changed"),
+                 F.coalesce(F.sum("additions"), F.lit(0)).cast("long").alias("rev_lines_added"),
+                 F.coalesce(F.sum("deletions"), F.lit(0)).cast("long").alias("rev_lines_deleted")))

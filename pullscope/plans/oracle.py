@@ -338,13 +338,28 @@ ORACLE["revision_size_pr"] = with_ctes(
 ORACLE["revision_size_pr_scope"] = with_ctes(
     "SELECT pr_id, rev_files_changed, rev_lines_added, rev_lines_deleted FROM rst",
     _COMMIT_COUNTS + "," + _REV_PR)
+_REV_BY_SOURCE = """
+rcs AS (SELECT c.*, r.source FROM fixcm c JOIN rev r ON c.pr_id = r.pr_id),
+firsts_s AS (SELECT source, pr_id, arg_min(sha, commit_seq) AS sha FROM rcs GROUP BY source, pr_id),
+revsha_s AS (SELECT DISTINCT source, sha FROM rcs
+             WHERE (source, sha) NOT IN (SELECT (source, sha) FROM firsts_s)),
+rst_s AS (
+  SELECT s.source, d.pr_id, count(DISTINCT d.filename) AS rev_files_changed,
+         CAST(coalesce(sum(d.additions), 0) AS BIGINT) AS rev_lines_added,
+         CAST(coalesce(sum(d.deletions), 0) AS BIGINT) AS rev_lines_deleted
+  FROM fixdt d JOIN revsha_s s ON d.sha = s.sha WHERE d.pr_id IS NOT NULL GROUP BY s.source, d.pr_id
+)
+"""
+ORACLE["revision_size_rows_by_source"] = with_ctes(
+    "SELECT source, pr_id, rev_files_changed, rev_lines_added, rev_lines_deleted FROM rst_s",
+    _COMMIT_COUNTS + "," + _REV_BY_SOURCE)
 ORACLE["revision_size_by_source"] = with_ctes(f"""
 SELECT s.source, {_r('coalesce(m.f, 0.0)')} AS rev_files_changed, {_r('coalesce(m.a, 0.0)')} AS rev_lines_added,
        {_r('coalesce(m.d, 0.0)')} AS rev_lines_deleted
 FROM src s LEFT JOIN (
-  SELECT r.source, median(t.rev_files_changed) AS f, median(t.rev_lines_added) AS a, median(t.rev_lines_deleted) AS d
-  FROM rst t JOIN rev r ON t.pr_id = r.pr_id GROUP BY r.source) m ON s.source = m.source
-""", _COMMIT_COUNTS + "," + _REV_GLOBAL)
+  SELECT source, median(rev_files_changed) AS f, median(rev_lines_added) AS a, median(rev_lines_deleted) AS d
+  FROM rst_s GROUP BY source) m ON s.source = m.source
+""", _COMMIT_COUNTS + "," + _REV_BY_SOURCE)
 
 _MWU = """
 vals AS (SELECT num_commits AS v, source FROM rev),

@@ -220,14 +220,22 @@ def q_revision_size_pr_scope(spark, d):
     return revisions.revision_size(rev, r.fix_commits, r.fix_details, scope="pr")
 
 
+@register("revision_size_rows_by_source")
+def q_revision_rows_source(spark, d):
+    """A6 per source (B6 semantics): (source, pr_id, rev_*) for every PR holding a revision sha
+    of that source's revised PRs."""
+    r = _fix(spark, d)
+    rev = facts.revised_prs(r.fix_prs, r.fix_commits)
+    return revisions.revision_size_by(rev, r.fix_commits, r.fix_details, "source")
+
+
 @register("revision_size_by_source")
 def q_revision_size_source(spark, d):
-    """A6 medians per source of the revised PRs."""
+    """A6 medians per source, one revision computation per source as the reference does."""
     r = _fix(spark, d)
     rev = facts.revised_prs(r.fix_prs, r.fix_commits)
-    rs = revisions.revision_size(rev, r.fix_commits, r.fix_details)
-    joined = rs.join(rev.select("pr_id", "source"), "pr_id")
-    return facts.median_by_source(joined, ["rev_files_changed", "rev_lines_added", "rev_lines_deleted"])
+    rs = revisions.revision_size_by(rev, r.fix_commits, r.fix_details, "source")
+    return facts.median_by_source(rs, ["rev_files_changed", "rev_lines_added", "rev_lines_deleted"])
 
 
 # ---- additional statistics -----------------------------------------------------------------

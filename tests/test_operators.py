@@ -297,3 +297,18 @@ def test_sha_repo_and_batches(spark):
     b = det.batch_keys(many, batch_size=500)
     sizes = [r["count"] for r in b.groupBy("repo_name", "batch").count().collect()]
     assert len(sizes) == 4 and sum(sizes) == 2000 and max(sizes) < 700
+
+
+def test_revision_size_by_group_keeps_reference_per_call_semantics(spark):
+    # agent revised PR 1: shas a (first), x; human revised PR 2: x (first), y; PR 3 (not revised) holds y
+    commits = spark.createDataFrame([("a", 1, 1), ("x", 1, 2), ("x", 2, 1), ("y", 2, 2), ("y", 3, 1)],
+                                    "sha string, pr_id long, commit_seq int")
+    det_df = spark.createDataFrame([("a", 1, "f", 1, 0), ("x", 1, "g", 2, 0), ("x", 2, "g", 2, 0),
+                                    ("y", 2, "h", 4, 0), ("y", 3, "h", 4, 0)],
+                                   "sha string, pr_id long, filename string, additions long, deletions long")
+    rev = spark.createDataFrame([(1, "agent"), (2, "human")], "pr_id long, source string")
+    got = sorted((r["source"], r["pr_id"], r["rev_lines_added"])
+                 for r in revisions.revision_size_by(rev, commits, det_df).collect())
+    # agent keeps x (first only in the human call) -> rows for PR 1 and PR 2 (shares x);
+    # human keeps y -> rows for PR 2 and PR 3 (not revised, shares y)
+    assert got == [("agent", 1, 2), ("agent", 2, 2), ("human", 2, 4), ("human", 3, 4)]
