@@ -136,7 +136,8 @@ def _build_raw_prs(spark: SparkSession, sf_dir: str, with_body: bool = False) ->
 
 def _build_pull_requests(spark: SparkSession, sf_dir: str, with_body: bool = False) -> DataFrame:
     """``pull_requests``: window filter (F2), repository id (J3), author label."""
-    prs = filter_created(_build_raw_prs(spark, sf_dir, with_body), WINDOW_FROM, WINDOW_TO)
+    raw = raw_prs(spark, sf_dir) if STORE and not with_body else _build_raw_prs(spark, sf_dir, with_body)
+    prs = filter_created(raw, WINDOW_FROM, WINDOW_TO)
     prs = attach_repo_id(prs, repo_id_dim(repository(spark, sf_dir)))
     prs = label_author(prs, user_agent_dim(filter_agents(baseline(spark, sf_dir))))
     cols = ["id", "number", "title", "body", "user", "user_id", "state", "created_at",

@@ -128,10 +128,10 @@ def _diff_docs(files: DataFrame) -> DataFrame:
 
 
 def _git_docs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(log docs, name-status docs, diff docs) built from one shared file frame and one shared
-    batch assignment, so the three outputs reuse each other's shuffles."""
+    """(log docs, name-status docs, diff docs) built from one shared file frame and one stored
+    batch assignment (sha -> document)."""
     files = fx.commit_files(spark, sf_dir, with_patch=True)
-    batched = _batched_shas(files)
+    batched = fx.stored(spark, sf_dir, "landed_sha_batches", lambda: _batched_shas(files))
     return (_group_docs(_log_blocks(files), batched), _group_docs(_status_blocks(files), batched),
             _diff_docs(files))
 
