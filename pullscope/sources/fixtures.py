@@ -229,16 +229,37 @@ def _input_key(spark: SparkSession, sf_dir: str) -> str:
     return _KEYS[k]
 
 
+def _complete_runs(spark: SparkSession, base: str) -> list[str]:
+    """Run folders under ``base`` whose write finished: each finished build leaves a small
+    ``done=<id>`` marker table (written only after its data), found by listing."""
+    import re
+    try:
+        marks = spark.read.format("binaryFile").load(f"{base}/done=*").select("path").collect()
+    except Exception:  # noqa: BLE001  (nothing finished yet)
+        return []
+    ids = sorted({m.group(1) for r in marks if (m := re.search(r"/done=([^/]+)/", r["path"]))})
+    return [f"{base}/run={i}" for i in ids]
+
+
 def stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """Read the stored table ``name`` for these inputs, building and writing it first if absent."""
+    """Read the stored table ``name`` for these inputs, building and writing it first if absent.
+
+    Each build writes its own ``run=<id>`` folder, then a ``done=<id>`` marker; readers take the
+    first finished run, so concurrent builders never overwrite each other and a half-written
+    run is never read.
+    """
     if not STORE:
         return build()
+    import uuid
     from pullscope.session import scratch_path
-    from pullscope.sources.tables import path_exists
-    path = scratch_path(spark, f"fixture-{_input_key(spark, sf_dir)}/{name}")
-    if not path_exists(spark, path + "/_SUCCESS"):
-        build().write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    base = scratch_path(spark, f"fixture-{_input_key(spark, sf_dir)}/{name}")
+    runs = _complete_runs(spark, base)
+    if not runs:
+        rid = uuid.uuid4().hex[:12]
+        build().write.mode("overwrite").parquet(f"{base}/run={rid}")
+        spark.range(1).coalesce(1).write.mode("overwrite").parquet(f"{base}/done={rid}")
+        runs = _complete_runs(spark, base)
+    return spark.read.parquet(runs[0])
 
 
 def build_all(spark: SparkSession, sf_dir: str) -> None:

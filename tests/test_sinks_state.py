@@ -101,3 +101,24 @@ def test_report_with_written_fact_table_equals_lazy(spark, small_dir):
     assert [key(x) for x in ra] == [key(x) for x in rb]
     for x, y in zip(ra, rb):
         assert (x["value"] is None and y["value"] is None) or abs(x["value"] - y["value"]) < 1e-9
+
+
+def test_stored_tables_concurrent_builders(spark):
+    import threading
+    from pullscope.sources import fixtures as fx
+    d = "/root/testdata/sf0.001"
+    calls = []
+
+    def build():
+        calls.append(1)
+        return spark.range(0, 100)
+
+    out = []
+    ths = [threading.Thread(target=lambda: out.append(fx.stored(spark, d, "concurrency_probe", build).count()))
+           for _ in range(3)]
+    for t in ths:
+        t.start()
+    for t in ths:
+        t.join()
+    assert out == [100, 100, 100]
+    assert fx.stored(spark, d, "concurrency_probe", build).count() == 100
