@@ -27,15 +27,19 @@ def pull_requests_from_payloads(raw: DataFrame, repos: DataFrame, agent_baseline
 
 
 def details_from_git(log_docs: DataFrame, status_docs: DataFrame, diff_docs: DataFrame | None,
-                     bridge: DataFrame) -> DataFrame:
+                     bridge: DataFrame, shas: DataFrame | None = None) -> DataFrame:
     """S9 + S10 (J14) + S11 (J15) + A5 + J12: git text to ``commit_details``.
 
     The numstat rows are joined with statuses on (sha, filename); patches are attached last so
-    the 1 MB texts are not carried through the status join.
+    the 1 MB texts are not carried through the status join. ``shas`` restricts every parsed
+    source to those commits (semi-joins) before any of the joins.
     """
-    rows = attach_status(details_from_log(log_docs), statuses_from_listing(status_docs))
+    def keep(df: DataFrame) -> DataFrame:
+        return df if shas is None else df.join(shas.select("sha"), "sha", "left_semi")
+
+    rows = attach_status(keep(details_from_log(log_docs)), keep(statuses_from_listing(status_docs)))
     if diff_docs is not None:
-        rows = attach_patch(rows, patches_from_diff(diff_docs))
+        rows = attach_patch(rows, keep(patches_from_diff(diff_docs)))
     return assemble_details(rows, bridge)
 
 

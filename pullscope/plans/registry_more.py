@@ -59,7 +59,7 @@ def q_details_prefer(spark, d):
                                      F.col("l_suppkey").cast("string"))).alias("sha")).distinct())
     bridge = fx.commits(spark, d).select("sha", "pr_id")
     log, status, diff = landed.git_docs(spark, d)
-    git = details_from_git(log, status, diff, bridge).join(local, "sha", "left_semi")
+    git = details_from_git(log, status, diff, bridge, shas=local)
     api = det.assemble_details(details_from_json(landed.detail_payloads(spark, d)), bridge)
     rows, _missing = det.prefer(git, api, bridge)
     return rows
