@@ -162,11 +162,14 @@ def monthly_volume(prs: DataFrame) -> DataFrame:
 
 
 # ---- A15 / A16 / A25 ---------------------------------------------------------------------
-def overview(prs: DataFrame, commits: DataFrame, details: DataFrame | None = None) -> DataFrame:
+def overview(prs: DataFrame, commits: DataFrame, details: DataFrame | None = None,
+             approx: bool = False) -> DataFrame:
     """A25 (+A15, A16): one row of dataset counts. Each input is aggregated once; the commit
-    and detail figures enter the PR row as scalar subqueries (no join)."""
+    and detail figures enter the PR row as scalar subqueries (no join). ``approx`` uses
+    HyperLogLog (``approx_count_distinct``) for the distinct counts of very large corpora."""
+    distinct = F.approx_count_distinct if approx else F.count_distinct
     c = commits.agg(F.struct(F.count(F.lit(1)).alias("n"),
-                             F.count_distinct("author").alias("authors")).alias("s")).scalar()
+                             distinct("author").alias("authors")).alias("s")).scalar()
     cols = [c["n"].alias("commits"), c["authors"].alias("unique_authors")]
     if details is not None:
         cols.append(details.agg(F.count(F.lit(1))).scalar().alias("detail_rows"))
@@ -175,7 +178,7 @@ def overview(prs: DataFrame, commits: DataFrame, details: DataFrame | None = Non
                 F.count(F.lit(1)).alias("prs"),
                 F.count_if(F.col("is_agent")).alias("agent_prs"),
                 F.count_if(~F.col("is_agent")).alias("human_prs"),
-                F.count_distinct("repo_name").alias("repositories"))
+                distinct("repo_name").alias("repositories"))
     return p.select("*", *cols)
 
 

@@ -312,3 +312,14 @@ def test_revision_size_by_group_keeps_reference_per_call_semantics(spark):
     # agent keeps x (first only in the human call) -> rows for PR 1 and PR 2 (shares x);
     # human keeps y -> rows for PR 2 and PR 3 (not revised, shares y)
     assert got == [("agent", 1, 2), ("agent", 2, 2), ("human", 2, 4), ("human", 3, 4)]
+
+
+def test_overview_exact_and_approx(spark):
+    prs = spark.createDataFrame([("2025-01-02T00:00:00Z", True, "o/a"), ("2025-03-04T00:00:00Z", False, "o/b"),
+                                 ("2025-02-01T00:00:00Z", True, "o/a")],
+                                "created_at string, is_agent boolean, repo_name string")
+    cm = spark.createDataFrame([("x",), ("y",), ("x",)], "author string")
+    for approx in (False, True):
+        r = reports.overview(prs, cm, approx=approx).collect()[0]
+        assert (r["date_from"], r["date_to"], r["prs"], r["agent_prs"], r["human_prs"], r["repositories"],
+                r["commits"], r["unique_authors"]) == ("2025-01-02", "2025-03-04", 3, 2, 1, 2, 3, 2)
