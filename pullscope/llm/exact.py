@@ -131,11 +131,13 @@ def exact_dedup(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     Of equal texts the row with the smallest doc_id stays (a null id comes last; of rows that
     also share the id, the one read first), so exactly one row of a group has ``kept``.
     """
-    named = stored(identities(docs, block_bytes), new_folder(docs.sparkSession, "exact-names"))
+    folder = new_folder(docs.sparkSession, "exact-groups")
+    named = stored(identities(docs, block_bytes), f"{folder}/named")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("rid").alias("rid"))
     groups = (named.groupBy("n_blocks", "name").agg(F.min(order).alias("first"), F.count("*").alias("group_size"))
               .select("n_blocks", "name", F.col("first.id").alias("keep_id"), F.col("first.rid").alias("keep_rid"),
                       "group_size"))
+    groups = stored(groups, f"{folder}/groups")  # a plain table, so that the join below can split a hot group
     return (named.join(groups, ["n_blocks", "name"])
             .select("doc_id", "keep_id", "group_size", (F.col("rid") == F.col("keep_rid")).alias("kept"),
                     "text_sha256"))
