@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pullscope.llm.text import new_folder, stored, word_count
+from pullscope.llm.text import ship, new_folder, stored, word_count
 
 WEIGHTS = (5, 2, 1)
 MOST_REPEATS = 3
@@ -50,8 +50,9 @@ def targets(totals: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = M
     everything = Window.partitionBy(F.lit(1))
     level = ((F.sum("source_size").over(everything) - F.coalesce(F.sum("limit").over(before), F.lit(0.0)))
              / F.sum("weight").over(onward))
-    t = t.withColumn("level", level)
-    t = t.withColumn("level", F.min(F.when(F.col("level") * F.col("weight") <= F.col("limit"), F.col("level"))).over(everything))
+    t = t.withColumn("level", level).withColumn("place", F.row_number().over(by_ratio))
+    fits = F.when(F.col("level") * F.col("weight") <= F.col("limit"), F.struct("place", "level"))
+    t = t.withColumn("level", F.min(fits).over(everything)["level"])
     return t.select("source", "source_size",
                     F.coalesce(F.least("limit", F.col("level") * F.col("weight")), F.col("limit")).alias("target"))
 
@@ -130,6 +131,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_RE
     an empty table; a corpus without words has targets of 0.
     """
     folder = new_folder(docs.sparkSession, "mix")
+    ship(docs.sparkSession)
     slim = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", _key(F.col("source")).alias("key"),
                               word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("mark")), f"{folder}/slim")
     lengths = stored(slim.groupBy("key", "size").agg(F.first("source").alias("source"), F.count("*").alias("n")),
