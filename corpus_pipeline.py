@@ -15,16 +15,15 @@ from pullscope.llm.ans import token_table
 from pullscope.llm.decontaminate import clean_documents
 from pullscope.llm.minhash import one_of_each
 from pullscope.llm.mixing import mixed_documents
-from pullscope.llm.text import new_folder, split_share, stored, table
+from pullscope.llm.text import fresh, new_folder, split_share, stored, table
 from pullscope.llm.toxicity import THRESHOLD, scored
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below the threshold (learned as in ``op2``)."""
-    found = scored(docs.withColumnRenamed("score", "_score_in") if "score" in docs.columns else docs,
-                   table(spark, sf_dir, "labels"), split_share(F.col("doc_id"), 3) != 1)
-    clean = found.where(F.col("score") < THRESHOLD).drop("score")
-    return clean.withColumnRenamed("_score_in", "score") if "score" in docs.columns else clean
+    score = fresh(docs, "score")[0]
+    found = scored(docs, table(spark, sf_dir, "labels"), split_share(F.col("doc_id"), 3) != 1, score)
+    return found.where(F.col(score) < THRESHOLD).drop(score)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

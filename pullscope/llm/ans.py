@@ -156,6 +156,8 @@ class Segment:
             more = words[np.minimum(at[:, None] + rank - 1, len(words) - 1)].astype(np.uint64)
             x = np.where(low, (x << np.uint64(32)) | more, x)
             at += rank[:, -1]
+        if (x != _LOW).any():  # every lane must end where its encoder began
+            raise ValueError("a block of a token segment does not end in its first state")
         size = self.steps * self.lanes
         flat = self.symbols[out.reshape(-1)][:max(0, min(last * size, self.n) - first * size)]
         for b in range(first, last):

@@ -190,7 +190,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, overlap: int = OVERLAP, substit
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` without the rows that hold a leaked benchmark item, columns unchanged."""
-    bad = T.stored(leaks(docs, benchmark, **options).select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"))
-                   .distinct(), T.new_folder(docs.sparkSession, "leaks"))
-    same = docs["doc_id"].cast("long").eqNullSafe(bad["_id"]) & (F.xxhash64(docs["text"]) == bad["_mark"])
+    one, two = T.fresh(docs, "id", "mark")
+    bad = T.stored(leaks(docs, benchmark, **options).select(F.col("doc_id").alias(one), F.col("mark").alias(two)).distinct(),
+                   T.new_folder(docs.sparkSession, "leaks"))
+    same = docs["doc_id"].cast("long").eqNullSafe(bad[one]) & (F.xxhash64(docs["text"]) == bad[two])
     return docs.join(bad, same, "left_anti")

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pullscope.llm.components import components
-from pullscope.llm.text import (Slice, lowered, mapped, mix, new_folder, sequence_hashes, slices, stored,
+from pullscope.llm.text import (Slice, fresh, lowered, mapped, mix, new_folder, sequence_hashes, slices, stored,
                                 word_hashes)
 
 WIDTH = 5
@@ -254,7 +254,8 @@ def near_dedup(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, coor
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates (its smallest doc_id), columns unchanged.
     Rows that agree in doc_id and text are one document; empty documents all stay."""
-    kept = near_dedup(docs, **options).where("kept").select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).distinct()
+    one, two = fresh(docs, "id", "mark")
+    kept = near_dedup(docs, **options).where("kept").select(F.col("doc_id").alias(one), F.col("mark").alias(two)).distinct()
     kept = stored(kept, new_folder(docs.sparkSession, "near-kept"))
-    same = docs["doc_id"].cast("long").eqNullSafe(kept["_id"]) & (F.xxhash64(docs["text"]) == kept["_mark"])
-    return docs.join(kept, same).dropDuplicates(["_id", "_mark"]).select(*docs.columns)
+    same = docs["doc_id"].cast("long").eqNullSafe(kept[one]) & (F.xxhash64(docs["text"]) == kept[two])
+    return docs.join(kept, same).dropDuplicates([one, two]).select(*docs.columns)

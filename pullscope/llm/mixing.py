@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pullscope.llm.text import ship, new_folder, stored, word_count
+from pullscope.llm.text import fresh, new_folder, ship, stored, word_count
 
 WEIGHTS = (5, 2, 1)
 MOST_REPEATS = 3
@@ -166,11 +166,11 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_RE
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, columns unchanged."""
+    one, two, three, times, copy = fresh(docs, "id", "mark", "key", "times", "copy")
     chosen = (mix(docs, **options).groupBy("doc_id", "mark", _key(F.col("source")).alias("key"))
               .agg(F.sum("repeats").alias("times")).where("times > 0")
-              .select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.col("key").alias("_key"),
-                      F.col("times").alias("_times")))
-    same = (docs["doc_id"].cast("long").eqNullSafe(chosen["_id"]) & (F.xxhash64(docs["text"]) == chosen["_mark"])
-            & (_key(docs["source"]) == chosen["_key"]))
-    one = docs.join(chosen, same).dropDuplicates(["_id", "_mark", "_key"])
-    return (one.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_times"))).select(*docs.columns))
+              .select(F.col("doc_id").alias(one), F.col("mark").alias(two), F.col("key").alias(three), F.col("times").alias(times)))
+    same = (docs["doc_id"].cast("long").eqNullSafe(chosen[one]) & (F.xxhash64(docs["text"]) == chosen[two])
+            & (_key(docs["source"]) == chosen[three]))
+    rows = docs.join(chosen, same).dropDuplicates([one, two, three])
+    return rows.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times)))).select(*docs.columns)
