@@ -13,9 +13,11 @@ are confirmed on the full sets.
 * Skip: collisions are counted from a candidate pair's two signatures, so the long lists are
   never merged; and a posting list whose members are in one component already is skipped.
 * Big groups: in a first round each list only yields pairs with two pivots (its smallest members
-  by id and by hash). Confirmed links give components. In the second round lists yield every
-  pair across components with one side outside the list's main component. A pair of a list is
-  thus confirmed, refuted, or already connected, and a list of m copies yields about m pairs.
+  by id and by hash), so a list of m near copies yields about m pairs. Confirmed links give
+  components. In the second round the members of lists that still hold several components meet in lists of
+  their rarest shingles instead (a long list of a frequent passage is never merged), and pairs
+  across components that may still be similar are counted and confirmed like the others. A pair of
+  a list is thus connected already, confirmed or refuted.
 
 Results: with K = 64 coordinates and 30 matches, a pair at a similarity of exactly 0.75 is missed
 with a chance below one in 10**6 (binomial tail; less above it). A link counts only when
@@ -29,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pullscope.llm.components import components
@@ -191,6 +193,29 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, coordinate
     return stored(joined.where(F.col("common") * 100 >= F.col("all") * percent).select("a", "b"), path)
 
 
+def _across(unsettled: DataFrame, sets: DataFrame, percent: int, folder: str) -> DataFrame:
+    """Pairs (a < b) of classes with different roots that may be similar enough, by the rarest shingles.
+
+    Shingles are ordered by their number of holders among these classes. Two sets whose similarity is
+    ``percent`` or more share ``percent / (100 + percent)`` of the sum of their sizes; the first of the shared ones in
+    that order stands in the prefix of both, and enough must still follow it on each side. So classes that
+    have a frequent passage in common but too little else meet in no list.
+    """
+    held = sets.join(unsettled, "rid").select("rid", "root", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
+    held = stored(held, f"{folder}/shingles")
+    shared = held.groupBy("s").agg(F.count("*").alias("df")).where("df > 1")
+    own = Window.partitionBy("rid")
+    ranked = (held.join(shared, "s").withColumn("place", F.row_number().over(own.orderBy("df", "s")))
+              .withColumn("after", F.count("*").over(own) - F.col("place")))
+    least = F.ceil(F.col("n") * percent / 100)
+    prefix = stored(ranked.where(F.col("after") + 1 >= least).select("s", "rid", "root", "n", "after"), f"{folder}/rare")
+    a = prefix.select("s", *[F.col(c).alias(f"{c}_a") for c in ("rid", "root", "n", "after")])
+    b = prefix.select("s", *[F.col(c).alias(f"{c}_b") for c in ("rid", "root", "n", "after")])
+    enough = (F.least("after_a", "after_b") + 1) * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
+    met = a.join(b, (a["s"] == b["s"]) & (F.col("rid_a") < F.col("rid_b")) & (F.col("root_a") != F.col("root_b")) & enough)
+    return stored(met.select(F.col("rid_a").alias("a"), F.col("rid_b").alias("b")).distinct(), f"{folder}/across")
+
+
 def near_dedup(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, coordinates: int = COORDINATES,
                matches: int = MATCHES) -> DataFrame:
     """Per input row: doc_id, n_shingles, component_id, kept, class_size (rows with the same set), and mark
@@ -230,14 +255,11 @@ def near_dedup(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, coor
     roots = components(links, f"{folder}/roots-1")
     named = stored(posts.join(roots.toDF("rid", "root"), "rid", "left")
                    .select("token", "rid", F.coalesce("root", "rid").alias("root")), f"{folder}/named")
-    sizes = named.groupBy("token", "root").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("token").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots"))
-    open_lists = named.join(main.where("roots > 1"), "token")
-    left = open_lists.where("root <> main").select("token", F.col("rid").alias("a"), F.col("root").alias("root_a"))
-    right = open_lists.select("token", F.col("rid").alias("b"), F.col("root").alias("root_b"))
-    rest = left.join(right, (left.token == right.token) & (F.col("root_a") != F.col("root_b")))
-    more = _confirmed(ordered(rest.select("a", "b")).join(stars, ["a", "b"], "left_anti"), classes, sets, coordinates,
-                      matches, percent, f"{folder}/links-2")
+    open_lists = named.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    unsettled = named.join(open_lists.select("token"), "token").select("rid", "root").distinct()
+    rest = _across(unsettled, sets, percent, folder)
+    more = _confirmed(rest.join(stars, ["a", "b"], "left_anti"), classes, sets, coordinates, matches, percent,
+                      f"{folder}/links-2")
     nodes = stored(components(links.union(more), f"{folder}/roots-2"), f"{folder}/nodes")
     rooted = groups.join(nodes.toDF("rid", "root"), "rid", "left").withColumn("root", F.coalesce("root", "rid"))
     best = F.min(F.struct(F.col("class_id").isNull().alias("none"), F.col("class_id").alias("id"), F.col("rid").alias("rid")))
