@@ -307,7 +307,8 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
     classes = T.stored(rows.groupBy("sha").agg(F.min("rid").alias("rep"), F.count("*").alias("copies")), f"{folder}/classes")
     heads = rows.join(classes.select(F.col("rep").alias("rid")), "rid").select("rid", F.explode(F.arrays_zip("at", "key")).alias("a"))
     heads = T.stored(heads.select("rid", F.col("a.at").alias("at"), F.col("a.key").alias("key")), f"{folder}/anchors")
-    twice = heads.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    # stored, so that the join below is between plain tables and AQE can split a hot anchor
+    twice = T.stored(heads.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), f"{folder}/twice")
     wanted = heads.join(twice, "key").groupBy("rid").agg(F.collect_list("at").alias("at"))
     named = T.stored(wanted.join(rows.select("rid", "doc_id", "mark"), "rid")
                      .select("rid", "at", F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")), f"{folder}/wanted")
