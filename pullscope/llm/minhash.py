@@ -170,7 +170,8 @@ def _collisions(coordinates: int):
 def _rarest(classes: DataFrame, coordinates: int, matches: int, folder: str) -> DataFrame:
     """``token, rid``: the prefix postings of every class, from lists with two members or more."""
     posts = stored(mapped(classes.select("rid", "sig"), _posted(coordinates), "rid long, token long"), f"{folder}/posts")
-    shared = posts.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+    # stored, here and below, so that the join is between plain tables and AQE can split a hot value
+    shared = stored(posts.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), f"{folder}/shared")
     # of a class with s shared values, those held by it alone fill the prefix first
     own = (posts.join(shared, "token").groupBy("rid")
            .agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("shared"))
@@ -203,7 +204,7 @@ def _across(unsettled: DataFrame, sets: DataFrame, percent: int, folder: str) ->
     """
     held = sets.join(unsettled, "rid").select("rid", "root", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
     held = stored(held, f"{folder}/shingles")
-    shared = held.groupBy("s").agg(F.count("*").alias("df")).where("df > 1")
+    shared = stored(held.groupBy("s").agg(F.count("*").alias("df")).where("df > 1"), f"{folder}/shared-shingles")
     own = Window.partitionBy("rid")
     ranked = (held.join(shared, "s").withColumn("place", F.row_number().over(own.orderBy("df", "s")))
               .withColumn("after", F.count("*").over(own) - F.col("place")))
@@ -241,6 +242,7 @@ def near_dedup(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, coor
     posts = stored(_rarest(classes, coordinates, matches, folder), f"{folder}/prefix")
     lists = posts.groupBy("token").agg(F.count("*").alias("members"), F.min("rid").alias("low"),
                                        F.min_by("rid", F.xxhash64("token", "rid")).alias("other")).where("members > 1")
+    lists = stored(lists, f"{folder}/list-heads")
     posts = stored(posts.join(lists.select("token"), "token"), f"{folder}/lists")
     needed = classes.join(posts.select("rid").distinct(), "rid").select("rid", "class_id", "fp1", "fp2")
     sets = docs.join(needed, docs.doc_id.eqNullSafe(needed.class_id)).select("rid", "text", "fp1", "fp2")
@@ -256,6 +258,7 @@ def near_dedup(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, coor
     named = stored(posts.join(roots.toDF("rid", "root"), "rid", "left")
                    .select("token", "rid", F.coalesce("root", "rid").alias("root")), f"{folder}/named")
     open_lists = named.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    open_lists = stored(open_lists, f"{folder}/open")
     unsettled = named.join(open_lists.select("token"), "token").select("rid", "root").distinct()
     rest = _across(unsettled, sets, percent, folder)
     more = _confirmed(rest.join(stars, ["a", "b"], "left_anti"), classes, sets, coordinates, matches, percent,
