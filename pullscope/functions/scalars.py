@@ -109,8 +109,9 @@ def word_count(text) -> Column:
 
 
 def to_utc_ts(iso) -> Column:
-    """Parse ISO-8601 text (with 'Z' or offset) to a timestamp (session time zone UTC)."""
-    return F.to_timestamp(col_(iso))
+    """Parse ISO-8601 text (with 'Z' or offset) to a timestamp (session time zone UTC); malformed
+    text gives null."""
+    return F.try_to_timestamp(col_(iso))
 
 
 def hours_between(start_iso, end_iso) -> Column:
@@ -155,9 +156,11 @@ def parse_numstat(line) -> Column:
                                                parts[2].alias("filename")))
 
 
-def cap_bytes(text, max_bytes: int = MAX_PATCH_BYTES) -> Column:
-    """Null when the text is longer than ``max_bytes`` UTF-8 bytes."""
+def cap_bytes(text, max_bytes: int | None = MAX_PATCH_BYTES) -> Column:
+    """Null when the text is longer than ``max_bytes`` UTF-8 bytes (None: no cap)."""
     t = col_(text)
+    if max_bytes is None:
+        return t
     return F.when(F.octet_length(t) <= max_bytes, t)
 
 

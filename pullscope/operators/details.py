@@ -99,13 +99,14 @@ def lean_details(details: DataFrame, columns: Sequence[str] | None = None) -> Da
     return details.select(*(columns or LEAN_DETAIL_COLUMNS))
 
 
-def sha_repo(commits: DataFrame, prs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Sha -> repository of the first PR (commits-table order: pr_id, commit_seq) that
-    has a known repository. Returns ``(sha_repo, unmatched_shas)``; the reference only warned
+def sha_repo(commits: DataFrame, prs: DataFrame, order: Sequence[str] = ("pr_id", "commit_seq")
+             ) -> tuple[DataFrame, DataFrame]:
+    """Sha -> repository of the first commit row (by ``order``: columns of ``commits``, such as the
+    stored row order) whose PR has a known, non-empty repository. Returns ``(sha_repo, unmatched_shas)``; the reference only warned
     about the unmatched ones."""
-    known = prs.select(F.col("id").alias("pr_id"), "repo_name").where(F.col("repo_name").isNotNull())
-    j = commits.select("sha", "pr_id", "commit_seq").join(known, "pr_id", "inner")
-    m = j.groupBy("sha").agg(F.min_by("repo_name", F.struct("pr_id", "commit_seq")).alias("repo_name"))
+    known = prs.select(F.col("id").alias("pr_id"), "repo_name").where(F.col("repo_name").isNotNull() & (F.col("repo_name") != ""))
+    j = commits.select("sha", *dict.fromkeys(["pr_id", *order])).join(known, "pr_id", "inner")
+    m = j.groupBy("sha").agg(F.min_by("repo_name", F.struct(*order)).alias("repo_name"))
     unmatched = commits.select("sha").distinct().join(m, "sha", "left_anti")
     return m, unmatched
 

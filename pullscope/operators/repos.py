@@ -29,16 +29,15 @@ def repo_agg(prs: DataFrame, order_col: str = "id", key: str = "repo_id",
 
 
 def repo_export(baseline: DataFrame, repos: DataFrame, order_col: str = "id") -> DataFrame:
-    """Per-repository export sorted by PR count desc, name asc.
+    """Per-repository export (``sorted_export`` gives L1's order). The membership flag is
+    whether the one metadata join found a row.
 
     A repository id listed twice in the metadata multiplies its row, as in the reference.
     """
     agg = repo_agg(baseline, order_col)
     meta = repos.select(F.col("id").alias("repo_id"), "url", "license", "full_name",
                         "language", "forks", "stars")
-    flag = repos.select(F.col("id").alias("repo_id")).where(F.col("repo_id").isNotNull()) \
-        .distinct().withColumn("_in_meta", F.lit(True))
-    out = agg.join(meta, "repo_id", "left").join(flag, "repo_id", "left")
+    out = agg.join(meta.withColumn("_in_meta", F.lit(True)), "repo_id", "left")
     out = out.select(
         "repo_id",
         final_name("full_name", "html_url", "repo_url").alias("repository"),

@@ -64,15 +64,29 @@ def rank_table(df: DataFrame, value: str, group_col: str, a: str, bucket_width:
     return ranked.withColumn("midrank", F.col("before") + (F.col("t") + 1) / 2.0)
 
 
+EXACT_ROWS = 8
+
+
 def mann_whitney(df: DataFrame, value: str, group_col: str = "source", a: str = "agent",
-                 b: str = "human") -> DataFrame:
-    """Two-sided Mann-Whitney U of ``value`` between groups ``a`` and ``b``.
+                 b: str = "human", method: str = "asymptotic") -> DataFrame:
+    """A22 + A26: two-sided Mann-Whitney U of ``value`` between groups ``a`` and ``b``.
 
     U is the statistic of group ``a``; the p-value uses the normal approximation with tie
-    correction and 0.5 continuity (the asymptotic method). When one sample has at most 8 rows
-    and there are no ties, ``exact_p_value`` gives the exact two-sided p (driver-side, from
-    three scalars only). Empty when either group is empty.
+    correction and 0.5 continuity (the asymptotic method); without any spread it is 1. With
+    ``method="auto"`` the p-value is exact when one sample has at most ``EXACT_ROWS`` rows and there are no
+    ties: the null distribution is built on the driver from the one-row result. Empty when either
+    group is empty.
     """
+    out = _mann_whitney(df, value, group_col, a, b)
+    if method == "auto":
+        rows = out.collect()  # one row
+        if rows and min(rows[0]["n_agent"], rows[0]["n_human"]) <= EXACT_ROWS and not rows[0]["has_ties"]:
+            p = exact_p_value(rows[0]["u_statistic"], rows[0]["n_agent"], rows[0]["n_human"])
+            out = out.withColumn("p_value", F.lit(p)).withColumn("significant", F.lit(p < ALPHA))
+    return out
+
+
+def _mann_whitney(df: DataFrame, value: str, group_col: str, a: str, b: str) -> DataFrame:
     rt = rank_table(df.where(F.col(group_col).isin(a, b)), value, group_col, a)
     tot = rt.agg(F.sum("na").cast("double").alias("n1"), F.sum("nb").cast("double").alias("n2"),
                  F.sum(F.col("na") * F.col("midrank")).alias("r1"),
@@ -83,12 +97,12 @@ def mann_whitney(df: DataFrame, value: str, group_col: str = "source", a: str =
     out = tot.where((n1 > 0) & (n2 > 0)).withColumn("u1", u1)
     um = F.greatest(F.col("u1"), n1 * n2 - F.col("u1"))
     n = n1 + n2
-    sd = F.sqrt(n1 * n2 / 12.0 * ((n + 1) - F.col("tie") / (n * (n - 1))))
-    z = (um - n1 * n2 / 2.0 - 0.5) / sd
-    p = F.least(F.lit(1.0), F.lit(2.0) * normal_sf(z))
+    sd = F.sqrt(F.greatest(F.lit(0.0), n1 * n2 / 12.0 * ((n + 1) - F.try_divide(F.col("tie"), n * (n - 1)))))
+    z = F.try_divide(um - n1 * n2 / 2.0 - 0.5, F.nullif(sd, F.lit(0.0)))
+    p = F.coalesce(F.least(F.lit(1.0), F.lit(2.0) * normal_sf(z)), F.lit(1.0))  # no spread: p = 1
     return out.select(n1.cast("long").alias("n_agent"), n2.cast("long").alias("n_human"),
                       F.col("u1").alias("u_statistic"), p.alias("p_value"),
-                      (F.col("max_tie") > 1).alias("has_ties"))
+                      (F.col("max_tie") > 1).alias("has_ties"), (p < ALPHA).alias("significant"))
 
 
 def exact_p_value(u1: float, n1: int, n2: int) -> float:
@@ -142,8 +156,7 @@ def violin(df: DataFrame, value: str, group_col: str = "source", log: bool = Tru
                                   F.percentile(F.col("x"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
                                   .alias("q"))
           .withColumn("h", F.col("sd") * F.pow(F.col("n_all").cast("double"), -0.2) * bw_adjust))
-    # one row per group: bounded by the number of groups
-    j = cnt.join(F.broadcast(st.select("grp", "n_all", "lo", "hi", "h")), "grp")
+    j = cnt.join(st.select("grp", "n_all", "lo", "hi", "h"), "grp")
     j = j.select("grp", "x", "n", "n_all", "lo", "hi", "h",
                  F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("i"))
     gx = F.col("lo") + F.col("i") * (F.col("hi") - F.col("lo")) / float(grid - 1)

@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from pullscope.operators.details import assemble_details, attach_patch, attach_status
+from pullscope.operators.details import (assemble_details, attach_patch, attach_status, commit_totals,
+                                         expand_to_prs)
 from pullscope.operators.labels import (attach_repo_id, filter_created, label_author, repo_id_dim,
                                         user_agent_dim)
 from pullscope.sources.gittext import details_from_log, patches_from_diff, statuses_from_listing
-from pullscope.sources.payloads import pull_requests_from_json
+from pullscope.sources.payloads import details_from_json, pull_requests_from_json
 
 
 def pull_requests_from_payloads(raw: DataFrame, repos: DataFrame, agent_baseline: DataFrame,
@@ -43,6 +44,35 @@ def details_from_git(log_docs: DataFrame, status_docs: DataFrame, diff_docs: Dat
     return assemble_details(rows, bridge)
 
 
+def details_git_or_api(log_docs: DataFrame, status_docs: DataFrame, diff_docs: DataFrame, api_lines: DataFrame,
+                       bridge: DataFrame, shas: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """J16 as one flow: commits of ``shas`` found in the git text, the payloads for the rest.
+
+    Payload lines of commits found in git are dropped by their sha before they are parsed; both
+    forms' file rows are united without patches and fanned out to PRs once, and patches are
+    attached last. Returns the rows, with ``detail_source`` (git / api), and the shas of the
+    bridge in neither source.
+    """
+    from pyspark.sql import functions as F
+
+    from pullscope.schemas import COMMIT_DETAILS
+    keep = shas.select("sha")
+    log = details_from_log(log_docs).join(keep, "sha", "left_semi")
+    git = commit_totals(attach_status(log, statuses_from_listing(status_docs).join(keep, "sha", "left_semi")))
+    found = log.select("sha").distinct()
+    lines = api_lines.withColumn("sha", F.get_json_object("value", "$.sha")).join(found, "sha", "left_anti").select("value")
+    api = details_from_json(lines)
+    slim = git.withColumn("detail_source", F.lit("git")).unionByName(
+        api.drop("patch").withColumn("detail_source", F.lit("api")))
+    slim = slim.withColumn("changes", (F.col("additions") + F.col("deletions")).cast("long"))
+    patches = patches_from_diff(diff_docs).join(found, "sha", "left_semi").unionByName(
+        api.where("patch is not null").select("sha", "filename", "patch"))
+    rows = attach_patch(expand_to_prs(slim, bridge), patches)
+    have = found.unionByName(api.select("sha").distinct())
+    missing = bridge.select("sha").distinct().join(have, "sha", "left_anti")
+    return rows.select(*[F.col(c.name).cast(c.dataType) for c in COMMIT_DETAILS.fields], "detail_source"), missing
+
+
 def split_by_agent(prs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """the agent and human PR tables of the collector's output."""
     from pyspark.sql import functions as F
@@ -53,9 +83,11 @@ def run_collect(prs: DataFrame, commits: DataFrame, details: DataFrame, out_dir:
     """K1 + K9: write all_pull_requests, agent/human subsets, pr_commits, pr_commit_details and
     return the manifest (rows and columns per table)."""
     from pullscope.sources.sinks import manifest, write_table
-    agent, human = split_by_agent(prs)
-    tables = {"all_pull_requests": prs, "agent_pull_requests": agent,
-              "human_pull_requests": human, "pr_commits": commits, "pr_commit_details": details}
-    for name, df in tables.items():
-        write_table(df, f"{out_dir}/{name}")
+    tables = {"all_pull_requests": prs, "pr_commits": commits, "pr_commit_details": details}
+    # the PR table is written first and its subsets are made from what was written
+    write_table(prs, f"{out_dir}/all_pull_requests")
+    agent, human = split_by_agent(prs.sparkSession.read.parquet(f"{out_dir}/all_pull_requests"))
+    tables |= {"agent_pull_requests": agent, "human_pull_requests": human}
+    for name in list(tables)[1:]:
+        write_table(tables[name], f"{out_dir}/{name}")
     return manifest(prs.sparkSession, {n: f"{out_dir}/{n}" for n in tables})

@@ -377,7 +377,8 @@ z AS (SELECT n1, n2, u1, greatest(u1, n1 * n2 - u1) AS um,
 """
 ORACLE["mann_whitney_revisions"] = with_ctes(f"""
 SELECT CAST(n1 AS BIGINT) AS n_agent, CAST(n2 AS BIGINT) AS n_human, {_r('u1')} AS u_statistic,
-       {_r(f"least(1.0, {erfc('zz / sqrt(2.0)')})")} AS p_value
+       {_r(f"least(1.0, {erfc('zz / sqrt(2.0)')})")} AS p_value,
+       {f"least(1.0, {erfc('zz / sqrt(2.0)')})"} < 0.05 AS significant
 FROM z
 """, _COMMIT_COUNTS + "," + _MWU)
 ORACLE["monthly_volume"] = with_ctes("""

@@ -2,16 +2,46 @@
 
 from __future__ import annotations
 
-from pullscope.plans.oracle import ORACLE, with_ctes, _PR_STATS, _COMMIT_COUNTS
+from pullscope.plans.oracle import ORACLE, with_ctes, _COMMIT_COUNTS, _PR_STATS, _REV_BY_SOURCE
 
 _AGENTS = "('Devin', 'Copilot', 'Cursor', 'Claude_Code')"
 
 ORACLE_MORE: dict[str, str] = {}
 ORACLE_MORE["prs_from_json"] = ORACLE["pull_requests"]
-ORACLE_MORE["commits_from_json"] = with_ctes("SELECT sha, pr_id, author, committer, message, commit_seq FROM cm")
-ORACLE_MORE["details_from_json"] = with_ctes("SELECT * FROM dt")
+ORACLE_MORE["commits_from_json"] = with_ctes(
+    "SELECT sha, pr_id, author, committer, message, commit_seq FROM cm WHERE pr_id % 101 <> 3")
+ORACLE_MORE["commit_errors"] = with_ctes("""
+SELECT DISTINCT 'page_failed' AS kind, CAST(pr_id AS VARCHAR) AS key FROM cm WHERE pr_id % 101 = 3
+UNION ALL SELECT 'empty', CAST(-id AS VARCHAR) FROM raw_pr WHERE id % 103 = 4
+UNION ALL SELECT 'malformed', '{"id": ' || id FROM raw_pr WHERE id % 107 = 3
+""")
+ORACLE_MORE["pr_errors"] = with_ctes("""
+SELECT DISTINCT 'page_failed' AS kind, repo_name AS key FROM raw_pr WHERE id % 97 = 5
+UNION ALL SELECT 'no_id', repo_name FROM raw_pr WHERE id % 89 = 7
+UNION ALL SELECT 'malformed', '{"id": ' || id FROM raw_pr WHERE id % 83 = 3
+""")
+ORACLE_MORE["unmatched_shas"] = with_ctes("""
+SELECT sha FROM cm GROUP BY sha HAVING count_if(pr_id IN (SELECT id FROM raw_pr WHERE user_id % 3 <> 0)) = 0
+""")
+ORACLE_MORE["details_from_json"] = with_ctes("SELECT * REPLACE ('Api: ' || author AS author) FROM dt WHERE sha NOT LIKE 'f%'")
+ORACLE_MORE["detail_errors"] = with_ctes("""
+SELECT 'malformed' AS kind, count(*) AS lines FROM raw_pr WHERE id % 107 = 3 HAVING count(*) > 0
+UNION ALL SELECT 'no_sha', (SELECT count(DISTINCT (pr_id, (commit_seq - 1) // 100)) FROM cm)
+  + (SELECT count(DISTINCT pr_id) FROM cm WHERE pr_id % 101 = 3) + (SELECT count(*) FROM raw_pr WHERE id % 103 = 4)
+""")
 ORACLE_MORE["details_from_git_text"] = with_ctes("SELECT * FROM dt")
-ORACLE_MORE["details_prefer_git"] = with_ctes("SELECT * FROM dt")
+_LOCAL = """
+local AS (SELECT DISTINCT sha1('c' || l_partkey || '-' || l_suppkey) AS sha FROM lineitem
+          WHERE l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_acctbal >= 0))
+"""
+ORACLE_MORE["details_prefer_git"] = with_ctes("""
+SELECT *, 'git' AS detail_source FROM dt WHERE sha IN (SELECT sha FROM local)
+UNION ALL
+SELECT * REPLACE ('Api: ' || author AS author), 'api' FROM dt WHERE sha NOT IN (SELECT sha FROM local) AND sha NOT LIKE 'f%'
+""", _LOCAL)
+ORACLE_MORE["missing_shas"] = with_ctes("""
+SELECT DISTINCT sha FROM cm WHERE sha NOT IN (SELECT sha FROM local) AND sha LIKE 'f%'
+""", _LOCAL)
 ORACLE_MORE["sha_repo"] = with_ctes("""
 SELECT c.sha, first(r.repo_name ORDER BY c.pr_id, c.commit_seq) AS repo_name
 FROM cm c JOIN raw_pr r ON c.pr_id = r.id WHERE r.repo_name IS NOT NULL GROUP BY c.sha
@@ -58,6 +88,31 @@ st AS (SELECT grp, count(*) AS nn, min(x) AS lo, max(x) AS hi,
 
 ORACLE_MORE["violin_lines_added"] = _violin(
     "SELECT source AS grp, log10(greatest(CAST(lines_added AS DOUBLE), 1.0)) AS x FROM psrc", _PR_STATS)
+for _m in ("files_changed", "lines_deleted"):
+    ORACLE_MORE[f"violin_{_m}"] = _violin(
+        f"SELECT source AS grp, log10(greatest(CAST({_m} AS DOUBLE), 1.0)) AS x FROM psrc", _PR_STATS)
+for _m in ("rev_files_changed", "rev_lines_added", "rev_lines_deleted"):
+    ORACLE_MORE[f"violin_{_m}"] = _violin(
+        f"SELECT source AS grp, log10(greatest(CAST({_m} AS DOUBLE), 1.0)) AS x FROM rst_s",
+        _COMMIT_COUNTS + "," + _REV_BY_SOURCE)
+# exact p: every way to place the smaller sample's ranks (5 of 25 nations), by its rank sum
+ORACLE_MORE["mann_whitney_exact"] = """
+WITH v AS (
+  SELECT CAST(round(sum(c_acctbal) * 100) AS BIGINT) AS v, n_regionkey = 0 AS a FROM customer JOIN nation ON c_nationkey = n_nationkey
+  GROUP BY c_nationkey, n_regionkey
+), r AS (SELECT a, rank() OVER (ORDER BY v) AS k FROM v
+), st AS (SELECT count_if(a) AS n1, count_if(NOT a) AS n2, sum(k) FILTER (WHERE a) - count_if(a) * (count_if(a) + 1) / 2 AS u1 FROM r
+), n AS (SELECT k FROM r), ways AS (
+  SELECT n1.k + n2.k + n3.k + n4.k + n5.k - 15 AS s FROM n n1 JOIN n n2 ON n1.k < n2.k JOIN n n3 ON n2.k < n3.k
+  JOIN n n4 ON n3.k < n4.k JOIN n n5 ON n4.k < n5.k)
+, p AS (SELECT n1, n2, u1, least(1.0, 2.0 * (SELECT avg(CAST(ways.s >= greatest(st.u1, n1 * n2 - st.u1) AS DOUBLE)) FROM ways)) AS p FROM st)
+SELECT CAST(n1 AS BIGINT) AS n_agent, CAST(n2 AS BIGINT) AS n_human, CAST(u1 AS DOUBLE) AS u_statistic, p AS p_value, p < 0.05 AS significant
+FROM p
+"""
+ORACLE_MORE["mann_whitney_tied"] = with_ctes("""
+SELECT count_if(is_agent) AS n_agent, count_if(NOT is_agent) AS n_human, count_if(is_agent) * count_if(NOT is_agent) / 2.0 AS u_statistic,
+       CAST(1.0 AS DOUBLE) AS p_value, false AS significant FROM pr WHERE merged_at IS NOT NULL
+""")
 ORACLE_MORE["violin_revisions"] = _violin(
     "SELECT source AS grp, least(CAST(num_commits AS DOUBLE), least(50.0, (SELECT max(num_commits) FROM rev))) AS x "
     "FROM rev", _COMMIT_COUNTS)

@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from pullscope.operators import details as det
 from pullscope.operators import labels, quality, sampling, stats
 from pullscope.operators import facts
-from pullscope.plans.collect import details_from_git, pull_requests_from_payloads
+from pullscope.plans.collect import (details_from_git, details_git_or_api,
+                                     pull_requests_from_payloads)
 from pullscope.plans.registry import _fix, register
 from pullscope.sources import fixtures as fx
 from pullscope.sources import landed
-from pullscope.sources.payloads import commits_from_json, details_from_json
+from pullscope.sources.payloads import (commits_from_json, details_from_json,
+                                        pull_requests_from_json)
 
 PR_OUT = ["id", "number", "title", "user", "user_id", "state", "created_at", "closed_at",
           "merged_at", "repo_id", "repo_url", "repo_name", "html_url", "is_agent", "agent"]
@@ -31,10 +33,33 @@ def q_prs_from_json(spark, d):
 @register("commits_from_json")
 def q_commits_from_json(spark, d):
     """S7 + S14 + H13: commit-list pages -> commits with stored order."""
-    rows, _bad = commits_from_json(landed.commit_payloads(spark, d))
+    rows, _errors = commits_from_json(landed.commit_payloads(spark, d))
     return rows
 
 
+@register("commit_errors")
+def q_commit_errors(spark, d):
+    """S7 + S14: PRs voided by a failed page or without commits, and malformed lines."""
+    _rows, errors = commits_from_json(landed.commit_payloads(spark, d))
+    return errors
+
+
+@register("pr_errors")
+def q_pr_errors(spark, d):
+    """S6 + Q6: repositories with a failed page, malformed lines, elements without an id."""
+    _rows, errors = pull_requests_from_json(landed.pr_payloads(spark, d))
+    return errors
+
+
+@register("unmatched_shas")
+def q_unmatched(spark, d):
+    """Q4: shas of which no PR has a known repository (``sha_repo``'s second output), with the raw PRs
+    of every third customer unknown."""
+    prs = fx.raw_prs(spark, d).where(F.col("user_id") % 3 != 0)
+    _m, unmatched = det.sha_repo(fx.commits(spark, d), prs)
+    return unmatched
+
+
 @register("details_from_json")
 def q_details_from_json(spark, d):
     """S8 + J12: commit-detail payloads -> commit_details (API form, with patch)."""
@@ -49,20 +74,35 @@ def q_details_from_git(spark, d):
     return details_from_git(log, status, diff, fx.commits(spark, d).select("sha", "pr_id"))
 
 
-@register("details_prefer_git")
-def q_details_prefer(spark, d):
-    """Git rows where the commit is in the local clone (suppliers with a non-negative
-    balance), API rows for the rest."""
+def _git_or_api(spark, d):
+    """Git text holds the commits of suppliers with a non-negative balance (the local clone)."""
     sup = fx.table(spark, d, "supplier").where(F.col("s_acctbal") >= 0).select(F.col("s_suppkey"))
     local = (fx.table(spark, d, "lineitem").join(sup, F.col("l_suppkey") == F.col("s_suppkey"), "left_semi")
              .select(F.sha1(F.concat(F.lit("c"), F.col("l_partkey").cast("string"), F.lit("-"),
                                      F.col("l_suppkey").cast("string"))).alias("sha")).distinct())
-    bridge = fx.commits(spark, d).select("sha", "pr_id")
     log, status, diff = landed.git_docs(spark, d)
-    git = details_from_git(log, status, diff, bridge, shas=local)
-    api = det.assemble_details(details_from_json(landed.detail_payloads(spark, d)), bridge)
-    rows, _missing = det.prefer(git, api, bridge)
-    return rows
+    return details_git_or_api(log, status, diff, landed.detail_payloads(spark, d),
+                              fx.commits(spark, d).select("sha", "pr_id"), local)
+
+
+@register("details_prefer_git")
+def q_details_prefer(spark, d):
+    """J16 + J12 + J14 + J15: git rows where the commit is in the local clone, API rows for the rest,
+    each marked with its source."""
+    return _git_or_api(spark, d)[0]
+
+
+@register("missing_shas")
+def q_missing_shas(spark, d):
+    """Q4: commits found in neither source."""
+    return _git_or_api(spark, d)[1]
+
+
+@register("detail_errors")
+def q_detail_errors(spark, d):
+    """S8 + Q6: detail lines that are malformed or lack a sha (commit-list lines read as details)."""
+    from pullscope.sources.payloads import detail_errors
+    return detail_errors(landed.commit_payloads(spark, d)).groupBy("kind").agg(F.count(F.lit(1)).alias("lines"))
 
 
 @register("sha_repo")
@@ -95,6 +135,51 @@ def q_violin_added(spark, d):
     return stats.violin(pst, "lines_added", "source", log=True)
 
 
+def _register_violins() -> None:
+    """The other log-scaled shapes of the report (change size and revision size)."""
+    def change(metric):
+        def q(spark, d):
+            r = _fix(spark, d)
+            pst = facts.attach_source(facts.change_size(r.fix_details), r.fix_prs)
+            return stats.violin(pst, metric, "source", log=True)
+        return q
+
+    def revision(metric):
+        def q(spark, d):
+            from pullscope.operators import revisions
+            r = _fix(spark, d)
+            rev = facts.revised_prs(r.fix_prs, r.fix_commits)
+            sizes = revisions.revision_size_by(rev.select("pr_id", "source"), r.fix_commits, r.fix_details)
+            return stats.violin(sizes, metric, "source", log=True)
+        return q
+
+    for m in ("files_changed", "lines_deleted"):
+        register(f"violin_{m}")(change(m))
+    for m in ("rev_files_changed", "rev_lines_added", "rev_lines_deleted"):
+        register(f"violin_{m}")(revision(m))
+
+
+_register_violins()
+
+
+@register("mann_whitney_exact")
+def q_mann_whitney_exact(spark, d):
+    """A22, exact branch: balances summed by nation, five nations of one region against the rest."""
+    c = fx.table(spark, d, "customer").groupBy("c_nationkey").agg(F.sum(F.col("c_acctbal").cast("decimal(20,2)")).alias("v"))
+    n = fx.table(spark, d, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_regionkey"))
+    v = c.join(n, "c_nationkey").select((F.col("v") * 100).cast("long").alias("v"),
+                                        F.when(F.col("n_regionkey") == 0, "agent").otherwise("human").alias("source"))
+    return stats.mann_whitney(v, "v", method="auto").drop("has_ties")
+
+
+@register("mann_whitney_tied")
+def q_mann_whitney_tied(spark, d):
+    """A22 without spread: every merged PR counts as one, so p is 1."""
+    prs = fx.pull_requests(spark, d).where(F.col("merged_at").isNotNull())
+    one = prs.select(F.lit(1).alias("v"), F.when(F.col("is_agent"), "agent").otherwise("human").alias("source"))
+    return stats.mann_whitney(one, "v").drop("has_ties")
+
+
 @register("violin_revisions")
 def q_violin_revisions(spark, d):
     """Linear density of commit counts of revised PRs, clipped at min(max, 50)."""

@@ -54,10 +54,13 @@ def apply_conf(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster in ``spark.checkpoint.dir``.
 
-    Only when it is unset (local tests) do we make our own folder.
+    Only when it is unset and the master is local (tests) do we make our own folder; on a
+    cluster a folder of the driver's machine would be lost to the executors, so that is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.conf.get("spark.master", "local").split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="pullscope-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     try:  # enables DataFrame.checkpoint(); not available on every session kind

@@ -17,6 +17,13 @@ from pullscope.sources.gittext import COMMIT_SEP, MSG_END
 from pullscope.sources.payloads import PAGE_SIZE
 
 
+#: How the payloads' authors and the shas they lack are told apart from the git text.
+API_AUTHOR = "Api: "
+UNKNOWN_SHA = "f"
+#: Commits whose git output was landed twice: an older copy with other content comes first.
+TWICE = "0"
+
+
 def _nl():
     return F.lit("\n")
 
@@ -37,7 +44,17 @@ def _pr_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.col("user").alias("login"), F.col("user_id").alias("id")).alias("user"),
         "state", "created_at", "closed_at", top_merged.alias("merged_at"), "html_url",
         pr_obj.alias("pull_request"))
-    return p.select(F.to_json(obj).alias("value"))
+    lines = p.select(F.to_json(obj).alias("value"))
+    # what a listing also holds: failed pages, answers without an id, and cut-off lines
+    failed = p.where(F.col("id") % 97 == 5).select(F.to_json(F.struct(
+        F.col("repo_name").alias("repo"), F.lit(2).alias("page"), F.lit(True).alias("page_failed"))).alias("value"))
+    no_id = p.where(F.col("id") % 89 == 7).select(F.to_json(F.struct(
+        F.lit("Not Found").alias("message"), F.col("repo_name").alias("repo"))).alias("value"))
+    return lines.unionByName(failed).unionByName(no_id).unionByName(_cut_lines(p, 83))
+
+
+def _cut_lines(rows: DataFrame, every: int) -> DataFrame:
+    return rows.where(F.col("id") % every == 3).select(F.concat(F.lit('{"id": '), F.col("id").cast("string")).alias("value"))
 
 
 def _commit_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,12 +77,22 @@ def _commit_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = c.groupBy("pr_id", page.alias("page")).agg(F.array_sort(F.collect_list(elem)).alias("_e"))
     obj = F.struct("pr_id", "page", F.lit(False).alias("page_failed"),
                    F.transform("_e", lambda e: e["c"]).alias("commits"))
-    return g.select(F.to_json(obj).alias("value"))
+    lines = g.select(F.to_json(obj).alias("value"))
+    # a failed last page voids its PR; some PRs have no commits at all; some lines are cut off
+    p = fx.raw_prs(spark, sf_dir)
+    none = F.array().cast("array<string>").alias("commits")
+    failed = g.select("pr_id").distinct().where(F.col("pr_id") % 101 == 3).select(F.to_json(F.struct(
+        "pr_id", F.lit(99).alias("page"), F.lit(True).alias("page_failed"), none)).alias("value"))
+    empty = p.where(F.col("id") % 103 == 4).select(F.to_json(F.struct(
+        (-F.col("id")).alias("pr_id"), F.lit(1).alias("page"), F.lit(False).alias("page_failed"), none)).alias("value"))
+    return lines.unionByName(failed).unionByName(empty).unionByName(_cut_lines(p, 107))
 
 
 def _detail_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Commit-detail objects (one per sha) as JSON lines; 'modified' files omit ``status``."""
-    f = fx.commit_files(spark, sf_dir, with_patch=True)
+    """Commit-detail objects (one per sha) as JSON lines; 'modified' files omit ``status``. Authors differ
+    from the git form, and the interface does not know every sha."""
+    f = fx.commit_files(spark, sf_dir, with_patch=True).where(~F.col("sha").startswith(UNKNOWN_SHA))
+    f = f.withColumn("author", F.concat(F.lit(API_AUTHOR), F.col("author")))
     file_obj = F.when(F.col("filename").isNotNull(), F.struct(
         "filename",
         F.when(F.col("status") != "modified", F.col("status")).alias("status"),
@@ -122,8 +149,9 @@ def _status_blocks(files: DataFrame) -> DataFrame:
 
 def _diff_docs(files: DataFrame) -> DataFrame:
     f = files.where(F.col("filename").isNotNull())
-    blk = F.concat(F.lit("diff --git a/"), F.col("filename"), F.lit(" b/"), F.col("filename"), _nl(),
-                   F.col("patch"))
+    head = F.concat(F.lit("diff --git a/"), F.col("filename"), F.lit(" b/"), F.col("filename"), _nl())
+    older = F.when(F.col("sha").startswith(TWICE), F.concat(head, F.lit("@@ older @@\n"))).otherwise(F.lit(""))
+    blk = F.concat(older, head, F.col("patch"))
     return f.groupBy("sha").agg(F.concat_ws("", F.collect_list(blk)).alias("text"))
 
 
@@ -132,27 +160,12 @@ def _git_docs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, D
     batch assignment (sha -> document)."""
     files = fx.commit_files(spark, sf_dir, with_patch=True)
     batched = fx.stored(spark, sf_dir, "landed_sha_batches", lambda: _batched_shas(files))
-    return (_group_docs(_log_blocks(files), batched), _group_docs(_status_blocks(files), batched),
+    older = files.where(F.col("sha").startswith(TWICE)).withColumn("author", F.lit("Older"))
+    log = _group_docs(_log_blocks(older), batched).withColumn("doc_id", F.concat(F.lit("!"), F.col("doc_id")))
+    return (log.unionByName(_group_docs(_log_blocks(files), batched)), _group_docs(_status_blocks(files), batched),
             _diff_docs(files))
 
 
-def log_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``git log --numstat`` output, one document per (repository, batch)."""
-    files = fx.commit_files(spark, sf_dir, with_patch=False)
-    return _group_docs(_log_blocks(files), _batched_shas(files))
-
-
-def status_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``git diff-tree --name-status`` output, one document per (repository, batch)."""
-    files = fx.commit_files(spark, sf_dir, with_patch=False)
-    return _group_docs(_status_blocks(files), _batched_shas(files))
-
-
-def diff_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``git log -p`` output of one commit per document: (sha, text)."""
-    return _diff_docs(fx.commit_files(spark, sf_dir, with_patch=True))
-
-
 # ---- landed inputs, stored once per input version (they are inputs of the parsers) ---------
 def pr_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PR-list elements as JSON lines (``value``)."""

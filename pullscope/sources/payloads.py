@@ -47,7 +47,7 @@ def pull_requests_from_json(raw: DataFrame, col: str = "value") -> tuple[DataFra
     missing or null ``user`` object defaults to ''.
 
     Returns ``(rows, errors)``. ``errors`` lists repositories with a failed page (their partial
-    rows are kept, as in the reference) plus malformed lines. A null ``user`` object gives
+    rows are kept, as in the reference), malformed lines, and well-formed elements without an id. A null ``user`` object gives
     ``user = ''`` (the reference lost the whole repository there, B3).
     """
     p = _parse(raw, PR_PAYLOAD_DDL, col)
@@ -66,7 +66,10 @@ def pull_requests_from_json(raw: DataFrame, col: str = "value") -> tuple[DataFra
     errs = (failed_keys(p.where(F.col("repo").isNotNull()), "repo")
             .select(F.lit("page_failed").alias("kind"), F.col("repo").alias("key"))
             .unionByName(p.where(F.col("_corrupt").isNotNull())
-                         .select(F.lit("malformed").alias("kind"), F.col("_corrupt").alias("key"))))
+                         .select(F.lit("malformed").alias("kind"), F.col("_corrupt").alias("key")))
+            .unionByName(p.where(F.col("_corrupt").isNull() & F.col("id").isNull()
+                                 & ~F.coalesce(F.col("page_failed"), F.lit(False)))
+                         .select(F.lit("no_id").alias("kind"), F.coalesce("repo", F.lit("")).alias("key"))))
     return rows, errs
 
 
@@ -74,9 +77,11 @@ def pull_requests_from_json(raw: DataFrame, col: str = "value") -> tuple[DataFra
 def commits_from_json(raw: DataFrame, col: str = "value") -> tuple[DataFrame, DataFrame]:
     """S7 + H13: commit-list pages -> commit rows with ``commit_seq`` (stored order).
 
-    A PR with any failed page is voided entirely and returned in ``errors`` (S14).
+    A PR with any failed page is voided entirely (S14). Returns ``(rows, errors)``; errors are
+    (kind, key): failed pages and PRs without any commit by PR id, malformed lines by their text.
     """
-    p = _parse(raw, COMMIT_LIST_DDL, col).where(F.col("_corrupt").isNull())
+    whole = _parse(raw, COMMIT_LIST_DDL, col)
+    p = whole.where(F.col("_corrupt").isNull())
     bad = failed_keys(p, "pr_id")
     ok = p.join(bad, "pr_id", "left_anti")
     ex = ok.select("pr_id", "page", F.posexplode("commits").alias("_pos", "c"))
@@ -89,10 +94,23 @@ def commits_from_json(raw: DataFrame, col: str = "value") -> tuple[DataFrame, Da
         ((F.coalesce(F.col("page"), F.lit(1)) - 1) * PAGE_SIZE + F.col("_pos") + 1).cast("int")
         .alias("commit_seq"),
     )
-    return rows, bad
+    sizes = p.groupBy("pr_id").agg(F.sum(F.greatest(F.size("commits"), F.lit(0))).alias("_n"),
+                                   F.bool_or(F.coalesce(F.col("page_failed"), F.lit(False))).alias("_f"))
+    kind = F.when(F.col("_f"), F.lit("page_failed")).when(F.col("_n") == 0, F.lit("empty"))
+    errors = (sizes.select(kind.alias("kind"), F.col("pr_id").cast("string").alias("key")).where("kind is not null")
+              .unionByName(whole.where(F.col("_corrupt").isNotNull())
+                           .select(F.lit("malformed").alias("kind"), F.col("_corrupt").alias("key"))))
+    return rows, errors
 
 
 # ---- S8 ------------------------------------------------------------------------------------
+def detail_errors(raw: DataFrame, col: str = "value") -> DataFrame:
+    """Lines that ``details_from_json`` cannot use, as (kind, key): malformed, or without a sha."""
+    p = _parse(raw, COMMIT_DETAIL_DDL, col)
+    kind = F.when(F.col("_corrupt").isNotNull(), F.lit("malformed")).when(F.col("sha").isNull(), F.lit("no_sha"))
+    return p.select(kind.alias("kind"), F.coalesce("_corrupt", F.lit("")).alias("key")).where("kind is not null")
+
+
 def details_from_json(raw: DataFrame, col: str = "value") -> DataFrame:
     """Commit-detail objects -> one row per file with the payload's commit totals.
 

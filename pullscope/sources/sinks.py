@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pullscope.sources.tables import read_or_none
+
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite",
                 sort_by: str | None = None) -> None:
@@ -21,23 +23,19 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
 
 def write_chunks(df: DataFrame, path: str, key: str = "repo_name") -> None:
     """K2: one partition directory per key; a re-run replaces only the partitions it writes
-    and replaces each of them whole (no stale higher-numbered chunks, B15)."""
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        df.repartition(key).write.mode("overwrite").partitionBy(key).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    and replaces each of them whole (no stale higher-numbered chunks, B15).
+
+    Rows are gathered by key with a rebalance hint, so a hot key becomes several tasks and files."""
+    (df.hint("rebalance", F.col(key)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(key).parquet(path))
 
 
 def compact(spark: SparkSession, in_path: str, out_path: str, schema: T.StructType,
             files: int | None = None) -> int:
     """K3/K4: merge chunks into one table under an explicit schema; returns the row count,
     observed while writing (no second pass). No chunks -> an empty typed table."""
-    try:
-        df = spark.read.schema(schema).parquet(in_path)
-    except Exception:  # noqa: BLE001  (absent directory)
+    df = read_or_none(spark, in_path, schema)
+    if df is None:
         df = spark.createDataFrame([], schema)
     if files:
         df = df.repartition(files)
@@ -64,9 +62,12 @@ def write_samples(tables: Mapping[str, DataFrame], path: str, n: int = 20, seed:
 
 
 def write_report(report: DataFrame, path: str) -> None:
-    """K8: the long-format report table as Parquet plus its text lines."""
+    """K8: the long-format report table as Parquet, and its text lines in order, made from the
+    stored table (a few hundred lines, so one file)."""
     report.write.mode("overwrite").parquet(path + "/table")
-    report.select(F.col("text").alias("value")).write.mode("overwrite").text(path + "/text")
+    back = report.sparkSession.read.parquet(path + "/table")
+    keys = [c for c in ("line", "section", "grp", "metric") if c in back.columns]
+    back.orderBy(*keys).select(F.col("text").alias("value")).coalesce(1).write.mode("overwrite").text(path + "/text")
 
 
 def manifest(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:

@@ -1,8 +1,8 @@
 """Incremental state for batch runs: S12, K7 (streams keep theirs in the checkpoint).
 
 State rows are ``(phase, key, kind, detail, run_id)`` with ``kind`` in done / error / skipped /
-missing. Each save writes a new ``run=<id>`` directory; readers take the newest complete run,
-so a crash mid-write leaves the previous state intact (the reference replaced a JSON file
+missing. Each save writes a new ``run=<id>`` directory and then a ``done=<id>`` marker; readers
+take the newest run that has one, so a crash mid-write leaves the previous state intact (the reference replaced a JSON file
 atomically). Corrupt or absent state means start fresh.
 """
 
@@ -14,8 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pullscope.schemas import STATE
-
-_DONE_FLAG = "_SUCCESS"
+from pullscope.sources.tables import read_or_none
 
 
 def empty_state(spark: SparkSession) -> DataFrame:
@@ -23,19 +22,22 @@ def empty_state(spark: SparkSession) -> DataFrame:
 
 
 def read_state(spark: SparkSession, path: str) -> DataFrame:
-    """Latest complete state; absent or unreadable -> empty state."""
-    try:
-        df = spark.read.schema(STATE).parquet(path + "/run=*")
-    except Exception:  # noqa: BLE001  (absent folder or no complete run)
+    """The newest complete state, read from its own folder only (an empty save is a state too).
+
+    Absent state is empty; unreadable files of it are left out, so collection starts fresh there.
+    """
+    done = read_or_none(spark, f"{path}/done=*", "saved string")
+    newest = done.agg(F.max("saved")).first()[0] if done is not None else None
+    if newest is None:
         return empty_state(spark)
-    runs = df.select(F.max("run_id").alias("_r"))
-    return df.join(runs, df.run_id == runs._r, "left_semi")
+    return spark.read.schema(STATE).option("ignoreCorruptFiles", True).parquet(f"{path}/run={newest}")
 
 
 def write_state(state: DataFrame, path: str, run_id: str | None = None) -> str:
-    """K7: save a new state version (written whole; the Parquet committer marks success)."""
+    """K7: save a new state version whole, then a small marker that it is complete."""
     rid = run_id or time.strftime("%Y%m%dT%H%M%S") + f"{time.time() % 1:.6f}"[1:]
     state.withColumn("run_id", F.lit(rid)).write.mode("overwrite").parquet(f"{path}/run={rid}")
+    state.sparkSession.range(1).select(F.lit(rid).alias("saved")).coalesce(1).write.mode("overwrite").parquet(f"{path}/done={rid}")
     return rid
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,3 +66,14 @@ def read_optional(spark: SparkSession, path: str, schema: T.StructType,
     if required:
         raise FileNotFoundError(f"{path} not found: run the collection first")
     return None
+
+
+def read_or_none(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame | None:
+    """A Parquet folder, or None when it does not exist or holds no file yet; other errors are raised."""
+    try:
+        reader = spark.read if schema is None else spark.read.schema(schema)
+        return reader.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise

@@ -7,24 +7,27 @@ retry pass for error keys. Here:
                     a restart (or ``availableNow`` rerun) only reads new files.
 * T2/T6 pacing   -- ``maxFilesPerTrigger`` bounds each micro-batch.
 * T3 quarantine  -- malformed lines and failed pages go to a dead-letter table (own stream).
-* T4 exactly-once rows -- ``dropDuplicatesWithinWatermark`` on the PR id, and each batch
-                    overwrites its own ``batch=<id>`` directory, so a replayed batch replaces
-                    rather than duplicates.
-* T5 progress    -- counters from ``query.recentProgress`` into a table.
+* T4 exactly-once rows -- a batch is de-duplicated in itself and anti-joined with the ids that
+                    other batches wrote; each batch overwrites its own ``batch=<id>``
+                    directory, so a replayed batch replaces rather than duplicates.
+* T5 progress    -- rows in and written per micro-batch, observed while writing, one small
+                    table folder per batch (kept for all batches).
 * T7 labelling   -- stream-static join with the user dimension + title class (stateless).
-* T8 volume      -- daily counts per source with a watermark, kept in update mode and rolled
-                    up by the latest batch per window.
+* T8 volume      -- partial daily counts per micro-batch, summed on read.
+
+No watermark is used: nothing is dropped however late it lands, and no state store grows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pullscope.functions.scalars import classify_title, to_utc_ts
 from pullscope.operators.labels import label_author, source_of
 from pullscope.sources.payloads import pull_requests_from_json
+from pullscope.sources.tables import read_or_none
 
 
 def read_landed_text(spark: SparkSession, landing_dir: str, max_files: int = 100) -> DataFrame:
@@ -44,26 +47,53 @@ def label_stream(raw: DataFrame, user_dim: DataFrame) -> tuple[DataFrame, DataFr
     return rows, errors
 
 
-def dedupe_stream(df: DataFrame, key: str = "id", ts: str = "created_ts",
-                  delay: str = "3650 days") -> DataFrame:
-    """T4: one row per key even when a payload is delivered twice (within the delay)."""
-    return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
+def new_rows(batch: DataFrame, batch_id: int, out_dir: str, key: str = "id",
+             month: str = "created_month") -> DataFrame:
+    """T4: one row per key of the batch whose key no other batch has written.
+
+    A key's rows share their ``month`` partition, so only the months of the batch are read.
+    Rows of this batch's own earlier attempt do not count (a replay replaces them).
+    """
+    spark = batch.sparkSession
+    once = batch.dropDuplicates([key])
+    written = read_or_none(spark, out_dir)
+    if written is None:
+        return once
+    months = [r[0] for r in batch.select(month).distinct().collect()]  # bounded by the calendar
+    done = written.where((F.col("batch") != batch_id) & F.col(month).isin(months)).select(key)
+    return once.join(done, key, "left_anti")
 
 
 def _batch_writer(out_dir: str):
     def write(batch: DataFrame, batch_id: int) -> None:
         # idempotent per batch: a replay of batch N replaces batch=N
-        batch.write.mode("overwrite").parquet(f"{out_dir}/batch={batch_id}")
+        batch = batch.persist()
+        try:
+            seen = Observation(f"written-{batch_id}")
+            rows = new_rows(batch, batch_id, out_dir)
+            (rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+             .partitionBy("created_month").parquet(f"{out_dir}/batch={batch_id}"))
+            _write_progress(batch.sparkSession, out_dir, batch_id, batch.count(), int(seen.get.get("rows", 0)))
+        finally:
+            batch.unpersist()
     return write
 
 
+def _write_progress(spark: SparkSession, out_dir: str, batch_id: int, rows_in: int, rows_out: int) -> None:
+    row = spark.createDataFrame([(batch_id, rows_in, rows_out)],
+                                "batch_id long, input_rows long, written_rows long")
+    (row.withColumn("ts", F.current_timestamp()).coalesce(1).write.mode("overwrite")
+     .parquet(f"{out_dir}_progress/run={batch_id}"))
+
+
 def ingest_prs(spark: SparkSession, landing_dir: str, user_dim: DataFrame, out_dir: str,
-               checkpoint: str, max_files: int = 100, delay: str = "3650 days",
-               available_now: bool = True) -> StreamingQuery:
-    """T1-T4 + T7: landed PR payloads -> labelled, classified, de-duplicated PR table."""
+               checkpoint: str, max_files: int = 100, available_now: bool = True) -> StreamingQuery:
+    """T1-T4 + T7: landed PR payloads -> labelled, classified, de-duplicated PR table.
+
+    A malformed creation time is kept (``created_ts`` is null)."""
     raw = read_landed_text(spark, landing_dir, max_files)
     rows, _errors = label_stream(raw, user_dim)
-    rows = dedupe_stream(rows, "id", "created_ts", delay)
+    rows = rows.withColumn("created_month", F.coalesce(F.substring("created_at", 1, 7), F.lit("none")))
     w = rows.writeStream.foreachBatch(_batch_writer(out_dir)).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
@@ -89,31 +119,29 @@ def quarantine_stream(spark: SparkSession, landing_dir: str, dead_dir: str, chec
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
-def volume_stream(spark: SparkSession, landing_dir: str, user_dim: DataFrame, out_dir: str,
-                  checkpoint: str, delay: str = "3650 days", max_files: int = 100) -> StreamingQuery:
-    """Daily PR counts per source, updated per micro-batch.
-
-    Rows later than ``delay`` behind the newest event time are dropped (watermark). Each batch
-    appends its updated windows with the batch id; :func:`volume_table` keeps the latest.
-    """
-    raw = read_landed_text(spark, landing_dir, max_files)
-    rows, _ = label_stream(raw, user_dim)
-    agg = (rows.withWatermark("created_ts", delay)
-           .groupBy(F.window("created_ts", "1 day").alias("w"), "source").count())
-
+def _partial_counts(out_dir: str, keys: list[str]):
+    """Write a micro-batch's counts per key as ``batch=<id>``; sums over batches are the totals."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.select(F.date_format(F.col("w.start"), "yyyy-MM-dd").alias("day"), "source",
-                      F.col("count"), F.lit(batch_id).alias("batch_id"))
+        (batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))
          .write.mode("overwrite").parquet(f"{out_dir}/batch={batch_id}"))
+    return write
+
 
-    return (agg.writeStream.outputMode("update").foreachBatch(write)
+def volume_stream(spark: SparkSession, landing_dir: str, user_dim: DataFrame, out_dir: str,
+                  checkpoint: str, max_files: int = 100) -> StreamingQuery:
+    """Daily PR counts per source. Each batch writes its partial counts; :func:`volume_table`
+    sums them, so rows count whenever they land and a replayed batch replaces its own part."""
+    raw = read_landed_text(spark, landing_dir, max_files)
+    rows, _ = label_stream(raw, user_dim)
+    days = rows.select(F.date_format("created_ts", "yyyy-MM-dd").alias("day"), "source")
+    return (days.writeStream.foreachBatch(_partial_counts(out_dir, ["day", "source"]))
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
 def volume_table(spark: SparkSession, out_dir: str) -> DataFrame:
-    """Latest count per (day, source) over all batches (a partial aggregate)."""
+    """Count per (day, source) over all batches (a partial aggregate)."""
     t = spark.read.parquet(out_dir)
-    return t.groupBy("day", "source").agg(F.max_by("count", "batch_id").alias("count"))
+    return t.groupBy("day", "source").agg(F.sum("count").alias("count"))
 
 
 def monthly_from_daily(daily: DataFrame) -> DataFrame:
@@ -124,34 +152,24 @@ def monthly_from_daily(daily: DataFrame) -> DataFrame:
                  F.sum("count").alias("total")))
 
 
-def progress_table(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """T5: per micro-batch counters of a finished or running query (small: one row per batch)."""
-    rows = [(p.get("batchId"), p.get("numInputRows"), p.get("timestamp"),
-             float(p.get("processedRowsPerSecond") or 0.0)) for p in query.recentProgress]
-    return spark.createDataFrame(rows, "batch_id long, input_rows long, ts string, rows_per_second double")
+def progress_table(spark: SparkSession, out_dir: str) -> DataFrame:
+    """T5: rows in and written of every micro-batch that ``ingest_prs`` finished (all batches)."""
+    return spark.read.parquet(f"{out_dir}_progress/run=*").select("batch_id", "input_rows", "written_rows", "ts")
 
 
 def event_volume_stream(spark: SparkSession, source_glob: str, out_dir: str, checkpoint: str,
-                        delay: str = "1 day", max_files: int = 100) -> StreamingQuery:
+                        max_files: int = 100) -> StreamingQuery:
     """T8 over an event table read as a file stream: each event's type is classified like a
-    title (H1) and counted per UTC day and class, with a watermark of ``delay``.
+    title (H1) and counted per UTC day and class; partial counts per micro-batch.
 
     Works on any landing folder of Parquet files with the ``events`` schema."""
     schema = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
     ev = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(source_glob)
-    rows = ev.select(F.col("ts").cast("timestamp").alias("ts"), classify_title("event_type").alias("type"))
-    agg = (rows.withWatermark("ts", delay)
-           .groupBy(F.window("ts", "1 day").alias("w"), "type").count())
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.select(F.date_format(F.col("w.start"), "yyyy-MM-dd").alias("day"), "type",
-                      F.col("count"), F.lit(batch_id).alias("batch_id"))
-         .write.mode("overwrite").parquet(f"{out_dir}/batch={batch_id}"))
-
-    return (agg.writeStream.outputMode("update").foreachBatch(write)
+    rows = ev.select(F.date_format(F.col("ts"), "yyyy-MM-dd").alias("day"), classify_title("event_type").alias("type"))
+    return (rows.writeStream.foreachBatch(_partial_counts(out_dir, ["day", "type"]))
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
 def event_volume_table(spark: SparkSession, out_dir: str) -> DataFrame:
     t = spark.read.parquet(out_dir)
-    return t.groupBy("day", "type").agg(F.max_by("count", "batch_id").alias("count"))
+    return t.groupBy("day", "type").agg(F.sum("count").alias("count"))

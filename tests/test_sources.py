@@ -47,7 +47,7 @@ def test_commit_pages_and_failed_pages(spark):
     rows, bad = payloads.commits_from_json(_lines(spark, objs))
     got = sorted((r["sha"], r["pr_id"], r["author"], r["commit_seq"]) for r in rows.collect())
     assert got == [("a", 1, "Git A", 1), ("b", 1, "Git B", 2), ("z", 1, "zz", 101)]
-    assert [r[0] for r in bad.collect()] == [2]
+    assert [(r["kind"], r["key"]) for r in bad.collect()] == [("page_failed", "2")]
 
 
 def test_detail_payload_defaults(spark):

@@ -66,7 +66,8 @@ def test_progress_table(spark):
     dim = spark.createDataFrame([("bot", "Devin")], "user string, _label string")
     q = ingest.ingest_prs(spark, land, dim, f"{base}/out", f"{base}/ckpt", max_files=1)
     q.awaitTermination()
-    prog = ingest.progress_table(spark, q)
+    prog = ingest.progress_table(spark, f"{base}/out")
+    assert prog.agg(F.sum("written_rows")).first()[0] == 2
     assert prog.agg(F.sum("input_rows")).first()[0] == 2
 
 
@@ -81,3 +82,17 @@ def test_quarantine_stream(spark):
     ingest.quarantine_stream(spark, land, f"{base}/dead", f"{base}/ckpt").awaitTermination()
     got = sorted((r["kind"], r["repo"]) for r in spark.read.parquet(f"{base}/dead").collect())
     assert got == [("malformed", None), ("page_failed", "o/r")]
+
+
+def test_late_rows_are_kept_and_malformed_times_do_not_stop_the_stream(spark):
+    base = tempfile.mkdtemp(prefix="ps-late-")
+    land = f"{base}/land"
+    times = ["2025-01-20T00:00:00Z", "2025-01-21T00:00:00Z", "2012-01-01T00:00:00Z", "not a time", "2025-01-22T00:00:00Z"]
+    for k, ts in enumerate(times):
+        _write(land, f"f{k}.json", [_pr(k, "x", "t", ts), _pr(0, "x", "t", times[0])])
+    dim = spark.createDataFrame([("bot", "Devin")], "user string, _label string")
+    ingest.ingest_prs(spark, land, dim, f"{base}/out", f"{base}/ck1", max_files=1).awaitTermination()
+    assert sorted(r["id"] for r in spark.read.parquet(f"{base}/out").collect()) == [0, 1, 2, 3, 4]
+    ingest.volume_stream(spark, land, dim, f"{base}/vol", f"{base}/ck2", max_files=1).awaitTermination()
+    got = {r["day"]: r["count"] for r in ingest.volume_table(spark, f"{base}/vol").collect()}
+    assert got == {"2025-01-20": 6, "2025-01-21": 1, "2012-01-01": 1, None: 1, "2025-01-22": 1}
