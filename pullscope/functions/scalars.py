@@ -102,10 +102,18 @@ def final_name(full_name, html_url, repo_url) -> Column:
                       repo_from_url(repo_url), F.lit("Unknown"))
 
 
+#: White space of Python's ``str.split()`` other than the blank, by code point ranges.
+_WHITE_SPACE = "".join(chr(c) for a, b in [(0x09, 0x0D), (0x1C, 0x1F), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680),
+                                           (0x2000, 0x200A), (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F),
+                                           (0x3000, 0x3000)] for c in range(a, b + 1))
+
+
 def word_count(text) -> Column:
-    """H5: number of white-space separated tokens as Python's ``str.split()`` counts them."""
-    return F.coalesce(F.regexp_count(col_(text), F.lit("(?U)[^\\s\\x{1c}-\\x{1f}]+")),
-                      F.lit(0)).cast("long")
+    """H5: number of white-space separated tokens as Python's ``str.split()`` counts them.
+
+    Every kind of white space becomes a blank, so the text is cut at one character (no pattern)."""
+    blank = F.translate(F.coalesce(col_(text), F.lit("")), _WHITE_SPACE, " " * len(_WHITE_SPACE))
+    return F.size(F.filter(F.split(blank, " "), lambda t: t != "")).cast("long")
 
 
 def to_utc_ts(iso) -> Column:

@@ -32,9 +32,9 @@ def attach_source(stats: DataFrame, prs: DataFrame, key: str = "pr_id") -> DataF
 
 
 def median_by_source(stats: DataFrame, metrics: Sequence[str] = CHANGE_METRICS,
-                     method: str = "map", empty_as_zero: bool = True) -> DataFrame:
+                     method: str = "distributed", empty_as_zero: bool = True) -> DataFrame:
     """A4: median of each metric per source; a source with no rows gives 0.
-    ``method`` as in :func:`reports.medians_by` (counts: the exact map-based median)."""
+    ``method`` as in :func:`reports.medians_by`."""
     spark = stats.sparkSession
     agg = medians_by(stats, ["source"], list(metrics), method)
     out = sources_frame(spark).join(agg, "source", "left")
@@ -66,7 +66,7 @@ def revised_prs(prs: DataFrame, commits: DataFrame) -> DataFrame:
     return m.where(F.col("num_commits") > 1).select("pr_id", "source", "num_commits")
 
 
-def revised_summary(prs: DataFrame, commits: DataFrame, method: str = "map") -> DataFrame:
+def revised_summary(prs: DataFrame, commits: DataFrame, method: str = "distributed") -> DataFrame:
     """Number of revised PRs and their median commit count per source."""
     spark = prs.sparkSession
     agg = (revised_prs(prs, commits).groupBy("source")

@@ -24,56 +24,67 @@ def sources_frame(spark: SparkSession, values: Sequence[str] = SOURCES, name: st
 
 def median_by(df: DataFrame, keys: Sequence[str], value: str, out: str = "median",
               buckets: int = 128) -> DataFrame:
-    """Exact (interpolated, as pandas) median of ``value`` per group, fully distributed.
+    """Exact (interpolated, as pandas) median of ``value`` per group, fully distributed."""
+    return quantiles_by(df, keys, value, [0.5], [out], buckets)
+
+
+def quantiles_by(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
+                 names: Sequence[str], buckets: int = 128) -> DataFrame:
+    """Exact (linearly interpolated) quantiles of ``value`` per group, fully distributed.
 
     No task ever holds all values of a group, even when one group holds a third of the rows:
 
     1. a bounded-memory quantile sketch per group (``percentile_approx``) gives ``buckets - 1``
        cut points; each distinct value goes to the bucket of the cut points below it
        (order-preserving, about N/buckets rows per bucket);
-    2. counts per (group, bucket) and a running sum over the (few) buckets locate the one or two
-       buckets holding the middle positions floor((N+1)/2) and floor(N/2)+1;
-    3. only those buckets are ranked exactly; the median is the mean of the two middle values.
+    2. counts per (group, bucket) and a running sum over the (few) buckets locate the buckets that
+       hold the positions on both sides of each quantile;
+    3. only those buckets are ranked exactly, and the two values are interpolated.
 
     The sketch only chooses the buckets, so the result is exact whatever its accuracy.
     """
     keys = list(keys)
     if not keys:
-        raise ValueError("median_by needs at least one group key")
+        raise ValueError("quantiles_by needs at least one group key")
     base = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
     cnt = base.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
     # cut points over the distinct values: each bucket gets about the same number of distinct
     # values, which is what the exact ranking step has to sort
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = cnt.groupBy(*keys).agg(F.percentile_approx("_v", probs, 10 * buckets).alias("_cuts"),
+    cuts = [i / buckets for i in range(1, buckets)]
+    bounds = cnt.groupBy(*keys).agg(F.percentile_approx("_v", cuts, 10 * buckets).alias("_cuts"),
                                     F.sum("_c").alias("_n"))
     cb = cnt.join(bounds, keys).withColumn(
         "_bk", F.size(F.filter("_cuts", lambda x: x < F.col("_v")))).drop("_cuts")
-    lo, hi = F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1
+    at = [(F.col("_n") - 1) * F.lit(float(p)) for p in probs]  # 0-based place of each quantile
+    ends = [(F.floor(x) + 1, F.ceil(x) + 1) for x in at]
     per_b = cb.groupBy(*keys, "_bk").agg(F.sum("_c").alias("_bc"), F.first("_n").alias("_n"))
     incl = F.sum("_bc").over(Window.partitionBy(*keys).orderBy("_bk")
                              .rowsBetween(Window.unboundedPreceding, 0))
     per_b = per_b.withColumn("_incl", incl).withColumn("_before", F.col("_incl") - F.col("_bc"))
-    hit = lambda p: (F.col("_before") < p) & (p <= F.col("_incl"))
-    chosen = per_b.where(hit(lo) | hit(hi)).select(*keys, "_bk", "_before")
+    hit = F.lit(False)
+    for pair in ends:
+        for p in pair:
+            hit = hit | ((F.col("_before") < p) & (p <= F.col("_incl")))
+    chosen = per_b.where(hit).select(*keys, "_bk", "_before")
     inb = cb.join(chosen, keys + ["_bk"])
     run = Window.partitionBy(*keys, "_bk").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     inb = inb.withColumn("_cum", F.col("_before") + F.sum("_c").over(run))
-    agg = inb.groupBy(*keys).agg(F.min(F.when(F.col("_cum") >= lo, F.col("_v"))).alias("_a"),
-                                 F.min(F.when(F.col("_cum") >= hi, F.col("_v"))).alias("_b"))
-    return agg.select(*keys, ((F.col("_a") + F.col("_b")) / 2.0).alias(out))
+    found = [F.min(F.when(F.col("_cum") >= p, F.col("_v"))).alias(f"_{side}{i}")
+             for i, pair in enumerate(ends) for side, p in zip("ab", pair)]
+    agg = inb.groupBy(*keys).agg(F.first("_n").alias("_n"), *found)
+    return agg.select(*keys, *[(F.col(f"_a{i}") + (x - F.floor(x)) * (F.col(f"_b{i}") - F.col(f"_a{i}"))).alias(name)
+                               for i, (x, name) in enumerate(zip(at, names))])
 
 
 def medians_by(df: DataFrame, keys: Sequence[str], metrics: Sequence[str],
-               method: str = "map") -> DataFrame:
+               method: str = "distributed") -> DataFrame:
     """Medians of several metrics per group.
 
     ``method``:
+      * ``"distributed"`` (default) -- :func:`median_by` for every metric in one pipeline (unpivot to
+        (keys, metric, value), pivot back); no task holds a group's values;
       * ``"map"`` -- Spark's exact ``median`` (partial value->count maps merged per group);
-        memory per group is bounded by the number of *distinct* values, so this is the choice
-        for counts (files, lines, commits, words);
-      * ``"distributed"`` -- :func:`median_by` for every metric in one pipeline (unpivot to
-        (keys, metric, value), pivot back), for high-cardinality values;
+        memory per group grows with the number of *distinct* values;
       * ``"approx"`` -- ``percentile_approx``.
     """
     if method == "distributed":
@@ -119,9 +130,8 @@ def merge_rate_sets(prs: DataFrame) -> DataFrame:
 
 
 # ---- A8 / A9 -----------------------------------------------------------------------------
-def description_length(prs: DataFrame, method: str = "map") -> DataFrame:
-    """Median words of the body per source (null when a source has no PRs).
-    Word counts have few distinct values, so the exact map-based median is the default."""
+def description_length(prs: DataFrame, method: str = "distributed") -> DataFrame:
+    """Median words of the body per source (null when a source has no PRs)."""
     spark = prs.sparkSession
     words = prs.select("source", word_count("body").alias("desc_words"))
     agg = medians_by(words, ["source"], ["desc_words"], method).withColumnRenamed(

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pullscope.functions.mathx import chi2_sf_1df, normal_sf
+from pullscope.operators.reports import quantiles_by
 
 ALPHA = 0.05
 
@@ -42,19 +43,21 @@ def chi2_merge_rate(prs: DataFrame, group_col: str = "source", a: str = "agent",
 
 
 # ---- A22 + W1 ----------------------------------------------------------------------------
-def rank_table(df: DataFrame, value: str, group_col: str, a: str, bucket_width: int = 64) -> DataFrame:
+def rank_table(df: DataFrame, value: str, group_col: str, a: str, buckets: int = 128) -> DataFrame:
     """Mid-rank of every distinct value, with per-group counts.
 
-    Two-level prefix sum: counts per distinct value, totals per value bucket, a running sum
-    over the (few) buckets, then a running sum inside each bucket partition. No window ever
-    spans all distinct values in one task.
+    Two-level prefix sum: counts per distinct value, totals per bucket between ``buckets - 1`` cut
+    points of a quantile sketch over the distinct values, a running sum over these buckets
+    (``buckets`` rows, whatever the range of values), then a running sum inside each bucket
+    partition. No window ever spans all distinct values in one task.
     """
     v = F.col(value)
     cnt = (df.where(v.isNotNull()).groupBy(v.alias("v"))
            .agg(F.count_if(F.col(group_col) == a).alias("na"),
                 F.count_if(F.col(group_col) != a).alias("nb"),
                 F.count(F.lit(1)).alias("t")))
-    cnt = cnt.withColumn("bucket", F.floor(F.col("v") / F.lit(bucket_width)))
+    cuts = cnt.agg(F.percentile_approx("v", [i / buckets for i in range(1, buckets)], 10 * buckets).alias("c")).scalar()
+    cnt = cnt.withColumn("_cuts", cuts).withColumn("bucket", F.size(F.filter("_cuts", lambda x: x < F.col("v")))).drop("_cuts")
     btot = cnt.groupBy("bucket").agg(F.sum("t").alias("bt"))
     boff = btot.withColumn("boff", F.coalesce(F.sum("bt").over(
         Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("bt")
@@ -152,9 +155,7 @@ def violin(df: DataFrame, value: str, group_col: str = "source", log: bool = Tru
     vals = df.where(F.col(value).isNotNull()).select(F.col(group_col).alias("grp"), x.alias("x"))
     cnt = vals.groupBy("grp", "x").agg(F.count(F.lit(1)).alias("n"))
     st = (vals.groupBy("grp").agg(F.count(F.lit(1)).alias("n_all"), F.min("x").alias("lo"),
-                                  F.max("x").alias("hi"), F.stddev_samp("x").alias("sd"),
-                                  F.percentile(F.col("x"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-                                  .alias("q"))
+                                  F.max("x").alias("hi"), F.stddev_samp("x").alias("sd"))
           .withColumn("h", F.col("sd") * F.pow(F.col("n_all").cast("double"), -0.2) * bw_adjust))
     j = cnt.join(st.select("grp", "n_all", "lo", "hi", "h"), "grp")
     j = j.select("grp", "x", "n", "n_all", "lo", "hi", "h",
@@ -169,6 +170,5 @@ def violin(df: DataFrame, value: str, group_col: str = "source", log: bool = Tru
                        F.try_divide(F.col("_s"), F.col("n_all") * F.col("h") * math.sqrt(2 * math.pi)).alias("density"))
     w = Window.partitionBy("grp")
     dens = dens.withColumn("density_scaled", F.try_divide(F.col("density"), F.max("density").over(w)))
-    box = st.select("grp", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
-                    F.col("q")[2].alias("q3"))
+    box = quantiles_by(vals, ["grp"], "x", [0.25, 0.5, 0.75], ["q1", "median", "q3"])
     return dens.join(box, "grp").withColumnRenamed("grp", group_col)

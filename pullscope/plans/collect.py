@@ -7,20 +7,31 @@ lazy DataFrame. ``run_collect`` writes the five tables (K1) and returns the mani
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from pullscope.operators.details import (assemble_details, attach_patch, attach_status, commit_totals,
                                          expand_to_prs)
 from pullscope.operators.labels import (attach_repo_id, filter_created, label_author, repo_id_dim,
-                                        user_agent_dim)
+                                        target_repos, user_agent_dim)
 from pullscope.sources.gittext import details_from_log, patches_from_diff, statuses_from_listing
 from pullscope.sources.payloads import details_from_json, pull_requests_from_json
 
 
 def pull_requests_from_payloads(raw: DataFrame, repos: DataFrame, agent_baseline: DataFrame,
                                 date_from: str, date_to: str,
-                                baseline_order: str = "id") -> tuple[DataFrame, DataFrame]:
-    """S6 -> F2 -> J3 -> J2: PR payloads to the labelled PR table, plus the error keys."""
+                                baseline_order: str = "id", only_targets: bool = False
+                                ) -> tuple[DataFrame, DataFrame]:
+    """S6 -> F2 -> J3 -> J2: PR payloads to the labelled PR table, plus the error keys.
+
+    With ``only_targets`` PRs are taken from, and names mapped to ids over, the repositories that hold an
+    agent PR of the baseline (J1), as a collection that lists only those does. ``baseline_order``
+    may be the stored row order (``sampling.with_stored_order``).
+    """
     rows, errors = pull_requests_from_json(raw)
+    if only_targets:
+        repos = target_repos(repos, agent_baseline)
+        names = repos.select(F.col("full_name").alias("repo_name")).where("repo_name is not null").distinct()
+        rows = rows.join(names, "repo_name", "left_semi")
     prs = filter_created(rows, date_from, date_to)
     prs = attach_repo_id(prs, repo_id_dim(repos))
     prs = label_author(prs, user_agent_dim(agent_baseline, baseline_order))
@@ -53,8 +64,6 @@ def details_git_or_api(log_docs: DataFrame, status_docs: DataFrame, diff_docs: D
     attached last. Returns the rows, with ``detail_source`` (git / api), and the shas of the
     bridge in neither source.
     """
-    from pyspark.sql import functions as F
-
     from pullscope.schemas import COMMIT_DETAILS
     keep = shas.select("sha")
     log = details_from_log(log_docs).join(keep, "sha", "left_semi")
@@ -75,7 +84,6 @@ def details_git_or_api(log_docs: DataFrame, status_docs: DataFrame, diff_docs: D
 
 def split_by_agent(prs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """the agent and human PR tables of the collector's output."""
-    from pyspark.sql import functions as F
     return prs.where(F.col("is_agent")), prs.where(~F.col("is_agent"))
 
 

@@ -20,6 +20,7 @@ _TITLE_CASE = "CASE o_orderkey % 16 " + " ".join(
 _AGENT_CASE = "CASE o_orderpriority " + " ".join(
     f"WHEN {_q(p)} THEN {_q(a)}" for p, a in PRIORITY_AGENT) + " END"
 _SEGS = ", ".join(_q(s) for s in AGENT_SEGMENTS)
+IN_WINDOW = f"created_at >= '{WINDOW_FROM}' AND created_at <= '{WINDOW_TO}T23:59:59Z'"
 ISO = "'%Y-%m-%dT%H:%M:%SZ'"
 FIX_RE = (r"(?i)\b(fix(es|ed|ing)?|bug\s*fix|hotfix|bug|patch|resolv(e[ds]?|ing)|error|"
           r"crash(es|ed|ing)?|defect|regression|broken)\b")
@@ -81,7 +82,6 @@ pr AS (
   FROM raw_pr r
   LEFT JOIN repo_dim d ON r.repo_name = d.rname
   LEFT JOIN user_agent ua ON r.login = ua.login
-  WHERE r.created_at >= '{WINDOW_FROM}' AND r.created_at <= '{WINDOW_TO}T23:59:59Z'
 ),
 cls AS (
   SELECT pr.*, CASE WHEN coalesce(regexp_matches(title, '{FIX_RE}'), false) THEN 'fix' ELSE 'other' END AS type,
@@ -409,4 +409,4 @@ ORACLE["target_repos"] = with_ctes("SELECT * FROM repo WHERE id IN (SELECT repo_
 ORACLE["user_agent_labels"] = with_ctes('SELECT login AS "user", label AS agent FROM user_agent')
 ORACLE["pull_requests"] = with_ctes(
     'SELECT id, number, title, login AS "user", user_id, state, created_at, closed_at, merged_at, repo_id, '
-    'repo_url, repo_name, html_url, is_agent, agent FROM pr')
+    f'repo_url, repo_name, html_url, is_agent, agent FROM pr WHERE {IN_WINDOW}')

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pullscope.plans.oracle import ORACLE, with_ctes, _COMMIT_COUNTS, _PR_STATS, _REV_BY_SOURCE
+from pullscope.plans.oracle import IN_WINDOW, ORACLE, with_ctes, _COMMIT_COUNTS, _PR_STATS, _REV_BY_SOURCE
 
 _AGENTS = "('Devin', 'Copilot', 'Cursor', 'Claude_Code')"
 
@@ -10,6 +10,11 @@ ORACLE_MORE: dict[str, str] = {}
 ORACLE_MORE["prs_from_json"] = ORACLE["pull_requests"]
 ORACLE_MORE["commits_from_json"] = with_ctes(
     "SELECT sha, pr_id, author, committer, message, commit_seq FROM cm WHERE pr_id % 101 <> 3")
+ORACLE_MORE["target_repo_prs"] = with_ctes(f"""
+SELECT p.id, p.repo_name, t.id AS repo_id FROM (SELECT * FROM pr WHERE {IN_WINDOW}) p
+JOIN (SELECT full_name, max(id) AS id FROM repo WHERE full_name IS NOT NULL AND id IN (SELECT repo_id FROM base WHERE agent IN {_AGENTS})
+      GROUP BY full_name) t ON p.repo_name = t.full_name
+""")
 ORACLE_MORE["commit_errors"] = with_ctes("""
 SELECT DISTINCT 'page_failed' AS kind, CAST(pr_id AS VARCHAR) AS key FROM cm WHERE pr_id % 101 = 3
 UNION ALL SELECT 'empty', CAST(-id AS VARCHAR) FROM raw_pr WHERE id % 103 = 4
@@ -117,7 +122,7 @@ ORACLE_MORE["violin_revisions"] = _violin(
     "SELECT source AS grp, least(CAST(num_commits AS DOUBLE), least(50.0, (SELECT max(num_commits) FROM rev))) AS x "
     "FROM rev", _COMMIT_COUNTS)
 ORACLE_MORE["ingest_stream_prs"] = with_ctes(
-    'SELECT id, title, login AS "user", created_at, merged_at, is_agent, agent, type, source FROM cls')
+    f'SELECT id, title, login AS "user", created_at, merged_at, is_agent, agent, type, source FROM cls WHERE {IN_WINDOW}')
 ORACLE_MORE["volume_stream_daily"] = with_ctes("""
 SELECT substr(r.created_at, 1, 10) AS day,
        CASE WHEN ua.label IS NOT NULL THEN 'agent' ELSE 'human' END AS source, count(*) AS count

@@ -91,7 +91,7 @@ def q_commit_details(spark, d):
 @register("pull_requests")
 def q_pull_requests(spark, d):
     """F2 + J2 + J3 + H15: the collector's PR table (without body)."""
-    return fx.pull_requests(spark, d).drop("body")
+    return fx.pull_requests(spark, d, window=(fx.WINDOW_FROM, fx.WINDOW_TO)).drop("body")
 
 
 @register("target_repos")

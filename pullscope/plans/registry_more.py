@@ -30,6 +30,15 @@ def q_prs_from_json(spark, d):
     return prs.select(*PR_OUT)
 
 
+@register("target_repo_prs")
+def q_target_repo_prs(spark, d):
+    """J1 in the PR flow: PRs of repositories that hold an agent PR, ids mapped over those only."""
+    prs, _errors = pull_requests_from_payloads(
+        landed.pr_payloads(spark, d), fx.repository(spark, d),
+        labels.filter_agents(fx.baseline(spark, d)), fx.WINDOW_FROM, fx.WINDOW_TO, only_targets=True)
+    return prs.select("id", "repo_name", "repo_id")
+
+
 @register("commits_from_json")
 def q_commits_from_json(spark, d):
     """S7 + S14 + H13: commit-list pages -> commits with stored order."""

@@ -6,7 +6,7 @@ is derived, by Spark, from a driver table whose size grows with the scale factor
 =================  ==================================================================
 all_pull_request   agent PRs of the baseline: orders of customers in two segments
 repository         repository metadata: one row per customer with a non-negative balance
-pull_requests      every order in the collection window, labelled by J2/J3
+pull_requests      every order, labelled by J2/J3 (a collection window is an argument)
 commits            one commit per lineitem row (sha from part and supplier)
 commit_details     the files of each commit (derived from the sha's part/supplier),
                    commit totals (A5) and the fan-out to PRs (J12)
@@ -135,10 +135,9 @@ def _build_raw_prs(spark: SparkSession, sf_dir: str, with_body: bool = False) ->
 
 
 def _build_pull_requests(spark: SparkSession, sf_dir: str, with_body: bool = False) -> DataFrame:
-    """``pull_requests``: window filter (F2), repository id (J3), author label."""
+    """``pull_requests``: every order, with repository id (J3) and author label."""
     raw = raw_prs(spark, sf_dir) if STORE and not with_body else _build_raw_prs(spark, sf_dir, with_body)
-    prs = filter_created(raw, WINDOW_FROM, WINDOW_TO)
-    prs = attach_repo_id(prs, repo_id_dim(repository(spark, sf_dir)))
+    prs = attach_repo_id(raw, repo_id_dim(repository(spark, sf_dir)))
     prs = label_author(prs, user_agent_dim(filter_agents(baseline(spark, sf_dir))))
     cols = ["id", "number", "title", "body", "user", "user_id", "state", "created_at",
             "closed_at", "merged_at", "repo_id", "repo_url", "repo_name", "html_url",
@@ -283,9 +282,12 @@ def raw_prs(spark: SparkSession, sf_dir: str, with_body: bool = False) -> DataFr
     return _with_body(spark, sf_dir, prs).select(*prs.columns) if with_body else prs
 
 
-def pull_requests(spark: SparkSession, sf_dir: str, with_body: bool = False) -> DataFrame:
-    """``pull_requests``: window filter (F2), repository id (J3), author label."""
+def pull_requests(spark: SparkSession, sf_dir: str, with_body: bool = False,
+                  window: tuple[str, str] | None = None) -> DataFrame:
+    """``pull_requests``: repository id (J3), author label (J2); only those created in ``window`` (F2)
+    when it is given."""
     prs = stored(spark, sf_dir, "pull_requests", lambda: _build_pull_requests(spark, sf_dir, False))
+    prs = prs if window is None else filter_created(prs, *window)
     return _with_body(spark, sf_dir, prs).select(*prs.columns) if with_body else prs
 
 
