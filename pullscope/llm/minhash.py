@@ -263,7 +263,15 @@ def near_dedup(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, coor
     rest = _across(unsettled, sets, percent, folder)
     more = _confirmed(rest.join(stars, ["a", "b"], "left_anti"), classes, sets, coordinates, matches, percent,
                       f"{folder}/links-2")
-    nodes = stored(components(links.union(more), f"{folder}/roots-2"), f"{folder}/nodes")
+    nodes = roots.toDF("rid", "root")
+    if not more.isEmpty():  # the links found last join whole components: only their roots are gone through again
+        at_root = roots.toDF("id", "root")
+        ends = (more.join(at_root.toDF("a", "root_a"), "a", "left").join(at_root.toDF("b", "root_b"), "b", "left")
+                .select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")))
+        joined = components(ends, f"{folder}/roots-2").toDF("old", "new")
+        every = nodes.union(ends.select(F.explode(F.array("a", "b")).alias("rid"), "rid")).distinct()
+        nodes = stored(every.join(joined, every["root"] == joined["old"], "left")
+                       .select("rid", F.coalesce("new", "root").alias("root")), f"{folder}/nodes")
     rooted = groups.join(nodes.toDF("rid", "root"), "rid", "left").withColumn("root", F.coalesce("root", "rid"))
     best = F.min(F.struct(F.col("class_id").isNull().alias("none"), F.col("class_id").alias("id"), F.col("rid").alias("rid")))
     heads = rooted.groupBy("root").agg(best.alias("best")).select("root", F.col("best.id").alias("component_id"),
