@@ -30,6 +30,18 @@ def chi2_merge_rate(prs: DataFrame, group_col: str = "source", a: str = "agent",
                     F.count_if((g == a) & ~m).cast("double").alias("b"),
                     F.count_if((g == b) & m).cast("double").alias("c"),
                     F.count_if((g == b) & ~m).cast("double").alias("d"))
+    return _chi2(cells)
+
+
+def chi2_of_counts(counts: DataFrame, total: str = "total", merged: str = "merged", group_col: str = "source",
+                   a: str = "agent", b: str = "human") -> DataFrame:
+    """A21 from one row per group with its merged and total counts."""
+    g, m, n = F.col(group_col), F.col(merged), F.col(total)
+    return _chi2(counts.agg(*[F.coalesce(F.sum(F.when(g == who, x)), F.lit(0)).cast("double").alias(name)
+                              for who, x, name in ((a, m, "a"), (a, n - m, "b"), (b, m, "c"), (b, n - m, "d"))]))
+
+
+def _chi2(cells: DataFrame) -> DataFrame:
     A, B, C, D = (F.col(x) for x in "abcd")
     n = A + B + C + D
     chi2 = F.when(F.least(A, B, C, D) > 0,

@@ -143,16 +143,19 @@ def _report_sql() -> str:
     parts = [
         _unpivot("overview", O["overview"], None,
                  ["prs", "agent_prs", "human_prs", "repositories", "commits", "unique_authors"]),
+        _unpivot("overview", "SELECT replace(substr(min(created_at), 1, 10), '-', '') AS date_from, "
+                 "replace(substr(max(created_at), 1, 10), '-', '') AS date_to FROM ("
+                 + with_ctes("SELECT created_at FROM fixpr") + ") f", None, ["date_from", "date_to"]),
         _unpivot("agent_breakdown", O["agent_breakdown"], "agent", ["count"]),
         _unpivot("change_size", O["change_size_by_source"], "source", ["files_changed", "lines_added", "lines_deleted"]),
         _unpivot("description_length", O["description_length"], "source", ["median_desc_words"]),
         _unpivot("merge_rate", O["merge_rate_by_source"], "source", ["merged", "total", "merge_rate"]),
-        _unpivot("merge_rate_test", O["merge_rate_chi2"], None, ["chi2", "p_value"]),
+        _unpivot("merge_rate_test", O["merge_rate_chi2"], None, ["chi2", "p_value", "significant"]),
         _unpivot("merge_rate_by_agent", O["merge_rate_by_agent"], "agent", ["merged", "total", "merge_rate"]),
         _unpivot("time_to_merge", O["time_to_merge"], "source", ["merged", "median_hours"]),
         _unpivot("single_commit", O["single_commit_rate"], "source", ["single", "merged_with_commits", "single_pct"]),
         _unpivot("revised", O["revised_summary"], "source", ["revised", "median_commits"]),
-        _unpivot("revisions_test", O["mann_whitney_revisions"], None, ["u_statistic", "p_value"]),
+        _unpivot("revisions_test", O["mann_whitney_revisions"], None, ["u_statistic", "p_value", "significant"]),
         _unpivot("revision_size", O["revision_size_by_source"], "source",
                  ["rev_files_changed", "rev_lines_added", "rev_lines_deleted"]),
         _unpivot("state", f"SELECT concat_ws('/', source, state) AS g, count FROM ({O['state_breakdown']}) s",
