@@ -38,6 +38,16 @@ def pull_requests_from_payloads(raw: DataFrame, repos: DataFrame, agent_baseline
     return prs, errors
 
 
+def retry_pull_requests(second: DataFrame, errors: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The one retry pass. ``second`` holds the lines delivered when the listings were asked for
+    again; only repositories among the error keys are taken. Returns their rows and what still fails.
+    """
+    rows, still = pull_requests_from_json(second)
+    keys = errors.where(F.col("kind").isin("page_failed", "no_id")).select(F.col("key").alias("repo_name")).distinct()
+    failing = still.join(keys.withColumnRenamed("repo_name", "key"), "key", "left_semi")
+    return rows.join(keys, "repo_name", "left_semi"), failing
+
+
 def details_from_git(log_docs: DataFrame, status_docs: DataFrame, diff_docs: DataFrame | None,
                      bridge: DataFrame, shas: DataFrame | None = None) -> DataFrame:
     """S9 + S10 (J14) + S11 (J15) + A5 + J12: git text to ``commit_details``.

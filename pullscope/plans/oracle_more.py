@@ -15,6 +15,20 @@ SELECT p.id, p.repo_name, t.id AS repo_id FROM (SELECT * FROM pr WHERE {IN_WINDO
 JOIN (SELECT full_name, max(id) AS id FROM repo WHERE full_name IS NOT NULL AND id IN (SELECT repo_id FROM base WHERE agent IN {_AGENTS})
       GROUP BY full_name) t ON p.repo_name = t.full_name
 """)
+ORACLE_MORE["chunks_merged"] = with_ctes("SELECT id, repo_name, title, agent FROM pr")
+ORACLE_MORE["state_remaining"] = with_ctes("""
+SELECT 'remaining' AS kind, repo_name AS key FROM raw_pr GROUP BY repo_name HAVING min(user_id) % 3 <> 0
+UNION ALL SELECT 'retry', repo_name FROM raw_pr GROUP BY repo_name HAVING min(user_id) % 5 = 1
+""")
+ORACLE_MORE["retry_prs"] = with_ctes("""
+SELECT id, repo_name, state FROM raw_pr WHERE repo_name IN (SELECT repo_name FROM raw_pr WHERE id % 97 = 5 OR id % 89 = 7)
+""")
+ORACLE_MORE["capped_patches"] = with_ctes("""
+SELECT strlen(patch) > 18 AS patch_capped, count(*) AS patches, count_if(strlen(patch) <= 18) AS kept
+FROM (SELECT DISTINCT sha, filename, patch FROM flp WHERE filename IS NOT NULL) GROUP BY 1
+""")
+ORACLE_MORE["repo_slugs"] = with_ctes("SELECT replace(repo_name, '/', '__') AS slug, count(*) AS prs FROM raw_pr GROUP BY 1")
+ORACLE_MORE["first_prs"] = with_ctes("SELECT id, title, repo_name FROM raw_pr ORDER BY id LIMIT 10")
 ORACLE_MORE["commit_errors"] = with_ctes("""
 SELECT DISTINCT 'page_failed' AS kind, CAST(pr_id AS VARCHAR) AS key FROM cm WHERE pr_id % 101 = 3
 UNION ALL SELECT 'empty', CAST(-id AS VARCHAR) FROM raw_pr WHERE id % 103 = 4

@@ -9,7 +9,7 @@ from pullscope.operators import details as det
 from pullscope.operators import labels, quality, sampling, stats
 from pullscope.operators import facts
 from pullscope.plans.collect import (details_from_git, details_git_or_api,
-                                     pull_requests_from_payloads)
+                                     pull_requests_from_payloads, retry_pull_requests)
 from pullscope.plans.registry import _fix, register
 from pullscope.sources import fixtures as fx
 from pullscope.sources import landed
@@ -121,6 +121,68 @@ def q_sha_repo(spark, d):
     return m
 
 
+# ---- chunks, state, retry ------------------------------------------------------------------
+@register("chunks_merged")
+def q_chunks(spark, d):
+    """K2 + K3 + S5: PRs written as one partition per repository, merged into one table, read back."""
+    from pullscope.schemas import PULL_REQUESTS
+    from pullscope.sources.sinks import compact, write_chunks
+    base = _landing(spark, "chunks")
+    write_chunks(fx.pull_requests(spark, d), f"{base}/chunks")
+    compact(spark, f"{base}/chunks", f"{base}/table", PULL_REQUESTS)
+    return spark.read.parquet(f"{base}/table").select("id", "repo_name", "title", "agent")
+
+
+@register("state_remaining")
+def q_state(spark, d):
+    """K7 + S12 + J10 + J11: repositories saved as done or failed; of all, how many remain and how many are
+    tried again. An older state with other keys must not count."""
+    from pullscope.sources import state as st
+    base = _landing(spark, "state")
+    repos = fx.raw_prs(spark, d).groupBy("repo_name").agg(F.min("user_id").alias("u"))
+    row = lambda kind: [F.lit("prs").alias("phase"), F.col("repo_name").alias("key"), F.lit(kind).alias("kind"),
+                        F.lit(None).cast("string").alias("detail"), F.lit("").alias("run_id")]
+    st.write_state(repos.select(*row("done")), base, "1")
+    done, failed = repos.where(F.col("u") % 3 == 0).select(*row("done")), repos.where(F.col("u") % 5 == 1).select(*row("error"))
+    st.write_state(done.unionByName(failed), base, "2")
+    saved, keys = st.read_state(spark, base), repos.select(F.col("repo_name").alias("key"))
+    return (st.remaining(keys, saved).select(F.lit("remaining").alias("kind"), "key")
+            .unionByName(st.retry_set(keys, saved).select(F.lit("retry").alias("kind"), "key")))
+
+
+@register("retry_prs")
+def q_retry(spark, d):
+    """Repositories whose first listing had a failed page, listed again; rows of the second delivery."""
+    first = landed.pr_payloads(spark, d)
+    _rows, errors = pull_requests_from_json(first)
+    again, _still = retry_pull_requests(first.where(~F.col("value").contains('"page_failed":true')), errors)
+    return again.select("id", "repo_name", "state")
+
+
+@register("capped_patches")
+def q_capped(spark, d):
+    """S11 + H12: patches under an explicit cap of 18 bytes; longer ones are null and marked."""
+    from pullscope.sources.gittext import patches_from_diff
+    _log, _status, diff = landed.git_docs(spark, d)
+    p = patches_from_diff(diff, max_bytes=18, flag_capped=True)
+    return p.groupBy("patch_capped").agg(F.count(F.lit(1)).alias("patches"), F.count("patch").alias("kept"))
+
+
+@register("repo_slugs")
+def q_slugs(spark, d):
+    """File-name form of every repository name, with its number of PRs."""
+    from pullscope.functions.scalars import repo_slug
+    return fx.raw_prs(spark, d).groupBy(repo_slug("repo_name").alias("slug")).agg(F.count(F.lit(1)).alias("prs"))
+
+
+@register("first_prs")
+def q_first(spark, d):
+    """L3: the first ten PRs in stored order of a table written sorted by id."""
+    base = _landing(spark, "first")
+    fx.raw_prs(spark, d).orderBy("id").coalesce(1).write.parquet(base)
+    return sampling.head_in_order(sampling.with_stored_order(spark.read.parquet(base)), 10).select("id", "title", "repo_name")
+
+
 # ---- quality, sampling, shapes -------------------------------------------------------------
 @register("validation_month")
 def q_validation_month(spark, d):
