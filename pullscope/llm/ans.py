@@ -32,9 +32,11 @@ from pyspark.sql import functions as F
 from pullscope.llm import text as T
 from pullscope.llm.tokenise import encoder
 
-SEGMENT = 1 << 21
+SEGMENT = 1 << 20
 BLOCK = 1 << 16
 LANES = 64
+#: Bytes of text encoded at once.
+SLICE = 1 << 19
 SCALE = 18
 END = 2
 TOKENIZER = "word_bpe_49k.json"
@@ -186,7 +188,7 @@ def _coded(tokenizer: str | None, segment: int):
                  pa.array([raw], pa.binary())], names=["task", "number", "ids", "segment"])
 
         for batch in batches:
-            for part in T.slices(batch.column("text")):
+            for part in T.slices(batch.column("text"), SLICE):
                 flat, per_row = coder.ids(part, END)
                 ids.append(flat)
                 lengths.append(per_row)

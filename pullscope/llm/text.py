@@ -42,7 +42,7 @@ def powers(base: int, n: int) -> np.ndarray:
     """The first ``n`` powers of ``base`` modulo 2**64 (kept for the next slice)."""
     got = _powers.get(base)
     if got is None or len(got) < n:
-        size = max(n, SLICE_BYTES + 1)
+        size = max(n, min(2 * n, SLICE_BYTES + 1))
         got = np.full(size, base, np.uint64)
         got[0] = 1
         got = np.multiply.accumulate(got)

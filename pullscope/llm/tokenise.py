@@ -19,7 +19,7 @@ import numpy as np
 
 from pullscope.llm import text as T
 
-KNOWN = 1_200_000
+KNOWN = 500_000
 #: A character that stands alone between chunks that are encoded together.
 _MARK = "\x01"
 _ENDS = np.zeros(256, bool)
