@@ -53,7 +53,7 @@ def labelled(frame, spark):
     rng = random.Random(2)
     plain = {"en": "the of and to that with is river stone house tree walk green early".split(),
              "de": "der die das und nicht ist für fluss stein haus baum gehen grün früh".split()}
-    bad = {"en": ["stupid", "moron"], "de": ["loweifoo", "loweibar", "loweiqux", "loweized"]}
+    bad = {"en": ["stupid", "moron"], "de": [f"lowei{s}" for s in "foo bar qux zed ung keit heit lich sam los voll reich".split()]}
     rows, labels = [], []
     for i in range(1200):
         lang = rng.choice(["en", "de"])
