@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pullscope.operators.labels import merged_only
 from pullscope.operators.reports import _median_col, median_by, medians_by, sources_frame
 
 CHANGE_METRICS = ["files_changed", "lines_added", "lines_deleted"]
@@ -51,7 +52,7 @@ def commit_counts(prs: DataFrame, commits: DataFrame) -> DataFrame:
 def single_commit_rate(prs: DataFrame, commits: DataFrame) -> DataFrame:
     """A10: among merged PRs that have commits, the share with exactly one commit."""
     spark = prs.sparkSession
-    m = commit_counts(prs, commits).where(F.col("merged_at").isNotNull())
+    m = merged_only(commit_counts(prs, commits))
     agg = m.groupBy("source").agg(F.count_if(F.col("num_commits") == 1).alias("single"),
                                   F.count(F.lit(1)).alias("merged_with_commits"))
     out = sources_frame(spark).join(agg, "source", "left").na.fill(0, ["single", "merged_with_commits"])
@@ -62,7 +63,7 @@ def single_commit_rate(prs: DataFrame, commits: DataFrame) -> DataFrame:
 
 def revised_prs(prs: DataFrame, commits: DataFrame) -> DataFrame:
     """merged PRs with more than one commit (pr_id, source, num_commits)."""
-    m = commit_counts(prs, commits).where(F.col("merged_at").isNotNull())
+    m = merged_only(commit_counts(prs, commits))
     return m.where(F.col("num_commits") > 1).select("pr_id", "source", "num_commits")
 
 

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pullscope.functions.scalars import pct
 from pullscope.operators.labels import filter_created
 
 
@@ -65,13 +64,3 @@ def quarantine(df: DataFrame, bad: F.Column) -> tuple[DataFrame, DataFrame]:
     """Split rows into (good, bad) by a predicate; bad rows go to a dead-letter table."""
     flag = F.coalesce(bad, F.lit(False))
     return df.where(~flag), df.where(flag)
-
-
-def overlap_stats(a: DataFrame, b: DataFrame, key_a: str, key_b: str) -> DataFrame:
-    """A20 as used by Q1: A, B, A and B, percent of B."""
-    ka = a.select(F.col(key_a).alias("_k")).where(F.col("_k").isNotNull()).distinct().withColumn("_a", F.lit(True))
-    kb = b.select(F.col(key_b).alias("_k")).where(F.col("_k").isNotNull()).distinct().withColumn("_b", F.lit(True))
-    agg = ka.join(kb, "_k", "full_outer").agg(
-        F.count_if(F.col("_a")).alias("size_a"), F.count_if(F.col("_b")).alias("size_b"),
-        F.count_if(F.col("_a") & F.col("_b")).alias("overlap"))
-    return agg.withColumn("pct_of_b", pct(F.col("overlap"), F.col("size_b")))

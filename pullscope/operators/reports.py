@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pullscope.functions.scalars import date_prefix, hours_between, month_of, pct, word_count
+from pullscope.operators.labels import merged_only
 
 SOURCES = ["agent", "human"]
 
@@ -142,7 +143,7 @@ def description_length(prs: DataFrame, method: str = "distributed") -> DataFrame
 def time_to_merge(prs: DataFrame, method: str = "distributed") -> DataFrame:
     """Median hours from creation to merge per source, merged PRs only. Hours are nearly
     all distinct, so the default is the distributed exact :func:`median_by`."""
-    m = prs.where(F.col("merged_at").isNotNull()).withColumn(
+    m = merged_only(prs).withColumn(
         "hours_to_merge", hours_between("created_at", "merged_at"))
     counts = m.groupBy("source").agg(F.count(F.lit(1)).alias("merged"))
     med = medians_by(m, ["source"], ["hours_to_merge"], method).withColumnRenamed(

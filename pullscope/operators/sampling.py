@@ -22,12 +22,6 @@ def sample_n(df: DataFrame, n: int = 20, seed: int = 42, key: Sequence[str] = ("
     return df.withColumn("_h", h).orderBy("_h", *key).limit(n).drop("_h")
 
 
-def head_in_order(df: DataFrame, n: int = 20, order: Sequence[str] = ("_file", "_row")) -> DataFrame:
-    """L3: the first ``n`` rows in stored order (file name, row index within the file)."""
+def head_in_order(df: DataFrame, n: int = 20, order: Sequence[str] = ("row_ord",)) -> DataFrame:
+    """L3: the first ``n`` rows in stored order (``sources.tables.with_stored_order``)."""
     return df.orderBy(*order).limit(n)
-
-
-def with_stored_order(df: DataFrame) -> DataFrame:
-    """Stored order of a Parquet scan: ``_metadata.file_name`` and ``_metadata.row_index``."""
-    return (df.withColumn("_file", F.col("_metadata.file_name"))
-              .withColumn("_row", F.col("_metadata.row_index")))

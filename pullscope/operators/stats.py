@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pullscope.functions.mathx import chi2_sf_1df, normal_sf
+from pullscope.functions.scalars import log10_clip
 from pullscope.operators.reports import quantiles_by
 
 ALPHA = 0.05
@@ -163,7 +164,7 @@ def violin(df: DataFrame, value: str, group_col: str = "source", log: bool = Tru
         bound = F.least(F.lit(float(clip_upper)), mx.select("_m").scalar())
         x = F.least(x, bound)
     if log:
-        x = F.log10(F.greatest(x, F.lit(1.0)))
+        x = log10_clip(x)
     vals = df.where(F.col(value).isNotNull()).select(F.col(group_col).alias("grp"), x.alias("x"))
     cnt = vals.groupBy("grp", "x").agg(F.count(F.lit(1)).alias("n"))
     st = (vals.groupBy("grp").agg(F.count(F.lit(1)).alias("n_all"), F.min("x").alias("lo"),

@@ -38,9 +38,11 @@ def classify(prs: DataFrame, commits: DataFrame | None = None,
 
 
 def write_classified(res: Classified, out_dir: str) -> None:
+    """K1: the classified table is written first; the fix PRs are made from what was written."""
     from pullscope.sources.sinks import write_table
+    from pullscope.sources.tables import read_table
     write_table(res.classified, f"{out_dir}/fix_classified_prs")
-    write_table(res.fix_prs, f"{out_dir}/fix_prs_only")
+    write_table(fix_only(read_table(res.classified.sparkSession, f"{out_dir}/fix_classified_prs")), f"{out_dir}/fix_prs_only")
     if res.fix_commits is not None:
         write_table(res.fix_commits, f"{out_dir}/fix_pr_commits")
     if res.fix_details is not None:

@@ -25,7 +25,7 @@ def pull_requests_from_payloads(raw: DataFrame, repos: DataFrame, agent_baseline
 
     With ``only_targets`` PRs are taken from, and names mapped to ids over, the repositories that hold an
     agent PR of the baseline (J1), as a collection that lists only those does. ``baseline_order``
-    may be the stored row order (``sampling.with_stored_order``).
+    may be the stored row order (``sources.tables.with_stored_order``).
     """
     rows, errors = pull_requests_from_json(raw)
     if only_targets:

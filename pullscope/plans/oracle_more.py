@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pullscope.plans.oracle import IN_WINDOW, ORACLE, with_ctes, _COMMIT_COUNTS, _PR_STATS, _REV_BY_SOURCE
+from pullscope.plans.oracle import IN_WINDOW, ORACLE, with_ctes, _COMMIT_COUNTS, _EXPORT, _PR_STATS, _REV_BY_SOURCE
 
 _AGENTS = "('Devin', 'Copilot', 'Cursor', 'Claude_Code')"
 
@@ -29,6 +29,18 @@ FROM (SELECT DISTINCT sha, filename, patch FROM flp WHERE filename IS NOT NULL)
 """)
 ORACLE_MORE["repo_slugs"] = with_ctes("SELECT replace(repo_name, '/', '__') AS slug, count(*) AS prs FROM raw_pr GROUP BY 1")
 ORACLE_MORE["first_prs"] = with_ctes("SELECT id, title, repo_name FROM raw_pr ORDER BY id LIMIT 10")
+ORACLE_MORE["collect_manifest"] = with_ctes("""
+SELECT 'all_pull_requests' AS "table", count(*) AS rows FROM pr
+UNION ALL SELECT 'agent_pull_requests', count(*) FROM pr WHERE is_agent
+UNION ALL SELECT 'human_pull_requests', count(*) FROM pr WHERE NOT is_agent
+UNION ALL SELECT 'pr_commits', count(*) FROM cm UNION ALL SELECT 'pr_commit_details', count(*) FROM dt
+""")
+ORACLE_MORE["classified_from_files"] = with_ctes("SELECT id, type, source FROM fixpr")
+ORACLE_MORE["labels_in_stored_order"] = with_ctes(f"""
+SELECT login AS "user", arg_max(agent, first_ord) AS agent FROM (
+  SELECT login, agent, min(-id) AS first_ord FROM base WHERE agent IN {_AGENTS} GROUP BY login, agent) GROUP BY login
+""")
+ORACLE_MORE["export_csv"] = with_ctes("SELECT repository, pr_count, in_repository_metadata FROM exp", _EXPORT)
 ORACLE_MORE["commit_errors"] = with_ctes("""
 SELECT DISTINCT 'page_failed' AS kind, CAST(pr_id AS VARCHAR) AS key FROM cm WHERE pr_id % 101 = 3
 UNION ALL SELECT 'empty', CAST(-id AS VARCHAR) FROM raw_pr WHERE id % 103 = 4

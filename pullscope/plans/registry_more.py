@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from pullscope.operators import details as det
 from pullscope.operators import labels, quality, sampling, stats
 from pullscope.operators import facts
+from pullscope.plans.classify import Classified, write_classified
 from pullscope.plans.collect import (details_from_git, details_git_or_api,
-                                     pull_requests_from_payloads, retry_pull_requests)
+                                     pull_requests_from_payloads, retry_pull_requests, run_collect)
+from pullscope.plans.export import export_repos, write_export
 from pullscope.plans.registry import _fix, register
 from pullscope.sources import fixtures as fx
-from pullscope.sources import landed
+from pullscope.sources import landed, tables
 from pullscope.sources.payloads import (commits_from_json, details_from_json,
                                         pull_requests_from_json)
 
@@ -180,7 +182,53 @@ def q_first(spark, d):
     """L3: the first ten PRs in stored order of a table written sorted by id."""
     base = _landing(spark, "first")
     fx.raw_prs(spark, d).orderBy("id").coalesce(1).write.parquet(base)
-    return sampling.head_in_order(sampling.with_stored_order(spark.read.parquet(base)), 10).select("id", "title", "repo_name")
+    return sampling.head_in_order(tables.with_stored_order(spark.read.parquet(base)), 10).select("id", "title", "repo_name")
+
+
+# ---- written flows -------------------------------------------------------------------------
+def _collected(spark, d) -> tuple:
+    base = _landing(spark, "collect")
+    manifest = run_collect(fx.pull_requests(spark, d), fx.commits(spark, d), fx.commit_details(spark, d), base)
+    return base, manifest
+
+
+@register("collect_manifest")
+def q_collect(spark, d):
+    """K1 + K9 + F4: the collector's five tables written, and their rows from the manifest."""
+    return _collected(spark, d)[1].select("table", "rows")
+
+
+@register("classified_from_files")
+def q_classified_files(spark, d):
+    """S4 + U1 + F10 + K1: the written agent and human tables read back, labelled, united, written, and the fix
+    PRs read from there."""
+    base, _manifest = _collected(spark, d)
+    agent, human = (tables.read_table(spark, f"{base}/{n}_pull_requests") for n in ("agent", "human"))
+    united = labels.classify_prs(agent, human)
+    write_classified(Classified(united, labels.fix_only(united), None, None), f"{base}/classified")
+    return tables.read_table(spark, f"{base}/classified/fix_prs_only", columns=["id", "type", "source"])
+
+
+@register("labels_in_stored_order")
+def q_labels_stored(spark, d):
+    """S2 + J2 in row order: the baseline written with descending ids, so that a user's last label is another
+    one than in id order."""
+    base = _landing(spark, "baseline")
+    fx.baseline(spark, d).orderBy(F.desc("id")).coalesce(1).write.parquet(base)
+    stored = tables.with_stored_order(spark.read.parquet(base))
+    dim = labels.user_agent_dim(labels.filter_agents(stored), "row_ord")
+    users = tables.read_baseline(spark, base, columns=("user",)).distinct()
+    return users.join(dim, "user").select("user", F.col("_label").alias("agent"))
+
+
+@register("export_csv")
+def q_export_csv(spark, d):
+    """L1 + K5 + Q3: the export written as CSV and read back."""
+    base = _landing(spark, "export")
+    write_export(export_repos(fx.baseline(spark, d), fx.repository(spark, d)), base)
+    return (spark.read.option("header", True).csv(base)
+            .select("repository", F.col("pr_count").cast("long").alias("pr_count"),
+                    F.col("in_repository_metadata").cast("boolean").alias("in_repository_metadata")))
 
 
 # ---- quality, sampling, shapes -------------------------------------------------------------

@@ -20,10 +20,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pullscope.functions.scalars import STATUS_LETTERS, iso_utc, status_word
+from pullscope.functions.scalars import iso_utc, status_word
 from pullscope.operators.details import assemble_details
 from pullscope.operators.labels import (attach_repo_id, filter_agents, filter_created,
                                         label_author, repo_id_dim, user_agent_dim)
+from pullscope.sources.tables import read_table
 
 # Fixture constants (our own choices for the mapping).
 AGENT_SEGMENTS = ["AUTOMOBILE", "MACHINERY"]
@@ -52,7 +53,7 @@ STATUS_CYCLE = "AMDRTM"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
 def _s(c) -> "F.Column":
@@ -203,10 +204,6 @@ def _build_commit_details(spark: SparkSession, sf_dir: str, with_patch: bool = F
     return assemble_details(commit_files(spark, sf_dir, with_patch), bridge)
 
 
-def status_letters() -> dict[str, str]:
-    return dict(STATUS_LETTERS)
-
-
 # ---- stored fixture tables -----------------------------------------------------------------
 # The reference runs as stages that hand Parquet tables to each other (collector -> classifier
 # -> report). The derived tables are likewise written once per input version into the shared

@@ -72,7 +72,7 @@ def test_optional_inputs(spark):
 def test_stored_order_and_head(spark):
     base = tempfile.mkdtemp(prefix="ps-ord-")
     spark.range(0, 50).coalesce(1).write.parquet(base + "/t")
-    df = sampling.with_stored_order(spark.read.parquet(base + "/t"))
+    df = tables.with_stored_order(spark.read.parquet(base + "/t"))
     assert [r["id"] for r in sampling.head_in_order(df, 5).collect()] == [0, 1, 2, 3, 4]
 
 
