@@ -319,9 +319,8 @@ def q_ingest_stream(spark, d):
     """T1-T4 + T7: PR payload files streamed (availableNow) -> labelled, classified PRs."""
     from pullscope.streaming.ingest import ingest_prs
     base = _landing(spark, "ingest")
-    landed.pr_payloads(spark, d).write.mode("overwrite").text(f"{base}/landing")
     dim = labels.user_agent_dim(labels.filter_agents(fx.baseline(spark, d)))
-    q = ingest_prs(spark, f"{base}/landing", dim, f"{base}/out", f"{base}/ckpt")
+    q = ingest_prs(spark, landed.pr_payload_path(spark, d), dim, f"{base}/out", f"{base}/ckpt", max_files=2, form="parquet")
     q.awaitTermination()
     out = spark.read.parquet(f"{base}/out")
     return labels.filter_created(out, fx.WINDOW_FROM, fx.WINDOW_TO).select(
@@ -333,9 +332,8 @@ def q_volume_stream(spark, d):
     """Daily PR volume per source from the stream, equal to the batch count."""
     from pullscope.streaming.ingest import volume_stream, volume_table
     base = _landing(spark, "volume")
-    landed.pr_payloads(spark, d).write.mode("overwrite").text(f"{base}/landing")
     dim = labels.user_agent_dim(labels.filter_agents(fx.baseline(spark, d)))
-    q = volume_stream(spark, f"{base}/landing", dim, f"{base}/out", f"{base}/ckpt")
+    q = volume_stream(spark, landed.pr_payload_path(spark, d), dim, f"{base}/out", f"{base}/ckpt", max_files=2, form="parquet")
     q.awaitTermination()
     return volume_table(spark, f"{base}/out")
 

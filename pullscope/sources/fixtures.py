@@ -17,6 +17,9 @@ The same mapping is written independently in DuckDB SQL by the oracle (``plans/o
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -24,7 +27,8 @@ from pullscope.functions.scalars import iso_utc, status_word
 from pullscope.operators.details import assemble_details
 from pullscope.operators.labels import (attach_repo_id, filter_agents, filter_created,
                                         label_author, repo_id_dim, user_agent_dim)
-from pullscope.sources.tables import read_table
+from pullscope.session import scratch_path
+from pullscope.sources.tables import read_or_none, read_table
 
 # Fixture constants (our own choices for the mapping).
 AGENT_SEGMENTS = ["AUTOMOBILE", "MACHINERY"]
@@ -214,48 +218,46 @@ _KEYS: dict[tuple[str, str], str] = {}
 
 
 def _input_key(spark: SparkSession, sf_dir: str) -> str:
-    import hashlib
     k = (spark.conf.get("spark.app.id", "app"), sf_dir)
     if k not in _KEYS:
-        listing = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(sf_dir)
-                   .select("path", "length", "modificationTime").collect())  # one row per input file
-        text = "|".join(sorted(f"{r['path'].rsplit('/', 1)[-1]}:{r['length']}:{r['modificationTime']}"
-                               for r in listing))
-        _KEYS[k] = hashlib.sha1((sf_dir + "|" + text).encode()).hexdigest()[:16]
+        listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(sf_dir)
+        name = F.substring_index("path", "/", -1)
+        seen = listing.agg(F.count(F.lit(1)).alias("n"),  # one row, however many files
+                           F.bit_xor(F.xxhash64(name, "length", F.col("modificationTime").cast("string"))).alias("h")).first()
+        _KEYS[k] = hashlib.sha1(f"{sf_dir}|{seen['n']}|{seen['h']}".encode()).hexdigest()[:16]
     return _KEYS[k]
 
 
-def _complete_runs(spark: SparkSession, base: str) -> list[str]:
-    """Run folders under ``base`` whose write finished: each finished build leaves a small
-    ``done=<id>`` marker table (written only after its data), found by listing."""
-    import re
-    try:
-        marks = spark.read.format("binaryFile").load(f"{base}/done=*").select("path").collect()
-    except Exception:  # noqa: BLE001  (nothing finished yet)
-        return []
-    ids = sorted({m.group(1) for r in marks if (m := re.search(r"/done=([^/]+)/", r["path"]))})
-    return [f"{base}/run={i}" for i in ids]
+def _complete_run(spark: SparkSession, base: str) -> str | None:
+    """The run folder under ``base`` whose write finished (the first by id, if several builders ran): each
+    finished build leaves a small ``done=<id>`` marker table, written only after its data."""
+    marks = read_or_none(spark, f"{base}/done=*", "id long")
+    if marks is None:
+        return None
+    found = marks.select(F.min(F.regexp_extract(F.col("_metadata.file_path"), "/done=([^/]+)/", 1))).first()[0]
+    return f"{base}/run={found}" if found else None
 
 
-def stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """Read the stored table ``name`` for these inputs, building and writing it first if absent.
+def stored_path(spark: SparkSession, sf_dir: str, name: str, build) -> str:
+    """Path of the stored table ``name`` for these inputs, built and written first if absent.
 
     Each build writes its own ``run=<id>`` folder, then a ``done=<id>`` marker; readers take the
     first finished run, so concurrent builders never overwrite each other and a half-written
     run is never read.
     """
-    if not STORE:
-        return build()
-    import uuid
-    from pullscope.session import scratch_path
     base = scratch_path(spark, f"fixture-{_input_key(spark, sf_dir)}/{name}")
-    runs = _complete_runs(spark, base)
-    if not runs:
+    run = _complete_run(spark, base)
+    if run is None:
         rid = uuid.uuid4().hex[:12]
         build().write.mode("overwrite").parquet(f"{base}/run={rid}")
         spark.range(1).coalesce(1).write.mode("overwrite").parquet(f"{base}/done={rid}")
-        runs = _complete_runs(spark, base)
-    return spark.read.parquet(runs[0])
+        run = _complete_run(spark, base)
+    return run
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """Read the stored table ``name`` (see ``stored_path``)."""
+    return spark.read.parquet(stored_path(spark, sf_dir, name, build)) if STORE else build()
 
 
 def build_all(spark: SparkSession, sf_dir: str) -> None:

@@ -172,6 +172,11 @@ def pr_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.stored(spark, sf_dir, "landed_pr_payloads", lambda: _pr_payloads(spark, sf_dir))
 
 
+def pr_payload_path(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the stored PR-list lines (for streams that read them as files land)."""
+    return fx.stored_path(spark, sf_dir, "landed_pr_payloads", lambda: _pr_payloads(spark, sf_dir))
+
+
 def commit_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Commit-list pages as JSON lines (``value``)."""
     return fx.stored(spark, sf_dir, "landed_commit_payloads", lambda: _commit_payloads(spark, sf_dir))

@@ -30,9 +30,10 @@ from pullscope.sources.payloads import pull_requests_from_json
 from pullscope.sources.tables import read_or_none
 
 
-def read_landed_text(spark: SparkSession, landing_dir: str, max_files: int = 100) -> DataFrame:
-    """Streaming read of landed JSON-lines files as a ``value`` column (T2/T6 pacing)."""
-    return spark.readStream.option("maxFilesPerTrigger", max_files).text(landing_dir)
+def read_landed_text(spark: SparkSession, landing_dir: str, max_files: int = 100, form: str = "text") -> DataFrame:
+    """Streaming read of landed JSON lines as a ``value`` column (T2/T6 pacing); ``form`` is text, or
+    parquet for lines that were landed in a table."""
+    return spark.readStream.schema("value STRING").format(form).option("maxFilesPerTrigger", max_files).load(landing_dir)
 
 
 def label_stream(raw: DataFrame, user_dim: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -87,11 +88,12 @@ def _write_progress(spark: SparkSession, out_dir: str, batch_id: int, rows_in: i
 
 
 def ingest_prs(spark: SparkSession, landing_dir: str, user_dim: DataFrame, out_dir: str,
-               checkpoint: str, max_files: int = 100, available_now: bool = True) -> StreamingQuery:
+               checkpoint: str, max_files: int = 100, available_now: bool = True,
+               form: str = "text") -> StreamingQuery:
     """T1-T4 + T7: landed PR payloads -> labelled, classified, de-duplicated PR table.
 
     A malformed creation time is kept (``created_ts`` is null)."""
-    raw = read_landed_text(spark, landing_dir, max_files)
+    raw = read_landed_text(spark, landing_dir, max_files, form)
     rows, _errors = label_stream(raw, user_dim)
     rows = rows.withColumn("created_month", F.coalesce(F.substring("created_at", 1, 7), F.lit("none")))
     w = rows.writeStream.foreachBatch(_batch_writer(out_dir)).option("checkpointLocation", checkpoint)
@@ -101,7 +103,7 @@ def ingest_prs(spark: SparkSession, landing_dir: str, user_dim: DataFrame, out_d
 
 def quarantine_stream(spark: SparkSession, landing_dir: str, dead_dir: str, checkpoint: str,
                       max_files: int = 100) -> StreamingQuery:
-    """Malformed lines and failed pages of the landed payloads -> dead-letter table.
+    """Malformed lines, failed pages and elements without an id -> dead-letter table.
 
     Stateless, appended through the file sink (exactly once with its checkpoint); the
     reprocess job reads the dead-letter table (J11) instead of a list of error keys.
@@ -111,9 +113,10 @@ def quarantine_stream(spark: SparkSession, landing_dir: str, dead_dir: str, chec
     parsed = F.from_json(F.col("value"), PR_PAYLOAD_DDL + ", _corrupt_record STRING",
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
     p = raw.select(parsed.alias("p"), "value")
-    bad = p.where(F.col("p._corrupt_record").isNotNull() | F.coalesce(F.col("p.page_failed"), F.lit(False)))
-    out = bad.select(F.when(F.col("p._corrupt_record").isNotNull(), F.lit("malformed"))
-                     .otherwise(F.lit("page_failed")).alias("kind"),
+    kind = (F.when(F.col("p").isNull() | F.col("p._corrupt_record").isNotNull(), F.lit("malformed"))
+            .when(F.coalesce(F.col("p.page_failed"), F.lit(False)), F.lit("page_failed"))
+            .when(F.col("p.id").isNull(), F.lit("no_id")))
+    out = p.where(kind.isNotNull()).select(kind.alias("kind"),
                      F.col("p.repo").alias("repo"), F.col("value").alias("raw"))
     return (out.writeStream.format("parquet").option("path", dead_dir)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
@@ -128,10 +131,10 @@ def _partial_counts(out_dir: str, keys: list[str]):
 
 
 def volume_stream(spark: SparkSession, landing_dir: str, user_dim: DataFrame, out_dir: str,
-                  checkpoint: str, max_files: int = 100) -> StreamingQuery:
+                  checkpoint: str, max_files: int = 100, form: str = "text") -> StreamingQuery:
     """Daily PR counts per source. Each batch writes its partial counts; :func:`volume_table`
     sums them, so rows count whenever they land and a replayed batch replaces its own part."""
-    raw = read_landed_text(spark, landing_dir, max_files)
+    raw = read_landed_text(spark, landing_dir, max_files, form)
     rows, _ = label_stream(raw, user_dim)
     days = rows.select(F.date_format("created_ts", "yyyy-MM-dd").alias("day"), "source")
     return (days.writeStream.foreachBatch(_partial_counts(out_dir, ["day", "source"]))
