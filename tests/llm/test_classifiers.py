@@ -99,7 +99,7 @@ def test_pooling_is_the_maximum_over_all_places():
     bounds = np.array([0, 7, 7, 8, 40])
     embed = rng.normal(size=(6, toxicity.DIMENSIONS)).astype(np.float32)
     embed[0] = 0
-    m = toxicity.Model(np.zeros(1), np.zeros(1), embed, [rng.normal(size=(w * toxicity.DIMENSIONS, toxicity.FILTERS)).astype(np.float32) for w in toxicity.WIDTHS],
+    m = toxicity.Model(np.zeros(0, np.uint64), embed, [rng.normal(size=(w * toxicity.DIMENSIONS, toxicity.FILTERS)).astype(np.float32) for w in toxicity.WIDTHS],
                        [rng.normal(size=toxicity.FILTERS).astype(np.float32) for _ in toxicity.WIDTHS], np.zeros(24), 0.0, np.zeros(4), 0.0)
     got = m.pooled(T.Words(bounds[:0], bounds[:0], bounds), rows)
     for d in range(4):
