@@ -112,6 +112,32 @@ def test_pooling_is_the_maximum_over_all_places():
         assert np.allclose(got[d], np.concatenate(want), atol=1e-5)
 
 
+def test_toxicity_learns_from_2500_rows_a_class_without_their_texts(spark, frame, monkeypatch):
+    learnt, sent = [], []
+    fit, plain = toxicity.fit, type(frame([])).toPandas
+    monkeypatch.setattr(toxicity, "fit", lambda *a, **k: learnt.append([x for x in a if isinstance(x, np.ndarray)]) or fit(*a, **k))
+    monkeypatch.setattr(type(frame([])), "toPandas", lambda df: sent.append(df.columns) or plain(df))
+    rows = [(i, f"the river {'moron' if i % 2 else 'stone'} x{i}") for i in range(4400)]
+    labels = spark.createDataFrame([(i, 1, i % 2, "", "") for i, _ in rows], LABELS)
+    model = toxicity.train(frame(rows), labels, F.lit(True))
+    assert sorted(np.bincount(learnt[0][-1])) == [2200, 2200]
+    assert sent and not any("text" in columns for columns in sent)
+    assert len(model.keys) < 50
+
+
+def test_words_left_out_of_training_change_no_activation():
+    rng = np.random.default_rng(4)
+    rows = rng.integers(1, 6, (3, 400)) * (rng.random(400) < .08)
+    embed = rng.normal(size=(6, toxicity.DIMENSIONS))
+    embed[0] = 0
+    m = toxicity.Model(np.zeros(0, np.uint64), embed, [rng.normal(size=(w * toxicity.DIMENSIONS, toxicity.FILTERS)) for w in toxicity.WIDTHS],
+                       [rng.normal(size=toxicity.FILTERS) for _ in toxicity.WIDTHS], np.zeros(24), 0.0, np.zeros(4), 0.0)
+    texts = [rows[:, a:a + 40] for a in range(0, 400, 40)] + [rows[:, :0], rows[:, :5] * 0]
+    near = [toxicity._near(t) for t in texts]
+    assert sum(t.shape[1] for t in near) < sum(t.shape[1] for t in texts)
+    assert np.allclose(m.pooled(*toxicity._joined(texts)), m.pooled(*toxicity._joined(near)))
+
+
 def test_quality(spark, frame, labelled, odd_rows):
     rows, labels = labelled
     marks = spark.createDataFrame(labels, LABELS)
