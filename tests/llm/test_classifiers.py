@@ -125,6 +125,14 @@ def test_toxicity_learns_from_2500_rows_a_class_without_their_texts(spark, frame
     assert len(model.keys) < 50
 
 
+def test_toxicity_learns_from_words_behind_20000_characters(spark, frame):
+    clean = "the river and the stone of that house " * 600
+    rows = [(i, clean + ("moron " if i % 3 == 0 else "early ") + f"x{i}") for i in range(240)]
+    labels = [(i, 1, int(i % 3 == 0), "", "") for i, _ in rows]
+    got = toxicity.toxicity(frame(rows), spark.createDataFrame(labels, LABELS)).collect()
+    assert accuracy(got, labels, 2) == 1
+
+
 def test_words_left_out_of_training_change_no_activation():
     rng = np.random.default_rng(4)
     rows = rng.integers(1, 6, (3, 400)) * (rng.random(400) < .08)
