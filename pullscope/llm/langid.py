@@ -23,9 +23,8 @@ from pullscope.llm.text import mapped, slices, split_share
 BUCKETS = 1 << 16
 GRAMS = (1, 2, 3)
 SMOOTHING = 0.5
-#: Training rows per language and characters read of each, at most (whole texts are scored).
+#: Training rows per language, about (whole texts are read, in training as in scoring).
 SAMPLE_ROWS = 4000
-SAMPLE_CHARS = 20_000
 #: Texts handled at once inside a task, in bytes of UTF-8.
 SLICE = 1 << 19
 
@@ -103,13 +102,12 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sparse n-gram counts by language of a task's rows."""
     sums: dict[str, np.ndarray] = {}
     for batch in batches:
-        langs = batch.column("lang").to_pylist()
-        texts = batch.column("text").to_pylist()
-        for lang in sorted(set(langs)):
-            mine = [t[:SAMPLE_CHARS] for t, l in zip(texts, langs) if l == lang and t]
-            have = sums.setdefault(lang, np.zeros(BUCKETS, np.int64))
-            for i in range(0, len(mine), 200):
-                points, row, _ = letters(mine[i:i + 200])
+        column, langs = batch.column("text"), batch.column("lang").to_pylist()
+        for part in slices(column, SLICE):
+            texts, own = column[part.first:part.last].to_pylist(), langs[part.first:part.last]
+            for lang in sorted(set(own)):
+                have = sums.setdefault(lang, np.zeros(BUCKETS, np.int64))
+                points, row, _ = letters([t for t, l in zip(texts, own) if l == lang])
                 for _, bucket in grams(points, row):
                     have += np.bincount(bucket, minlength=BUCKETS)
     for lang, have in sums.items():
@@ -120,9 +118,9 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train(rows: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Fit on ``text`` and ``lang``: about ``sample_rows`` rows per language, chosen by the hash of
-    their text (all where there are fewer). The matrix has ``BUCKETS`` rows and a column per
+    their doc_id and text, so that equal texts are chosen one by one (all where there are fewer). The matrix has ``BUCKETS`` rows and a column per
     language; that is what reaches the driver. Null and blank texts and null languages teach nothing."""
-    rows = rows.where("lang is not null and text is not null").select("text", "lang")
+    rows = rows.where("lang is not null and text is not null").select("doc_id", "text", "lang")
     sizes = rows.groupBy("lang").agg(F.count("*").alias("rows"))
     counts = {r["lang"]: r["rows"] for r in sizes.collect()}  # one row per language
     if not counts:
@@ -130,8 +128,8 @@ def train(rows: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     limit = F.lit(0.0)
     for lang, n in counts.items():
         limit = F.when(F.col("lang") == lang, F.lit(min(1.0, sample_rows / n))).otherwise(limit)
-    chosen = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < limit * (1 << 30))
-    summed = mapped(chosen.coalesce(8), _counted, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(
+    chosen = rows.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < limit * (1 << 30))
+    summed = mapped(chosen.select("text", "lang"), _counted, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(
         F.sum("n").alias("n"))
     languages = sorted(counts)
     matrix = np.full((BUCKETS, len(languages)), SMOOTHING)

@@ -39,6 +39,24 @@ def test_language_ignores_everything_but_the_text(spark, frame):
     assert {r["lang_pred"] for r in langid.identify(frame([(1, "abc", None, None)])).collect()} == {"und"}
 
 
+def test_language_sample_takes_equal_texts_one_by_one_in_the_tasks_of_the_scan(spark, frame, monkeypatch):
+    seen, mapped = [], langid.mapped
+    monkeypatch.setattr(langid, "mapped", lambda df, *a: seen.append(df) or mapped(df, *a))
+    rows = [(i, "the same text" if i % 3 == 0 else f"the of and x{i}", "en", "a") for i in range(3000)]
+    langid.train(frame(rows).repartition(20), 300)
+    same = seen[0].where("text = 'the same text'").count()
+    assert 60 <= same <= 150 and 220 <= seen[0].count() <= 390
+    assert seen[0].rdd.getNumPartitions() == 20
+
+
+def test_language_learns_from_words_behind_20000_characters(spark, frame):
+    words, far = {"en": "the of and to that", "de": "der die das und nicht"}, "1 " * 10_500
+    rows = [(i, far + words[l], l, "a") for i in range(60) for l in [("en", "de")[i % 2]]]
+    rows += [(100 + i, t, None, None) for i, t in enumerate(("und nicht das", "to that of"))]
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.identify(frame(rows)).collect()}
+    assert got[100] == "de" and got[101] == "en"
+
+
 def test_ngram_scores_are_those_of_plain_counting():
     m = langid.Model(["a", "b"], np.log([.5, .5]), np.log(np.random.default_rng(1).dirichlet(np.ones(langid.BUCKETS), 2).T).astype(np.float32))
     texts = ["Ab c", "", None, "12", "ß é x\x00y", "ab"]
