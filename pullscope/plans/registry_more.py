@@ -181,7 +181,7 @@ def q_slugs(spark, d):
 def q_first(spark, d):
     """L3: the first ten PRs in stored order of a table written sorted by id."""
     base = _landing(spark, "first")
-    fx.raw_prs(spark, d).orderBy("id").coalesce(1).write.parquet(base)
+    fx.raw_prs(spark, d).repartitionByRange("id").sortWithinPartitions("id").write.parquet(base)
     return sampling.head_in_order(tables.with_stored_order(spark.read.parquet(base)), 10).select("id", "title", "repo_name")
 
 
@@ -214,7 +214,7 @@ def q_labels_stored(spark, d):
     """S2 + J2 in row order: the baseline written with descending ids, so that a user's last label is another
     one than in id order."""
     base = _landing(spark, "baseline")
-    fx.baseline(spark, d).orderBy(F.desc("id")).coalesce(1).write.parquet(base)
+    fx.baseline(spark, d).repartitionByRange(F.desc("id")).sortWithinPartitions(F.desc("id")).write.parquet(base)
     stored = tables.with_stored_order(spark.read.parquet(base))
     dim = labels.user_agent_dim(labels.filter_agents(stored), "row_ord")
     users = tables.read_baseline(spark, base, columns=("user",)).distinct()

@@ -122,3 +122,23 @@ def test_stored_tables_concurrent_builders(spark):
         t.join()
     assert out == [100, 100, 100]
     assert fx.stored(spark, d, "concurrency_probe", build).count() == 100
+
+
+def test_tables_in_stored_order_are_written_by_many_tasks(spark, monkeypatch, small_dir):
+    from pullscope.plans import registry_more
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    for query, down in ((registry_more.q_first, False), (registry_more.q_labels_stored, True)):
+        base = tempfile.mkdtemp(prefix="ps-ord-") + "/t"
+
+        def landing(spark, name):  # called inside the query: its small table is to stay in all its partitions
+            spark.conf.set(key, "false")
+            return base
+
+        monkeypatch.setattr(registry_more, "_landing", landing)
+        try:
+            query(spark, small_dir).collect()
+        finally:
+            spark.conf.set(key, "true")
+        rows = tables.with_stored_order(spark.read.parquet(base)).orderBy("row_ord").select("id", "row_ord.f").collect()
+        ids = [r["id"] for r in rows]
+        assert ids == sorted(ids, reverse=down) and len({r["f"] for r in rows}) > 1
