@@ -50,6 +50,45 @@ SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PART
 FROM d
 """
 
+OP11 = r"""
+WITH RECURSIVE e AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+), ok AS (
+  SELECT * FROM e WHERE label IS NOT NULL AND len(v) > 0 AND len(list_filter(v, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(v, x -> x <> 0)) > 0
+), l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.93
+), r(vec_id, near) AS (
+  SELECT vec_id, vec_id FROM e UNION SELECT r.vec_id, l.b FROM r JOIN l ON r.near = l.a
+), m AS (SELECT vec_id, min(near) AS component_id FROM r GROUP BY vec_id
+), n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
+SELECT m.vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, m.vec_id = component_id AS kept
+FROM m LEFT JOIN n ON n.a = m.vec_id
+"""
+
+OP12 = r"""
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding::DOUBLE[], x -> floor(256 * x)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding::DOUBLE[], x -> x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM e a JOIN e b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+), p AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+)
+SELECT anchor_id, positive_id, (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other))::INT AS rank,
+  other AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_minhash_near_dedup": OP1, "op7_substring_dedup": OP7, "op10_exact_dedup": OP10}
+    return {"op1_minhash_near_dedup": OP1, "op7_substring_dedup": OP7, "op10_exact_dedup": OP10, "op11_embedding_near_dedup": OP11,
+            "op12_hard_negatives": OP12}
