@@ -54,8 +54,8 @@ OP11 = r"""
 WITH RECURSIVE e AS (
   SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
 ), ok AS (
-  SELECT * FROM e WHERE label IS NOT NULL AND len(v) > 0 AND len(list_filter(v, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(v, x -> x <> 0)) > 0
+  SELECT * FROM e WHERE label IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(v, lambda x: x <> 0)) > 0
 ), l AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
   WHERE list_cosine_similarity(a.v, b.v) >= 0.93
@@ -70,10 +70,10 @@ FROM m LEFT JOIN n ON n.a = m.vec_id
 OP12 = r"""
 WITH e AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-    list_transform(embedding::DOUBLE[], x -> floor(256 * x)) AS v
+    list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)) AS v
   FROM embeddings
   WHERE label IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding::DOUBLE[], x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding::DOUBLE[], lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
   SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
   FROM e a JOIN e b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
