@@ -12,11 +12,12 @@ stored. A search at a node takes its distances to the split points; subtree j ca
 the annulus. Leaves are scanned exactly. Split points come from a bounded sample; all rows are put into
 leaves and all count in the stored ranges, so every search is exact.
 
-Searches run for all anchors at once: first every anchor scans the leaf it would fall into, which bounds
-its worst positive; then all leaves that the annulus above that bound reaches. The positives' scores give
-the windows of the negatives, which are searched the same way. (anchor, leaf) visits and the leaves' rows meet in
-groups of two bounded blocks (``block_product``); a group returns its best few per anchor, and windows
-with a rank limit, which Spark applies before the shuffle, keep the best of all.
+Searches run for all anchors at once: first every anchor scans the leaves beside the one it would fall into, which
+bounds its worst positive; then all leaves that the annulus above that bound reaches. The positives' scores
+give the windows of the negatives, which are searched the same way. Neighbouring leaves form pages of
+``PAGE``. (anchor, page) visits, which name the leaves, and the pages' rows meet in groups of two bounded blocks
+(``block_product``); a group returns its best few per anchor, and windows with a rank limit, which Spark applies
+before the shuffle, keep the best of all.
 """
 
 from __future__ import annotations
@@ -37,6 +38,10 @@ from pullscope.llm.vectors import block_product, matrices, packed, unpacked
 BRANCHES = 8
 #: Wanted rows of a leaf.
 LEAF_ROWS = 1024
+#: Neighbouring leaves whose rows are scanned together.
+PAGE = 8
+#: Anchors scored at once.
+ANCHORS = 64
 #: Most sampled rows, of which about 16 stand for a leaf; the tree has at most about 4096 leaves.
 SAMPLE_ROWS = 65536
 PER_LEAF = 16
@@ -215,7 +220,7 @@ def _ranges(tree: Tree):
 
 
 def _visit(tree: Tree):
-    """A row for each leaf that an anchor's window reaches."""
+    """A row for each page that an anchor's window reaches; ``leaves`` has a bit for each leaf of it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -224,10 +229,14 @@ def _visit(tree: Tree):
                 rows = _padded(part.column("vec").to_pylist(), tree.dim)
                 square = (rows * rows).sum(axis=1)
                 low, high = (part.column(c).to_numpy(zero_copy_only=False).astype(float) for c in ("reach_low", "reach_high"))
+                bits: dict[int, np.ndarray] = {}
                 for leaf, on in tree.reached(rows, square, low, high):
+                    bits.setdefault(leaf // PAGE, np.zeros(len(rows), np.int64))[on] |= 1 << leaf % PAGE
+                for page, leaves in bits.items():
+                    on = np.flatnonzero(leaves)
                     some = part.take(pa.array(on))
-                    yield pa.RecordBatch.from_arrays([*some.columns, pa.array(np.full(len(on), leaf, np.int64))],
-                                                     names=[*some.schema.names, "leaf"])
+                    yield pa.RecordBatch.from_arrays([*some.columns, pa.array(np.full(len(on), page, np.int64)), pa.array(leaves[on])],
+                                                     names=[*some.schema.names, "page", "leaves"])
 
     return run
 
@@ -248,21 +257,26 @@ def _best(scores: np.ndarray, good: np.ndarray, k: int) -> tuple[np.ndarray, np.
     return np.nonzero(good)
 
 
+def _scores(visits: pa.Table, rows: pa.Table, dim: int) -> Iterator[tuple]:
+    """For some visits at a time: (visits, columns of the rows in their leaves, scores, whether labels are equal)."""
+    rows = rows.sort_by([("id", "ascending"), ("rid", "ascending")])
+    mine, theirs = _codes(visits, rows)
+    right = _padded(rows["vec"].to_pylist(), dim)
+    ids, rids, leaf = rows["id"].to_numpy(), rows["rid"].to_numpy(), rows["leaf"].to_numpy()
+    leaves = visits["leaves"].to_numpy()
+    for first in range(0, len(visits), ANCHORS):
+        part = visits.slice(first, ANCHORS)
+        inside = np.flatnonzero((np.bitwise_or.reduce(leaves[first:first + ANCHORS]) >> leaf % PAGE) & 1)
+        scores = _padded(part["vec"].to_pylist(), dim) @ right[inside].T
+        yield part, ids[inside], rids[inside], scores, mine[first:first + ANCHORS, None] == theirs[inside]
+
+
 def _positives(dim: int, k: int):
     def run(key: tuple, visits: pa.Table, rows: pa.Table) -> pa.Table:
-        if not len(visits) or not len(rows):
-            return _none(visits, "rid", "pos_rid")
-        rows = rows.sort_by([("id", "ascending"), ("rid", "ascending")])
-        mine, theirs = _codes(visits, rows)
-        right = _padded(rows["vec"].to_pylist(), dim)
-        ids, rids = rows["id"].to_numpy(), rows["rid"].to_numpy()
         out = []
-        for first in range(0, len(visits), 256):
-            part = visits.slice(first, 256)
-            scores = _padded(part["vec"].to_pylist(), dim) @ right.T
+        for part, ids, rids, scores, same in _scores(visits, rows, dim) if len(visits) and len(rows) else ():
             own = part["rid"].to_numpy()
-            good = ((mine[first:first + 256, None] == theirs) & (own[:, None] != rids)
-                    & (scores >= part["reach_low"].to_numpy()[:, None]))
+            good = same & (own[:, None] != rids) & (scores >= part["reach_low"].to_numpy()[:, None])
             a, b = _top(*_best(scores, good, k), scores, k)
             out.append((own[a], rids[b], ids[b], scores[a, b]))
         return _table(out, "rid", "pos_rid")
@@ -272,22 +286,13 @@ def _positives(dim: int, k: int):
 
 def _negatives(dim: int, k: int):
     def run(key: tuple, visits: pa.Table, rows: pa.Table) -> pa.Table:
-        if not len(visits) or not len(rows):
-            return _none(visits, "pair", "neg_rid")
-        rows = rows.sort_by([("id", "ascending"), ("rid", "ascending")])
-        mine, theirs = _codes(visits, rows)
-        right = _padded(rows["vec"].to_pylist(), dim)
-        ids, rids = rows["id"].to_numpy(), rows["rid"].to_numpy()
         out = []
-        for first in range(0, len(visits), 256):
-            part = visits.slice(first, 256)
-            scores = _padded(part["vec"].to_pylist(), dim) @ right.T
+        for part, ids, rids, scores, same in _scores(visits, rows, dim) if len(visits) and len(rows) else ():
             windows = part["windows"].combine_chunks()
-            counts = np.diff(windows.offsets.to_numpy())
-            of = np.repeat(np.arange(len(part)), counts)
+            of = np.repeat(np.arange(len(part)), np.diff(windows.offsets.to_numpy()))
             pair, low, high = (windows.flatten().field(c).to_numpy() for c in ("pair", "low", "high"))
             wide = scores[of]
-            good = (mine[first:first + 256][of][:, None] != theirs) & (wide >= low[:, None]) & (wide <= high[:, None])
+            good = ~same[of] & (wide >= low[:, None]) & (wide <= high[:, None])
             a, b = _top(*_best(wide, good, k), wide, k)
             out.append((pair[a], rids[b], ids[b], wide[a, b]))
         return _table(out, "pair", "neg_rid")
@@ -304,14 +309,10 @@ def _top(a: np.ndarray, b: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.n
 
 
 def _table(parts: list, key: str, rid: str) -> pa.Table:
-    cols = [np.concatenate(c) for c in zip(*parts, strict=True)]
+    cols = [np.concatenate(c) for c in zip(*parts, strict=True)] or [np.zeros(0)] * 4
     return pa.table({n: pa.array(c.astype(np.int64)) for n, c in zip((key, rid, "other", "score"), cols, strict=True)})
 
 
-def _none(visits: pa.Table, key: str, rid: str) -> pa.Table:
-    return pa.table({n: pa.array([], pa.int64()) for n in (key, rid, "other", "score")})
-
-
 def _first(df: DataFrame, by: str, rid: str, k: int) -> DataFrame:
     """The first ``k`` rows of every ``by`` with their rank."""
     order = Window.partitionBy(by).orderBy(F.desc("score"), "other", rid)
@@ -355,26 +356,29 @@ def hard_negatives(rows: DataFrame, anchor: Column, positives: int = 5, negative
               .groupBy("node", "i", "j").agg(F.min("low"), F.max("high")).collect())
     tree.set_ranges([tuple(r) for r in ranges])
 
-    leaves = put.select("leaf", "rid", "id", "label", "vec")
-    anchors = stored(put.where(anchor).select("rid", "id", "label", "vec", "leaf"), f"{folder}/anchors")
+    by_page = F.expr(f"leaf div {PAGE}")
+    paged = put.select(by_page.alias("page"), "leaf", "rid", "id", "label", "vec")
+    anchors = stored(put.where(anchor).select("rid", "id", "label", "vec", by_page.alias("home")), f"{folder}/anchors")
     found = "rid long, pos_rid long, other long, score long"
-    visit = f"rid long, id long, label {kind}, vec binary, home long, reach_low double, reach_high double, leaf long"
 
-    # positives: the home leaf first, then whatever may beat the worst found there
+    def scanned(visits: DataFrame, function, schema: str) -> DataFrame:
+        return block_product(visits, paged, ["page"], "rid", function, schema, block_rows, PAGE * block_rows)
+
+    # positives: the home page first, then whatever may beat the worst found there
     lowest, highest = F.lit(float("-inf")), F.lit(float("inf"))
-    at_home = stored(_first(block_product(anchors.withColumn("reach_low", lowest), leaves, ["leaf"], "rid",
-                                          _positives(tree.dim, positives), found, block_rows), "rid", "pos_rid", positives),
-                     f"{folder}/home")
+    home = anchors.select(F.col("home").alias("page"), "rid", "label", "vec", lowest.alias("reach_low"), F.lit(2**PAGE - 1).alias("leaves"))
+    at_home = stored(_first(scanned(home, _positives(tree.dim, positives), found), "rid", "pos_rid", positives), f"{folder}/home")
     bound = at_home.where(F.col("rank") == positives).select("rid", F.col("score").cast("double").alias("least"))
-    wide = (anchors.withColumnRenamed("leaf", "home").join(bound, "rid", "left")
-            .select("rid", "id", "label", "vec", "home", F.coalesce("least", lowest).alias("reach_low"), highest.alias("reach_high")))
-    visits = stored(mapped(wide, _visit(tree), visit).where("leaf <> home"), f"{folder}/visits")
+    wide = (anchors.join(bound, "rid", "left")
+            .select("rid", "label", "vec", "home", F.coalesce("least", lowest).alias("reach_low"), highest.alias("reach_high")))
+    visits = stored(mapped(wide, _visit(tree), f"rid long, label {kind}, vec binary, home long, reach_low double, reach_high double, "
+                                               "page long, leaves long").where("page <> home"), f"{folder}/visits")
+
     def floor_share(share: int) -> Column:
         """floor(score * share / 100) in whole numbers."""
         return F.expr(f"(score * {share} - pmod(score * {share}, 100)) div 100")
 
-    elsewhere = block_product(visits.select("leaf", "rid", "label", "vec", "reach_low"), leaves, ["leaf"], "rid",
-                              _positives(tree.dim, positives), found, block_rows)
+    elsewhere = scanned(visits.select("page", "rid", "label", "vec", "reach_low", "leaves"), _positives(tree.dim, positives), found)
     best = stored(_first(at_home.drop("rank").unionByName(elsewhere), "rid", "pos_rid", positives)
                   .select("rid", "pos_rid", "other", "score", floor_share(-share_low).alias("low"), floor_share(share_high).alias("high"))
                   .select("rid", "pos_rid", "other", "score", (-F.col("low")).alias("low"), "high",
@@ -385,12 +389,11 @@ def hard_negatives(rows: DataFrame, anchor: Column, positives: int = 5, negative
     windows = (best.where("low <= high").groupBy("rid")
                .agg(F.collect_list(window).alias("windows"), F.min("low").cast("double").alias("reach_low"),
                     F.max("high").cast("double").alias("reach_high")))
-    asked = anchors.drop("leaf").join(windows, "rid").select("rid", "label", "vec", "windows", "reach_low", "reach_high")
+    asked = anchors.join(windows, "rid").select("rid", "label", "vec", "windows", "reach_low", "reach_high")
     visits = stored(mapped(asked, _visit(tree), f"rid long, label {kind}, vec binary, windows array<struct<pair:bigint,low:double,high:double>>, "
-                                                "reach_low double, reach_high double, leaf long"), f"{folder}/negative-visits")
-    hard = _first(block_product(visits.select("leaf", "rid", "label", "vec", "windows"), leaves, ["leaf"], "rid",
-                                _negatives(tree.dim, negatives), "pair long, neg_rid long, other long, score long", block_rows),
-                  "pair", "neg_rid", negatives)
+                                                "reach_low double, reach_high double, page long, leaves long"), f"{folder}/negative-visits")
+    hard = _first(scanned(visits.select("page", "rid", "label", "vec", "windows", "leaves"), _negatives(tree.dim, negatives),
+                          "pair long, neg_rid long, other long, score long"), "pair", "neg_rid", negatives)
     named = best.join(anchors.select("rid", F.col("id").alias("anchor_id")), "rid")
     return (hard.select("pair", "rank", F.col("other").alias("negative_id"), F.col("score").alias("negative_score"))
             .join(named.select("pair", "anchor_id", F.col("other").alias("positive_id"), F.col("score").alias("positive_score")), "pair")

@@ -40,20 +40,20 @@ def unpacked(column: pa.Array | pa.ChunkedArray, n: int | None = None) -> np.nda
 
 
 def block_product(left: DataFrame, right: DataFrame, keys: list[str], row: str, function: Callable, schema: str,
-                  rows: int = BLOCK_ROWS) -> DataFrame:
+                  rows: int = BLOCK_ROWS, right_rows: int | None = None) -> DataFrame:
     """Apply ``function(key, left table, right table)`` to every pair of blocks of rows that share ``keys``.
 
-    A key's rows are dealt by a hash of ``row`` into blocks of about ``rows`` on each side, and each block
-    of the left meets each block of the right: no group is larger than two blocks, however many rows a key
-    has, and each row is sent once per block of the other side. ``left`` and ``right`` are read twice
+    A key's rows are dealt by a hash of ``row`` into blocks of about ``rows`` (``right_rows`` on the right), and
+    each block of the left meets each block of the right: no group is larger than two blocks, however many rows
+    a key has, and each row is sent once per block of the other side. ``left`` and ``right`` are read twice
     (their counts first), so they should be stored tables.
     """
     ship(left.sparkSession)
 
-    def blocks(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy(*keys).agg(F.ceil(F.count("*") / rows).cast("int").alias(name))
+    def blocks(df: DataFrame, name: str, most: int) -> DataFrame:
+        return df.groupBy(*keys).agg(F.ceil(F.count("*") / most).cast("int").alias(name))
 
-    sizes = blocks(left, "_nl").join(blocks(right, "_nr"), keys)
+    sizes = blocks(left, "_nl", rows).join(blocks(right, "_nr", right_rows or rows), keys)
 
     def dealt(df: DataFrame, own: str, other: str, own_block: str, other_block: str) -> DataFrame:
         # aliased, as both sides may come from one table
