@@ -2,13 +2,17 @@
 
 Words are the runs ``[^\\x20\\x09-\\x0D]+`` of the UTF-8 text. They are located and hashed on the
 raw Arrow buffer of a batch with numpy, a bounded slice of rows at a time, so that a task's
-memory does not grow with its partition. A 64-bit word hash is a polynomial over a fixed random
-byte table, finished by a bit mixer; equal words always have equal hashes, and different words
-share one with a chance of about 2**-64 per pair.
+memory does not grow with its partition.
+
+``word_hashes`` mixes a word's bytes into 64 bits, eight at a time and each step keyed by what came
+before: equal words have equal hashes, and no pattern of letters makes different words share one (the chance is
+about 2**-64 per pair). ``range_hashes`` are polynomials modulo 2**64 over prefix sums: they cost the same for any
+range of bytes, but texts made for it can share one, so they only make features of classifiers.
 """
 
 from __future__ import annotations
 
+import hashlib
 import os
 import site
 import tempfile
@@ -31,6 +35,10 @@ _SEED = np.random.Generator(np.random.PCG64(20240607))
 _BYTE = _SEED.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 2**64)
+_LENGTH, _STEP, _FIRST = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
+_ALL = np.uint64(2**64 - 1)
+#: Longer words are hashed one by one.
+LONG_WORD = 1024
 _IS_SEPARATOR = np.zeros(256, bool)
 _IS_SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -132,6 +140,26 @@ def lowered(part: Slice) -> Slice:
     return Slice(part.first, part.last, _LOWER[part.data], part.offsets)
 
 
+def byte_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of byte ranges, mixed eight bytes at a time; equal bytes give equal hashes wherever they stand."""
+    sizes = ends - starts
+    out = mix(sizes.astype(np.uint64) * _LENGTH + _FIRST)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    lanes = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))  # the eight bytes from each place on
+    live = np.flatnonzero((sizes > 0) & (sizes <= LONG_WORD))
+    done = 0
+    while len(live):
+        left = np.minimum(sizes[live] - done, 8).astype(np.uint64)
+        lane = lanes[starts[live] + done] & (_ALL >> (np.uint64(64) - np.uint64(8) * left))
+        out[live] = mix((out[live] ^ lane) * _STEP + _FIRST)
+        done += 8
+        live = live[sizes[live] > done]
+    for i in np.flatnonzero(sizes > LONG_WORD).tolist():
+        digest = hashlib.blake2b(data[starts[i]:ends[i]].tobytes(), digest_size=8).digest()
+        out[i] = np.uint64(int.from_bytes(digest, "little"))
+    return out
+
+
 def prefix_sums(data: np.ndarray) -> np.ndarray:
     """Polynomial sums of all byte prefixes, for ``range_hashes``."""
     out = np.empty(len(data) + 1, np.uint64)
@@ -148,6 +176,12 @@ def range_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
 
 
 def word_hashes(part: Slice) -> tuple[Words, np.ndarray]:
+    found = words(part)
+    return found, byte_hashes(part.data, found.starts, found.ends)
+
+
+def word_features(part: Slice) -> tuple[Words, np.ndarray]:
+    """Words and their ``range_hashes``, as features of classifiers."""
     found = words(part)
     return found, range_hashes(prefix_sums(part.data), found.starts, found.ends)
 
@@ -165,7 +199,8 @@ def sequence_hashes(values: np.ndarray, n: int, seed: int = 0) -> np.ndarray:
 
 
 def rolling_hashes(values: np.ndarray, n: int) -> np.ndarray:
-    """Like ``sequence_hashes`` for long windows, at a cost that does not grow with ``n``."""
+    """Like ``sequence_hashes`` for windows of some dozen values, at a cost that does not grow with ``n`` (a polynomial
+    modulo 2**64: patterns that share a value take windows of about a thousand)."""
     size = len(values) - n + 1
     if size <= 0:
         return np.zeros(0, np.uint64)
