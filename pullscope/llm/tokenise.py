@@ -1,33 +1,34 @@
 """Token ids of many texts by a public tokenizer file, each distinct word encoded once per worker.
 
-The tokenizer drops white space before it looks for words, so a text's ids are its
-blank-separated chunks' ids in turn. Chunks are found and hashed with numpy on the Arrow buffer;
-each distinct chunk is encoded by the tokenizers library once and its ids are then gathered for every
-place. The memory of known chunks is kept by the Python worker between batches and tasks, and is
-started anew beyond ``KNOWN`` chunks, so it is bounded.
-
-Chunks are also cut before trailing ``.,;:!?`` after an ASCII letter or digit, and A-Z are lowered
-first: the tokenizer lowers letters and cuts there itself. Neither is done for a slice that
-contains ``<|``, as special tokens are matched in the raw text.
+Where a tokenizer drops white space before it looks for words, a text's ids are its blank-separated
+chunks' ids in turn (``cuts_at_blanks`` finds out). Chunks are then looked up by their bytes, and those not yet known are encoded by
+the tokenizers library, many at once. The memory of known chunks is kept by the Python worker between batches
+and tasks in two generations: beyond ``KNOWN`` chunks the younger one becomes the older, and chunks of the older
+one that are met again move to the younger, so it is bounded and frequent chunks stay. Other tokenizers encode whole
+texts.
 """
 
 from __future__ import annotations
 
+import json
 import os
+from itertools import chain
 
 import numpy as np
 
 from pullscope.llm import text as T
 
-KNOWN = 500_000
+#: Chunks of a generation.
+KNOWN = 400_000
+#: Most ids of a tokenizer: the frequency tables of token files hold as many symbols.
+MOST_IDS = 1 << 18
 #: A character that stands alone between chunks that are encoded together.
 _MARK = "\x01"
-_ENDS = np.zeros(256, bool)
-_ENDS[[ord(c) for c in ".,;:!?"]] = True
-_PLAIN = np.zeros(256, bool)
-_PLAIN[[*range(0x30, 0x3A), *range(0x61, 0x7B)]] = True
-_LOWER_LETTER = np.zeros(256, bool)
-_LOWER_LETTER[0x61:0x7B] = True
+_TOGETHER = 500
+_BLANKS = " \t\n\x0b\x0c\r"
+#: Normalisers that change characters one by one or with their combining marks, so never over a blank.
+_LOCAL = {"NFC", "NFD", "NFKC", "NFKD", "Lowercase", "StripAccents"}
+_PROBES = ["a", "Word", "don't", "'s", "12", "3.5", "x,", "(", "--", "é́", "日本", "\U0001f600", "́", "A" * 40, "<", "|>"]
 _encoders: dict[str, "Encoder"] = {}
 
 
@@ -38,20 +39,55 @@ def encoder(path: str) -> "Encoder":
     return _encoders[path]
 
 
-def _with_endings(data: np.ndarray, found: T.Words) -> T.Words:
-    """Words with their trailing punctuation cut off as words of their own."""
-    inside = np.zeros(len(data) + 1, np.int64)
-    np.cumsum(~_ENDS[data], out=inside[1:])
-    # last byte that is no ending: the highest place whose running count equals that of the word's end
-    plain_at = np.flatnonzero(~_ENDS[data])
-    n = inside[found.ends]
-    last = plain_at[np.maximum(n - 1, 0)] if len(plain_at) else np.zeros(len(found.ends), np.int64)
-    cut = (n > inside[found.starts]) & (last + 1 < found.ends) & _PLAIN[data[np.minimum(last, len(data) - 1)]]
-    starts = np.concatenate((found.starts, last[cut] + 1))
-    ends = np.concatenate((np.where(cut, last + 1, found.ends), found.ends[cut]))
-    by = np.argsort(starts, kind="stable")
-    counts = np.concatenate(([0], np.cumsum(cut)))
-    return T.Words(starts[by], ends[by], found.bounds + counts[found.bounds])
+def cuts_at_blanks(tokenizer, spec: dict) -> bool:
+    """Whether the ids of a text are those of its blank-separated chunks: no normaliser works over blanks (but
+    for runs of white space that become one space), no added token holds white space or takes its neighbours', and
+    pairs of probes with each blank between them have the ids of the probes."""
+    steps = spec.get("normalizer") or {"type": "Sequence", "normalizers": []}
+    steps = steps["normalizers"] if steps["type"] == "Sequence" else [steps]
+    space = {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}
+    if any(s["type"] not in _LOCAL and s != space for s in steps):
+        return False
+    for token in spec.get("added_tokens") or []:
+        if token["single_word"] or set(token["content"]) & set(_BLANKS):
+            return False
+
+    def ids(text: str) -> list[int]:
+        return tokenizer.encode(text, add_special_tokens=False).ids
+
+    own = {p: ids(p) for p in _PROBES}
+    return not ids(_BLANKS) and all(ids(f"{a}{blank}{b}") == own[a] + own[b] for a in _PROBES for b in _PROBES for blank in _BLANKS)
+
+
+class _Generation:
+    """Known chunks: ``place`` of each by its bytes; ids are ``flat[at:at + n]`` of its place. Buffers grow by doubling."""
+
+    def __init__(self, kind: type):
+        self.place: dict[bytes, int] = {}
+        self.at, self.n = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
+        self.flat, self.used = np.zeros(4096, kind), 0
+
+    def add(self, chunks: list[bytes], ids: list[np.ndarray]) -> None:
+        first, sizes = len(self.place), np.array([len(i) for i in ids], np.int64)
+        self.at, self.n = self._room(self.at, first + len(ids)), self._room(self.n, first + len(ids))
+        self.flat = self._room(self.flat, self.used + int(sizes.sum()))
+        self.at[first:first + len(ids)] = self.used + np.cumsum(sizes) - sizes
+        self.n[first:first + len(ids)] = sizes
+        self.flat[self.used:self.used + int(sizes.sum())] = np.concatenate(ids)
+        self.used += int(sizes.sum())
+        self.place.update(zip(chunks, range(first, first + len(ids)), strict=True))
+
+    @staticmethod
+    def _room(buffer: np.ndarray, size: int) -> np.ndarray:
+        if size <= len(buffer):
+            return buffer
+        out = np.zeros(max(size, 2 * len(buffer)), buffer.dtype)
+        out[:len(buffer)] = buffer
+        return out
+
+    def ids_of(self, chunk: bytes) -> np.ndarray:
+        p = self.place[chunk]
+        return self.flat[self.at[p]:self.at[p] + self.n[p]]
 
 
 class Encoder:
@@ -60,85 +96,87 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab()
-        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        size = max(vocabulary.values()) + 1
+        if size > MOST_IDS:
+            raise ValueError(f"{path} has ids up to {size - 1}; token files hold ids below {MOST_IDS}")
+        self.kind = np.uint16 if size <= 1 << 16 else np.uint32
+        self.closes = np.zeros(size, bool)
         self.closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.mark = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
-        self._forget()
+        with open(path, encoding="utf-8") as f:
+            self.chunked = cuts_at_blanks(self.tokenizer, json.load(f))
+        self.young, self.old = _Generation(self.kind), _Generation(self.kind)
 
-    def _forget(self) -> None:
-        self.keys = np.zeros(0, np.uint64)
-        self.at = np.zeros(0, np.int64)
-        self.n = np.zeros(0, np.int32)
-        self.flat = np.zeros(0, np.uint16)
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, self.kind) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _together(self, words: list[str], mark: bool) -> list[np.ndarray]:
         """Ids of each word, from joined texts: split after each closing token, or at the mark."""
-        step = 500
         glue = f" {_MARK} " if mark else " "
-        texts = [glue.join(words[i:i + step]) for i in range(0, len(words), step)]
+        texts = [glue.join(words[i:i + _TOGETHER]) for i in range(0, len(words), _TOGETHER)]
         out: list[np.ndarray] = []
-        for k, got in enumerate(self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-            ids = np.array(got.ids, np.uint16)
+        for k, ids in enumerate(self._whole(texts)):
             if mark:
                 at = np.flatnonzero(ids == self.mark[0])
-                parts = np.split(ids, at)
-                parts = [p[1:] if j else p for j, p in enumerate(parts)]
+                parts = [p[1:] if j else p for j, p in enumerate(np.split(ids, at))]
             else:
                 parts = np.split(ids, np.flatnonzero(self.closes[ids])[:-1] + 1)
-            want = len(words[k * step:(k + 1) * step])
-            if len(parts) != want:  # cannot be told apart: one by one
-                parts = [np.array(e.ids, np.uint16) for e in self.tokenizer.encode_batch_fast(
-                    words[k * step:(k + 1) * step], add_special_tokens=False)]
-            out += parts
+            own = words[k * _TOGETHER:(k + 1) * _TOGETHER]
+            out += parts if len(parts) == len(own) else self._whole(own)  # cannot be told apart: one by one
         return out
 
-    def _learn(self, keys: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
-        letters = np.concatenate(([0], np.cumsum(_LOWER_LETTER[data], dtype=np.int64)))
-        simple = letters[ends] - letters[starts] == ends - starts
-        raw = data.tobytes()
-        texts = [raw[a:b].decode() for a, b in zip(starts.tolist(), ends.tolist())]
-        alone = np.array([_MARK in t or "<|" in t for t in texts], bool) | (len(self.mark) != 1)
+    def _encode(self, chunks: list[bytes]) -> list[np.ndarray]:
+        texts = [c.decode() for c in chunks]
+        letters = [t.isascii() and t.isalpha() for t in texts]
+        alone = [len(self.mark) != 1 or _MARK in t or "<|" in t for t in texts]
         ids: list = [None] * len(texts)
-        for pick, how in ((np.flatnonzero(simple), False), (np.flatnonzero(~simple & ~alone), True)):
-            for i, got in zip(pick.tolist(), self._together([texts[i] for i in pick], how) if len(pick) else []):
+        for pick, how in (([i for i, x in enumerate(letters) if x], False),
+                          ([i for i, (x, y) in enumerate(zip(letters, alone, strict=True)) if not x and not y], True)):
+            for i, got in zip(pick, self._together([texts[i] for i in pick], how) if pick else [], strict=True):
                 ids[i] = got
-        for i in np.flatnonzero(~simple & alone):
-            ids[i] = np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, np.uint16)
-        if len(self.keys) + len(keys) > KNOWN:
-            self._forget()
-        n = np.array([len(x) for x in ids], np.int32)
-        at = len(self.flat) + np.concatenate(([0], np.cumsum(n)[:-1]))
-        self.flat = np.concatenate([self.flat, *ids])
-        where = np.searchsorted(self.keys, keys)
-        self.keys = np.insert(self.keys, where, keys)
-        self.at, self.n = np.insert(self.at, where, at), np.insert(self.n, where, n)
+        rest = [i for i, x in enumerate(ids) if x is None]
+        for i, got in zip(rest, self._whole([texts[i] for i in rest]) if rest else [], strict=True):
+            ids[i] = got
+        return ids
+
+    def _learn(self, chunks: list[bytes]) -> None:
+        """Put chunks into the younger generation, from the older one or newly encoded."""
+        if len(self.young.place) > KNOWN:
+            self.young, self.old = _Generation(self.kind), self.young
+        known = [c for c in chunks if c in self.old.place]
+        new = [c for c in chunks if c not in self.old.place]
+        if known:
+            self.young.add(known, [self.old.ids_of(c) for c in known])
+        if new:
+            self.young.add(new, self._encode(new))
 
     def ids(self, part: T.Slice, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows one after the other (``end`` after each row, if given), and ids per row."""
-        raw = b"<|" in part.data.tobytes()
-        low = part if raw else T.lowered(part)
-        found = T.words(low)
-        if not raw and len(found.starts):
-            found = _with_endings(low.data, found)
-        extra = 0 if end is None else 1
-        hashes = T.range_hashes(T.prefix_sums(low.data), found.starts, found.ends)
-        if raw:  # other cutting rules: never mixed with chunks known from lowered slices
-            hashes = T.mix(hashes ^ np.uint64(0x5851F42D4C957F2D))
-        uniq, first, back = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.keys) + len(uniq) > KNOWN:
-            self._forget()
-        place = np.minimum(np.searchsorted(self.keys, uniq), max(len(self.keys) - 1, 0))
-        known = self.keys[place] == uniq if len(self.keys) else np.zeros(len(uniq), bool)
-        if not known.all():
-            new = np.flatnonzero(~known)
-            self._learn(uniq[new], low.data, found.starts[first[new]], found.ends[first[new]])
-        place = np.searchsorted(self.keys, uniq)
-        at, n = self.at[place][back], self.n[place][back].astype(np.int64)
+        raw = part.data.tobytes()
+        rows = [raw[a:b] for a, b in zip(part.offsets.tolist(), part.offsets.tolist()[1:], strict=False)]
+        if not self.chunked:
+            got = self._whole([r.decode() for r in rows])
+            tail = [] if end is None else [np.array([end], self.kind)]
+            return (np.concatenate([x for g in got for x in (g, *tail)]) if got else np.zeros(0, self.kind),
+                    np.array([len(g) + len(tail) for g in got], np.int64))
+        chunks = [r.split() for r in rows]  # bytes.split() cuts at exactly the six blanks
+        bounds = np.concatenate(([0], np.cumsum([len(c) for c in chunks], dtype=np.int64)))
+        every = list(chain.from_iterable(chunks))
+        places = list(map(self.young.place.get, every))
+        if None in places:
+            self._learn(list(dict.fromkeys(c for c, p in zip(every, places, strict=True) if p is None)))
+            places = list(map(self.young.place.get, every))
+            if None in places:  # the generation changed: chunks that it knew come over
+                self._learn(list(dict.fromkeys(c for c, p in zip(every, places, strict=True) if p is None)))
+                places = list(map(self.young.place.__getitem__, every))
+        place = np.array(places, np.int64)
+        at, n = self.young.at[place], self.young.n[place]
         sums = np.concatenate(([0], np.cumsum(n)))
-        per_row = sums[found.bounds[1:]] - sums[found.bounds[:-1]] + extra
-        ids = self.flat[np.repeat(at - sums[:-1], n) + np.arange(sums[-1])]
+        extra = 0 if end is None else 1
+        per_row = sums[bounds[1:]] - sums[bounds[:-1]] + extra
+        ids = self.young.flat[np.repeat(at - sums[:-1], n) + np.arange(sums[-1])]
         if end is None:
             return ids, per_row
-        out = np.full(len(ids) + part.rows, end, np.uint16)
+        out = np.full(len(ids) + part.rows, end, self.kind)
         out[np.arange(len(ids)) + np.repeat(np.arange(part.rows), per_row - 1)] = ids
         return out, per_row

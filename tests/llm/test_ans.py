@@ -81,7 +81,7 @@ def test_known_words_are_bounded(monkeypatch):
     for k in range(20):
         rows = [" ".join(f"word{k}x{i}" for i in range(30))] * 2
         flat, n = e.ids(next(T.slices(pa.array(rows))), 2)
-        assert [x.tolist() for x in np.split(flat, np.cumsum(n)[:-1])] == plain(rows) and len(e.keys) <= 60
+        assert [x.tolist() for x in np.split(flat, np.cumsum(n)[:-1])] == plain(rows) and len(e.young.place) <= 80 and len(e.old.place) <= 80
 
 
 @pytest.mark.parametrize("segment", [300, 1 << 21])
@@ -107,3 +107,38 @@ def test_odd_rows_and_ids_of_files(spark, frame, odd_rows, tmp_path):
     ans.write_tokens(frame([(2, "b c"), (1, "a")]), f"{tmp_path}/t")
     got = {r["doc_id"]: r["ids"] for r in ans.read_tokens(spark, f"{tmp_path}/t", with_ids=True).collect()}
     assert got == dict(zip([1, 2], plain(["a", "b c"])))
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_ids_are_those_of_the_library_for_every_tokenizer(spark, frame, name):
+    """One tokenizer drops white space (chunks are encoded once), the other keeps it and upper case (whole texts are)."""
+    import public_tokenizers
+    path = public_tokenizers.path(name)
+    tok = tokenizers.Tokenizer.from_file(path)
+    rows = list(enumerate([*ODD, None, "Two  Words\n\n Here ", "x" * 3000]))
+    got = {r["doc_id"]: list(r["ids"]) for r in _read_back(spark, frame(rows), path)}
+    for i, t in rows:
+        assert got[i] == [*tok.encode(t or "", add_special_tokens=False).ids, 2]
+    assert encoder(path).chunked == (name == "word_bpe_49k.json")
+
+
+def _read_back(spark, docs, path):
+    import tempfile
+    folder = tempfile.mkdtemp(prefix="ps-ids-") + "/ids"
+    ans.write_tokens(docs, folder, tokenizer=path)
+    return ans.read_tokens(spark, folder, with_ids=True).collect()
+
+
+def test_large_vocabularies_are_wide_or_refused(tmp_path):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+    for size, kind in ((70_000, np.uint32), (300_000, None)):
+        tok = Tokenizer(models.WordLevel({f"w{i}": i for i in range(size)}, unk_token="w0"))
+        tok.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        tok.save(str(tmp_path / f"{size}.json"))
+        if kind is None:
+            with pytest.raises(ValueError):
+                encoder(str(tmp_path / f"{size}.json"))
+            continue
+        e = encoder(str(tmp_path / f"{size}.json"))
+        flat, n = e.ids(next(T.slices(pa.array(["w69999 w5 none", "", "w65536"]))), 2)
+        assert e.chunked and e.kind == kind and flat.tolist() == [69999, 5, 0, 2, 2, 65536, 2] and n.tolist() == [4, 1, 2]
