@@ -210,11 +210,17 @@ def _across(unsettled: DataFrame, sets: DataFrame, percent: int, folder: str) ->
               .withColumn("after", F.count("*").over(own) - F.col("place")))
     least = F.ceil(F.col("n") * percent / 100)
     prefix = stored(ranked.where(F.col("after") + 1 >= least).select("s", "rid", "root", "n", "after"), f"{folder}/rare")
-    a = prefix.select("s", *[F.col(c).alias(f"{c}_a") for c in ("rid", "root", "n", "after")])
-    b = prefix.select("s", *[F.col(c).alias(f"{c}_b") for c in ("rid", "root", "n", "after")])
+    # lists of one root are done; in the others a pair has at least one member outside the list's most frequent root
+    tops = (prefix.groupBy("s", "root").agg(F.count("*").alias("c")).groupBy("s")
+            .agg(F.max_by("root", F.struct("c", "root")).alias("top"), F.count("*").alias("roots")).where("roots > 1"))
+    tops = stored(tops.select("s", "top"), f"{folder}/tops")
+    listed = stored(prefix.join(tops, "s"), f"{folder}/mixed-lists")
+    a = listed.where("root <> top").select("s", *[F.col(c).alias(f"{c}_a") for c in ("rid", "root", "n", "after")])
+    b = listed.select("s", *[F.col(c).alias(f"{c}_b") for c in ("rid", "root", "n", "after")], (F.col("root") != F.col("top")).alias("few_b"))
     enough = (F.least("after_a", "after_b") + 1) * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
-    met = a.join(b, (a["s"] == b["s"]) & (F.col("rid_a") < F.col("rid_b")) & (F.col("root_a") != F.col("root_b")) & enough)
-    return stored(met.select(F.col("rid_a").alias("a"), F.col("rid_b").alias("b")).distinct(), f"{folder}/across")
+    once = ~F.col("few_b") | (F.col("rid_a") < F.col("rid_b"))  # two members outside it meet once
+    met = a.join(b, (a["s"] == b["s"]) & (F.col("root_a") != F.col("root_b")) & once & enough)
+    return stored(met.select(F.least("rid_a", "rid_b").alias("a"), F.greatest("rid_a", "rid_b").alias("b")).distinct(), f"{folder}/across")
 
 
 def near_dedup(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, coordinates: int = COORDINATES,
@@ -238,14 +244,16 @@ def near_dedup(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, coor
     groups = stored(signed.where("n_shingles > 0").groupBy(*key).agg(first.alias("first"), F.count("*").alias("class_size"))
                     .select(*key, F.col("first.id").alias("class_id"), F.col("first.rid").alias("rid"), "class_size"),
                     f"{folder}/groups")
-    classes = stored(signed.select("rid", "sig").join(groups, "rid"), f"{folder}/classes")
+    classes = stored(signed.select("rid", "mark", "sig").join(groups, "rid"), f"{folder}/classes")
     posts = stored(_rarest(classes, coordinates, matches, folder), f"{folder}/prefix")
     lists = posts.groupBy("token").agg(F.count("*").alias("members"), F.min("rid").alias("low"),
                                        F.min_by("rid", F.xxhash64("token", "rid")).alias("other")).where("members > 1")
     lists = stored(lists, f"{folder}/list-heads")
     posts = stored(posts.join(lists.select("token"), "token"), f"{folder}/lists")
-    needed = classes.join(posts.select("rid").distinct(), "rid").select("rid", "class_id", "fp1", "fp2")
-    sets = docs.join(needed, docs.doc_id.eqNullSafe(needed.class_id)).select("rid", "text", "fp1", "fp2")
+    needed = classes.join(posts.select("rid").distinct(), "rid").select("rid", "class_id", F.col("mark").alias("class_mark"), "fp1", "fp2")
+    # by id and text hash: rows that repeat an id, or have none, meet their own text only
+    own_text = docs.doc_id.eqNullSafe(needed.class_id) & (docs.mark == needed.class_mark)
+    sets = docs.join(needed, own_text).select("rid", "text", "fp1", "fp2")
     sets = stored(mapped(sets, _sets(width), "rid long, shingles array<long>").dropDuplicates(["rid"]), f"{folder}/sets")
 
     def ordered(frame: DataFrame) -> DataFrame:

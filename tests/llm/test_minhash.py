@@ -84,3 +84,36 @@ def test_one_row_of_each_group_stays(frame, corpus, odd_rows):
     assert left.columns == wide.columns
     texts = [r["text"] for r in left.collect()]
     assert texts.count("one") == 1 and len(texts) == 9
+
+
+def test_rows_without_own_id_meet_their_own_text_only(spark, frame, monkeypatch):
+    """2000 rows of one id (and of none) with different texts: each class's text is shingled once, not once per row."""
+    from pullscope.llm import minhash
+    rng = random.Random(8)
+    rows = []
+    for i in range(1000):
+        base = [f"v{rng.randrange(10**6)}" for _ in range(20)]
+        rows += [(None if i % 2 else 7, " ".join(base)), (None if i % 2 else 7, " ".join([*base, "tail"]))]
+    seen = []
+    true = minhash.mapped
+    monkeypatch.setattr(minhash, "mapped", lambda df, f, schema: (seen.append(df) if "array<long>" in str(schema) else None, true(df, f, schema))[1])
+    got = near_dedup(frame(rows))
+    assert got.count() == 2000
+    assert sum(df.count() for df in seen) <= 2000
+
+
+def test_lists_of_one_root_and_their_majority_are_not_joined_with_themselves(spark, frame):
+    """A large group of near copies and one foreign text in its lists: pairs stay a small multiple of the rows."""
+    from pullscope.llm import minhash
+    rng = random.Random(9)
+    shared = [f"t{k}" for k in range(60)]
+    sets, unsettled = [], []
+    for i in range(400):
+        own = [rng.randrange(10**9) for _ in range(5)] + [hash(x) % 10**9 for x in shared]
+        sets.append((i, own))
+        unsettled.append((i, 0 if i < 397 else i))
+    a = spark.createDataFrame(sets, "rid long, shingles array<long>")
+    b = spark.createDataFrame(unsettled, "rid long, root long")
+    pairs = minhash._across(b, a, 75, minhash.new_folder(spark, "across-test")).collect()
+    assert 0 < len(pairs) <= 3 * 400
+    assert {(r["a"], r["b"]) for r in pairs} == {(i, j) for i in range(400) for j in (397, 398, 399) if i < j}
