@@ -6,8 +6,8 @@ collide. A text is then a list of names. Round after round, adjacent names form
 pairs are sorted and named in turn, and the lists halve, until one name is left of each text.
 Texts are equal exactly when their numbers of blocks and their last names are equal.
 
-Scale: blocks are first collapsed within a batch of rows, so a block that a third of all rows
-share reaches the sort once per batch, not once per row; pairs are collapsed by a map-side
+Scale: blocks are first collapsed within a task, so a block that a third of all rows
+share reaches the sort once per task, not once per row; pairs are collapsed by a map-side
 aggregate. Joins that carry a hot name back to its holders are inner joins on plain shuffles,
 which AQE splits. Every round's names are written to the shared folder, as a name is only valid
 within one run of the sort. The number of rounds is the binary logarithm of the longest text's
@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -29,6 +30,8 @@ from pullscope.llm.text import mapped, new_folder, partitions, stored
 
 #: Bytes in a block.
 BLOCK_BYTES = 4096
+#: Bytes of blocks that a task remembers, so that it sends a frequent one once.
+KEPT_BYTES = 32 << 20
 
 _BLANKS = re.compile(r"[\x20\x09-\x0D]+")
 
@@ -40,13 +43,16 @@ def normalise(text: str | None) -> str:
 
 def _cut(block_bytes: int):
     """Rows of two kinds: documents with the references of their blocks, and the blocks of a
-    batch, each once. A reference is unique over all tasks."""
+    task, each once while they are remembered. A reference is unique over all tasks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = TaskContext.get().partitionId() << 40
         row = block = 0
+        refs: dict[bytes, int] = {}
         for batch in batches:
-            refs: dict[bytes, int] = {}
+            if len(refs) * block_bytes > KEPT_BYTES:
+                refs = {}
+            first = len(refs)
             rids, shas, lists = [], [], []
             for text in batch.column("text"):
                 data = normalise(text.as_py()).encode()
@@ -61,14 +67,15 @@ def _cut(block_bytes: int):
                         block += 1
                     own.append(refs[piece])
                 lists.append(own)
-            n, m = len(rids), len(refs)
+            new = list(islice(refs.items(), first, None))
+            n, m = len(rids), len(new)
             yield pa.RecordBatch.from_arrays([
                 pa.array(rids + [None] * m, pa.int64()),
                 pa.concat_arrays([batch.column("doc_id").cast(pa.int64()), pa.nulls(m, pa.int64())]),
                 pa.array(shas + [None] * m, pa.string()),
                 pa.array(lists + [None] * m, pa.list_(pa.int64())),
-                pa.array([None] * n + list(refs.values()), pa.int64()),
-                pa.array([None] * n + list(refs), pa.binary()),
+                pa.array([None] * n + [ref for _, ref in new], pa.int64()),
+                pa.array([None] * n + [piece for piece, _ in new], pa.binary()),
             ], names=["rid", "doc_id", "text_sha256", "refs", "ref", "block"])
 
     return run
