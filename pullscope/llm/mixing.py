@@ -2,9 +2,9 @@
 
 Documents are counted by source and exact length in words. A source whose target is r times its
 size plus a rest takes every document r times, and the rest is fitted from the length counts
-alone: each length gives its proportional share of documents, lengths with the largest
-remainders give one more, and a bounded-knapsack dynamic programme over the last
-``WINDOW`` words of the budget finds the sum that comes nearest. Which documents of a length are
+alone by a bounded-knapsack dynamic programme that finds the sum that comes nearest, from below or above. It runs
+over the whole rest where that has at most ``WINDOW`` words; of a larger one each length gives its proportional share less
+a few documents first, lengths with the largest remainders give more, and the programme fits the last ``WINDOW`` words. Which documents of a length are
 taken is decided by a seeded hash, so reruns agree.
 
 Scale: text is read once, for its length; everything else works on a slim table. Only length
@@ -27,6 +27,8 @@ MOST_REPEATS = 3
 SEED = 9
 #: Words of the budget that the dynamic programme fits.
 WINDOW = 1 << 16
+#: Documents of each length that proportional shares leave to the dynamic programme.
+SPARE = 8
 #: Documents in a hash cell, about.
 CELL_ROWS = 100_000
 
@@ -58,25 +60,34 @@ def targets(totals: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = M
 
 
 def fit(lengths: list[int], counts: list[int], budget: int, window: int = WINDOW) -> list[int]:
-    """How many documents of each length to take so that their words come nearest to ``budget``
-    without passing it (within the last ``window`` words exactly)."""
-    total = sum(a * b for a, b in zip(lengths, counts))
+    """How many documents of each length to take so that their words come nearest to ``budget`` (of two sums
+    equally near the smaller).
+
+    A budget of at most ``window`` is fitted over all documents, so no set of documents comes nearer. Of a larger
+    one, proportional shares less ``SPARE`` documents of each length are taken first, and the rest, up to ``window``
+    words, is fitted with all documents that are left.
+    """
+    total = sum(a * b for a, b in zip(lengths, counts, strict=True))
     if budget >= total:
         return list(counts)
     if budget <= 0:
         return [0] * len(lengths)
-    take = [c * budget // total for c in counts]
-    left = budget - sum(a * b for a, b in zip(lengths, take))
-    order = sorted(range(len(lengths)), key=lambda i: (-(counts[i] * budget % total), -lengths[i]))
-    moved = True
-    while left > window and moved:
-        moved = False
-        for i in order:
-            if window < left >= lengths[i] > 0 and take[i] < counts[i]:
-                take[i] += 1
-                left -= lengths[i]
-                moved = True
-    reach = np.zeros(min(left, window) + 1, bool)
+    take, left = [0] * len(lengths), budget
+    if budget > window:
+        take = [max(0, c * budget // total - SPARE) for c in counts]
+        left = budget - sum(a * b for a, b in zip(lengths, take, strict=True))
+        order = sorted(range(len(lengths)), key=lambda i: (-(counts[i] * budget % total), -lengths[i]))
+        moved = True
+        while left > window and moved:
+            moved = False
+            for i in order:
+                if window < left >= lengths[i] > 0 and take[i] < counts[i]:
+                    take[i] += 1
+                    left -= lengths[i]
+                    moved = True
+    # sums up to the first one that any document makes past the rest
+    longest = max((a for a, c, t in zip(lengths, counts, take, strict=True) if t < c), default=0)
+    reach = np.zeros(left + min(longest, 2 * left + 1) + 1, bool)
     reach[0] = True
     first = np.full(len(reach), -1, np.int64)
     items: list[tuple[int, int]] = []
@@ -85,7 +96,7 @@ def fit(lengths: list[int], counts: list[int], budget: int, window: int = WINDOW
         if size <= 0 or size >= len(reach):
             continue
         spare, step = min(spare, (len(reach) - 1) // size), 1
-        while spare > 0 and not reach[-1]:
+        while spare > 0 and not reach[left]:
             k = min(step, spare)
             shift = k * size
             new = np.flatnonzero(reach[:-shift] & ~reach[shift:]) + shift
@@ -93,7 +104,8 @@ def fit(lengths: list[int], counts: list[int], budget: int, window: int = WINDOW
             first[new] = len(items)
             items.append((i, k))
             spare, step = spare - k, step * 2
-    at = int(np.flatnonzero(reach)[-1])
+    sums = np.flatnonzero(reach)
+    at = int(sums[np.argmin(np.abs(sums - left))])
     while at > 0:
         i, k = items[first[at]]
         take[i] += k

@@ -25,22 +25,38 @@ def goals(sizes, weights=(5, 2, 1), most=3):
     return out
 
 
+def sums(sizes, counts, most):
+    reach = {0}
+    for a, c in zip(sizes, counts):
+        reach = {r + k * a for r in reach for k in range(c + 1) if r + k * a <= most}
+    return reach
+
+
 @settings(max_examples=200, deadline=None)
-@given(st.dictionaries(st.integers(1, 60), st.integers(1, 9), min_size=1, max_size=12), st.integers(0, 4000), st.sampled_from([0, 5, 100, 1 << 16]))
-def test_fit_never_passes_the_budget_and_comes_nearest(lengths, budget, window):
+@given(st.dictionaries(st.integers(1, 60), st.integers(1, 9), min_size=1, max_size=12), st.integers(0, 4000), st.sampled_from([5, 100, 1 << 16]))
+def test_fit_comes_nearest_to_the_budget(lengths, budget, window):
     sizes, counts = list(lengths), list(lengths.values())
     take = fit(sizes, counts, budget, window)
     got = sum(a * b for a, b in zip(sizes, take))
-    assert all(0 <= t <= c for t, c in zip(take, counts)) and got <= budget
+    assert all(0 <= t <= c for t, c in zip(take, counts))
     total = sum(a * b for a, b in zip(sizes, counts))
     if budget >= total:
         assert take == counts
-    elif window >= 1 << 16:  # the rest after proportional shares is fitted exactly
-        share = [c * budget // total for c in counts]
-        left, reach = budget - sum(a * b for a, b in zip(sizes, share)), {0}
-        for a, c, s in zip(sizes, counts, share):
-            reach = {r + k * a for r in reach for k in range(c - s + 1) if r + k * a <= left}
-        assert budget - got == left - max(reach)
+    elif window >= budget:  # no set of documents comes nearer
+        assert abs(got - budget) == min(abs(x - budget) for x in sums(sizes, counts, 2 * budget + 60))
+    else:
+        assert abs(got - budget) <= max(sizes)
+
+
+def test_fit_finds_sums_beside_the_proportional_shares():
+    assert fit([7, 12], [4, 1], 12) == [0, 1]
+    assert fit([20_000], [1], 19_000) == [1]  # nearer from above
+    assert fit([20_000], [1], 9_000) == [0]
+    assert fit([3, 5], [10, 10], 1) == [0, 0]
+    # a large budget: the last words are fitted with the documents that the shares left over
+    sizes, counts = [7, 11, 13, 1000], [50_000, 40_000, 30_000, 900]
+    for budget in (1_000_003, 777_777, 1_500_001):
+        assert sum(a * b for a, b in zip(sizes, fit(sizes, counts, budget))) == budget
 
 
 @pytest.fixture(scope="module")
