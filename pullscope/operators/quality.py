@@ -33,10 +33,11 @@ def validate_month(prs: DataFrame, baseline_agent: DataFrame, date_from: str, da
 
 
 def conformance(spark: SparkSession, tables: Mapping[str, DataFrame],
-                expected: Mapping[str, T.StructType]) -> DataFrame:
-    """Q2: per table and expected column: present?, actual type, expected type.
+                expected: Mapping[str, T.StructType], counts: bool = False) -> DataFrame:
+    """Q2: per table and expected column: present?, actual type, expected type, whether they match.
 
-    Works on schemas only (no data is read)."""
+    Works on schemas only (no data is read), unless ``counts`` asks for the values and nulls of each column: one
+    partial aggregate per table."""
     rows = []
     for name, df in tables.items():
         actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
@@ -45,12 +46,16 @@ def conformance(spark: SparkSession, tables: Mapping[str, DataFrame],
             rows.append((name, col, col in actual, actual.get(col), exp.get(col),
                          actual.get(col) == exp.get(col)))
     schema = "table string, column string, present boolean, actual string, expected string, matches boolean"
-    return spark.createDataFrame(rows, schema)
-
-
-def missing_report(keys: DataFrame, found: DataFrame, key: str = "sha") -> DataFrame:
-    """Q4: keys with no rows (recomputed by anti-join, so a later success clears them, B9)."""
-    return keys.select(key).distinct().join(found.select(key).distinct(), key, "left_anti")
+    listed = spark.createDataFrame(rows, schema)
+    if not counts:
+        return listed
+    held = None
+    for name, df in tables.items():
+        one = df.agg(*[F.struct(F.count(c).alias("vals"), F.count_if(F.col(c).isNull()).alias("nulls")).alias(c) for c in df.columns])
+        cells = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"{c}.vals"), F.col(f"{c}.nulls")) for c in df.columns]))
+        part = one.select(F.lit(name).alias("table"), cells.alias("c")).select("table", "c.*")
+        held = part if held is None else held.unionByName(part)
+    return listed.join(held, ["table", "column"], "left").withColumnRenamed("vals", "values")
 
 
 def require_rows(df: DataFrame, what: str) -> DataFrame:

@@ -281,4 +281,4 @@ def queries() -> dict[str, Query]:
 
 def _load_more() -> None:
     # modules that register further queries on import
-    from pullscope.plans import registry_more  # noqa: F401
+    from pullscope.plans import registry_flow, registry_more  # noqa: F401

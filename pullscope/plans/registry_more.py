@@ -126,12 +126,12 @@ def q_sha_repo(spark, d):
 # ---- chunks, state, retry ------------------------------------------------------------------
 @register("chunks_merged")
 def q_chunks(spark, d):
-    """K2 + K3 + S5: PRs written as one partition per repository, merged into one table, read back."""
+    """K2 + K3 + S5: PRs written to the chunk store by repository, merged into one table, read back."""
     from pullscope.schemas import PULL_REQUESTS
-    from pullscope.sources.sinks import compact, write_chunks
+    from pullscope.sources.chunks import merge_chunks, write_chunks
     base = _landing(spark, "chunks")
     write_chunks(fx.pull_requests(spark, d), f"{base}/chunks")
-    compact(spark, f"{base}/chunks", f"{base}/table", PULL_REQUESTS)
+    merge_chunks(spark, f"{base}/chunks", f"{base}/table", PULL_REQUESTS)
     return spark.read.parquet(f"{base}/table").select("id", "repo_name", "title", "agent")
 
 

@@ -1,47 +1,25 @@
-"""Sinks K1-K9: Parquet tables, partitioned chunks, compaction, CSV, samples, report text,
-manifest."""
+"""Sinks K1, K5, K6, K8, K9: Parquet tables, CSV, samples, report text, manifest (chunks: ``sources.chunks``)."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from pullscope.sources.tables import read_or_none
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite",
-                sort_by: str | None = None) -> None:
-    """K1: Parquet, replaced as a whole. ``sort_by`` (e.g. ``created_at``) sorts within
-    partitions so row-group statistics can skip by range (F3's early stop)."""
+                sort_by: str | None = None, row_group_bytes: int | None = None) -> None:
+    """K1: Parquet, replaced as a whole. With ``sort_by`` (e.g. ``created_at``) the table is clustered: rows are
+    dealt to files by ranges of that column and sorted within them, so that files and row groups hold
+    narrow ranges and a scan with a window on it skips the others by their statistics (F3's early stop).
+    ``row_group_bytes`` makes row groups smaller than the default."""
     if sort_by:
-        df = df.sortWithinPartitions(sort_by)
-    df.write.mode(mode).parquet(path)
-
-
-def write_chunks(df: DataFrame, path: str, key: str = "repo_name") -> None:
-    """K2: one partition directory per key; a re-run replaces only the partitions it writes
-    and replaces each of them whole (no stale higher-numbered chunks, B15).
-
-    Rows are gathered by key with a rebalance hint, so a hot key becomes several tasks and files."""
-    (df.hint("rebalance", F.col(key)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(key).parquet(path))
-
-
-def compact(spark: SparkSession, in_path: str, out_path: str, schema: T.StructType,
-            files: int | None = None) -> int:
-    """K3/K4: merge chunks into one table under an explicit schema; returns the row count,
-    observed while writing (no second pass). No chunks -> an empty typed table."""
-    df = read_or_none(spark, in_path, schema)
-    if df is None:
-        df = spark.createDataFrame([], schema)
-    if files:
-        df = df.repartition(files)
-    obs = Observation("compact")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(out_path)
-    return int(obs.get.get("rows", 0))
+        df = df.repartitionByRange(F.col(sort_by)).sortWithinPartitions(sort_by)
+    w = df.write.mode(mode)
+    if row_group_bytes:
+        w = w.option("parquet.block.size", row_group_bytes).option("parquet.page.row.count.limit", 1000)
+    w.parquet(path)
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
@@ -70,19 +48,28 @@ def write_report(report: DataFrame, path: str) -> None:
     back.orderBy(*keys).select(F.col("text").alias("value")).coalesce(1).write.mode("overwrite").text(path + "/text")
 
 
-def manifest(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
-    """K9: rows and columns per written table, and bytes on storage (file listing only)."""
-    frames = []
+def manifest_files(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
+    """K9: (table, file, rows, bytes) of every file of the written tables. Rows come from the footers (no
+    column is read), bytes from the listing."""
+    parts = []
     for name, p in paths.items():
-        df = spark.read.parquet(p)
-        cols = ",".join(df.columns)
-        size = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-                .option("recursiveFileLookup", "true").load(p)
-                .agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")))
-        frames.append(df.agg(F.count(F.lit(1)).alias("rows"))
-                      .select(F.lit(name).alias("table"), "rows", F.lit(cols).alias("columns"),
-                              size.scalar().alias("bytes")))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
+        file = F.regexp_replace("_metadata.file_path", "^.*/", "").alias("file")
+        rows = spark.read.parquet(p).select(file).groupBy("file").agg(F.count(F.lit(1)).alias("rows"))
+        listed = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+                  .load(p).select(F.regexp_replace("path", "^.*/", "").alias("file"), F.col("length").alias("bytes")))
+        parts.append(listed.join(rows, "file", "left").select(F.lit(name).alias("table"), "file",
+                                                              F.coalesce("rows", F.lit(0)).alias("rows"), "bytes"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
     return out
+
+
+def manifest(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
+    """K9: per written table its rows, number of files, columns (names in order) and bytes on storage."""
+    schemas = {name: ",".join(spark.read.parquet(p).columns) for name, p in paths.items()}
+    columns = spark.createDataFrame(sorted(schemas.items()), "table string, columns string")
+    sums = (manifest_files(spark, paths).groupBy("table")
+            .agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes")))
+    return columns.join(sums, "table", "left").select("table", F.coalesce("rows", F.lit(0)).alias("rows"), "columns",
+                                                      F.coalesce("files", F.lit(0)).alias("files"), F.coalesce("bytes", F.lit(0)).alias("bytes"))

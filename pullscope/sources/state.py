@@ -10,34 +10,57 @@ from __future__ import annotations
 
 import time
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pullscope.schemas import STATE
 from pullscope.sources.tables import read_or_none
 
+#: Errors of files that are damaged or gone.
+UNREADABLE = ("FAILED_READ_FILE", "CANNOT_READ_FILE_FOOTER", "PATH_NOT_FOUND")
+#: Newest versions that are tried when some can't be read.
+KEPT = 20
+
 
 def empty_state(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], STATE)
 
 
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    """Saved versions, newest first: by sequence number, not by the text of the run id."""
+    done = read_or_none(spark, f"{path}/done=*", "saved string, seq long")
+    return [] if done is None else [r["saved"] for r in done.orderBy(F.desc("seq"), F.desc("saved")).limit(KEPT).collect()]
+
+
 def read_state(spark: SparkSession, path: str) -> DataFrame:
     """The newest complete state, read from its own folder only (an empty save is a state too).
 
-    Absent state is empty; unreadable files of it are left out, so collection starts fresh there.
+    Absent state is empty. A version that can't be read counts as a whole as if it had not been saved: the one before it
+    holds, and collection starts fresh where none can be read.
     """
-    done = read_or_none(spark, f"{path}/done=*", "saved string")
-    newest = done.agg(F.max("saved")).first()[0] if done is not None else None
-    if newest is None:
-        return empty_state(spark)
-    return spark.read.schema(STATE).option("ignoreCorruptFiles", True).parquet(f"{path}/run={newest}")
+    for version in _versions(spark, path):
+        state = spark.read.schema(STATE).parquet(f"{path}/run={version}")
+        try:
+            state.agg(F.bit_xor(F.xxhash64(*STATE.names))).collect()  # every column of every file can be read
+            return state
+        except (PySparkException, Py4JJavaError) as e:
+            if not any(x in str(e) for x in UNREADABLE):
+                raise
+    return empty_state(spark)
 
 
 def write_state(state: DataFrame, path: str, run_id: str | None = None) -> str:
-    """K7: save a new state version whole, then a small marker that it is complete."""
+    """K7: save a new state version whole, then a small marker that it is complete. Versions have rising sequence
+    numbers, whatever their run ids are."""
+    spark = state.sparkSession
+    done = read_or_none(spark, f"{path}/done=*", "saved string, seq long")
+    last = done.agg(F.max("seq")).first()[0] if done is not None else None
     rid = run_id or time.strftime("%Y%m%dT%H%M%S") + f"{time.time() % 1:.6f}"[1:]
     state.withColumn("run_id", F.lit(rid)).write.mode("overwrite").parquet(f"{path}/run={rid}")
-    state.sparkSession.range(1).select(F.lit(rid).alias("saved")).coalesce(1).write.mode("overwrite").parquet(f"{path}/done={rid}")
+    mark = spark.range(1).select(F.lit(rid).alias("saved"), F.lit((last or 0) + 1).cast("long").alias("seq"))
+    mark.coalesce(1).write.mode("overwrite").parquet(f"{path}/done={rid}")
     return rid
 
 

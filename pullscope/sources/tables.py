@@ -1,4 +1,4 @@
-"""Table scans: S1-S5, S13.
+"""Table scans: S1-S4, S13 (S5: ``sources.chunks``).
 
 Column selection and filters are expressed on the DataFrame so Catalyst pushes them into the
 Parquet scan (``ReadSchema`` holds only the named columns; ``PushedFilters`` holds ``In``).
@@ -34,28 +34,27 @@ def read_baseline(spark: SparkSession, path: str, agents: Sequence[str] = AGENT_
 
 
 def with_stored_order(df: DataFrame, name: str = "row_ord") -> DataFrame:
-    """Stored row order of a Parquet scan as one sortable struct (file name, row index).
+    """Stored row order of a Parquet scan as one sortable struct (part number, file name, row index).
 
     The reference's order-dependent rules ("first", "last") mean file order; this keeps them
-    exact on a distributed scan. Never ``monotonically_increasing_id``.
+    exact on a distributed scan. Never ``monotonically_increasing_id``. Spark's part files follow their
+    number (``part-100000`` comes after ``part-99999``), other files their name.
     """
-    return df.withColumn(name, F.struct(F.col("_metadata.file_name").alias("f"),
-                                        F.col("_metadata.row_index").alias("r")))
-
-
-def read_chunks(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A directory of chunk files under an explicit schema (never inferred: a chunk holding
-    only empty commits would type ``filename`` as null)."""
-    return spark.read.schema(schema).option("mergeSchema", "false").parquet(path)
+    file = F.col("_metadata.file_name")
+    part = F.coalesce(F.regexp_extract(file, "^part-([0-9]+)", 1).try_cast("long"), F.lit(-1))
+    return df.withColumn(name, F.struct(part.alias("n"), file.alias("f"), F.col("_metadata.row_index").alias("r")))
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence check by listing the path with the session's file systems (any scheme)."""
+    """Existence check by listing the path with the session's file systems (any scheme). Only a path that
+    is not there counts as absent; other errors (permissions, network) are raised."""
     try:
         spark.read.format("binaryFile").load(path).limit(0).collect()
         return True
-    except Exception:  # noqa: BLE001  (PATH_NOT_FOUND)
-        return False
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
 
 
 def read_optional(spark: SparkSession, path: str, schema: T.StructType,

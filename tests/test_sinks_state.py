@@ -28,6 +28,45 @@ def test_state_versions_and_remaining(spark):
     assert sorted(r[0] for r in state.retry_set(keys, cur).collect()) == ["o/b"]
 
 
+def test_state_versions_follow_their_order_not_their_names(spark):
+    base = tempfile.mkdtemp(prefix="ps-state-")
+    row = lambda k: spark.createDataFrame([("prs", k, "done", None, None)], "phase string, key string, kind string, detail string, run_id string")
+    for run in ("8", "9", "10"):
+        state.write_state(row(f"o/{run}"), base, run)
+    assert [r["key"] for r in state.read_state(spark, base).collect()] == ["o/10"]
+    state.write_state(row("o/a").limit(0), base, "11")
+    assert state.read_state(spark, base).count() == 0
+
+
+def test_a_version_with_a_damaged_file_does_not_count_at_all(spark):
+    base = tempfile.mkdtemp(prefix="ps-state-")
+    rows = [("prs", f"o/{i}", "done", None, None) for i in range(50)]
+    df = spark.createDataFrame(rows, "phase string, key string, kind string, detail string, run_id string").repartition(5)
+    state.write_state(df.limit(7), base, "a")
+    state.write_state(df, base, "b")
+    assert state.read_state(spark, base).count() == 50
+
+    def damage(run):
+        part = next(n for n in sorted(os.listdir(f"{base}/run={run}")) if n.endswith(".parquet"))
+        with open(f"{base}/run={run}/{part}", "r+b") as fh:
+            fh.seek(-8, 2)
+            fh.write(b"damaged!")
+        crc = f"{base}/run={run}/.{part}.crc"
+        if os.path.exists(crc):
+            os.rename(crc, f"{base}/{run}.crc")
+
+    damage("b")
+    assert state.read_state(spark, base).count() == 7  # none of the 50, not 40 of them
+    damage("a")
+    assert state.read_state(spark, base).count() == 0
+
+
+def test_path_errors_other_than_absence_are_raised(spark):
+    import pytest
+    with pytest.raises(Exception, match="(?i)scheme|filesystem"):
+        tables.path_exists(spark, "nosuchscheme://host/x")
+
+
 def test_imported_state_and_corrupt_file(spark):
     d = tempfile.mkdtemp(prefix="ps-imp-")
     with open(os.path.join(d, "checkpoint_prs.json"), "w") as fh:
@@ -74,6 +113,13 @@ def test_stored_order_and_head(spark):
     spark.range(0, 50).coalesce(1).write.parquet(base + "/t")
     df = tables.with_stored_order(spark.read.parquet(base + "/t"))
     assert [r["id"] for r in sampling.head_in_order(df, 5).collect()] == [0, 1, 2, 3, 4]
+    for name, first in (("part-99999-x", 0), ("part-100000-x", 10), ("other", 20)):
+        spark.range(first, first + 2).coalesce(1).write.parquet(f"{base}/{name}")
+        part = next(n for n in os.listdir(f"{base}/{name}") if n.startswith("part-"))
+        os.makedirs(f"{base}/u", exist_ok=True)
+        os.link(f"{base}/{name}/{part}", f"{base}/u/{name}.parquet")
+    df = tables.with_stored_order(spark.read.parquet(base + "/u"))
+    assert [r["id"] for r in sampling.head_in_order(df, 6).collect()] == [20, 21, 0, 1, 10, 11]
 
 
 def test_conformance(spark):
@@ -81,6 +127,11 @@ def test_conformance(spark):
     rows = quality.conformance(spark, {"pull_requests": prs}, {"pull_requests": PULL_REQUESTS}).collect()
     missing = [r["column"] for r in rows if not r["present"]]
     assert missing == ["body"] and all(r["matches"] for r in rows if r["present"])
+    other = spark.createDataFrame([(1, None, "x"), (2, "t", "x"), (None, None, "x")], "id long, title string, more string")
+    held = {r["column"]: (r["actual"], r["matches"], r["values"], r["nulls"]) for r in
+            quality.conformance(spark, {"pull_requests": other}, {"pull_requests": PULL_REQUESTS}, counts=True).collect()}
+    assert held["id"] == ("bigint", True, 2, 1) and held["title"][2:] == (1, 2)
+    assert held["more"] == ("string", False, 3, 0) and held["body"] == (None, False, None, None)
 
 
 def test_slug_and_rate(spark):

@@ -4,9 +4,6 @@ import json
 import os
 import tempfile
 
-from pyspark.sql import functions as F
-
-from pullscope.schemas import COMMIT_DETAILS
 from pullscope.sources import gittext, payloads, sinks
 from pullscope.sources.gittext import COMMIT_SEP, MSG_END
 
@@ -108,17 +105,16 @@ def test_lossy_decode_of_landed_bytes(spark):
     assert docs.collect()[0]["text"] == "ok �� end"
 
 
-def test_chunks_compact_and_manifest(spark):
+def test_manifest_lists_rows_files_columns_and_bytes(spark):
     base = tempfile.mkdtemp(prefix="ps-sink-")
-    rows = [("s", "a", "c", "m", 1, 1, 0, 1, "f", "added", 1, 0, 1, None)]
-    df = spark.createDataFrame(rows, COMMIT_DETAILS).withColumn("repo_name", F.lit("o/r"))
-    sinks.write_chunks(df, f"{base}/chunks")
-    sinks.write_chunks(df.limit(0), f"{base}/chunks")   # empty rerun leaves the partition
-    n = sinks.compact(spark, f"{base}/chunks", f"{base}/merged", COMMIT_DETAILS)
-    assert n == 1
-    assert sinks.compact(spark, f"{base}/absent", f"{base}/empty", COMMIT_DETAILS) == 0
-    man = {r["table"]: (r["rows"], r["bytes"] > 0) for r in sinks.manifest(spark, {"merged": f"{base}/merged"}).collect()}
-    assert man == {"merged": (1, True)}
+    spark.range(0, 100, 1, 4).write.parquet(f"{base}/a")
+    spark.createDataFrame([], "x string, y long").write.parquet(f"{base}/empty")
+    man = {r["table"]: (r["rows"], r["files"], r["columns"], r["bytes"] > 0) for r in
+           sinks.manifest(spark, {"a": f"{base}/a", "empty": f"{base}/empty"}).collect()}
+    assert man["a"] == (100, 4, "id", True) and man["empty"][0] == 0 and man["empty"][2] == "x,y"
+    files = sinks.manifest_files(spark, {"a": f"{base}/a"}).collect()
+    sizes = {n: os.path.getsize(f"{base}/a/{n}") for n in os.listdir(f"{base}/a") if n.endswith(".parquet")}
+    assert {r["file"]: r["bytes"] for r in files} == sizes and [r["rows"] for r in files] == [25] * 4
 
 
 def test_name_status_duplicates_and_headers_with_extra_text(spark):
