@@ -207,10 +207,13 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, segme
     """Encode ``docs`` (doc_id, text) in ascending doc_id order into a token dataset at ``path``.
 
     ``tokenizer`` is a tokenizers-library file that every worker can read (default: the installed
-    public one). Null texts are empty; every document ends with id 2. Null ids come first.
+    public one). Null texts are empty; every document ends with id 2. Null ids come first, rows with one id stand
+    together in any order.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    ordered = texts.repartitionByRange(F.col("doc_id")).sortWithinPartitions("doc_id")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("_mark"),
+                        F.monotonically_increasing_id().alias("_at"))
+    order = ["doc_id", "_mark", "_at"]  # rows with one id, or none, are dealt to several tasks
+    ordered = texts.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
     T.mapped(ordered, _coded(tokenizer, segment), "task long, number long, ids long, segment binary").write.parquet(path)
 
 

@@ -81,7 +81,7 @@ def test_known_words_are_bounded(monkeypatch):
     for k in range(20):
         rows = [" ".join(f"word{k}x{i}" for i in range(30))] * 2
         flat, n = e.ids(next(T.slices(pa.array(rows))), 2)
-        assert [x.tolist() for x in np.split(flat, np.cumsum(n)[:-1])] == plain(rows) and len(e.young.place) <= 80 and len(e.old.place) <= 80
+        assert [x.tolist() for x in np.split(flat, np.cumsum(n)[:-1])] == plain(rows) and len(e.young) <= 80 and len(e.old) <= 80
 
 
 @pytest.mark.parametrize("segment", [300, 1 << 21])
