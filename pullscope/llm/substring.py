@@ -7,17 +7,19 @@ sequence also starts anywhere else is removed.
    covered whole if it has a window at all.
 2. Candidates: each window is represented by the smallest hash among its ``ANCHOR``-word grams. Equal
    windows have equal anchors, and neighbouring windows mostly share one, so only about a tenth of
-   all places is counted. Windows whose anchor occurs twice are candidates.
-3. The reference holds each candidate window that occurs twice once, at its first occurrence;
-   consecutive ones form passages. Passages are dealt to shards of about ``SHARD_WORDS`` words, and a
-   suffix automaton is built of every shard.
-4. Documents' candidate stretches are streamed past the automaton of the shard that holds their
-   windows. Matching statistics (the longest suffix read so far that occurs in the shard) of
-   ``window`` or more mark the words to remove: maximal spans, on the word sequence itself.
-
-Scale: the reference grows with the corpus, so not every automaton goes to every task; stretches are sent
-to the shards that can match. A shard that very many documents stream to is built in several tasks, each taking
-some of the documents. Counts are map-side aggregates; joins on hot hashes are inner joins that AQE
+   all places is counted. The windows of one anchor that occurs twice form a piece; equal windows are in pieces of
+   the same anchor.
+3. Pieces are sorted by anchor and streamed past the suffix automaton of a reference shard. Matching statistics
+   (the longest suffix read so far that occurs in the shard) of ``window`` or more mark the words of the piece, and
+   the place where the automaton's state first occurred marks the words there. A piece with a window that did not match
+   joins the reference. A shard ends between two anchors, when it has ``SHARD_WORDS`` words.
+
+An automaton thus finds every repeat: a window that occurs once in its shard is the only one of its kind.
+
+Scale: the reference grows with the corpus, so no automaton holds all of it; each task builds the shards of its
+anchors, one at a time. An anchor with very many pieces is dealt to several tasks, each with a shard of its own; the
+windows that such a shard met once go to a second round, dealt by the whole window, so no task holds a hot
+anchor or all the texts that follow a common phrase. Counts are map-side aggregates; joins on hot hashes are inner joins that AQE
 splits. Words travel as 64-bit hashes.
 """
 
@@ -37,8 +39,8 @@ from pullscope.llm import text as T
 WINDOW = 35
 ANCHOR = 18
 SHARD_WORDS = 20_000
-#: Words streamed to one copy of a shard's automaton, about.
-STREAM_WORDS = 200_000
+#: Pieces of one anchor that a shard takes, about.
+HOT_PIECES = 1000
 
 
 def anchors(hashes: np.ndarray, lo: int, hi: int, grams: np.ndarray, window: int, anchor: int) -> np.ndarray:
@@ -78,122 +80,59 @@ def _anchored(window: int, anchor: int):
     return run
 
 
-def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
-    """First and last (exclusive) index of every run of true flags."""
-    edges = np.flatnonzero(np.diff(np.concatenate(([0], flags.astype(np.int8), [0]))))
-    return list(zip(edges[::2].tolist(), edges[1::2].tolist()))
-
-
-def _stretches(window: int, anchor: int):
-    """Words of the candidate windows of each document: where stretches start, and their hashes."""
+def _pieces(window: int, anchor: int):
+    """The pieces of the wanted anchors of each document: key, place of the first word, and the words' hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in T.slices(batch.column("text")):
                 found, hashes = T.word_hashes(part)
                 grams = T.rolling_hashes(hashes, anchor)
-                starts, lists = [], []
+                rids, keys, salts, starts, words = [], [], [], [], []
                 for row in range(part.rows):
                     lo, hi = int(found.bounds[row]), int(found.bounds[row + 1])
-                    wanted = np.zeros(max(hi - lo, 1), bool)
-                    wanted[np.asarray(batch.column("at")[part.first + row].values)] = True
-                    runs = _runs(wanted[anchors(hashes, lo, hi, grams, window, anchor)])
-                    starts.append([a for a, _ in runs])
-                    lists.append([hashes[lo + a:lo + b + window - 1].view(np.int64) for a, b in runs])
-                yield pa.RecordBatch.from_arrays([
-                    batch.column("rid")[part.first:part.last], pa.array(starts, pa.list_(pa.int32())),
-                    pa.array(lists, pa.list_(pa.list_(pa.int64())))], names=["rid", "starts", "words"])
-
-    return run
-
-
-def _stretch_rows(batch: pa.RecordBatch, i: int) -> Iterator[tuple[int, np.ndarray]]:
-    for start, own in zip(batch.column("starts")[i].as_py(), batch.column("words")[i].values):
-        yield start, np.asarray(own.values).view(np.uint64)
-
-
-def _windows(window: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                rid = batch.column("rid")[i].as_py()
-                got = [(s + np.arange(len(w) - window + 1), T.rolling_hashes(w, window)) for s, w in _stretch_rows(batch, i)]
-                if got:
-                    at = np.concatenate([p for p, _ in got])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(at), rid)), pa.array(at.astype(np.int32)),
-                         pa.array(np.concatenate([h for _, h in got]).view(np.int64))], names=["rid", "pos", "hash"])
-
-    return run
-
-
-def _gathered(function):
-    """Join small record batches to larger ones."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept, size = [], 0
-        for batch in function(batches):
-            kept.append(batch)
-            size += batch.num_rows
-            if size >= 50_000:
-                yield pa.Table.from_batches(kept).combine_chunks().to_batches()[0]
-                kept, size = [], 0
-        if size:
-            yield pa.Table.from_batches(kept).combine_chunks().to_batches()[0]
+                    wanted = batch.column("wanted")[part.first + row].values
+                    at = np.asarray(wanted.field("at"))
+                    of = anchors(hashes, lo, hi, grams, window, anchor)  # never falls from one window to the next
+                    first, last = np.searchsorted(of, at, "left"), np.searchsorted(of, at, "right")
+                    rids += [batch.column("rid")[part.first + row].as_py()] * len(at)
+                    keys.append(np.asarray(wanted.field("key")))
+                    salts.append(np.asarray(wanted.field("salts")))
+                    starts.append(first)
+                    words += [hashes[lo + a:lo + b + window - 1] for a, b in zip(first.tolist(), last.tolist(), strict=True)]
+                if rids:
+                    yield _piece_batch(rids, np.concatenate(keys), np.concatenate(salts), np.concatenate(starts), words)
 
     return run
 
 
-def _pieces(window: int):
-    """Runs of windows that go to one shard, with their words: kind 0 is reference, 1 is streamed."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: list[list] = [[], [], [], [], []]
-            for i in range(batch.num_rows):
-                rid = batch.column("rid")[i].as_py()
-                sent = batch.column("sent")[i].values
-                pos, shard = np.asarray(sent.field("pos")), np.asarray(sent.field("shard"))
-                first = np.asarray(sent.field("first").cast(pa.int8())).astype(bool)
-                by = np.argsort(pos, kind="stable")
-                pos, shard, first = pos[by], shard[by], first[by]
-                stretches = list(_stretch_rows(batch, i))
-                heads = np.array([s for s, _ in stretches])
-                for kind in (0, 1):
-                    pick = np.flatnonzero(first) if kind == 0 else np.arange(len(pos))
-                    p, s = pos[pick], shard[pick]
-                    cut = np.flatnonzero((np.diff(p) != 1) | (np.diff(s) != 0)) + 1
-                    for a, b in zip(np.concatenate(([0], cut)).tolist(), np.concatenate((cut, [len(p)])).tolist()):
-                        if a == b:
-                            continue
-                        k = int(np.searchsorted(heads, p[a], "right")) - 1
-                        at = int(p[a]) - stretches[k][0]
-                        words = stretches[k][1][at:at + b - a + window - 1].view(np.int64)
-                        for column, value in zip(out, (int(s[a]), kind, rid, int(p[a]), words)):
-                            column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()),
-                                              pa.array(out[2], pa.int64()), pa.array(out[3], pa.int32()),
-                                              pa.array(out[4], pa.list_(pa.int64()))],
-                                             names=["shard", "kind", "rid", "start", "words"])
-
-    return run
+def _piece_batch(rids: list, keys: np.ndarray, salts: np.ndarray, starts: np.ndarray, words: list[np.ndarray]) -> pa.RecordBatch:
+    offsets = np.concatenate(([0], np.cumsum([len(w) for w in words]))).astype(np.int32)
+    flat = np.concatenate(words).view(np.int64) if words else np.zeros(0, np.int64)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(keys, pa.int64()), pa.array(salts, pa.int32()), pa.array(rids, pa.int64()), pa.array(starts, pa.int32()),
+         pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["key", "salts", "rid", "start", "words"])
 
 
 class Automaton:
-    """Suffix automaton of word sequences, kept apart by marks that no word equals."""
+    """Suffix automaton of word sequences, kept apart by marks that no word equals. ``first`` is the place, in the
+    sequences one after the other, where a state's words first ended."""
 
     def __init__(self):
         self.next: list[dict] = [{}]
         self.link = [-1]
         self.length = [0]
+        self.first = [-1]
         self.last = 0
-        self.marks = 0
+        self.size = 0
 
-    def add(self, words: list[int]) -> None:
+    def add(self, words: list[int]) -> int:
+        """Append a sequence and return the place of its first word."""
+        at = self.size
         for w in words:
             self._extend(w)
-        self.marks += 1
-        self._extend(("end", self.marks))
+        self._extend(("end", self.size))
+        return at
 
     def _extend(self, w) -> None:
         follow, link, length = self.next, self.link, self.length
@@ -201,6 +140,8 @@ class Automaton:
         follow.append({})
         length.append(length[self.last] + 1)
         link.append(0)
+        self.first.append(self.size)
+        self.size += 1
         p = self.last
         while p >= 0 and w not in follow[p]:
             follow[p][w] = cur
@@ -214,63 +155,121 @@ class Automaton:
                 follow.append(dict(follow[q]))
                 length.append(length[p] + 1)
                 link.append(link[q])
+                self.first.append(self.first[q])
                 while p >= 0 and follow[p].get(w) == q:
                     follow[p][w] = twin
                     p = link[p]
                 link[q] = link[cur] = twin
         self.last = cur
 
-    def spans(self, words: list[int], least: int) -> list[tuple[int, int]]:
-        """Maximal stretches of ``words`` covered by runs of ``least`` or more that occur here."""
-        follow, link, length = self.next, self.link, self.length
-        out: list[list[int]] = []
+    def matches(self, words: list[int], least: int) -> tuple[list[int], list[int]]:
+        """Where a run of ``least`` or more words that occurs here ends: in ``words``, and here for the first time."""
+        follow, link, length, first = self.next, self.link, self.length, self.first
+        here, there = [], []
         state = size = 0
         for i, w in enumerate(words):
-            while state and w not in follow[state]:
+            to = follow[state].get(w)
+            while to is None and state:
                 state = link[state]
                 size = length[state]
-            if w in follow[state]:
-                state = follow[state][w]
-                size += 1
-            else:
+                to = follow[state].get(w)
+            if to is None:
                 size = 0
+                continue
+            state = to
+            size += 1
             if size >= least:
-                lo = i - size + 1
-                if out and out[-1][1] >= lo:
-                    out[-1][1] = i + 1
-                    out[-1][0] = min(out[-1][0], lo)
-                else:
-                    out.append([lo, i + 1])
-        return [tuple(x) for x in out]
+                here.append(i)
+                there.append(first[state])
+        return here, there
+
 
+def covered(ends: list[int], window: int) -> Iterator[tuple[int, int]]:
+    """Stretches covered by windows with these last places (ascending)."""
+    lo = hi = None
+    for e in ends:
+        if hi is not None and e - window + 1 <= hi:
+            hi = e + 1
+        else:
+            if hi is not None:
+                yield lo, hi
+            lo, hi = e - window + 1, e + 1
+    if hi is not None:
+        yield lo, hi
 
-def _matched(window: int):
-    """Build each shard's automaton from its reference rows, which come first, then stream the others."""
+
+class Shard:
+    """A reference shard: its automaton, whose pieces it holds, and the places where their windows were met again."""
+
+    def __init__(self):
+        self.automaton = Automaton()
+        self.pieces: list[tuple[int, int, int]] = []  # place in the shard, rid, first word
+        self.again: set[int] = set()
+
+    def spans(self, window: int) -> Iterator[tuple[int, int, int]]:
+        """(rid, lo, hi) of the reference's own words that were met again."""
+        k = 0
+        ends = sorted(self.again)
+        for n, (at, rid, start) in enumerate(self.pieces):
+            until = self.pieces[n + 1][0] if n + 1 < len(self.pieces) else self.automaton.size
+            own = []
+            while k < len(ends) and ends[k] < until:
+                own.append(ends[k] - at)
+                k += 1
+            for lo, hi in covered(own, window):
+                yield rid, start + lo, start + hi
+
+
+def _matched(window: int, shard_words: int):
+    """Stream pieces, sorted by key, past the shards that they build. Rows: spans to remove (rid, lo, hi), and for keys
+    with several shards the windows that this one met first (rid, lo, key, words)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, automaton = None, None
+        shard, now = Shard(), None
         for batch in batches:
-            rids, los, his = [], [], []
-            where = batch.column("words").offsets.to_numpy()
-            flat = batch.column("words").values.to_numpy()
-            cols = [batch.column(c).to_pylist() for c in ("shard", "salt", "kind", "rid", "start")]
-            for i, (shard, salt, kind, rid, start) in enumerate(zip(*cols)):
-                if (shard, salt) != now:
-                    now, automaton = (shard, salt), Automaton()
-                words = flat[where[i]:where[i + 1]].tolist()
-                if kind == 0:
-                    automaton.add(words)
-                else:
-                    for lo, hi in automaton.spans(words, window):
-                        rids.append(rid)
-                        los.append(start + lo)
-                        his.append(start + hi)
-            yield pa.RecordBatch.from_arrays([pa.array(rids, pa.int64()), pa.array(los, pa.int32()), pa.array(his, pa.int32())],
-                                             names=["rid", "lo", "hi"])
+            spans: list[tuple[int, int, int]] = []
+            rids, starts, alone = [], [], []
+            where, flat = batch.column("words").offsets.to_numpy(), batch.column("words").values.to_numpy()
+            cols = [batch.column(c).to_pylist() for c in ("key", "salt", "salts", "rid", "start")]
+            for i, (key, salt, salts, rid, start) in enumerate(zip(*cols, strict=True)):
+                if (key, salt) != now:
+                    if shard.automaton.size > shard_words:
+                        spans += shard.spans(window)
+                        shard = Shard()
+                    now = key, salt
+                own = flat[where[i]:where[i + 1]]
+                words = own.tolist()
+                here, there = shard.automaton.matches(words, window)
+                spans += [(rid, start + lo, start + hi) for lo, hi in covered(here, window)]
+                shard.again.update(there)
+                if len(here) < len(words) - window + 1:
+                    shard.pieces.append((shard.automaton.add(words), rid, start))
+                    if salts > 1:
+                        met = set(here)
+                        for end in range(window - 1, len(words)):
+                            if end not in met:
+                                rids.append(rid)
+                                starts.append(start + end - window + 1)
+                                alone.append(own[end - window + 1:end + 1].view(np.uint64))
+            yield _found(spans)
+            if rids:
+                keys = [int(T.rolling_hashes(w, window)[0].view(np.int64)) for w in alone]
+                ones = _piece_batch(rids, np.array(keys), np.ones(len(keys)), np.array(starts), alone)
+                none = pa.nulls(len(rids), pa.int32())
+                yield pa.RecordBatch.from_arrays([ones.column("rid"), ones.column("start"), none, ones.column("key"), ones.column("words")],
+                                                 names=["rid", "lo", "hi", "key", "words"])
+        yield _found(list(shard.spans(window)))
 
     return run
 
 
+def _found(spans: list[tuple[int, int, int]]) -> pa.RecordBatch:
+    rids, los, his = zip(*spans, strict=True) if spans else ((), (), ())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(rids, pa.int64()), pa.array(los, pa.int32()), pa.array(his, pa.int32()), pa.nulls(len(rids), pa.int64()),
+         pa.nulls(len(rids), pa.list_(pa.int64()))], names=["rid", "lo", "hi", "key", "words"])
+
+
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words left of each document when its spans are gone."""
     for batch in batches:
@@ -293,7 +292,7 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, shard_words: int = SHARD_WORDS,
-                   stream_words: int = STREAM_WORDS) -> tuple[DataFrame, DataFrame, DataFrame]:
+                   hot_pieces: int = HOT_PIECES) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Three stored frames: the rows (rid, doc_id, mark, n_words, sha, rep, copies; rep is the class's first
     row), the spans to remove of class heads without copies (rid, lo, hi in words) and their texts (rid, text).
 
@@ -308,33 +307,24 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
     heads = rows.join(classes.select(F.col("rep").alias("rid")), "rid").select("rid", F.explode(F.arrays_zip("at", "key")).alias("a"))
     heads = T.stored(heads.select("rid", F.col("a.at").alias("at"), F.col("a.key").alias("key")), f"{folder}/anchors")
     # stored, so that the join below is between plain tables and AQE can split a hot anchor
-    twice = T.stored(heads.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), f"{folder}/twice")
-    wanted = heads.join(twice, "key").groupBy("rid").agg(F.collect_list("at").alias("at"))
+    twice = T.stored(heads.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+                     .select("key", F.ceil(F.col("n") / hot_pieces).cast("int").alias("salts")), f"{folder}/twice")
+    wanted = heads.join(twice, "key").groupBy("rid").agg(F.collect_list(F.struct("at", "key", "salts")).alias("wanted"))
     named = T.stored(wanted.join(rows.select("rid", "doc_id", "mark"), "rid")
-                     .select("rid", "at", F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")), f"{folder}/wanted")
+                     .select("rid", "wanted", F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")), f"{folder}/wanted")
     texts = T.stored(docs.join(named, docs["doc_id"].eqNullSafe(named["_id"]) & (docs["mark"] == named["_mark"]))
-                     .select("rid", "at", "text").dropDuplicates(["rid"]), f"{folder}/texts")
-    stretches = T.stored(T.mapped(texts, _stretches(window, anchor), "rid long, starts array<int>, words array<array<long>>"),
-                         f"{folder}/stretches")
-    windows = T.mapped(stretches, _gathered(_windows(window)), "rid long, pos int, hash long")
-    first = windows.groupBy("hash").agg(F.count("*").alias("n"), F.min(F.struct("rid", "pos")).alias("first")).where("n > 1")
-    first = T.stored(first.select("hash", F.col("first.rid").alias("crid"), F.col("first.pos").alias("cpos")), f"{folder}/first")
-    shards = max(1, -(-first.count() // shard_words))
-    shard = F.pmod(F.xxhash64("crid", F.expr("cpos div 4096")), F.lit(shards))
-    is_first = (F.col("rid") == F.col("crid")) & (F.col("pos") == F.col("cpos"))
-    sent = (windows.join(first, "hash")
-            .select("rid", F.struct("pos", shard.cast("int").alias("shard"), is_first.alias("first")).alias("s"))
-            .groupBy("rid").agg(F.collect_list("s").alias("sent")))
-    pieces = T.stored(T.mapped(stretches.join(sent, "rid"), _pieces(window),
-                               "shard long, kind int, rid long, start int, words array<long>"), f"{folder}/pieces")
-    load = (pieces.where("kind = 1").groupBy("shard").agg(F.sum(F.size("words")).alias("load"))
-            .select("shard", F.greatest(F.lit(1), F.ceil(F.col("load") / stream_words)).cast("int").alias("salts")))
-    spread = pieces.join(load, "shard")
-    cols = ["shard", "salt", "kind", "rid", "start", "words"]
-    streams = spread.where("kind = 1").withColumn("salt", F.pmod(F.xxhash64("rid"), F.col("salts")).cast("int")).select(*cols)
-    reference = spread.where("kind = 0").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).select(*cols)
-    dealt = reference.union(streams).repartition(n, "shard", "salt").sortWithinPartitions("shard", "salt", "kind")
-    spans = T.stored(T.mapped(dealt, _matched(window), "rid long, lo int, hi int"), f"{folder}/spans")
+                     .select("rid", "wanted", "text").dropDuplicates(["rid"]), f"{folder}/texts")
+    pieces = T.mapped(texts, _pieces(window, anchor), "key long, salts int, rid long, start int, words array<long>")
+    dealt = (pieces.withColumn("salt", F.pmod(F.xxhash64("rid"), F.col("salts")).cast("int"))
+             .repartition(n, "key", "salt").sortWithinPartitions("key", "salt"))
+    out = "rid long, lo int, hi int, key long, words array<long>"
+    found = T.stored(T.mapped(dealt, _matched(window, shard_words), out), f"{folder}/found")
+    # second round: windows that several shards of one anchor have met once each
+    again = found.where("words is not null").select("key", F.lit(1).alias("salts"), "rid", F.col("lo").alias("start"), "words",
+                                                    F.lit(0).alias("salt"))
+    again = again.repartition(n, "key").sortWithinPartitions("key")
+    more = T.stored(T.mapped(again, _matched(window, shard_words), out), f"{folder}/found-again")
+    spans = found.where("hi is not null").union(more.where("hi is not null")).select("rid", "lo", "hi")
     return rows.drop("at", "key").join(classes, "sha"), spans, texts.select("rid", "text")
 
 

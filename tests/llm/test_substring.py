@@ -4,7 +4,8 @@ import re
 
 import pytest
 
-from pullscope.llm.substring import Automaton, substring_dedup
+from pullscope.llm import substring
+from pullscope.llm.substring import Automaton, covered, substring_dedup
 
 
 def brute(rows, window=35):
@@ -33,7 +34,12 @@ def spans_of(text, words, least):
     a = Automaton()
     for t in text:
         a.add(t)
-    return a.spans(words, least)
+    here, there = a.matches(words, least)
+    flat = [w for t in text for w in (*t, None)]
+    for i, j in zip(here, there):  # the first place where these words end
+        one = words[i - least + 1:i + 1]
+        assert flat[j - least + 1:j + 1] == one
+    return list(covered(here, least))
 
 
 def test_automaton_spans():
@@ -55,8 +61,8 @@ def test_automaton_spans():
         assert got == cover
 
 
-@pytest.mark.parametrize("window,anchor,shard,stream", [(35, 18, 20_000, 200_000), (6, 3, 15, 40), (4, 2, 1000, 20)])
-def test_removed_words_are_those_of_brute_force(frame, odd_rows, window, anchor, shard, stream):
+@pytest.mark.parametrize("window,anchor,shard,hot", [(35, 18, 20_000, 1000), (6, 3, 15, 4), (4, 2, 1000, 2), (35, 18, 100, 3)])
+def test_removed_words_are_those_of_brute_force(frame, odd_rows, window, anchor, shard, hot):
     rng = random.Random(window)
     make = lambda n: [f"w{rng.randrange(3000)}" for _ in range(n)]
     shared = [make(rng.randrange(window - 2, 3 * window)) for _ in range(6)]
@@ -68,7 +74,7 @@ def test_removed_words_are_those_of_brute_force(frame, odd_rows, window, anchor,
         rows.append((100 + i, rng.choice(["", " "]) + "  ".join(parts)))
     rows += [(300 + i, " ".join(shared[0])) for i in range(15)]  # a hot passage, and copies
     rows += [(400, " ".join(["same"] * (window + 3))), (401, " ".join(["same"] * window)), (402, " ".join(make(window) * 2))]
-    got = substring_dedup(frame(rows, wide=True), window, anchor=anchor, shard_words=shard, stream_words=stream).collect()
+    got = substring_dedup(frame(rows, wide=True), window, anchor=anchor, shard_words=shard, hot_pieces=hot).collect()
     assert sorted((tuple(r) for r in got), key=key) == sorted(brute(rows, window), key=key)
 
 
@@ -76,3 +82,30 @@ def test_very_long_and_empty(frame, odd_rows):
     got = substring_dedup(frame(odd_rows)).collect()
     assert sorted((tuple(r) for r in got), key=key) == sorted(brute(odd_rows), key=key)
     assert substring_dedup(frame([])).count() == 0
+
+
+def test_the_automata_alone_find_the_repeats(frame, monkeypatch):
+    """Without matches nothing is removed but copies: no other step decides."""
+    rng = random.Random(5)
+    passage = " ".join(f"p{k}" for k in range(50))
+    rows = [(i, f"{' '.join(str(rng.randrange(10**6)) for _ in range(20))} {passage} tail{i}") for i in range(20)]
+    assert {r["n_removed"] for r in substring_dedup(frame(rows)).collect()} == {50}
+    run = substring._matched
+
+    def off(window, shard_words):
+        return run(10**6, shard_words)
+
+    monkeypatch.setattr(substring, "_matched", off)
+    assert {r["n_removed"] for r in substring_dedup(frame(rows)).collect()} == {0}
+
+
+def test_a_common_phrase_before_different_texts(frame):
+    """A phrase of an anchor's length in many documents, each going on by itself: several shards, and a second round."""
+    rng = random.Random(6)
+    phrase = [f"c{k}" for k in range(22)]
+    own = lambda n: [f"o{rng.randrange(10**6)}" for _ in range(n)]
+    long = phrase + own(20)
+    rows = [(i, " ".join(own(15) + (long if i % 10 == 0 else phrase) + own(15))) for i in range(200)]
+    got = substring_dedup(frame(rows), hot_pieces=7).collect()
+    assert sorted(map(tuple, got)) == sorted(brute(rows))
+    assert {r["n_removed"] for r in got} == {0, 42}
