@@ -6,6 +6,8 @@ lazy DataFrame. ``run_collect`` writes the five tables (K1) and returns the mani
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,8 +15,9 @@ from pullscope.operators.details import (assemble_details, attach_patch, attach_
                                          expand_to_prs)
 from pullscope.operators.labels import (attach_repo_id, filter_created, label_author, repo_id_dim,
                                         target_repos, user_agent_dim)
-from pullscope.sources.gittext import details_from_log, patches_from_diff, statuses_from_listing
-from pullscope.sources.payloads import details_from_json, pull_requests_from_json
+from pullscope.session import scratch_path
+from pullscope.sources.gittext import details_from_log, log_shas, patches_from_diff, statuses_from_listing
+from pullscope.sources.payloads import detail_shas, details_from_json, pull_requests_from_json
 
 
 def pull_requests_from_payloads(raw: DataFrame, repos: DataFrame, agent_baseline: DataFrame,
@@ -66,30 +69,48 @@ def details_from_git(log_docs: DataFrame, status_docs: DataFrame, diff_docs: Dat
 
 
 def details_git_or_api(log_docs: DataFrame, status_docs: DataFrame, diff_docs: DataFrame, api_lines: DataFrame,
-                       bridge: DataFrame, shas: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """J16 as one flow: commits of ``shas`` found in the git text, the payloads for the rest.
-
-    Payload lines of commits found in git are dropped by their sha before they are parsed; both
-    forms' file rows are united without patches and fanned out to PRs once, and patches are
-    attached last. Returns the rows, with ``detail_source`` (git / api), and the shas of the
-    bridge in neither source.
+                       bridge: DataFrame, shas: DataFrame) -> DataFrame:
+    """J16 as one flow: commits of ``shas`` found in the git text, the payloads for the rest; rows with
+    ``detail_source`` (git / api).
+
+    Each source is parsed once: the file rows of both are written to the shared folder, and the commits that git
+    holds, the rows and the patches are derived from there. Payload lines of commits found in git are dropped by their sha
+    before they are parsed; both forms' file rows are united without patches and fanned out to PRs once, and
+    patches are attached last.
     """
     from pullscope.schemas import COMMIT_DETAILS
+    stage = scratch_path(log_docs.sparkSession, f"details-{uuid.uuid4().hex[:12]}")
     keep = shas.select("sha")
     log = details_from_log(log_docs).join(keep, "sha", "left_semi")
-    git = commit_totals(attach_status(log, statuses_from_listing(status_docs).join(keep, "sha", "left_semi")))
-    found = log.select("sha").distinct()
-    lines = api_lines.withColumn("sha", F.get_json_object("value", "$.sha")).join(found, "sha", "left_anti").select("value")
-    api = details_from_json(lines)
+    git = _written(commit_totals(attach_status(log, statuses_from_listing(status_docs).join(keep, "sha", "left_semi"))), f"{stage}/git")
+    found = _written(git.select("sha").distinct(), f"{stage}/found")
+    api = _written(details_from_json(_lines_without(api_lines, found)), f"{stage}/api")
     slim = git.withColumn("detail_source", F.lit("git")).unionByName(
         api.drop("patch").withColumn("detail_source", F.lit("api")))
     slim = slim.withColumn("changes", (F.col("additions") + F.col("deletions")).cast("long"))
     patches = patches_from_diff(diff_docs).join(found, "sha", "left_semi").unionByName(
         api.where("patch is not null").select("sha", "filename", "patch"))
     rows = attach_patch(expand_to_prs(slim, bridge), patches)
-    have = found.unionByName(api.select("sha").distinct())
-    missing = bridge.select("sha").distinct().join(have, "sha", "left_anti")
-    return rows.select(*[F.col(c.name).cast(c.dataType) for c in COMMIT_DETAILS.fields], "detail_source"), missing
+    return rows.select(*[F.col(c.name).cast(c.dataType) for c in COMMIT_DETAILS.fields], "detail_source")
+
+
+def missing_details(log_docs: DataFrame, api_lines: DataFrame, bridge: DataFrame, shas: DataFrame) -> DataFrame:
+    """Q4: shas of the bridge that neither source of ``details_git_or_api`` holds. Of the git text only the blocks'
+    headers are read, of the payloads only their shas; no file row is made."""
+    found = log_shas(log_docs).join(shas.select("sha"), "sha", "left_semi")
+    have = found.unionByName(detail_shas(_lines_without(api_lines, found)))
+    return bridge.select("sha").distinct().join(have, "sha", "left_anti")
+
+
+def _lines_without(api_lines: DataFrame, found: DataFrame) -> DataFrame:
+    """Payload lines whose sha is not among ``found``."""
+    return (api_lines.withColumn("sha", F.get_json_object("value", "$.sha")).join(found.select("sha"), "sha", "left_anti")
+            .select("value"))
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def split_by_agent(prs: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -24,8 +24,8 @@ ORACLE_MORE["retry_prs"] = with_ctes("""
 SELECT id, repo_name, state FROM raw_pr WHERE repo_name IN (SELECT repo_name FROM raw_pr WHERE id % 97 = 5 OR id % 89 = 7)
 """)
 ORACLE_MORE["capped_patches"] = with_ctes("""
-SELECT strlen(patch) > 18 AS patch_capped, count(*) AS patches, count_if(strlen(patch) <= 18) AS kept
-FROM (SELECT DISTINCT sha, filename, patch FROM flp WHERE filename IS NOT NULL) GROUP BY 1
+SELECT DISTINCT sha, filename, CASE WHEN strlen(patch) <= 18 THEN patch END AS patch, strlen(patch) > 18 AS patch_capped
+FROM flp WHERE filename IS NOT NULL
 """)
 ORACLE_MORE["repo_slugs"] = with_ctes("SELECT replace(repo_name, '/', '__') AS slug, count(*) AS prs FROM raw_pr GROUP BY 1")
 ORACLE_MORE["first_prs"] = with_ctes("SELECT id, title, repo_name FROM raw_pr ORDER BY id LIMIT 10")
@@ -56,8 +56,8 @@ SELECT sha FROM cm GROUP BY sha HAVING count_if(pr_id IN (SELECT id FROM raw_pr
 """)
 ORACLE_MORE["details_from_json"] = with_ctes("SELECT * REPLACE ('Api: ' || author AS author) FROM dt WHERE sha NOT LIKE 'f%'")
 ORACLE_MORE["detail_errors"] = with_ctes("""
-SELECT 'malformed' AS kind, count(*) AS lines FROM raw_pr WHERE id % 107 = 3 HAVING count(*) > 0
-UNION ALL SELECT 'no_sha', (SELECT count(DISTINCT (pr_id, (commit_seq - 1) // 100)) FROM cm)
+SELECT 'malformed' AS kind, '{"id": ' || id AS key, count(*) AS lines FROM raw_pr WHERE id % 107 = 3 GROUP BY id
+UNION ALL SELECT 'no_sha', '', (SELECT count(DISTINCT (pr_id, (commit_seq - 1) // 100)) FROM cm)
   + (SELECT count(DISTINCT pr_id) FROM cm WHERE pr_id % 101 = 3) + (SELECT count(*) FROM raw_pr WHERE id % 103 = 4)
 """)
 ORACLE_MORE["details_from_git_text"] = with_ctes("SELECT * FROM dt")
@@ -77,6 +77,11 @@ ORACLE_MORE["sha_repo"] = with_ctes("""
 SELECT c.sha, first(r.repo_name ORDER BY c.pr_id, c.commit_seq) AS repo_name
 FROM cm c JOIN raw_pr r ON c.pr_id = r.id WHERE r.repo_name IS NOT NULL GROUP BY c.sha
 """)
+ORACLE_MORE["sha_batches"] = with_ctes("""
+SELECT repo_name, count(*) AS shas, CAST(ceil(count(*) / 2.0) AS BIGINT) AS batches, true AS within FROM (
+  SELECT c.sha, first(r.repo_name ORDER BY c.pr_id, c.commit_seq) AS repo_name
+  FROM cm c JOIN raw_pr r ON c.pr_id = r.id WHERE r.repo_name IS NOT NULL GROUP BY c.sha) GROUP BY repo_name
+""")
 ORACLE_MORE["validation_month"] = with_ctes(f"""
 SELECT (SELECT count(*) FROM m) AS total_prs, (SELECT count_if(is_agent) FROM m) AS agent_prs,
        (SELECT count(DISTINCT repo_id) FROM m WHERE is_agent AND repo_id IS NOT NULL) AS repos_ours,

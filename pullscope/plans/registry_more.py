@@ -9,7 +9,7 @@ from pullscope.operators import details as det
 from pullscope.operators import labels, quality, sampling, stats
 from pullscope.operators import facts
 from pullscope.plans.classify import Classified, write_classified
-from pullscope.plans.collect import (details_from_git, details_git_or_api,
+from pullscope.plans.collect import (details_from_git, details_git_or_api, missing_details,
                                      pull_requests_from_payloads, retry_pull_requests, run_collect)
 from pullscope.plans.export import export_repos, write_export
 from pullscope.plans.registry import _fix, register
@@ -64,10 +64,8 @@ def q_pr_errors(spark, d):
 
 @register("unmatched_shas")
 def q_unmatched(spark, d):
-    """Q4: shas of which no PR has a known repository (``sha_repo``'s second output), with the raw PRs
-    of every third customer unknown."""
-    prs = fx.raw_prs(spark, d).where(F.col("user_id") % 3 != 0)
-    _m, unmatched = det.sha_repo(fx.commits(spark, d), prs)
+    """Q4: shas of which no PR has a known repository (``sha_repo``'s second output)."""
+    _m, unmatched = det.sha_repo(fx.commits(spark, d), fx.known_prs(spark, d))
     return unmatched
 
 
@@ -85,35 +83,35 @@ def q_details_from_git(spark, d):
     return details_from_git(log, status, diff, fx.commits(spark, d).select("sha", "pr_id"))
 
 
-def _git_or_api(spark, d):
-    """Git text holds the commits of suppliers with a non-negative balance (the local clone)."""
+def _local_shas(spark, d):
+    """Commits of suppliers with a non-negative balance: those that the local clone holds."""
     sup = fx.table(spark, d, "supplier").where(F.col("s_acctbal") >= 0).select(F.col("s_suppkey"))
-    local = (fx.table(spark, d, "lineitem").join(sup, F.col("l_suppkey") == F.col("s_suppkey"), "left_semi")
-             .select(F.sha1(F.concat(F.lit("c"), F.col("l_partkey").cast("string"), F.lit("-"),
-                                     F.col("l_suppkey").cast("string"))).alias("sha")).distinct())
-    log, status, diff = landed.git_docs(spark, d)
-    return details_git_or_api(log, status, diff, landed.detail_payloads(spark, d),
-                              fx.commits(spark, d).select("sha", "pr_id"), local)
+    return (fx.table(spark, d, "lineitem").join(sup, F.col("l_suppkey") == F.col("s_suppkey"), "left_semi")
+            .select(F.sha1(F.concat(F.lit("c"), F.col("l_partkey").cast("string"), F.lit("-"),
+                                    F.col("l_suppkey").cast("string"))).alias("sha")).distinct())
 
 
 @register("details_prefer_git")
 def q_details_prefer(spark, d):
     """J16 + J12 + J14 + J15: git rows where the commit is in the local clone, API rows for the rest,
     each marked with its source."""
-    return _git_or_api(spark, d)[0]
+    log, status, diff = landed.git_docs(spark, d)
+    return details_git_or_api(log, status, diff, landed.detail_payloads(spark, d),
+                              fx.commits(spark, d).select("sha", "pr_id"), _local_shas(spark, d))
 
 
 @register("missing_shas")
 def q_missing_shas(spark, d):
     """Q4: commits found in neither source."""
-    return _git_or_api(spark, d)[1]
+    log, _status, _diff = landed.git_docs(spark, d)
+    return missing_details(log, landed.detail_payloads(spark, d), fx.commits(spark, d).select("sha", "pr_id"), _local_shas(spark, d))
 
 
 @register("detail_errors")
 def q_detail_errors(spark, d):
-    """S8 + Q6: detail lines that are malformed or lack a sha (commit-list lines read as details)."""
+    """S8 + Q6: detail lines that are malformed, with their text, or lack a sha (commit-list lines read as details)."""
     from pullscope.sources.payloads import detail_errors
-    return detail_errors(landed.commit_payloads(spark, d)).groupBy("kind").agg(F.count(F.lit(1)).alias("lines"))
+    return detail_errors(landed.commit_payloads(spark, d)).groupBy("kind", "key").agg(F.count(F.lit(1)).alias("lines"))
 
 
 @register("sha_repo")
@@ -123,6 +121,16 @@ def q_sha_repo(spark, d):
     return m
 
 
+@register("sha_batches")
+def q_sha_batches(spark, d):
+    """The shas of every repository in batches of about two: shas, batches at most, and whether every sha has one of them."""
+    m, _unmatched = det.sha_repo(fx.commits(spark, d), fx.raw_prs(spark, d))
+    b = det.batch_keys(m, batch_size=2)
+    most = F.ceil(F.count(F.lit(1)) / 2)
+    return b.groupBy("repo_name").agg(F.count(F.lit(1)).alias("shas"), most.alias("batches"),
+                                      ((F.min("batch") >= 0) & (F.max("batch") < most)).alias("within"))
+
+
 # ---- chunks, state, retry ------------------------------------------------------------------
 @register("chunks_merged")
 def q_chunks(spark, d):
@@ -166,8 +174,7 @@ def q_capped(spark, d):
     """S11 + H12: patches under an explicit cap of 18 bytes; longer ones are null and marked."""
     from pullscope.sources.gittext import patches_from_diff
     _log, _status, diff = landed.git_docs(spark, d)
-    p = patches_from_diff(diff, max_bytes=18, flag_capped=True)
-    return p.groupBy("patch_capped").agg(F.count(F.lit(1)).alias("patches"), F.count("patch").alias("kept"))
+    return patches_from_diff(diff, max_bytes=18, flag_capped=True)
 
 
 @register("repo_slugs")

@@ -281,6 +281,11 @@ def raw_prs(spark: SparkSession, sf_dir: str, with_body: bool = False) -> DataFr
     return _with_body(spark, sf_dir, prs).select(*prs.columns) if with_body else prs
 
 
+def known_prs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``raw_prs`` as a collection has them that could not list every third customer's repository: those PRs are not in it."""
+    return raw_prs(spark, sf_dir).where(F.col("user_id") % 3 != 0)
+
+
 def pull_requests(spark: SparkSession, sf_dir: str, with_body: bool = False,
                   window: tuple[str, str] | None = None) -> DataFrame:
     """``pull_requests``: repository id (J3), author label (J2); only those created in ``window`` (F2)

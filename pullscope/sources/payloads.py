@@ -111,6 +111,12 @@ def detail_errors(raw: DataFrame, col: str = "value") -> DataFrame:
     return p.select(kind.alias("kind"), F.coalesce("_corrupt", F.lit("")).alias("key")).where("kind is not null")
 
 
+def detail_shas(raw: DataFrame, col: str = "value") -> DataFrame:
+    """The distinct shas that ``details_from_json`` would give rows for."""
+    return (_parse(raw, COMMIT_DETAIL_DDL, col).where(F.col("_corrupt").isNull() & F.col("sha").isNotNull())
+            .select("sha").distinct())
+
+
 def details_from_json(raw: DataFrame, col: str = "value") -> DataFrame:
     """Commit-detail objects -> one row per file with the payload's commit totals.
 
