@@ -3,11 +3,14 @@
 Base rules find email addresses, IP addresses, card numbers and phone numbers; their spans always stay.
 Loose generators propose further, overlapping spans (spelled-out addresses, national phone numbers, IPv6, shorter
 or dotted cards). Every candidate is described by yes/no features of its format and its context.
-Boosted trees learn from weak labels which descriptions mean personal data: base spans against
-matches that fail a base check and plain numbers. The sign that defines a base rule (the plus, the
-at sign) is no feature, so what is learned carries over to spans without it. A candidate is added
-when its score reaches its kind's threshold, set where the share of true labels at and above it is
-``PRECISION`` or more.
+
+Boosted trees learn from weak labels what personal data looks like in the loose forms. Each valid base span is
+rewritten into such a form where it stands (its echo: an address with "(at)" and "(dot)", a phone number without its country code, a
+card number of 15 digits, an IPv6 address), once in its own context and once as behind a cue word: echoes are the examples of
+personal data. Failed base matches, plain numbers, and loose candidates with evidence against them (cut out of a longer word,
+one digit throughout, an unusual length, a card without a valid check digit) are the examples of the contrary, if they overlap no
+base span and no other loose candidate; these teach nothing, as they may be what is looked for. Half of the examples fit the trees, the other half sets each kind's threshold, where the share
+of echoes at and above it is ``PRECISION`` or more.
 
 One scan of the texts finds all candidates of all generators; a text's start positions come from running sums
 over the pieces between matches (a window per document over its few matches). Training data is a
@@ -20,7 +23,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from pullscope.llm.text import new_folder, stored
@@ -40,7 +43,8 @@ BASE = {
 }
 #: Loose generators, and plain numbers as examples of what is not personal.
 LOOSE = {
-    "email": _LOCAL + r"{1,64} ?(?:\(at\)|\[at\]|\{at\}| at ) ?[A-Za-z0-9-]{1,64}(?:(?:\.| ?\(dot\) ?| ?\[dot\] ?| dot )[A-Za-z0-9-]{1,64}){1,5}",
+    "email": _LOCAL + r"{1,64}(?: ?(?:\(at\)|\[at\]|\{at\}) ?[A-Za-z0-9-]{1,64}(?:(?:\.| ?\(dot\) ?| ?\[dot\] ?| ?\{dot\} ?| dot )[A-Za-z0-9-]{1,64}){1,5}"
+    r"| at [A-Za-z0-9-]{1,64}(?: dot [A-Za-z0-9-]{1,64}){1,5})",
     "ip": r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){3,7}[0-9A-Fa-f]{1,4}",
     "card": r"(?<![0-9])[0-9](?:[ .-]?[0-9]){12,18}",
     "phone": r"(?<![0-9])\(?[0-9]{2,5}\)?[ .-]?(?:[0-9]{2,5}[ .-]){1,3}[0-9]{2,5}",
@@ -53,7 +57,9 @@ CUES = {
     "card": "card|visa|mastercard|amex|credit|payment|karte|tarjeta|carte",
     "phone": "phone|tel|call|fax|mobile|cell|telefon|llame|appel",
 }
-FEATURES = ("clean_left", "clean_right", "cue", "grouped", "usual_length", "checksum", "tail_groups", "one_digit")
+FEATURES = ("clean_left", "clean_right", "cue", "grouped", "usual_length", "checksum", "tail_groups", "one_digit", "bracketed", "known_end")
+#: Last labels of host names (fixed values).
+ENDS = "com|org|net|edu|gov|info|io|de|fr|es|uk|eu"
 
 
 def _matches(name: str, pattern: str, needs: Column) -> Column:
@@ -76,12 +82,39 @@ def _listed(name: str) -> Column:
     return F.when(F.size(m) > 0, each)
 
 
-def _luhn(digits: Column) -> Column:
-    """True where a string of digits has a valid check digit."""
+def _luhn_sum(digits: Column) -> Column:
+    """Sum of a string of digits with every second one from the right doubled."""
     doubled = F.array(*[F.lit(x) for x in (0, 2, 4, 6, 8, 1, 3, 5, 7, 9)])
     values = F.transform(F.filter(F.split(F.reverse(digits), ""), lambda c: c != ""),
                          lambda c, i: F.when(i % 2 == 1, F.element_at(doubled, c.cast("int") + 1)).otherwise(c.cast("int")))
-    return F.aggregate(values, F.lit(0), lambda a, v: a + v) % 10 == 0
+    return F.aggregate(values, F.lit(0), lambda a, v: a + v)
+
+
+def _luhn(digits: Column) -> Column:
+    """True where a string of digits has a valid check digit."""
+    return _luhn_sum(digits) % 10 == 0
+
+
+def _echo(kind: Column, match: Column, digits: Column) -> Column:
+    """A base span in a form of the loose generators; which one depends on a hash of the span."""
+    pick = F.pmod(F.xxhash64(match), F.lit(4))
+
+    def one_of(*options: str) -> Column:
+        out = F.lit(options[0])
+        for k, option in enumerate(options[1:], 1):
+            out = F.when(pick == k, F.lit(option)).otherwise(out)
+        return out
+
+    host = F.replace(F.substring_index(match, "@", -1), F.lit("."), one_of(" (dot) ", " [dot] ", ".", " dot "))
+    email = F.concat(F.substring_index(match, "@", 1), one_of(" (at) ", " [at] ", "(at)", " at "), host)
+    parts = F.transform(F.split(match, r"\."), lambda p: F.lower(F.hex(F.coalesce(p.try_cast("long"), F.lit(0)))))
+    ip = F.concat(F.lit("2001:db8:0:1:"), F.array_join(parts, ":"))
+    fourteen = F.left(digits, F.lit(14))
+    check = F.pmod(10 - _luhn_sum(F.concat(fourteen, F.lit("0"))), F.lit(10)).cast("string")
+    gap = one_of("", " ", "-", "")
+    card = F.concat(F.left(fourteen, F.lit(4)), gap, F.substring(fourteen, 5, 6), gap, F.substring(fourteen, 11, 4), check)
+    phone = F.regexp_replace(match, r"^\+[0-9]{1,3}[ .-]?", "")
+    return F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", card).otherwise(phone)
 
 
 def _valid(kind: Column, match: Column, digits: Column) -> Column:
@@ -93,8 +126,9 @@ def _valid(kind: Column, match: Column, digits: Column) -> Column:
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """One row per candidate (and one without a candidate for texts that have none): rid, doc_id, gen, kind,
-    base (from a base rule), valid (passes its checks), start, end (code points) and ``FEATURES``."""
+    """One row per candidate (and one without a candidate for texts that have none), and one per valid base span's
+    echo: rid, doc_id, gen, kind, base (from a base rule), valid (passes its checks), start, end (code points) and ``FEATURES``
+    (an echo has the place and the context of its span)."""
     text = F.coalesce(F.col("text"), F.lit(""))
     at, digit = F.instr(F.col("text"), "@") > 0, F.col("text").rlike("[0-9]")
     needs = {"email": at, "ip": F.col("text").rlike(r"[0-9]\.[0-9]"), "card": digit, "phone": F.instr(F.col("text"), "+") > 0,
@@ -108,7 +142,18 @@ def candidates(docs: DataFrame) -> DataFrame:
     none = F.array().cast("array<struct<gen:string,i:bigint,gap:bigint,match:string,left:string,right:string>>")
     listed = found.select("rid", "doc_id", F.explode_outer(
         F.concat(*[F.coalesce(_listed(g), none) for g in patterns])).alias("h")).select("rid", "doc_id", "h.*")
-    kind = F.regexp_replace("gen", "^loose_", "")
+    # a match and, if it is a valid base span, its echo
+    bare = F.regexp_replace("gen", "^loose_", "")
+    plain = F.regexp_replace("match", "[^0-9]", "")
+    is_base = F.col("gen").isin(*KINDS)
+    good = F.coalesce(_valid(bare, F.col("match"), plain), F.lit(False))
+    own_form = F.struct(F.col("gen").alias("gen"), F.col("match").alias("match"))
+    echo = _echo(F.col("gen"), F.col("match"), plain)
+    echoes = [F.struct(F.concat(F.lit(f"{name}_"), F.col("gen")).alias("gen"), echo.alias("match")) for name in ("echo", "echo_cue")]
+    listed = listed.select("rid", "doc_id", "i", "gap", F.length("match").cast("long").alias("size"), "left", "right", good.alias("valid"),
+                           F.explode(F.when(is_base & good, F.array(own_form, *echoes)).otherwise(F.array(own_form))).alias("v"))
+    listed = listed.select("rid", "doc_id", "i", "gap", "size", "left", "right", "valid", "v.gen", "v.match")
+    kind = F.regexp_replace("gen", "^(?:loose|echo_cue|echo)_", "")
     digits = F.regexp_replace("match", "[^0-9]", "")
     n = F.length(digits)
     own = F.when(kind == "number", F.lit("phone")).otherwise(kind)
@@ -118,18 +163,19 @@ def candidates(docs: DataFrame) -> DataFrame:
     described = {
         "clean_left": ~F.col("left").rlike(r"[\p{L}0-9._%/=\"-]$"),
         "clean_right": ~F.col("right").rlike(r"^[\p{L}0-9_%/=\"]"),
-        "cue": cue,
-        "grouped": F.col("match").rlike(r"[0-9A-Za-z][ ().:-]+[0-9A-Za-z]"),
+        "cue": cue | F.startswith(F.col("gen"), F.lit("echo_cue_")),
+        "grouped": F.col("match").rlike(r"[0-9A-Za-z][ ()\[\]{}.:-]+[0-9A-Za-z]"),
         "usual_length": F.when(own == "phone", n.between(9, 13)).when(own == "card", n.between(13, 19))
         .when(own == "ip", n.between(4, 32)).otherwise(F.length("match").between(6, 80)),
         "checksum": F.when((own == "card") & n.between(13, 19), _luhn(digits)).otherwise(F.lit(False)),
-        "tail_groups": F.col("match").rlike(r"[0-9]{3}[ .-][0-9]{4}$|[0-9]{4}[ .-][0-9]{4}$|[A-Za-z]{2,}$"),
-        "one_digit": digits.rlike(r"^([0-9])\1*$"),
+        "tail_groups": (own == "phone") & F.col("match").rlike(r"[0-9]{3}[ .-][0-9]{4}$|[0-9]{4}[ .-][0-9]{4}$"),
+        "one_digit": (own != "email") & digits.rlike(r"^([0-9])\1*$"),
+        "bracketed": F.col("match").rlike(r"[(\[{]at[)\]}]"),
+        "known_end": F.col("match").rlike(rf"(?i)[^a-z](?:{ENDS})$"),
     }
     table = listed.select(
-        "rid", "doc_id", "gen", F.when(kind == "number", F.lit(None)).otherwise(kind).alias("kind"), "i", "gap",
-        F.length("match").cast("long").alias("size"), F.col("gen").isin(*KINDS).alias("base"),
-        F.coalesce(_valid(kind, F.col("match"), digits), F.lit(False)).alias("valid"),
+        "rid", "doc_id", "gen", F.when(kind == "number", F.lit(None)).otherwise(kind).alias("kind"), "i", "gap", "size",
+        is_base.alias("base"), "valid",
         *[F.coalesce(c, F.lit(False)).alias(name) for name, c in described.items()])
     upto = F.sum(F.col("gap") + F.col("size")).over(Window.partitionBy("rid", "gen").orderBy("i"))
     return (table.withColumn("end", upto).withColumn("start", F.col("end") - F.col("size")).drop("i", "gap", "size"))
@@ -166,8 +212,8 @@ def _gain(rows: list[dict]) -> tuple[float, float]:
 
 
 def boost(table: list[dict], rounds: int = ROUNDS, rate: float = RATE, precision: float = PRECISION) -> Trees | None:
-    """Newton boosting on a contingency table: rows of inputs, ``pos`` and ``neg`` counts and ``kind``.
-    None where a class is missing."""
+    """Newton boosting on a contingency table: rows of inputs, ``pos`` and ``neg`` counts and ``kind``; thresholds from the
+    counts ``cal_pos`` and ``cal_neg`` where they are given. None where a class is missing."""
     pos, neg = sum(r["pos"] for r in table), sum(r["neg"] for r in table)
     if not pos or not neg:
         return None
@@ -200,25 +246,44 @@ def boost(table: list[dict], rounds: int = ROUNDS, rate: float = RATE, precision
         own = sorted((r for r in rows if r[f"is_{kind}"]), key=lambda r: -r["f"])
         good = bad = 0
         for k, r in enumerate(own):
-            good, bad = good + r["pos"], bad + r["neg"]
+            here = r.get("cal_pos", r["pos"])
+            good, bad = good + here, bad + r.get("cal_neg", r["neg"])
             tied = k + 1 < len(own) and own[k + 1]["f"] >= r["f"] - 1e-9
-            if not tied and r["pos"] and good >= precision * (good + bad):
+            if not tied and good and good >= precision * (good + bad):
                 cuts[kind] = r["f"] - 1e-6
     return Trees(math.log(pos / neg), trees, cuts)
 
 
+def _in_order(*by: str | tuple[str, bool]) -> tuple[WindowSpec, WindowSpec]:
+    """Windows over the rows of a document before a row and after it, in the order of some columns, (column, True) for a
+    falling one. Both are running frames; a frame that looks ahead would be computed anew for each row."""
+    columns = [(c, False) if isinstance(c, str) else c for c in by]
+    each = Window.partitionBy("rid")
+    return tuple(each.orderBy(*[F.desc_nulls_last(c) if falls != turned else F.asc_nulls_first(c) for c, falls in columns])
+                 .rowsBetween(Window.unboundedPreceding, -1) for turned in (False, True))
+
+
 def train(table: DataFrame, precision: float = PRECISION) -> Trees | None:
-    """Fit on stored ``candidates``. Base spans are examples of personal data; failed base matches, and numbers
-    that overlap no base span (for every kind of digits), are examples of the contrary."""
-    by = Window.partitionBy("rid").orderBy("start", F.col("end").desc())
-    base_end = F.max(F.when(F.col("base") & F.col("valid"), F.col("end"))).over(by.rowsBetween(Window.unboundedPreceding, 0))
-    numbers = (table.where((F.col("base") & F.col("valid")) | (F.col("gen") == "number")).withColumn("covered", base_end)
-               .where((F.col("gen") == "number") & (F.coalesce("covered", F.lit(-1)) <= F.col("start")))
-               .withColumn("kind", F.explode(F.array(F.lit("ip"), F.lit("card"), F.lit("phone")))))
-    base = table.where("base")
+    """Fit on stored ``candidates``. Echoes of base spans are examples of personal data; failed base matches, numbers (for
+    every kind of digits) and loose candidates with evidence against them, if they overlap no base span, are
+    examples of the contrary."""
+    against = (~F.col("clean_left") | ~F.col("clean_right") | F.col("one_digit") | ~F.col("usual_length")
+               | ((F.col("kind") == "card") & ~F.col("checksum")))
+    span = F.col("base") & F.col("valid")
+    open_ = F.startswith(F.col("gen"), F.lit("loose_")) & ~against
+    order, back = _in_order("start", ("end", True), "gen")
+    before = F.max(F.when(span | open_, F.col("end"))).over(order)
+    after = F.min(F.when(span | open_, F.col("start"))).over(back)
+    own = table.where("gen is not null and not startswith(gen, 'echo_')").withColumn("before", before).withColumn("after", after)
+    free = (F.coalesce("before", F.lit(-1)) <= F.col("start")) & F.coalesce(F.col("after") >= F.col("end"), F.lit(True))
+    kinds = F.when(F.col("gen") == "number", F.array(F.lit("ip"), F.lit("card"), F.lit("phone"))).otherwise(F.array("kind"))
+    others = own.where(~span & ~open_ & free).withColumn("kind", F.explode(kinds))
+    fold = F.pmod(F.xxhash64("doc_id", "start", "kind"), F.lit(2)).alias("fold")
     cols = ["kind", *FEATURES]
-    labelled = base.select(*cols, F.col("valid").cast("long").alias("y")).union(numbers.select(*cols, F.lit(0).cast("long").alias("y")))
-    counted = labelled.groupBy(*cols).agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg"))
+    labelled = (table.where("startswith(gen, 'echo_')").select(*cols, fold, F.lit(1).cast("long").alias("y"))
+                .union(others.select(*cols, fold, F.lit(0).cast("long").alias("y"))))
+    counted = labelled.groupBy(*cols).agg(*[F.count(F.when((F.col("fold") == f) & (F.col("y") == y), 1)).alias(name)
+                                            for name, f, y in (("pos", 0, 1), ("neg", 0, 0), ("cal_pos", 1, 1), ("cal_neg", 1, 0))])
     got = [r.asDict() for r in counted.collect()]  # at most one row per combination of kind and features
     for r in got:
         r |= {f"is_{k}": r["kind"] == k for k in KINDS}
@@ -235,7 +300,7 @@ def personal_data(docs: DataFrame, precision: float = PRECISION) -> DataFrame:
     folder = new_folder(docs.sparkSession, "pii")
     table = stored(candidates(docs), f"{folder}/candidates")
     trees = train(table, precision)
-    kept = table.withColumn("base", F.col("base") & F.col("valid"))
+    kept = table.where("gen is null or not startswith(gen, 'echo_')").withColumn("base", F.col("base") & F.col("valid"))
     chosen = F.lit(False)
     if trees is not None:
         flagged = kept.withColumns({f"is_{k}": F.coalesce(F.col("kind") == k, F.lit(False)) for k in KINDS})
@@ -249,8 +314,7 @@ def personal_data(docs: DataFrame, precision: float = PRECISION) -> DataFrame:
     spans = spans.union(kept.where("gen is not null and not base and not extra").select(
         "rid", "doc_id", F.lit(None).cast("string"), F.lit(None).cast("long"), F.lit(None).cast("long"), F.lit(False), F.lit(False))
         .distinct())
-    order = Window.partitionBy("rid").orderBy("start", F.col("base").desc(), F.col("end").desc(), "kind")
-    earlier, later = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(1, Window.unboundedFollowing)
+    earlier, later = _in_order("start", ("base", True), ("end", True), "kind")
     spans = (spans.withColumn("reached", F.max("end").over(earlier))
              .withColumn("next_base", F.min(F.when(F.col("base"), F.col("start"))).over(later)))
     free = (F.coalesce("reached", F.lit(-1)) <= F.col("start")) & F.coalesce(F.col("next_base") >= F.col("end"), F.lit(True))
