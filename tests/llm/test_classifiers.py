@@ -195,3 +195,19 @@ def test_held_out_accuracy_on_the_tables(spark, op, label, least):
     got = op(docs, labels).join(labels, "doc_id").where("held_out")
     right = got.agg(F.avg((F.col("predicted") == F.col(label)).cast("double"))).first()[0]
     assert right >= least
+
+
+def test_toxic_documents_that_hold_a_telling_word_are_found(spark):
+    """Of the held-out toxic documents of sf0.1 some hold no word that tells the classes apart; of the others 9 in 10 are found."""
+    big = "/root/testdata/sf0.1"
+    docs, labels = table(spark, big, "documents"), table(spark, big, "labels")
+    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}]+"), F.lit(0)))
+    held = docs.join(labels, "doc_id").select("doc_id", "toxic", F.explode(words).alias("w"))
+    counts = held.groupBy("w").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
+    sizes = labels.join(docs, "doc_id").agg(F.sum("toxic"), F.sum(1 - F.col("toxic"))).first()
+    telling = counts.where((F.col("t") >= 6) & (F.col("t") / sizes[0] > 8 * (F.col("c") + 1) / sizes[1])).select("w")
+    told = held.join(telling, "w").select("doc_id").distinct().withColumn("told", F.lit(True))
+    got = toxicity.toxicity(docs, labels).where("held_out").join(labels, "doc_id").join(told, "doc_id", "left")
+    r = got.agg(F.avg(F.when((F.col("toxic") == 1) & F.col("told"), F.col("predicted"))),
+                F.avg(F.when(F.col("toxic") == 1, F.col("predicted"))), F.avg(F.when(F.col("predicted") == 1, F.col("toxic")))).first()
+    assert r[0] >= 0.9 and r[1] >= 0.87 and r[2] >= 0.87
