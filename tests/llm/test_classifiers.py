@@ -211,3 +211,43 @@ def test_toxic_documents_that_hold_a_telling_word_are_found(spark):
     r = got.agg(F.avg(F.when((F.col("toxic") == 1) & F.col("told"), F.col("predicted"))),
                 F.avg(F.when(F.col("toxic") == 1, F.col("predicted"))), F.avg(F.when(F.col("predicted") == 1, F.col("toxic")))).first()
     assert r[0] >= 0.9 and r[1] >= 0.87 and r[2] >= 0.87
+
+
+def test_quality_learns_from_all_labelled_rows(spark, frame, monkeypatch):
+    """More rows of a class than the sample once held: all are in the bins, the pairs and the threshold."""
+    seen, mapped = [], T.mapped
+    monkeypatch.setattr(T, "mapped", lambda df, *a: seen.append(df) or mapped(df, *a))
+    rows = [(i, f"the river x{i}" if i % 2 else f"RIVER!! x{i}") for i in range(9600)]
+    labels = spark.createDataFrame([(i, i % 2, 0, "", "") for i, _ in rows], LABELS)
+    got = quality.quality(frame(rows), labels)
+    learning = [df for df in seen if "label" in df.columns]
+    want = sum(not held(i, 5, 0) for i, _ in rows)
+    assert learning and all(df.select("_id").distinct().count() == want for df in learning)
+    assert accuracy(got.collect(), [(i, i % 2) for i, _ in rows], 1) == 1
+
+
+def test_quality_pairs_every_row_of_a_rare_class(spark, frame):
+    """Three bad rows among 6000: they meet good rows in every group, and the threshold has exactly three rows below it."""
+    rows = [(i, f"the river x{i}" if i >= 3 else "RIVER!! STONE!!") for i in range(6000)]
+    labels = spark.createDataFrame([(i, int(i >= 3), 0, "", "") for i, _ in rows], LABELS)
+    got = quality.quality(frame(rows), labels, held_out=7).collect()
+    assert sorted(r["doc_id"] for r in got if not r["predicted"]) == [0, 1, 2]
+
+
+def test_quality_weights_are_those_of_the_least_loss(spark):
+    rng = np.random.default_rng(6)
+    n = len(quality.FEATURES)
+    parts = [(rng.integers(0, 10, (5, n)).astype(np.uint8), rng.integers(0, 10, (4, n)).astype(np.uint8)) for _ in range(3)]
+    w = quality._weights(spark.createDataFrame([(g.tobytes(), b.tobytes()) for g, b in parts], "good binary, bad binary"))
+    slope, pairs = quality.PENALTY * w, 60
+    for g, b in parts:
+        for x in quality._hot(g.tobytes()):
+            for y in quality._hot(b.tobytes()):
+                slope = slope - (x - y) / pairs / (1 + np.exp((x - y) @ w))
+    assert np.abs(slope).max() < 1e-5
+
+
+def test_place_among_all_scores(spark):
+    values = [round(random.Random(7).uniform(-3, 3), 6) for _ in range(5)] + [0.5] * 4 + [-2.25, 0.500001]
+    raw = spark.createDataFrame([(v,) for v in values], "raw double")
+    assert [quality._at_place(raw, k) for k in range(len(values))] == sorted(values)
