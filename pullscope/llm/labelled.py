@@ -19,27 +19,3 @@ def one_per_id(rows: DataFrame, hashed: str, *columns: str) -> DataFrame:
     """Of several rows with one ``_id`` that with the least ``hashed`` (the hash of its text), with ``label`` and ``columns``."""
     one = F.min(F.struct(hashed, *columns)).alias("one")
     return rows.groupBy("_id").agg(one, F.max("label").alias("label")).select("_id", "label", *[F.col(f"one.{c}").alias(c) for c in columns])
-
-
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn, rows_per_class: int, seed: int
-                    ) -> tuple[DataFrame, dict[int, int]]:
-    """About ``rows_per_class`` documents of each label 0 / 1 (all where there are fewer), chosen by a
-    hash of their doc_id among the rows that ``learn`` (a condition on doc_id) admits: a frame of
-    text and label, and the number of labelled rows per class.
-
-    Null ids and labels other than 0 and 1 teach nothing; of several labels of one document the
-    largest counts, of several rows with one id the text with the least hash. So the sample has one row per
-    chosen id. The ids are broadcast: the two classes have at most about 2 * rows_per_class.
-    """
-    ids = F.col("doc_id").cast("long")
-    marked = (labels.select(ids.alias("_id"), F.col(label).cast("int").alias("label"), learn.alias("learn"))
-              .where("learn and _id is not null and label in (0, 1)").groupBy("_id").agg(F.max("label").alias("label")))
-    counts = {r["label"]: r["n"] for r in marked.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    share = F.lit(0.0)
-    for value, n in counts.items():
-        share = F.when(F.col("label") == value, F.lit(min(1.0, rows_per_class / n))).otherwise(share)
-    chosen = marked.where(F.pmod(F.xxhash64(F.lit(seed), "_id"), F.lit(1 << 30)) < share * (1 << 30))
-    rows = docs.select(ids.alias("_id"), "text").join(F.broadcast(chosen), "_id")
-    one = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("one")
-    sample = rows.groupBy("_id").agg(one, F.max("label").alias("label")).select("_id", F.col("one.text").alias("text"), "label")
-    return sample, counts

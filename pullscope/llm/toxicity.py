@@ -9,11 +9,16 @@ logistic layer turns these into a logit.
 Thresholds are calibrated by language on rows kept out of the gradient steps: each language gets
 the logit that separates its classes best, and the score is the logistic curve that is 0.7 there.
 The language is read off function words in the text; labels.lang is not used.
+
+Every labelled row that may be learned from counts, for features, gradient steps and thresholds. Up to ``PART_ROWS`` rows are
+fitted at once. More are dealt to parts of about that size: in each epoch every part makes its own steps from the same
+parameters, and the parts' parameters are averaged. Thresholds then come from counts of all calibration rows by logit.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from copy import deepcopy
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,12 +29,19 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from pullscope.llm import text as T
 from pullscope.llm.decontaminate import _BREAK, folded
-from pullscope.llm.labelled import labelled_sample
+from pullscope.llm.labelled import marked, one_per_id
 
-#: Sampled rows per class (whole texts are read, in training as in scoring).
-SAMPLE_ROWS = 2500
-#: Texts handled at once in training, in bytes.
+#: Rows that one task trains on, and bytes of their kept features (whole texts are read, in training as in scoring).
+PART_ROWS = 5000
+PART_BYTES = 1 << 25
+#: Texts handled at once in training, in bytes, and feature counts that are added up before they are handed on.
 SLICE = 1 << 18
+COUNTS = 1 << 19
+#: Rows of the embedding that are averaged at once.
+BLOCK = 1 << 8
+#: Calibration counts logits to this many digits, within these bounds.
+DIGITS = 2
+FARTHEST = 60
 VOCABULARY = 1 << 14
 LEAST_Z = 2.5
 DIMENSIONS = 8
@@ -172,7 +184,16 @@ def _folded(column: pa.Array, most: int = T.SLICE_BYTES) -> Iterator[tuple[int,
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """In how many texts of each class a feature stands, a slice of sampled texts at a time."""
+    """In how many texts of each class a feature stands, added up over ``COUNTS`` features at least."""
+    kept: list[tuple] = []
+
+    def added() -> pa.RecordBatch:
+        flat, m0, m1 = (np.concatenate(x) for x in zip(*kept))
+        kept.clear()
+        key, back = np.unique(flat, return_inverse=True)
+        n0, n1 = (np.bincount(back, m, minlength=len(key)).astype(np.int64) for m in (m0, m1))
+        return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n0), pa.array(n1)], names=["key", "n0", "n1"])
+
     for batch in batches:
         y = batch.column("label").to_numpy()
         for first, part in _folded(batch.column("text"), SLICE):
@@ -181,9 +202,12 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             once = [np.unique(hashes[:, lo:hi]) for lo, hi in zip(bounds[:-1], bounds[1:])]
             flat, ones = np.concatenate(once), np.repeat(y[first + part.first:first + part.last], [len(x) for x in once])
             key, back = np.unique(flat, return_inverse=True)
-            n1 = np.bincount(back, ones, minlength=len(key)).astype(np.int64)
-            n0 = np.bincount(back, minlength=len(key)) - n1
-            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n0), pa.array(n1)], names=["key", "n0", "n1"])
+            n1 = np.bincount(back, ones, minlength=len(key))
+            kept.append((key, np.bincount(back, minlength=len(key)) - n1, n1))
+            if sum(len(k[0]) for k in kept) >= COUNTS:
+                yield added()
+    if kept:
+        yield added()
 
 
 def _differing(all0: int, all1: int):
@@ -204,7 +228,9 @@ def _features(sample: DataFrame, all0: int, all1: int) -> tuple[np.ndarray, np.n
     """Hashes of the features whose share of texts differs most between the classes, and by how much (z)."""
     summed = T.mapped(sample.select("label", "text"), _counted, "key long, n0 long, n1 long").groupBy("key").agg(
         F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    got = T.mapped(summed, _differing(all0, all1), "key long, z double").toPandas()
+    differing = T.mapped(summed, _differing(all0, all1), "key long, z double")
+    unsigned = F.col("key").bitwiseXOR(F.lit(-(1 << 63)))
+    got = differing.orderBy(F.abs("z").desc(), unsigned).limit(VOCABULARY).toPandas()
     key, z = got.key.to_numpy().view(np.uint64), got.z.to_numpy()
     pick = np.lexsort((key, -np.abs(z)))[:VOCABULARY]
     return key[pick], z[pick]
@@ -238,19 +264,40 @@ def _sparse(sent):
 
 def _best_cut(logit: np.ndarray, y: np.ndarray, share: float) -> float | None:
     """The logit that errs least when classes are weighted by their share among labelled rows."""
-    if y.sum() < 10 or (1 - y).sum() < 10:
-        return None
     by = np.argsort(logit)
-    logit, y = logit[by], y[by]
-    w1, w0 = share / y.sum(), (1 - share) / (1 - y).sum()
-    missed = np.concatenate(([0], np.cumsum(y * w1)))
-    wrong = np.concatenate((np.cumsum(((1 - y) * w0)[::-1])[::-1], [0]))
+    return _counted_cut(logit[by], (1 - y)[by], y[by], share)
+
+
+def _counted_cut(logit: np.ndarray, n0: np.ndarray, n1: np.ndarray, share: float) -> float | None:
+    """``_best_cut`` of ascending logits that ``n0`` and ``n1`` rows of each class have."""
+    if n1.sum() < 10 or n0.sum() < 10:
+        return None
+    w1, w0 = share / n1.sum(), (1 - share) / n0.sum()
+    missed = np.concatenate(([0], np.cumsum(n1 * w1)))
+    wrong = np.concatenate((np.cumsum((n0 * w0)[::-1])[::-1], [0]))
     at = np.flatnonzero(missed + wrong <= (missed + wrong).min() + 1e-12)
     edges = np.concatenate(([logit[0] - 2], logit[:-1] + NEARER * np.diff(logit), [logit[-1] + 2]))
     wide = np.concatenate(([0], np.diff(logit), [0]))[at]
     return float(edges[at[int(np.argmax(wide))]])
 
 
+def _start(keys: np.ndarray, z: np.ndarray, rng) -> Model:
+    """The parameters that training starts from."""
+    embed = rng.normal(0, 0.1, (len(keys) + 1, DIMENSIONS)).astype(np.float32)
+    embed[1:, 0] = np.clip(z / 10, -1, 1)
+    embed[0] = 0
+    return Model(keys, embed,
+                 [rng.normal(0, 0.5, (w * DIMENSIONS, FILTERS)).astype(np.float32) for w in WIDTHS],
+                 [np.full(FILTERS, 0.05, np.float32) for _ in WIDTHS],
+                 rng.normal(0, 0.3, FILTERS * len(WIDTHS)).astype(np.float32), 0.0, np.zeros(len(FUNCTION_WORDS)), 0.0)
+
+
+def _in_doubles(model: Model) -> None:
+    """After training: a score must not depend on the rows that share its slice."""
+    model.embed, model.out = model.embed.astype(float), model.out.astype(float)
+    model.filters, model.bias = [f.astype(float) for f in model.filters], [b.astype(float) for b in model.bias]
+
+
 def fit(keys: np.ndarray, z: np.ndarray, docs: list[np.ndarray], langs: np.ndarray, labels: np.ndarray, share: float,
         seed: int = 2) -> Model | None:
     """Train on the rows of kept features (``keys`` and ``z``) of each text, its language and its 0/1 label; ``share`` is
@@ -261,18 +308,10 @@ def fit(keys: np.ndarray, z: np.ndarray, docs: list[np.ndarray], langs: np.ndarr
     rng = np.random.default_rng(seed)
     by = rng.permutation(len(y))
     docs, langs, y = [docs[i] for i in by], langs[by], y[by]
-    embed = rng.normal(0, 0.1, (len(keys) + 1, DIMENSIONS)).astype(np.float32)
-    embed[1:, 0] = np.clip(z / 10, -1, 1)
-    embed[0] = 0
-    model = Model(keys, embed,
-                  [rng.normal(0, 0.5, (w * DIMENSIONS, FILTERS)).astype(np.float32) for w in WIDTHS],
-                  [np.full(FILTERS, 0.05, np.float32) for _ in WIDTHS],
-                  rng.normal(0, 0.3, FILTERS * len(WIDTHS)).astype(np.float32), 0.0, np.zeros(len(FUNCTION_WORDS)), 0.0)
+    model = _start(keys, z, rng)
     held = np.arange(len(y)) % 4 == 0  # calibration rows
     _train(model, docs, y, np.flatnonzero(~held), rng)
-    # from here on in double precision: a score must not depend on the rows that share its slice
-    model.embed, model.out = model.embed.astype(float), model.out.astype(float)
-    model.filters, model.bias = [f.astype(float) for f in model.filters], [b.astype(float) for b in model.bias]
+    _in_doubles(model)
     logit = np.concatenate([model.logits(*_joined(docs[i:i + 256])) for i in range(0, len(docs), 256)])
     cal = held if _best_cut(logit[held], y[held], share) is not None else np.ones(len(y), bool)
     whole = _best_cut(logit[cal], y[cal], share)
@@ -289,18 +328,24 @@ def _joined(docs: list[np.ndarray]) -> tuple[T.Words, np.ndarray]:
     return T.Words(bounds[:0], bounds[:0], bounds), np.concatenate(docs, axis=1)
 
 
-def _train(model: Model, docs: list, y: np.ndarray, use: np.ndarray, rng, rate: float = 0.1, batch: int = 64) -> None:
-    """Adagrad on the logistic loss; classes weigh the same; gradients follow the pooled places."""
-    weight = np.where(y == 1, 0.5 / max(y[use].mean(), 1e-9), 0.5 / max(1 - y[use].mean(), 1e-9))
-    params = [model.embed, *model.filters, *model.bias, model.out]
-    sums = [np.full_like(p, 1e-2) for p in params]
-    total = 0.0
+def _params(model: Model) -> list[np.ndarray]:
+    return [model.embed, *model.filters, *model.bias, model.out]
+
+
+def _train(model: Model, docs: list, y: np.ndarray, use: np.ndarray, rng, rate: float = 0.1, batch: int = 64,
+           epochs: int = EPOCHS, sums: list[np.ndarray] | None = None, total: float = 0.0, share: float | None = None) -> float:
+    """Adagrad on the logistic loss; classes weigh the same; gradients follow the pooled places. ``sums`` and ``total`` hold
+    the squared gradients so far (``sums`` is added to, the new total returned), ``share`` is label 1's share of all rows."""
+    ones = y[use].mean() if share is None else share
+    weight = np.where(y == 1, 0.5 / max(ones, 1e-9), 0.5 / max(1 - ones, 1e-9))
+    params = _params(model)
+    sums = [np.full_like(p, 1e-2) for p in params] if sums is None else sums
 
     def step(k: int, grad: np.ndarray) -> None:
         sums[k] += grad * grad
         params[k] -= rate * grad / np.sqrt(sums[k])
 
-    for _ in range(EPOCHS):
+    for _ in range(epochs):
         for at in np.array_split(rng.permutation(use), max(1, len(use) // batch)):
             found, rows = _joined([docs[i] for i in at])
             # each of a word's three rows must do without the others, so that new forms of a word count
@@ -338,24 +383,146 @@ def _train(model: Model, docs: list, y: np.ndarray, use: np.ndarray, rng, rate:
             g = float(error.sum())
             total += g * g
             model.out_bias -= rate * g / np.sqrt(total + 1e-2)
+    return total
+
+
+def _gathered(table: pa.Table) -> pa.Table:
+    """One row of a part's rows: labels, languages, calibration marks, and the kept features end to end."""
+    by = np.argsort(table.column("_id").to_numpy(), kind="stable")
+    kept = table.column("kept").to_pylist()
+    one = {"part": table.column("part")[0].as_py(), "labels": table.column("label").to_numpy()[by].astype(np.int8).tobytes(),
+           "langs": table.column("lang").to_numpy()[by].astype(np.int8).tobytes(),
+           "held": table.column("held").to_numpy()[by].astype(np.int8).tobytes(),
+           "sizes": np.array([len(kept[i]) for i in by], np.int64).tobytes(), "kept": b"".join(kept[i] for i in by)}
+    return pa.Table.from_pylist([one], pa.schema([("part", pa.int64()), *[(n, pa.binary()) for n in list(one)[1:]]]))
+
+
+def _parts(batches: Iterator[pa.RecordBatch]):
+    """Number, labels, languages, calibration marks and kept features of each part."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            get = lambda name, kind: np.frombuffer(batch.column(name)[k].as_py(), kind)
+            whole, ends = batch.column("kept")[k].as_py(), np.cumsum(get("sizes", np.int64))
+            docs = [np.frombuffer(whole[lo:hi], np.uint16).reshape(3, -1) for lo, hi in zip([0, *ends[:-1]], ends)]
+            yield batch.column("part")[k].as_py(), get("labels", np.int8).astype(float), get("langs", np.int8), get("held", np.int8) == 1, docs
+
+
+def _epoch(sent, epoch: int, share: float, seed: int):
+    """The parameters after one epoch on a part's rows: blocks of embedding rows (changed or not, row, squared gradients) and, as
+    block -1, all others."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, y, _, held, docs in _parts(batches):
+            use = np.flatnonzero(~held)
+            if not len(use):
+                continue
+            model, sums, total = deepcopy(sent.value)  # the worker keeps the broadcast for later tasks
+            before = model.embed.copy()
+            total = _train(model, docs, y, use, np.random.default_rng([seed, epoch, part]), epochs=1, sums=sums, total=total, share=share)
+            rows = np.concatenate(((model.embed != before).any(axis=1)[:, None], model.embed, sums[0]), axis=1).astype(np.float32)
+            blocks = [rows[k:k + BLOCK] for k in range(0, len(rows), BLOCK)]
+            blocks.append(np.concatenate([*[x.ravel() for x in (*_params(model)[1:], *sums[1:])], [model.out_bias, total]]).astype(np.float32))
+            yield pa.RecordBatch.from_arrays([pa.array([*range(len(blocks) - 1), -1]), pa.array([part] * len(blocks)),
+                                              pa.array([b.tobytes() for b in blocks], pa.binary())], names=["block", "part", "vals"])
+
+    return run
+
+
+def _averaged(table: pa.Table) -> pa.Table:
+    """The mean of a block's parameters over the parts; of an embedding row over the parts that changed it."""
+    by = np.argsort(table.column("part").to_numpy())  # a sum must not depend on the order of its parts
+    vals, count, total = table.column("vals").to_pylist(), 0.0, 0.0
+    rows = table.column("block")[0].as_py() >= 0
+    for i in by:
+        v = np.frombuffer(vals[i], np.float32).astype(float)
+        if rows:
+            v = v.reshape(-1, 1 + 2 * DIMENSIONS)
+            changed = v[:, :1]
+            total, count = total + v * changed, count + changed
+        else:
+            total, count = total + v, count + 1
+    mean = (total / np.maximum(count, 1)).astype(np.float32)
+    return pa.table({"block": table.column("block")[:1], "vals": pa.array([mean.tobytes()], pa.binary())})
+
+
+def _logit_counts(sent):
+    """Rows of a part by calibration mark, language, label and rounded logit."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model: Model = sent.value
+        for _, y, langs, held, docs in _parts(batches):
+            logit = np.concatenate([model.logits(*_joined(docs[i:i + 256])) for i in range(0, len(docs), 256)])
+            cents = np.round(np.clip(logit, -FARTHEST, FARTHEST) * 10 ** DIGITS).astype(np.int64)
+            found, n = np.unique(np.stack((held, langs, y, cents)).astype(np.int64), axis=1, return_counts=True)
+            yield pa.RecordBatch.from_arrays([*[pa.array(x) for x in found], pa.array(n)], names=["held", "lang", "label", "cents", "n"])
+
+    return run
+
+
+def fit_in_parts(sparse: DataFrame, keys: np.ndarray, z: np.ndarray, rows: int, ones: float, share: float, folder: str,
+                 part_rows: int = PART_ROWS, seed: int = 2) -> Model:
+    """``fit`` for more rows than one task trains on: ``sparse`` has _id, label, lang and kept features of ``rows`` rows, of which
+    the share ``ones`` has label 1. The driver gets parameters and counts of logits."""
+    spark = sparse.sparkSession
+    sparse = T.stored(sparse, f"{folder}/sparse")
+    size = sparse.agg(F.sum(F.octet_length("kept"))).first()[0]
+    parts = max(-(-rows // part_rows), size // PART_BYTES)
+    dealt = sparse.select("*", F.pmod(F.xxhash64(F.lit(seed), "_id"), F.lit(parts)).alias("part"), (F.pmod(F.xxhash64(F.lit(seed + 1), "_id"), F.lit(4)) == 0).cast("int").alias("held"))
+    gathered = T.stored(dealt.groupBy("part").applyInArrow(
+        _gathered, "part long, labels binary, langs binary, held binary, sizes binary, kept binary"), f"{folder}/parts")
+    model, total = _start(keys, z, np.random.default_rng(seed)), 0.0
+    sums = [np.full_like(p, 1e-2) for p in _params(model)]
+    for epoch in range(EPOCHS):
+        sent = spark.sparkContext.broadcast((model, sums, total))
+        steps = T.mapped(gathered, _epoch(sent, epoch, ones, seed), "block long, part long, vals binary")
+        got = {r["block"]: np.frombuffer(r["vals"], np.float32).copy()
+               for r in steps.groupBy("block").applyInArrow(_averaged, "block long, vals binary").collect()}
+        mean = np.concatenate([got[k].reshape(-1, 1 + 2 * DIMENSIONS) for k in range(len(got) - 1)])
+        changed = mean[:, 0] > 0
+        model.embed[changed], sums[0][changed] = mean[changed, 1:1 + DIMENSIONS], mean[changed, 1 + DIMENSIONS:]
+        at = 0
+        for x in (*_params(model)[1:], *sums[1:]):
+            x[...] = got[-1][at:at + x.size].reshape(x.shape)
+            at += x.size
+        model.out_bias, total = float(got[-1][-2]), float(got[-1][-1])
+    _in_doubles(model)
+    counts = T.mapped(gathered, _logit_counts(spark.sparkContext.broadcast(model)), "held long, lang long, label long, cents long, n long")
+    table = counts.groupBy("held", "lang", "label", "cents").agg(F.sum("n").alias("n")).toPandas()
+
+    def cut(of) -> float | None:
+        both = of.groupby(["cents", "label"])["n"].sum().unstack(fill_value=0).reindex(columns=[0, 1], fill_value=0).sort_index()
+        return _counted_cut(both.index.to_numpy() / 10 ** DIGITS, both[0].to_numpy(float), both[1].to_numpy(float), share)
+
+    cal = table[table.held == 1]
+    cal = cal if cut(cal) is not None else table
+    whole = cut(cal)
+    model.default_cut = whole if whole is not None else 0.0
+    for k in range(len(FUNCTION_WORDS)):
+        own = cut(cal[cal.lang == k])
+        model.cuts[k] = own if own is not None else model.default_cut
+    return model
 
 
-def train(docs: DataFrame, labels: DataFrame, learn, sample_rows: int = SAMPLE_ROWS) -> Model | None:
-    """Fit on a sample of ``labels.toxic`` (0/1) over the ids that the condition ``learn`` admits. Tasks hash the
-    sampled texts, whole; the kept features and their places in at most about 2 * ``sample_rows`` rows reach the driver."""
+def train(docs: DataFrame, labels: DataFrame, learn, part_rows: int = PART_ROWS) -> Model | None:
+    """Fit on all rows of ``labels.toxic`` (0/1) over the ids that the condition ``learn`` admits. Tasks hash the
+    texts, whole; the features that differ most reach the driver, and the kept features' places in up to ``part_rows`` rows;
+    with more rows these stay in the tasks."""
     spark = docs.sparkSession
-    sample, counts = labelled_sample(docs, labels, "toxic", learn, sample_rows, seed=2)
-    sample = T.stored(sample, T.new_folder(spark, "toxicity"))
+    found, counts = marked(labels, "toxic", learn)
+    folder = T.new_folder(spark, "toxicity")
+    rows = docs.where(learn).select(F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("hash"), "text")
+    sample = T.stored(one_per_id(rows.join(found, "_id"), "hash", "text"), f"{folder}/learned")
     sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(sizes) < 2:
         return None
     keys, z = _features(sample, sizes[0], sizes[1])
     none = np.zeros(0, np.float32)
     sent = spark.sparkContext.broadcast(Model(keys, none, [], [], none, 0.0, none, 0.0))
-    got = T.mapped(sample, _sparse(sent), "_id long, label int, lang int, kept binary").toPandas()
-    got = got.sort_values(["_id", "lang", "kept"])
+    sparse = T.mapped(sample, _sparse(sent), "_id long, label int, lang int, kept binary")
+    total, share = sizes[0] + sizes[1], counts.get(1, 0) / max(1, sum(counts.values()))
+    if total > part_rows:
+        return fit_in_parts(sparse, keys, z, total, sizes[1] / total, share, folder, part_rows)
+    got = sparse.toPandas().sort_values(["_id", "lang", "kept"])
     kept = [np.frombuffer(x, np.uint16).reshape(3, -1) for x in got.kept]
-    return fit(keys, z, kept, got.lang.to_numpy(), got.label.to_numpy(), counts.get(1, 0) / max(1, sum(counts.values())))
+    return fit(keys, z, kept, got.lang.to_numpy(), got.label.to_numpy(), share)
 
 
 def _scored(sent, name: str):

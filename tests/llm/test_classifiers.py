@@ -251,3 +251,51 @@ def test_place_among_all_scores(spark):
     values = [round(random.Random(7).uniform(-3, 3), 6) for _ in range(5)] + [0.5] * 4 + [-2.25, 0.500001]
     raw = spark.createDataFrame([(v,) for v in values], "raw double")
     assert [quality._at_place(raw, k) for k in range(len(values))] == sorted(values)
+
+
+def test_toxicity_learns_from_all_labelled_rows(spark, frame, monkeypatch):
+    """More rows than one task trains on: all are counted, trained on or calibrated with, in parts, and none reaches the driver."""
+    seen, sent, mapped, plain = [], [], T.mapped, type(frame([])).toPandas
+    monkeypatch.setattr(T, "mapped", lambda df, *a: seen.append(df) or mapped(df, *a))
+    monkeypatch.setattr(type(frame([])), "toPandas", lambda df: sent.append(df.columns) or plain(df))
+    rows = [(i, f"the river {'moron' if i % 3 == 0 else 'stone'} x{i}") for i in range(9000)]
+    labels = spark.createDataFrame([(i, 1, int(i % 3 == 0), "", "") for i, _ in rows], LABELS)
+    got = toxicity.toxicity(frame(rows), labels)
+    want = sum(not held(i, 3, 1) for i, _ in rows)
+    assert want > toxicity.PART_ROWS
+    assert max(df.count() for df in seen if "label" in df.columns) == want
+    parts = [df for df in seen if "part" in df.columns]
+    assert parts and all(df.agg(F.sum(F.octet_length("labels"))).first()[0] == want and df.count() > 1 for df in parts)
+    assert not any("kept" in columns or "text" in columns for columns in sent)
+    assert accuracy(got.collect(), [(i, 1, int(i % 3 == 0)) for i, _ in rows], 2) == 1
+
+
+def test_toxicity_in_parts_separates_as_at_once(spark, frame, labelled):
+    rows, labels = labelled
+    marks = spark.createDataFrame(labels, LABELS)
+    model = toxicity.train(frame(rows), marks, F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) != 1, part_rows=200)
+    out = [r for r in labels if held(r[0], 3, 1)]
+    texts = {i: t for i, t, _, _ in rows}
+    scores = np.concatenate([model.scores(part) for _, part in toxicity._folded(pa.array([texts[r[0]] for r in out]))])
+    assert np.mean((scores >= toxicity.THRESHOLD) == [r[2] == 1 for r in out]) >= 0.98
+
+
+def test_parts_are_averaged_over_those_that_changed_a_row():
+    n = 1 + 2 * toxicity.DIMENSIONS
+    one, two = np.zeros((3, n), np.float32), np.zeros((3, n), np.float32)
+    one[0], one[1], two[1] = 1, 1, 3
+    two[1, 0], two[2, 1:] = 1, 9
+    got = toxicity._averaged(pa.table({"block": [0, 0], "part": [1, 0], "vals": pa.array([one.tobytes(), two.tobytes()], pa.binary())}))
+    mean = np.frombuffer(got.column("vals")[0].as_py(), np.float32).reshape(3, n)
+    assert (mean[0] == 1).all() and mean[1, 0] == 1 and (mean[1, 1:] == 2).all() and (mean[2] == 0).all()
+
+
+def test_cut_of_counts_is_that_of_rows():
+    rng = np.random.default_rng(8)
+    y = (rng.random(400) < .3).astype(float)
+    logit = np.round(rng.normal(size=400) + 2 * y, 1)
+    value = np.unique(logit)
+    n0, n1 = (np.array([((logit == v) & (y == k)).sum() for v in value], float) for k in (0, 1))
+    cut = toxicity._counted_cut(value, n0, n1, .3)
+    errs = lambda c: ((logit < c) & (y == 1)).sum() * .3 / y.sum() + ((logit >= c) & (y == 0)).sum() * .7 / (1 - y).sum()
+    assert abs(errs(cut) - min(errs(c) for c in [*value, value[-1] + 1])) < 1e-12
