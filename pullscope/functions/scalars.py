@@ -241,3 +241,18 @@ def rate_per_hour(items, elapsed_seconds) -> Column:
 def iso_utc(ts) -> Column:
     """Timestamp -> ISO-8601 text with 'Z' (the stored form of all PR times)."""
     return F.date_format(col_(ts), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+# ---- shas as keys --------------------------------------------------------------------------
+def packed_sha(sha) -> Column:
+    """A sha as bytes, half as long as its hex digits, for shuffles by sha; any other text stays whole. Distinct texts stay
+    distinct and null stays null; ``unpacked_sha`` gives the text back."""
+    c = F.col(sha) if isinstance(sha, str) else sha
+    return (F.when(c.rlike("^([0-9a-f][0-9a-f])+$"), F.concat(F.unhex(F.lit("01")), F.unhex(c)))
+            .otherwise(F.concat(F.unhex(F.lit("00")), c.cast("binary"))))
+
+
+def unpacked_sha(packed) -> Column:
+    c = F.col(packed) if isinstance(packed, str) else packed
+    rest = F.substring(c, F.lit(2), F.octet_length(c))
+    return F.when(F.substring(c, 1, 1) == F.unhex(F.lit("01")), F.lower(F.hex(rest))).otherwise(rest.cast("string"))

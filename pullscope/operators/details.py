@@ -10,7 +10,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
+from pullscope.functions.scalars import packed_sha, unpacked_sha
 from pullscope.schemas import COMMIT_DETAILS
 
 
@@ -82,14 +84,18 @@ def assemble_details(files: DataFrame, bridge: DataFrame, keep_orphans: bool = F
 
     ``files`` carries sha, author, committer, message, filename, status, additions,
     deletions and optionally patch; a commit without files is one row with null file.
-    Rows that already carry payload totals (API form) keep them.
+    Rows that already carry payload totals (API form) keep them. Where ``files`` has its shas packed
+    (``packed_sha``), totals and fan-out go by the packed ones; the result has them as text.
     """
+    packed = isinstance(files.schema["sha"].dataType, BinaryType)
+    bridge = bridge.withColumn("sha", packed_sha("sha")) if packed else bridge
     has_totals = "commit_stats_total" in files.columns
     f = files if has_totals else commit_totals(files)
     if "patch" not in f.columns:
         f = f.withColumn("patch", F.lit(None).cast("string"))
     f = f.withColumn("changes", (F.col("additions") + F.col("deletions")).cast("long"))
     out = expand_to_prs(f, bridge, keep_orphans=keep_orphans)
+    out = out.withColumn("sha", unpacked_sha("sha")) if packed else out
     return out.select([F.col(c.name).cast(c.dataType) for c in COMMIT_DETAILS.fields])
 
 

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pullscope.functions.scalars import packed_sha
 from pullscope.operators.facts import change_size
 
 
@@ -54,6 +55,7 @@ def revision_size_by(revised: DataFrame, commits: DataFrame, details: DataFrame,
     A sha in the revision sets of two groups is counted in each, as two separate calls would.
     """
     ids = revised.select("pr_id", group_col)
+    commits, details = (df.withColumn("sha", packed_sha("sha")) for df in (commits, details))  # shas are keys here, no result
     rc = commits.join(ids, "pr_id", "inner")
     firsts = rc.groupBy(group_col, "pr_id").agg(F.min_by("sha", "commit_seq").alias("sha"))
     rev_shas = (rc.select(group_col, "sha").distinct()

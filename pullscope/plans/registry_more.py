@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from pullscope.functions.scalars import packed_sha
 from pullscope.operators import details as det
 from pullscope.operators import labels, quality, sampling, stats
 from pullscope.operators import facts
@@ -72,7 +73,7 @@ def q_unmatched(spark, d):
 @register("details_from_json")
 def q_details_from_json(spark, d):
     """S8 + J12: commit-detail payloads -> commit_details (API form, with patch)."""
-    files = details_from_json(landed.detail_payloads(spark, d))
+    files = details_from_json(landed.detail_payloads(spark, d)).withColumn("sha", packed_sha("sha"))
     return det.assemble_details(files, fx.commits(spark, d).select("sha", "pr_id"))
 
 

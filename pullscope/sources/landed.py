@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pullscope.functions.scalars import STATUS_LETTERS
+from pullscope.functions.scalars import STATUS_LETTERS, unpacked_sha
 from pullscope.sources import fixtures as fx
 from pullscope.sources.gittext import COMMIT_SEP, MSG_END
 from pullscope.sources.payloads import PAGE_SIZE
@@ -91,7 +91,7 @@ def _commit_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _detail_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Commit-detail objects (one per sha) as JSON lines; 'modified' files omit ``status``. Authors differ
     from the git form, and the interface does not know every sha."""
-    f = fx.commit_files(spark, sf_dir, with_patch=True).where(~F.col("sha").startswith(UNKNOWN_SHA))
+    f = fx.packed_commit_files(spark, sf_dir).where(~unpacked_sha("sha").startswith(UNKNOWN_SHA))
     f = f.withColumn("author", F.concat(F.lit(API_AUTHOR), F.col("author")))
     file_obj = F.when(F.col("filename").isNotNull(), F.struct(
         "filename",
@@ -102,7 +102,7 @@ def _detail_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.sum("additions"), F.lit(0)).alias("a"),
         F.coalesce(F.sum("deletions"), F.lit(0)).alias("d"))
     obj = F.struct(
-        "sha",
+        unpacked_sha("sha").alias("sha"),
         F.struct("message", F.struct(F.col("author").alias("name")).alias("author"),
                  F.struct(F.col("committer").alias("name")).alias("committer")).alias("commit"),
         F.struct((F.col("a") + F.col("d")).alias("total"), F.col("a").alias("additions"),
@@ -152,9 +152,10 @@ def _status_blocks(files: DataFrame) -> DataFrame:
 def _diff_docs(files: DataFrame) -> DataFrame:
     f = files.where(F.col("filename").isNotNull())
     head = F.concat(F.lit("diff --git a/"), F.col("filename"), F.lit(" b/"), F.col("filename"), _nl())
-    older = F.when(F.col("sha").startswith(TWICE), F.concat(head, F.lit("@@ older @@\n"))).otherwise(F.lit(""))
+    older = F.when(unpacked_sha("sha").startswith(TWICE), F.concat(head, F.lit("@@ older @@\n"))).otherwise(F.lit(""))
     blk = F.concat(older, head, F.col("patch"))
-    return f.groupBy("sha").agg(F.concat_ws("", F.collect_list(blk)).alias("text"))
+    docs = f.groupBy("sha").agg(F.concat_ws("", F.collect_list(blk)).alias("text"))
+    return docs.select(unpacked_sha("sha").alias("sha"), "text")
 
 
 def _git_log(spark: SparkSession, sf_dir: str, n_docs: DataFrame) -> DataFrame:
@@ -206,7 +207,7 @@ def git_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def git_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Diffs as landed documents, one of each commit."""
-    return fx.stored(spark, sf_dir, "landed_git_diff", lambda: _diff_docs(fx.commit_files(spark, sf_dir)))
+    return fx.stored(spark, sf_dir, "landed_git_diff", lambda: _diff_docs(fx.packed_commit_files(spark, sf_dir)))
 
 
 def git_docs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -7,6 +7,7 @@ import tempfile
 
 import pytest
 
+from pullscope.functions.scalars import packed_sha, unpacked_sha
 from pullscope.plans.collect import details_from_git
 from pullscope.plans.registry import queries
 from pullscope.session import apply_conf
@@ -63,6 +64,36 @@ def test_details_are_dealt_by_sha_once(spark, small_dir, monkeypatch):
     assert 1 <= len(keys) <= 2 and all(k.startswith("sha#") for k in keys)
 
 
+def test_shas_are_packed_and_unpacked(spark):
+    shas = ["00ff" * 10, "01", "", "0", "A1", "0g", "é", "\x01\x02", None, "a" * 40]
+    rows = spark.createDataFrame([(s,) for s in shas], "sha string").select("sha", packed_sha("sha").alias("p"))
+    got = rows.select("sha", "p", unpacked_sha("p").alias("back")).collect()
+    assert all(r["sha"] == r["back"] for r in got) and len({bytes(r["p"]) for r in got if r["p"] is not None}) == len(shas) - 1
+    assert max(len(r["p"]) for r in got if r["sha"] in (shas[0], shas[-1])) == 21
+
+
+def _dealt_types(df) -> list:
+    """The shas that exchanges deal rows by: packed ones come from an alias made before, as text they are hex digits."""
+    plan = _plan(df)
+    return [m for m in re.findall(r"Arguments: hashpartitioning\(([^,]*),", plan) if m.startswith("sha#")]
+
+
+@pytest.mark.parametrize("build", [landed._detail_payloads, lambda s, d: landed._diff_docs(fx.packed_commit_files(s, d))])
+def test_landed_commits_are_put_together_where_their_rows_are_made(spark, small_dir, monkeypatch, build):
+    apply_conf(spark)
+    monkeypatch.setattr(fx, "commit_files", None)
+    assert len(_dealt_types(build(spark, small_dir))) == 1
+
+
+def test_details_move_packed_shas(spark, small_dir):
+    """Totals and fan-out take binary shas: half the bytes of the text in both exchanges; the result has the text."""
+    files = fx.packed_commit_files(spark, small_dir)
+    assert dict(files.dtypes)["sha"] == "binary"
+    out = fx._build_commit_details(spark, small_dir, True)
+    assert dict(out.dtypes)["sha"] == "string" and out.where("length(sha) <> 40").count() == 0
+    assert len(_dealt_types(out)) <= 2
+
+
 def test_look_ups_join_few_columns(spark, small_dir):
     moved = _moved(_plan(fx._build_pull_requests(spark, small_dir)))
     assert not any("html_url" in m and "title" in m for m in moved)
