@@ -7,7 +7,11 @@ import tempfile
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from pullscope.functions.scalars import packed_sha, unpacked_sha
+from pullscope.operators import revisions
+from pullscope.operators.labels import filter_to_prs
 from pullscope.plans.collect import details_from_git
 from pullscope.plans.registry import queries
 from pullscope.session import apply_conf
@@ -110,3 +114,88 @@ def test_no_table_is_built_that_is_not_read(spark, small_dir, monkeypatch, query
     for module, name in unread:
         monkeypatch.setattr(module, name, built)
     assert queries()[query](spark, small_dir).columns
+
+
+def test_a_build_moves_no_column_that_commits_are_not_made_of(spark, small_dir):
+    moved = _moved(_plan(fx._build_commits(spark, small_dir)))
+    assert moved and not any("l_shipdate" in m or "l_extendedprice" in m for m in moved)
+
+
+def test_equal_commits_of_a_pr_are_numbered_whatever_else_differs(spark, tmp_path):
+    """Rows with the same number, part and supplier give the same commit: their other columns need not order them."""
+    spark.sql("""select 1L l_orderkey, 7L l_partkey, 3L l_suppkey, 1 l_linenumber, cast(id as double) l_quantity from range(3)
+                 union all select 1L, 6L, 3L, 1, 9D union all select 1L, 5L, 3L, null, 9D""").write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = fx._build_commits(spark, str(tmp_path)).orderBy("commit_seq").collect()
+    assert [(r["commit_seq"], r["message"]) for r in got] == [(i + 1, f"Update part {p}") for i, p in enumerate([5, 6, 7, 7, 7])]
+
+
+def test_fix_rows_move_packed_shas(spark, small_dir):
+    """The semi-join with the fix PRs takes shas as bytes; rows and text are those of a plain semi-join."""
+    apply_conf(spark)
+    cm, ids = fx.commits(spark, small_dir), fx.pull_requests(spark, small_dir).where("id % 3 = 0")
+    kept = filter_to_prs(cm, ids)
+    assert kept.columns == cm.columns and dict(kept.dtypes)["sha"] == "string"
+    plain = cm.join(ids.select(F.col("id").alias("pr_id")), "pr_id", "left_semi").select(*cm.columns)
+    assert sorted(kept.collect()) == sorted(plain.collect())
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        steps = _plan(filter_to_prs(cm, ids))
+        scan = int(re.search(r"\((\d+)\) Scan parquet \nOutput \[\d+\]: \[sha#", steps).group(1))
+        dealt = re.search(r"Exchange\nInput \[\d+\]: \[([^\]]*author[^\]]*)\]", steps).group(1)
+        read = re.search(rf"\({scan}\) Scan parquet \nOutput \[\d+\]: \[(sha#\d+)", steps).group(1)
+        assert "sha#" in dealt and read not in dealt.split(", ")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def _naive_revision_shas(rows, revised):
+    by_pr = {}
+    for sha, pr, seq in rows:
+        by_pr.setdefault(pr, []).append((seq, sha))
+    out = {}
+    for pr, source in revised:
+        known = [(q, s) for q, s in by_pr.get(pr, []) if q is not None]
+        shas, firsts = out.setdefault(source, (set(), set()))
+        shas.update(s for _q, s in by_pr.get(pr, []))
+        if known:
+            firsts.add(min(known)[1])
+    return {g: {s for s in shas - firsts if s is not None} for g, (shas, firsts) in out.items()}
+
+
+def test_commits_of_revised_prs_are_moved_once(spark):
+    """First commits and revision commits come from one shuffle; shas equal a plain computation, odd rows included."""
+    rows = [("a", 1, 1), ("b", 1, 2), ("b", 2, 1), ("c", 2, 2), ("a", 2, 3), (None, 3, 1), ("d", 3, 2), ("e", 4, None),
+            ("f", 4, None), ("g", 5, 1), ("g", 5, 2), ("h", 5, 3), ("0a", 6, 2), ("0A", 6, 1), ("h", 6, 3), ("x", 9, 1)]
+    prs = [(1, "agent"), (2, "agent"), (3, "human"), (4, "human"), (5, "human"), (6, "agent")]
+    cm = spark.createDataFrame(rows, "sha string, pr_id long, commit_seq int")
+    rev = spark.createDataFrame(prs, "pr_id long, source string")
+    dt = spark.createDataFrame([(s, p, f"{s}{p}", 1, 1) for s, p, _q in rows], "sha string, pr_id long, filename string, additions long, deletions long")
+    want = _naive_revision_shas(rows, prs)
+    got = revisions.revision_size_by(rev, cm, dt, "source").collect()
+    files = {(g, p): {f"{s}{p}" for s, q, _n in rows if q == p and s in shas} for g, shas in want.items() for p in range(10)}
+    assert {(r["source"], r["pr_id"]): r["rev_files_changed"] for r in got} == {k: len(v) for k, v in files.items() if v}
+    everywhere = _naive_revision_shas(rows, [(p, "all") for p, _g in prs])["all"]
+    kept = revisions.revision_details(rev, cm, dt).select("sha").distinct().collect()
+    assert {r["sha"] for r in kept} == everywhere
+
+
+def test_revision_commits_are_read_from_one_exchange(spark, small_dir):
+    apply_conf(spark)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = queries()["revision_size_rows_by_source"](spark, small_dir)
+        df.collect()
+        final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(re.findall(r"FileScan parquet \[sha#\d+,pr_id#\d+L,commit_seq", final)) == 1
+
+
+def test_details_are_built_of_one_exchange(spark, small_dir):
+    apply_conf(spark)
+    df = fx._build_commit_details(spark, small_dir, False)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
+    assert "ReusedExchange" in final and len(re.findall("FileScan", final)) == 1
