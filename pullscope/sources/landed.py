@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pullscope.functions.scalars import STATUS_LETTERS, unpacked_sha
+from pullscope.functions.scalars import STATUS_LETTERS, packed_sha, unpacked_sha
 from pullscope.sources import fixtures as fx
 from pullscope.sources.gittext import COMMIT_SEP, MSG_END
 from pullscope.sources.payloads import PAGE_SIZE
@@ -22,6 +22,8 @@ API_AUTHOR = "Api: "
 UNKNOWN_SHA = "f"
 #: Commits whose git output was landed twice: an older copy with other content comes first.
 TWICE = "0"
+#: Row groups of the PR lines: a stream takes a few files at a time, all cores read parts of them.
+LANDED_GROUP_BYTES = 8 << 20
 
 
 def _nl():
@@ -44,28 +46,33 @@ def _pr_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.col("user").alias("login"), F.col("user_id").alias("id")).alias("user"),
         "state", "created_at", "closed_at", top_merged.alias("merged_at"), "html_url",
         pr_obj.alias("pull_request"))
-    lines = p.select(F.to_json(obj).alias("value"))
-    # what a listing also holds: failed pages, answers without an id, and cut-off lines
-    failed = p.where(F.col("id") % 97 == 5).select(F.to_json(F.struct(
-        F.col("repo_name").alias("repo"), F.lit(2).alias("page"), F.lit(True).alias("page_failed"))).alias("value"))
-    no_id = p.where(F.col("id") % 89 == 7).select(F.to_json(F.struct(
-        F.lit("Not Found").alias("message"), F.col("repo_name").alias("repo"))).alias("value"))
-    return lines.unionByName(failed).unionByName(no_id).unionByName(_cut_lines(p, 83))
+    # what a listing also holds: failed pages, answers without an id, and cut-off lines; made with the line of their PR, so
+    # that they lie in its file: streams read few whole files rather than many short ones
+    failed = F.when(F.col("id") % 97 == 5, F.to_json(F.struct(
+        F.col("repo_name").alias("repo"), F.lit(2).alias("page"), F.lit(True).alias("page_failed"))))
+    no_id = F.when(F.col("id") % 89 == 7, F.to_json(F.struct(
+        F.lit("Not Found").alias("message"), F.col("repo_name").alias("repo"))))
+    lines = F.array_compact(F.array(F.to_json(obj), failed, no_id, _cut_line(83)))
+    return p.select(F.explode(lines).alias("value"))
+
+
+def _cut_line(every: int) -> F.Column:
+    return F.when(F.col("id") % every == 3, F.concat(F.lit('{"id": '), F.col("id").cast("string")))
 
 
 def _cut_lines(rows: DataFrame, every: int) -> DataFrame:
-    return rows.where(F.col("id") % every == 3).select(F.concat(F.lit('{"id": '), F.col("id").cast("string")).alias("value"))
+    return rows.select(_cut_line(every).alias("value")).where("value is not null")
 
 
 def _commit_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Commit-list pages (at most 100 commits each) as JSON lines."""
-    c = fx.commits(spark, sf_dir)
+    c = fx.commits(spark, sf_dir).withColumn("sha", packed_sha("sha")).repartition("pr_id")  # pages are put together where their rows lie
     git_name = F.regexp_replace(F.col("author"), "^dev", "Dev Name ")
     no_login = F.col("author").startswith("Dev Name ")
     elem = F.struct(
         F.col("commit_seq").alias("seq"),
         F.struct(
-            "sha",
+            unpacked_sha("sha").alias("sha"),
             F.when(no_login, F.lit(None).cast("struct<login:string>"))
              .otherwise(F.struct(F.col("author").alias("login"))).alias("author"),
             F.struct(F.col("committer").alias("login")).alias("committer"),
@@ -173,12 +180,12 @@ def _git_status(spark: SparkSession, sf_dir: str, n_docs: DataFrame) -> DataFram
 # ---- landed inputs, stored once per input version (they are inputs of the parsers) ---------
 def pr_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PR-list elements as JSON lines (``value``)."""
-    return fx.stored(spark, sf_dir, "landed_pr_payloads", lambda: _pr_payloads(spark, sf_dir))
+    return fx.stored(spark, sf_dir, "landed_pr_payloads", lambda: _pr_payloads(spark, sf_dir), LANDED_GROUP_BYTES)
 
 
 def pr_payload_path(spark: SparkSession, sf_dir: str) -> str:
     """Folder of the stored PR-list lines (for streams that read them as files land)."""
-    return fx.stored_path(spark, sf_dir, "landed_pr_payloads", lambda: _pr_payloads(spark, sf_dir))
+    return fx.stored_path(spark, sf_dir, "landed_pr_payloads", lambda: _pr_payloads(spark, sf_dir), LANDED_GROUP_BYTES)
 
 
 def commit_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -199,3 +199,28 @@ def test_details_are_built_of_one_exchange(spark, small_dir):
     df.collect()
     final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
     assert "ReusedExchange" in final and len(re.findall("FileScan", final)) == 1
+
+
+def test_landed_lines_lie_in_one_set_of_files(spark, small_dir):
+    """What a listing also holds lies with the lines of its PRs, and pages are put together from packed commits."""
+    assert _plan(landed._pr_payloads(spark, small_dir)).count("Scan parquet") <= 2  # named in the tree and below it
+    moved = [m for m in _moved(_plan(landed._commit_payloads(spark, small_dir))) if "commit_seq" in m]
+    assert moved and all("author" in m for m in moved)
+
+
+def test_streams_have_no_more_state_stores_than_the_cluster_works_on(spark, small_dir, tmp_path):
+    from pullscope.streaming.ingest import ingest_prs, state_stores
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        os.makedirs(f"{tmp_path}/in")
+        with open(f"{tmp_path}/in/a.json", "w") as fh:
+            fh.write('{"id": 1, "repo": "o/r", "title": "Fix", "created_at": "2020-01-01T00:00:00Z"}\n')
+        dim = spark.createDataFrame([], "user string, _label string")
+        ingest_prs(spark, f"{tmp_path}/in", dim, f"{tmp_path}/out", f"{tmp_path}/ckpt").awaitTermination()
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "40"
+        stores = [p for p in os.listdir(f"{tmp_path}/ckpt/state/0") if p.isdigit()]
+        assert 1 <= len(stores) <= state_stores(spark) < 40
+        assert spark.read.parquet(f"{tmp_path}/out").count() == 1
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
