@@ -224,3 +224,40 @@ def test_streams_have_no_more_state_stores_than_the_cluster_works_on(spark, smal
         assert spark.read.parquet(f"{tmp_path}/out").count() == 1
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", parts)
+
+
+def test_cuts_to_fix_prs_read_no_bodies(spark, small_dir):
+    from pullscope.plans.registry import _fix
+    r = _fix(spark, small_dir, with_body=True)
+    assert "doc_id" in _plan(r.fix_prs) and "doc_id" not in _plan(r.fix_commits) + _plan(r.fix_details)
+
+
+def test_shas_of_revised_prs_are_moved_packed(spark):
+    cm = spark.createDataFrame([("0a", 1, 1), ("0b", 1, 2)], "sha string, pr_id long, commit_seq int")
+    dt = spark.createDataFrame([("0b", 1, "f", 1, 1)], "sha string, pr_id long, filename string, additions long, deletions long")
+    rev = spark.createDataFrame([(1, "agent")], "pr_id long, source string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans = [_plan(revisions.revision_size_by(rev, cm, dt)), _plan(revisions.revision_details(rev, cm, dt.select("sha", "pr_id")))]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    for plan in plans:
+        moved = [x for x in _moved(plan) if "commit_seq" in x]
+        assert moved and not any(re.search(r"\bsha#", x) for x in moved)
+
+
+def test_report_sizes_revisions_before_the_cut(spark, small_dir):
+    """The revision sizes of the report equal those of the cut tables, shared shas and PRs that are no fix included."""
+    from pullscope.plans.registry import _fix
+    from pullscope.plans.report import build_report
+    r = _fix(spark, small_dir, with_body=True)
+    cm, dt = fx.commits(spark, small_dir), fx.commit_details(spark, small_dir)
+    sets = [(r.fix_commits, r.fix_details, cm, dt)]
+    # forty shas for two thirds of the PRs, so that details of other PRs (also of PRs that are no fix) are chosen
+    share = lambda df: df.withColumn("sha", F.when(F.col("pr_id") % 3 > 0, F.concat(F.lit("s"), F.pmod(F.xxhash64("sha"), F.lit(40)))).otherwise(F.col("sha")))
+    cut = lambda df: filter_to_prs(df, r.fix_prs)
+    sets.append((cut(share(cm)), cut(share(dt)), share(cm), share(dt)))
+    for fc, fd, commits, details in sets:
+        want, got = build_report(r.fix_prs, fc, fd), build_report(r.fix_prs, fc, fd, commits=commits, details=details)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
