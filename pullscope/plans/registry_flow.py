@@ -164,7 +164,9 @@ def _pages(lists, key: str):
 @register("sha_pr_lists")
 def q_sha_lists(spark, d):
     """The PR ids of every sha in commits order, in pages of at most 1000."""
-    return _pages(ordered_lists(fx.commits(spark, d), "sha", ["pr_id", "commit_seq"], "pr_id"), "sha")
+    cm = fx.commits(spark, d).withColumn("sha", packed_sha("sha"))
+    lists = ordered_lists(cm, "sha", ["pr_id", "commit_seq"], "pr_id")
+    return _pages(lists.withColumn("sha", unpacked_sha("sha")), "sha")
 
 
 @register("repo_sha_lists")
